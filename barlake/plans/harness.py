@@ -17,6 +17,7 @@ from pyspark.sql.types import (ByteType, DecimalType, IntegerType, ShortType)
 
 from barlake.functions.numeric import PRICE_TYPE
 from barlake.functions.windows import calculate_sma
+from barlake.operators import adhoc, dashboards, quality
 from barlake.operators import indicators as ind
 from barlake.operators import marts
 from barlake.operators.staging import stage_prices
@@ -116,10 +117,113 @@ def q_sma_generic(spark, sf_dir):
         .alias("sma_10_volume")))
 
 
+def q_latest_prices(spark, sf_dir):
+    return report(adhoc.latest_prices(raw_prices(spark, sf_dir)))
+
+
+def q_top_movers(spark, sf_dir):
+    return report(adhoc.top_movers(raw_prices(spark, sf_dir)))
+
+
+def q_price_history(spark, sf_dir):
+    return report(adhoc.price_history(raw_prices(spark, sf_dir), HISTORY_TICKER, 20))
+
+
+def q_volume_spikes(spark, sf_dir):
+    return report(adhoc.volume_spikes(raw_prices(spark, sf_dir)))
+
+
+def q_monthly_average(spark, sf_dir):
+    return report(adhoc.monthly_average(raw_prices(spark, sf_dir)))
+
+
+def q_dq_not_null(spark, sf_dir):
+    raw = raw_prices(spark, sf_dir)
+    daily = daily_fact(spark, sf_dir)
+    sector = marts.sector_performance(daily)
+    dim = dim_from_geography(spark, sf_dir)
+    parts = [
+        quality.null_counts(raw, ["ticker", "trade_date", "open_price", "close_price"], "stock_prices"),
+        quality.null_counts(daily, ["ticker", "trade_date", "close_price", "sector"], "fct_daily_trading"),
+        quality.null_counts(sector, ["sector", "trade_date", "stock_count"], "fct_sector_performance"),
+        quality.null_counts(dim, ["ticker", "company_name", "sector"], "dim_stocks"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return report(out)
+
+
+def _dup_report(df, keys, model):
+    dups = quality.duplicate_keys(df, keys)
+    key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    return dups.select(F.lit(model).alias("model"), key.alias("key_value"), "n")
+
+
+def q_dq_unique(spark, sf_dir):
+    dim = _dup_report(dim_from_geography(spark, sf_dir), ["ticker"], "dim_stocks")
+    raw = _dup_report(raw_prices(spark, sf_dir), ["ticker", "trade_date"], "stock_prices")
+    return report(dim.unionByName(raw))
+
+
+def q_dq_accepted_values(spark, sf_dir):
+    return report(quality.rejected_values(daily_fact(spark, sf_dir), "sector",
+                                          quality.ACCEPTED_SECTORS))
+
+
+def q_dq_return_range(spark, sf_dir):
+    return report(quality.return_range_violations(daily_fact(spark, sf_dir)))
+
+
+def q_dq_freshness(spark, sf_dir):
+    f = quality.freshness(raw_prices(spark, sf_dir), "processed_at", RUN_TS, group_by=["ticker"])
+    return report(f.withColumn("max_loaded_at",
+                               F.date_format("max_loaded_at", "yyyy-MM-dd HH:mm:ss")))
+
+
+# Fixed values of the harness: the sectors (region names) shown in the heatmap.
+HEATMAP_SECTORS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+
+
+def q_sector_heatmap(spark, sf_dir):
+    return report(dashboards.sector_heatmap(sector_fact(spark, sf_dir), HEATMAP_SECTORS))
+
+
+def q_top_gainers(spark, sf_dir):
+    return report(dashboards.top_gainers(daily_fact(spark, sf_dir), 5))
+
+
+def q_crossover_signals(spark, sf_dir):
+    return report(dashboards.crossover_signals(daily_fact(spark, sf_dir)))
+
+
+def q_volatility_by_stock(spark, sf_dir):
+    return report(dashboards.volatility_by_stock(daily_fact(spark, sf_dir)))
+
+
+def q_relative_volume_spikes(spark, sf_dir):
+    return report(dashboards.relative_volume_spikes(daily_fact(spark, sf_dir)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sector_performance": q_sector_performance,
     "staging": q_staging,
     "indicators": q_indicators,
     "daily_trading": q_daily_trading,
     "sma_generic": q_sma_generic,
+    "latest_prices": q_latest_prices,
+    "top_movers": q_top_movers,
+    "price_history": q_price_history,
+    "volume_spikes": q_volume_spikes,
+    "monthly_average": q_monthly_average,
+    "dq_not_null": q_dq_not_null,
+    "dq_unique": q_dq_unique,
+    "dq_accepted_values": q_dq_accepted_values,
+    "dq_return_range": q_dq_return_range,
+    "dq_freshness": q_dq_freshness,
+    "sector_heatmap": q_sector_heatmap,
+    "top_gainers": q_top_gainers,
+    "crossover_signals": q_crossover_signals,
+    "volatility_by_stock": q_volatility_by_stock,
+    "relative_volume_spikes": q_relative_volume_spikes,
 }

@@ -139,3 +139,101 @@ FROM stg
 WINDOW w5 AS (PARTITION BY ticker ORDER BY trade_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
        w10 AS (PARTITION BY ticker ORDER BY trade_date ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"""),
 }
+
+SECTOR_AVG = SECTOR + """,
+secf AS (
+  SELECT sector, trade_date,
+    (CASE WHEN srm < 0 THEN -1 ELSE 1 END) * ((2 * abs(srm) + nrm) // (2 * nrm)) AS avgr
+  FROM sec)"""
+
+ORACLE.update({
+    "latest_prices": _sql(BARS, """
+SELECT ticker, trade_date, o / 100.0 AS open_price, c / 100.0 AS close_price, v AS volume
+FROM bars WHERE trade_date = (SELECT max(trade_date) FROM bars)"""),
+    "top_movers": _sql(BARS + """,
+lp AS (SELECT ticker, trade_date, c,
+              lag(c) OVER (PARTITION BY ticker ORDER BY trade_date) AS p FROM bars)""", """
+SELECT ticker, trade_date, c / 100.0 AS close_price, p / 100.0 AS prev_close,
+       (CASE WHEN c < p THEN -1 ELSE 1 END) * ((2 * abs(c - p) * 10000 + p) // (2 * p)) / 100.0
+         AS pct_change
+FROM lp WHERE trade_date = (SELECT max(trade_date) FROM lp) AND p IS NOT NULL"""),
+    "price_history": _sql(BARS, """
+SELECT ticker, trade_date, o / 100.0 AS open_price, h / 100.0 AS high_price,
+       lo / 100.0 AS low_price, c / 100.0 AS close_price, v AS volume
+FROM bars WHERE ticker = 'NATION_7' ORDER BY trade_date DESC LIMIT 20"""),
+    "volume_spikes": _sql(BARS + """,
+va AS (SELECT ticker, trade_date, v, sum(v) OVER w AS sv, count(v) OVER w AS n FROM bars
+       WINDOW w AS (PARTITION BY ticker ORDER BY trade_date
+                    ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING))""", """
+SELECT ticker, trade_date, v AS volume, CAST((2 * sv + n) // (2 * n) AS BIGINT) AS avg_volume_20d,
+       ((2 * v * n * 100 + sv) // (2 * sv)) / 100.0 AS relative_volume
+FROM va WHERE n > 0 AND sv > 0 AND v * n > 2 * sv"""),
+    "monthly_average": _sql(BARS, """
+SELECT ticker, CAST(date_trunc('month', trade_date) AS DATE) AS month,
+       ((2 * sum(c) + count(c)) // (2 * count(c))) / 100.0 AS avg_close,
+       CAST((2 * sum(v) + count(v)) // (2 * count(v)) AS BIGINT) AS avg_volume,
+       count(*) AS trading_days
+FROM bars GROUP BY ticker, CAST(date_trunc('month', trade_date) AS DATE)"""),
+    "dq_not_null": _sql(SECTOR, """
+SELECT 'stock_prices' AS model, 'ticker' AS column_name, count(*) FILTER (WHERE ticker IS NULL) AS null_count FROM bars
+UNION ALL SELECT 'stock_prices', 'trade_date', count(*) FILTER (WHERE trade_date IS NULL) FROM bars
+UNION ALL SELECT 'stock_prices', 'open_price', count(*) FILTER (WHERE o IS NULL) FROM bars
+UNION ALL SELECT 'stock_prices', 'close_price', count(*) FILTER (WHERE c IS NULL) FROM bars
+UNION ALL SELECT 'fct_daily_trading', 'ticker', count(*) FILTER (WHERE ticker IS NULL) FROM daily
+UNION ALL SELECT 'fct_daily_trading', 'trade_date', count(*) FILTER (WHERE trade_date IS NULL) FROM daily
+UNION ALL SELECT 'fct_daily_trading', 'close_price', count(*) FILTER (WHERE c IS NULL) FROM daily
+UNION ALL SELECT 'fct_daily_trading', 'sector', count(*) FILTER (WHERE dsector IS NULL) FROM daily
+UNION ALL SELECT 'fct_sector_performance', 'sector', count(*) FILTER (WHERE sector IS NULL) FROM sec
+UNION ALL SELECT 'fct_sector_performance', 'trade_date', count(*) FILTER (WHERE trade_date IS NULL) FROM sec
+UNION ALL SELECT 'fct_sector_performance', 'stock_count', count(*) FILTER (WHERE stock_count IS NULL) FROM sec
+UNION ALL SELECT 'dim_stocks', 'ticker', count(*) FILTER (WHERE ticker IS NULL) FROM dim
+UNION ALL SELECT 'dim_stocks', 'company_name', count(*) FILTER (WHERE company_name IS NULL) FROM dim
+UNION ALL SELECT 'dim_stocks', 'sector', count(*) FILTER (WHERE sector IS NULL) FROM dim"""),
+    "dq_unique": _sql(BARS + "," + DIM, """
+SELECT 'dim_stocks' AS model, ticker AS key_value, count(*) AS n FROM dim
+GROUP BY ticker HAVING count(*) > 1
+UNION ALL
+SELECT 'stock_prices', ticker || '|' || CAST(trade_date AS VARCHAR), count(*) FROM bars
+GROUP BY ticker, trade_date HAVING count(*) > 1"""),
+    "dq_accepted_values": _sql(DAILY, """
+SELECT dsector AS sector, count(*) AS n FROM daily
+WHERE dsector IS NOT NULL
+  AND dsector NOT IN ('Technology', 'Financials', 'Healthcare', 'Energy', 'Consumer Staples')
+GROUP BY dsector"""),
+    "dq_return_range": _sql(DAILY, """
+SELECT ticker, trade_date, rm / 1000000.0 AS daily_return FROM daily
+WHERE rm IS NOT NULL AND abs(rm) > 500000"""),
+    "dq_freshness": _sql(BARS + """,
+f AS (SELECT ticker, max(CAST(trade_date AS TIMESTAMP) + INTERVAL 30 HOUR) AS m
+      FROM bars GROUP BY ticker),
+g AS (SELECT ticker, m, date_diff('second', m, TIMESTAMP '2001-11-06 12:00:00') AS age FROM f)""", """
+SELECT ticker, strftime(m, '%Y-%m-%d %H:%M:%S') AS max_loaded_at, age / 3600.0 AS age_hours,
+       CASE WHEN age > 48 * 3600 THEN 'error' WHEN age > 24 * 3600 THEN 'warn' ELSE 'pass' END
+         AS status
+FROM g"""),
+    "sector_heatmap": _sql(SECTOR_AVG, """
+SELECT trade_date,
+  max(avgr) FILTER (WHERE sector = 'AFRICA') / 1000000.0 AS "AFRICA",
+  max(avgr) FILTER (WHERE sector = 'AMERICA') / 1000000.0 AS "AMERICA",
+  max(avgr) FILTER (WHERE sector = 'ASIA') / 1000000.0 AS "ASIA",
+  max(avgr) FILTER (WHERE sector = 'EUROPE') / 1000000.0 AS "EUROPE",
+  max(avgr) FILTER (WHERE sector = 'MIDDLE EAST') / 1000000.0 AS "MIDDLE EAST"
+FROM secf GROUP BY trade_date"""),
+    "top_gainers": _sql(DAILY, """
+SELECT ticker, company_name, dsector AS sector, trade_date, c / 100.0 AS close_price,
+       rm / 1000000.0 AS daily_return
+FROM daily WHERE trade_date = (SELECT max(trade_date) FROM daily) AND rm IS NOT NULL
+ORDER BY rm DESC, ticker LIMIT 5"""),
+    "crossover_signals": _sql(INDICATORS, """
+SELECT ticker, trade_date, c / 100.0 AS close_price, sma20 / 10000.0 AS sma_20,
+       sma50 / 10000.0 AS sma_50
+FROM ind2 WHERE xover"""),
+    "volatility_by_stock": _sql(DAILY, """
+SELECT ticker, dsector AS sector, max(trade_date) AS last_date,
+       arg_max(volu, trade_date) / 1000000.0 AS latest_volatility,
+       max(volu) / 1000000.0 AS max_volatility, count(volu) AS days
+FROM daily WHERE volu IS NOT NULL GROUP BY ticker, dsector"""),
+    "relative_volume_spikes": _sql(INDICATORS, """
+SELECT ticker, trade_date, v AS volume, vsma AS volume_sma_20, relv / 10000.0 AS relative_volume
+FROM ind2 WHERE relv IS NOT NULL AND relv > 20000"""),
+})
