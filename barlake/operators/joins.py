@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows (bounded count, stops past the bound)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
 
@@ -20,8 +25,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     planner falls back to a shuffle join (and AQE may still convert it at
     runtime if the real size turns out small).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",

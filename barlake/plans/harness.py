@@ -13,15 +13,16 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ByteType, DecimalType, IntegerType, ShortType)
 
 from barlake.functions.numeric import PRICE_TYPE
+from barlake.plans.reporting import report
 from barlake.functions.windows import calculate_sma
 from barlake.operators import adhoc, dashboards, quality
 from barlake.operators import indicators as ind
 from barlake.operators import marts
 from barlake.operators.staging import stage_prices
 from barlake.sources.testbars import bars_for, read_table
+from barlake.plans import bronze_harness as bh
 
 # Fixed values of the harness mapping (not of the reference): the nation
 # left out of the dimension, so some facts have no sector; the ticker the
@@ -31,19 +32,6 @@ HISTORY_TICKER = "NATION_7"
 RUN_TS = datetime(2001, 11, 6, 12, 0, 0)
 
 
-def report(df: DataFrame) -> DataFrame:
-    """Final select of a report: decimals to double, small integers to bigint."""
-    cols = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, DecimalType):
-            c = c.cast("double")
-        elif isinstance(f.dataType, (IntegerType, ShortType, ByteType)):
-            c = c.cast("bigint")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
-
-
 def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bars in the raw landing shape (decimal(12,4) prices, source and stamps)."""
     bars = bars_for(spark, sf_dir)
@@ -161,9 +149,23 @@ def _dup_report(df, keys, model):
 
 
 def q_dq_unique(spark, sf_dir):
+    from barlake.plans.bronze_harness import clean_rows
     dim = _dup_report(dim_from_geography(spark, sf_dir), ["ticker"], "dim_stocks")
     raw = _dup_report(raw_prices(spark, sf_dir), ["ticker", "trade_date"], "stock_prices")
-    return report(dim.unionByName(raw))
+    copies = _dup_report(clean_rows(spark, sf_dir), ["ticker", "trade_date"], "silver_clean")
+    return report(dim.unionByName(raw).unionByName(copies))
+
+
+def q_event_props(spark, sf_dir):
+    from barlake.functions.json import json_field
+    events = read_table(spark, sf_dir, "events")
+    k = json_field(F.col("props"), "k", "bigint")
+    return report(events.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count(k).alias("with_k"),
+        F.sum(k).alias("sum_k"),
+        F.min(k).alias("min_k"),
+        F.max(k).alias("max_k")))
 
 
 def q_dq_accepted_values(spark, sf_dir):
@@ -226,4 +228,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "crossover_signals": q_crossover_signals,
     "volatility_by_stock": q_volatility_by_stock,
     "relative_volume_spikes": q_relative_volume_spikes,
+    "event_props": q_event_props,
+    "payload_triage": lambda spark, d: report(bh.q_payload_triage(spark, d)),
+    "bronze_roundtrip": lambda spark, d: report(bh.q_bronze_roundtrip(spark, d)),
+    "bronze_rejects": lambda spark, d: report(bh.q_bronze_rejects(spark, d)),
+    "silver_clean": lambda spark, d: report(bh.q_silver_clean(spark, d)),
+    "silver_dedupe": lambda spark, d: report(bh.q_silver_dedupe(spark, d)),
+    "silver_upsert": lambda spark, d: report(bh.q_silver_upsert(spark, d)),
 }

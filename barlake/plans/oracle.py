@@ -237,3 +237,89 @@ FROM daily WHERE volu IS NOT NULL GROUP BY ticker, dsector"""),
 SELECT ticker, trade_date, v AS volume, vsma AS volume_sma_20, relv / 10000.0 AS relative_volume
 FROM ind2 WHERE relv IS NOT NULL AND relv > 20000"""),
 })
+
+# Bronze pulls re-derived from the fault rules (see plans.bronze_harness), no JSON.
+BRONZE = BARS + """,
+pulls AS (
+  SELECT ticker, trade_date, r, year(trade_date) * 12 + month(trade_date) - 1 + r AS q,
+         dayofyear(trade_date) AS doy,
+         o + 2 - r AS o, h + 2 - r AS h, lo + 2 - r AS lo, c + 2 - r AS c, v + 2 - r AS v
+  FROM (SELECT *, unnest([0, 1, 2]) AS r FROM bars)),
+pf AS (
+  SELECT *, CASE
+      WHEN r = 2 AND doy % 17 = 0 THEN 'abc_close'
+      WHEN r = 2 AND doy % 31 = 0 THEN 'null_high'
+      WHEN r = 1 AND doy % 37 = 0 THEN 'not_object'
+      WHEN r = 2 AND doy % 41 = 0 THEN 'decimal_volume'
+      WHEN r = 2 AND doy % 43 = 0 THEN 'nan_low'
+      WHEN r = 2 AND doy % 29 = 0 THEN 'missing_open'
+      WHEN doy % 13 = 0 THEN 'missing_volume'
+      ELSE 'none' END AS fault
+  FROM pulls),
+ing AS (
+  SELECT ticker, q,
+    CASE WHEN q % 13 = 7 THEN 'error_message' WHEN q % 23 = 9 THEN 'rate_limited'
+         WHEN q % 11 IN (5, 8, 10) THEN 'rejected' WHEN q % 19 = 0 THEN 'skipped'
+         ELSE 'ok' END AS st,
+    make_timestamp(CAST((q + 1) // 12 AS BIGINT), CAST((q + 1) % 12 + 1 AS BIGINT), 1, 18, 0, 0.0) AS ts
+  FROM (SELECT DISTINCT ticker, q FROM pulls)),
+frows AS (
+  SELECT p.ticker, p.trade_date, CAST(p.trade_date AS VARCHAR) AS date_key,
+         CASE WHEN fault = 'missing_open' THEN 0 ELSE o END AS o, h, lo, c,
+         CASE WHEN fault = 'missing_volume' THEN 0 ELSE v END AS v,
+         'alpha_vantage' AS source, i.ts
+  FROM pf p JOIN ing i ON p.ticker = i.ticker AND p.q = i.q
+  WHERE i.st = 'ok'
+    AND fault NOT IN ('abc_close', 'null_high', 'not_object', 'decimal_volume', 'nan_low')
+  UNION ALL
+  SELECT ticker, NULL, lpad(CAST(q // 12 AS VARCHAR), 4, '0') || '-13-40',
+         100, 100, 100, 100, 100, 'alpha_vantage', ts
+  FROM ing WHERE st = 'ok' AND q % 5 = 0),
+crow AS (
+  SELECT * FROM frows
+  WHERE trade_date IS NOT NULL AND c > 0 AND o > 0 AND h > 0 AND lo > 0 AND v >= 0),
+srow AS (
+  SELECT * FROM crow
+  QUALIFY row_number() OVER (PARTITION BY ticker, trade_date ORDER BY ts DESC) = 1)"""
+
+_ROW_OUT = """ticker, trade_date, o / 100.0 AS open_price, h / 100.0 AS high_price,
+       lo / 100.0 AS low_price, c / 100.0 AS close_price, v AS volume, source,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS ingested_at"""
+
+ORACLE.update({
+    "event_props": """
+SELECT event_type, count(*) AS events,
+       count(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS with_k,
+       CAST(sum(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS sum_k,
+       min(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS min_k,
+       max(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)) AS max_k
+FROM events GROUP BY event_type""",
+    "payload_triage": _sql(BRONZE, """
+SELECT ticker, strftime(ts, '%Y-%m-%d %H:%M:%S') AS fetched_at, st AS quarantine_reason
+FROM ing WHERE st IN ('error_message', 'rate_limited')"""),
+    "bronze_roundtrip": _sql(BRONZE, "SELECT date_key, " + _ROW_OUT + " FROM frows"),
+    "bronze_rejects": _sql(BRONZE, """
+SELECT 'unparseable_document' AS reject_reason, count(*) AS n FROM ing WHERE st = 'rejected'
+HAVING count(*) > 0
+UNION ALL
+SELECT CASE fault WHEN 'abc_close' THEN 'bad_close' WHEN 'null_high' THEN 'bad_high'
+                  WHEN 'not_object' THEN 'day_not_object' WHEN 'decimal_volume' THEN 'bad_volume'
+                  WHEN 'nan_low' THEN 'bad_low' END AS reject_reason,
+       count(*) AS n
+FROM pf p JOIN ing i ON p.ticker = i.ticker AND p.q = i.q
+WHERE i.st = 'ok' AND fault IN ('abc_close', 'null_high', 'not_object', 'decimal_volume', 'nan_low')
+GROUP BY 1"""),
+    "silver_clean": _sql(BRONZE, "SELECT " + _ROW_OUT + " FROM crow"),
+    "silver_dedupe": _sql(BRONZE, "SELECT " + _ROW_OUT + " FROM srow"),
+    "silver_upsert": _sql(BRONZE, "SELECT " + _ROW_OUT + " FROM srow"),
+})
+
+ORACLE["dq_unique"] = _sql(BRONZE + "," + DIM, """
+SELECT 'dim_stocks' AS model, ticker AS key_value, count(*) AS n FROM dim
+GROUP BY ticker HAVING count(*) > 1
+UNION ALL
+SELECT 'stock_prices', ticker || '|' || CAST(trade_date AS VARCHAR), count(*) FROM bars
+GROUP BY ticker, trade_date HAVING count(*) > 1
+UNION ALL
+SELECT 'silver_clean', ticker || '|' || CAST(trade_date AS VARCHAR), count(*) FROM crow
+GROUP BY ticker, trade_date HAVING count(*) > 1""")
