@@ -1,0 +1,57 @@
+"""Versioned table directories: ``root/version=NNNNNNNNNNNN`` with a ``_SUCCESS`` marker.
+
+A merge never writes to the path it reads: it reads the newest committed
+version and writes the next one. A version without ``_SUCCESS`` (a failed
+or running write) is ignored, so a restarted batch simply rewrites its own
+version. Storage listing goes through the Hadoop FileSystem of the session,
+so any shared file system the cluster uses works.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+PREFIX = "version="
+
+
+def version_path(root: str, version: int) -> str:
+    return f"{root.rstrip('/')}/{PREFIX}{version:012d}"
+
+
+def committed_versions(spark: SparkSession, root: str) -> list[int]:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(conf)
+    if not fs.exists(path):
+        return []
+    out = []
+    for status in fs.listStatus(path):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(PREFIX):
+            marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+            if fs.exists(marker):
+                out.append(int(name[len(PREFIX):]))
+    return sorted(out)
+
+
+def latest_version(spark: SparkSession, root: str, below: int | None = None) -> int | None:
+    vs = [v for v in committed_versions(spark, root) if below is None or v < below]
+    return vs[-1] if vs else None
+
+
+def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
+    return spark.read.parquet(version_path(root, version))
+
+
+def read_latest(spark: SparkSession, root: str, below: int | None = None) -> DataFrame | None:
+    v = latest_version(spark, root, below)
+    return None if v is None else read_version(spark, root, v)
+
+
+def write_version(df: DataFrame, root: str, version: int) -> str:
+    """Write (or rewrite, after a failure) one version; returns its path."""
+    from barlake.sources.tables import clustered
+    path = version_path(root, version)
+    clustered(df).write.mode("overwrite").parquet(path)
+    return path
