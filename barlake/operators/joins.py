@@ -29,6 +29,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Equi-join a fact to a dimension; the dimension is broadcast when small."""
-    return fact.join(bounded_broadcast(dim, max_rows), on, how)
+                max_rows: int | None = None) -> DataFrame:
+    """Equi-join a fact to a dimension.
+
+    By default no hint is given: the planner broadcasts the dimension only
+    when its estimated size is below ``spark.sql.autoBroadcastJoinThreshold``
+    and otherwise plans a sort-merge join; AQE re-checks the real size at
+    runtime. That check costs no extra job. With ``max_rows`` the explicit
+    bounded count of :func:`bounded_broadcast` decides instead.
+    """
+    side = dim if max_rows is None else bounded_broadcast(dim, max_rows)
+    return fact.join(side, on, how)

@@ -187,7 +187,12 @@ def q_silver_dedupe(spark, sf_dir):
 def q_silver_upsert(spark, sf_dir):
     """Two batches merged by key; late pulls of the first period arrive with the second."""
     from barlake.operators.upsert import upsert
-    rows = flattened(spark, sf_dir).rows
+    from barlake.session import ensure_checkpoint_dir
+    # Both batches and the key-size check read the same flattened rows:
+    # cut the lineage once (reliable checkpoint in the session's shared
+    # checkpoint folder) instead of rebuilding the documents three times.
+    ensure_checkpoint_dir(spark)
+    rows = flattened(spark, sf_dir).rows.checkpoint(eager=True)
     first = (_q() <= UPSERT_SPLIT_MONTH) & (_q() % 4 != 0)
     current = silver_rows(rows.where(first))
     incoming = silver_rows(rows.where(~first))

@@ -32,6 +32,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # size check behind every unhinted broadcast join (estimated bytes)
+        .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)

@@ -16,11 +16,13 @@ the bar is fully determined.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from barlake.operators.joins import bounded_broadcast
+from barlake.functions.numeric import packed_order_key, unpack_value
 
 BAR_PRICE_TYPE = DecimalType(12, 2)
 
@@ -30,9 +32,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def geography(nation: DataFrame, region: DataFrame) -> DataFrame:
-    """(nationkey, ticker, sector): nation joined to its region."""
-    return (nation.join(bounded_broadcast(region.select("r_regionkey", "r_name")),
-                        F.col("n_regionkey") == F.col("r_regionkey"))
+    """(n_nationkey, ticker, sector): nation joined to its region (both tiny tables;
+    the planner broadcasts one by its own size estimate)."""
+    return (nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
             .select(F.col("n_nationkey"), F.col("n_name").alias("ticker"),
                     F.col("r_name").alias("sector")))
 
@@ -41,41 +43,55 @@ def daily_bars(lineitem: DataFrame, supplier: DataFrame, nation: DataFrame,
                region: DataFrame) -> DataFrame:
     """OHLCV bars per (ticker, sector, trade_date).
 
-    Plan: the supplier -> (ticker, sector) mapping is broadcast when its
-    size is proven small (else a shuffle join), and the grouping runs as a
-    partial aggregate before the shuffle, so each map task sends at most one
-    row per (ticker, date) whatever the skew of the line items.
+    Plan: line items join the supplier -> nation mapping (the planner
+    broadcasts it while its size is under the broadcast threshold -- 10,000
+    suppliers per scale factor -- and switches to a sort-merge join beyond),
+    are grouped by the
+    integer (nation key, date) with a partial hash aggregate before the
+    shuffle -- each map task sends at most one row per group whatever the
+    skew -- and only the aggregated bars are joined to the names.
     """
-    geo = bounded_broadcast(geography(nation, region))
-    supplier_map = (supplier.select("s_suppkey", "s_nationkey")
-                    .join(geo, F.col("s_nationkey") == F.col("n_nationkey"))
-                    .select("s_suppkey", "ticker", "sector"))
+    supplier_map = supplier.select("s_suppkey", "s_nationkey")
     price = F.col("l_extendedprice").cast(BAR_PRICE_TYPE)
     trades = lineitem.select(
         F.col("l_suppkey"), F.col("l_orderkey"), F.col("l_linenumber"),
         price.alias("price"), F.col("l_quantity"),
         F.col("l_shipdate").cast("date").alias("trade_date"))
-    joined = trades.join(bounded_broadcast(supplier_map),
-                         F.col("l_suppkey") == F.col("s_suppkey"))
-    return ohlcv(joined, ["ticker", "sector", "trade_date"],
-                 ["l_orderkey", "l_linenumber"], "price", "l_quantity")
+    joined = trades.join(supplier_map, F.col("l_suppkey") == F.col("s_suppkey"))
+    bars = ohlcv(joined, ["s_nationkey", "trade_date"],
+                 [("l_orderkey", 19), ("l_linenumber", 6)], "price", "l_quantity")
+    geo = geography(nation, region)  # 25 nations, 5 regions: fixed by the schema's spec
+    return (bars.join(geo, F.col("s_nationkey") == F.col("n_nationkey"))
+            .select("ticker", "sector", "trade_date", "open_price", "high_price", "low_price",
+                    "close_price", "volume"))
 
 
-def ohlcv(trades: DataFrame, keys: list[str], sequence: list[str], price: str,
+def ohlcv(trades: DataFrame, keys: list[str], sequence: list[tuple[str, int]], price: str,
           quantity: str) -> DataFrame:
     """Collapse trades into one bar per ``keys``.
 
-    ``sequence`` orders the trades of a bar (the price is appended as the
-    last tie-break); open and close are the prices of the first and last.
+    ``sequence`` orders the trades of a bar: non-negative integer columns
+    with their digit budgets (the price is the last tie-break). Open and
+    close are the prices of the first and last trade, found as min / max of
+    an order-preserving packed key so the aggregate stays a hash aggregate.
+    Trades without a price are ignored.
     """
-    order = F.struct(*[F.col(c) for c in sequence], F.col(price))
-    return trades.groupBy(*keys).agg(
-        F.min_by(price, order).alias("open_price"),
-        F.max(price).alias("high_price"),
-        F.min(price).alias("low_price"),
-        F.max_by(price, order).alias("close_price"),
-        F.sum(quantity).cast("bigint").alias("volume"),
-    )
+    p = F.col(price)
+    scale = trades.schema[price].dataType.scale
+    units = (p * F.lit(Decimal(10) ** scale)).cast("decimal(38,0)")
+    digits = trades.schema[price].dataType.precision
+    key = packed_order_key([(F.col(c), d) for c, d in sequence], units, digits)
+    ptype = trades.schema[price].dataType
+    from_units = lambda k: (unpack_value(k, digits) / F.lit(Decimal(10) ** scale)).cast(ptype)
+    agg = (trades.withColumn("_k", key)
+           .groupBy(*keys).agg(
+               F.min("_k").alias("_first"),
+               F.max(p).alias("high_price"),
+               F.min(p).alias("low_price"),
+               F.max("_k").alias("_last"),
+               F.sum(quantity).cast("bigint").alias("volume")))
+    return agg.select(*keys, from_units(F.col("_first")).alias("open_price"), "high_price",
+                      "low_price", from_units(F.col("_last")).alias("close_price"), "volume")
 
 
 def bars_for(spark: SparkSession, sf_dir: str) -> DataFrame:
