@@ -97,3 +97,24 @@ def monthly_average(silver: DataFrame) -> DataFrame:
                      half_up_ratio(F.col("_sv"), n("_nv"), 0).cast("bigint").alias("avg_volume"),
                      "trading_days")
             .orderBy("ticker", F.col("month").desc()))
+
+
+def filter_tickers(df: DataFrame, tickers: list[str] | str) -> DataFrame:
+    """Rows of the listed tickers (a list or a comma-separated parameter).
+
+    An ``IN`` list on the column: pushed to the Parquet scan, and a
+    partition filter when the table is partitioned by ticker.
+    """
+    from barlake.functions.text import parse_ticker_list
+    names = parse_ticker_list(tickers) if isinstance(tickers, str) else list(tickers)
+    return df.where(F.col("ticker").isin(names))
+
+
+def row_count(df: DataFrame) -> DataFrame:
+    """``SELECT COUNT(*)`` as a one-row DataFrame (a global aggregate, partial per task)."""
+    return df.agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def first_rows(df: DataFrame, n: int = 10) -> DataFrame:
+    """A plain ``LIMIT n`` look at a table."""
+    return df.limit(n)

@@ -183,6 +183,21 @@ def q_dq_freshness(spark, sf_dir):
                                F.date_format("max_loaded_at", "yyyy-MM-dd HH:mm:ss")))
 
 
+# Fixed value of the harness: a ticker list parameter as a user would pass it.
+TICKER_LIST = "NATION_1, nation_3 ,NATION_5,,NATION_24"
+
+
+def q_ticker_filter(spark, sf_dir):
+    rows = adhoc.filter_tickers(raw_prices(spark, sf_dir), TICKER_LIST)
+    return report(rows.groupBy("ticker").agg(F.count(F.lit(1)).alias("days"),
+                                             F.max("trade_date").alias("last_date"),
+                                             F.sum("volume").alias("total_volume")))
+
+
+def q_row_count(spark, sf_dir):
+    return report(adhoc.row_count(raw_prices(spark, sf_dir)))
+
+
 # Fixed values of the harness: the sectors (region names) shown in the heatmap.
 HEATMAP_SECTORS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 
@@ -229,6 +244,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "volatility_by_stock": q_volatility_by_stock,
     "relative_volume_spikes": q_relative_volume_spikes,
     "event_props": q_event_props,
+    "ticker_filter": q_ticker_filter,
+    "row_count": q_row_count,
     "payload_triage": lambda spark, d: report(bh.q_payload_triage(spark, d)),
     "bronze_roundtrip": lambda spark, d: report(bh.q_bronze_roundtrip(spark, d)),
     "bronze_rejects": lambda spark, d: report(bh.q_bronze_rejects(spark, d)),

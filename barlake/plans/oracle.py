@@ -323,3 +323,11 @@ GROUP BY ticker, trade_date HAVING count(*) > 1
 UNION ALL
 SELECT 'silver_clean', ticker || '|' || CAST(trade_date AS VARCHAR), count(*) FROM crow
 GROUP BY ticker, trade_date HAVING count(*) > 1""")
+
+ORACLE.update({
+    "ticker_filter": _sql(BARS, """
+SELECT ticker, count(*) AS days, max(trade_date) AS last_date, CAST(sum(v) AS BIGINT) AS total_volume
+FROM bars WHERE ticker IN ('NATION_1', 'NATION_3', 'NATION_5', 'NATION_24')
+GROUP BY ticker"""),
+    "row_count": _sql(BARS, "SELECT count(*) AS row_count FROM bars"),
+})
