@@ -7,6 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barlake.functions.clock import timestamp_literal
+
 # The sectors the daily fact may carry.
 ACCEPTED_SECTORS = ["Technology", "Financials", "Healthcare", "Energy", "Consumer Staples"]
 
@@ -60,14 +62,14 @@ def return_range_violations(daily: DataFrame, limit: float = 0.50) -> DataFrame:
             .select("ticker", "trade_date", "daily_return"))
 
 
-def freshness(df: DataFrame, loaded_at: str, as_of: datetime | Column,
+def freshness(df: DataFrame, loaded_at: str, as_of: datetime | str | Column,
               warn_hours: int = FRESHNESS_WARN_HOURS, error_hours: int = FRESHNESS_ERROR_HOURS,
               group_by: list[str] | None = None) -> DataFrame:
     """Age of the newest ``loaded_at`` against ``as_of``: status pass / warn / error.
 
     Without ``group_by`` one row for the table; with it, one row per group.
     """
-    now = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
+    now = timestamp_literal(as_of)
     grouped = df.groupBy(*(group_by or []))
     agg = grouped.agg(F.max(loaded_at).alias("max_loaded_at"))
     age_s = F.unix_timestamp(now) - F.unix_timestamp(F.col("max_loaded_at"))

@@ -16,6 +16,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.functions.clock import timestamp_literal
 from barlake.operators import indicators as ind
 from barlake.operators import marts, quality
 from barlake.operators.flatten import bronze_to_silver
@@ -45,7 +46,7 @@ def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_
               run_ts: datetime, seed: DataFrame, wholetext: bool = False,
               as_of: datetime | None = None) -> RunResult:
     """Run every stage for ``processing_date``; ``run_ts`` stamps all outputs."""
-    stamp = F.lit(run_ts).cast("timestamp")
+    stamp = timestamp_literal(run_ts)
     silver_root = f"{warehouse}/silver"
     paths = {k: f"{warehouse}/{k}" for k in
              ("raw_stock_prices", "dim_stocks", "int_stock_indicators", "fct_daily_trading",

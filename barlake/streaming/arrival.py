@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from barlake.functions.clock import timestamp_literal
 from barlake.operators.flatten import bronze_to_silver
 from barlake.operators.upsert import upsert
 from barlake.sources import versions
@@ -34,7 +35,7 @@ def bronze_stream(spark: SparkSession, bronze_root: str, wholetext: bool = False
 def merge_batch(spark: SparkSession, silver_root: str, processed_at: datetime | None = None):
     """The ``foreachBatch`` function: flatten the batch and upsert it into silver."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        stamp = F.lit(processed_at).cast("timestamp") if processed_at else F.current_timestamp()
+        stamp = timestamp_literal(processed_at) if processed_at else F.current_timestamp()
         incoming = bronze_to_silver(batch, stamp)
         current = versions.read_latest(spark, silver_root, below=batch_id)
         merged = incoming if current is None else upsert(current, incoming)
