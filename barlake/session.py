@@ -51,10 +51,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     created.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    if not current and hasattr(spark.sparkContext, "getCheckpointDir"):
+        current = spark.sparkContext.getCheckpointDir()
     if current:
+        if hasattr(spark.sparkContext, "getCheckpointDir") and not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     path = tempfile.mkdtemp(prefix="barlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
