@@ -1,6 +1,6 @@
 """The full daily run, stage by stage.
 
-bronze (one processing date) -> silver (merged into the newest version) ->
+bronze (one processing date) -> silver (merged by key into the touched months) ->
 raw landing table -> seed dimension -> staging view -> indicators -> daily
 fact -> sector fact -> quality checks. Each stage that later stages read is
 written to storage under ``warehouse`` first, so lineage is cut at stage
@@ -21,8 +21,7 @@ from barlake.operators import indicators as ind
 from barlake.operators import marts, quality
 from barlake.operators.flatten import bronze_to_silver
 from barlake.operators.staging import stage_prices
-from barlake.operators.upsert import upsert
-from barlake.sources import bronze, tables, versions
+from barlake.sources import bronze, merge, tables
 
 
 class QualityCheckFailed(RuntimeError):
@@ -57,11 +56,8 @@ def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_
     obs = Observation("bronze_to_silver")
     batch = bronze_to_silver(docs, stamp, observation=obs)
     version = int(processing_date.replace("-", ""))
-    current = versions.read_latest(spark, silver_root, below=version)
-    merged = batch if current is None else upsert(current, batch)
-    versions.write_version(merged, silver_root, version)
+    silver = merge.merge_into(spark, silver_root, batch).drop(merge.PARTITION_COLUMN)
     counts = dict(obs.get)
-    silver = versions.read_version(spark, silver_root, version)
 
     # raw landing table (strict schema; violations are findings)
     raw = _write(tables.conform(silver), paths["raw_stock_prices"])
@@ -97,8 +93,7 @@ def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_
               or (k in ("unique_dim_ticker", "landing_violations", "accepted_sector",
                         "return_range") and v)
               or (k == "freshness" and v == "error")]
-    result = RunResult(version, counts, checks, {**paths, "silver": versions.version_path(
-        silver_root, version)})
+    result = RunResult(version, counts, checks, {**paths, "silver": silver_root})
     if failed:
         err = QualityCheckFailed(f"quality checks failed: {failed}")
         err.result = result

@@ -17,8 +17,9 @@ def land(root, ymd, name, text):
         f.write(text)
 
 
-def run(spark, bronze, silver, ck):
-    q = start_arrival(spark, bronze, silver, ck, processed_at=datetime(2025, 7, 1), wholetext=True)
+def run(spark, bronze, silver, ck, layout="versions"):
+    q = start_arrival(spark, bronze, silver, ck, processed_at=datetime(2025, 7, 1), wholetext=True,
+                      layout=layout)
     q.awaitTermination(120)
     assert q.exception() is None
 
@@ -44,3 +45,19 @@ def test_arrival_runs(spark, tmp_path):
 
     run(spark, bronze, silver, ck)  # nothing new: nothing changes
     assert versions.committed_versions(spark, silver) == before
+
+
+def test_arrival_partitioned_layout(spark, tmp_path):
+    bronze, silver, ck = (str(tmp_path / n) for n in ("bronze", "silver", "ck"))
+    os.makedirs(bronze)
+    land(bronze, "2025-06-14", "A_1.json",
+         doc("A", "2025-06-14T18:00:00+00:00", {"2025-05-30": day(c="1.00"), "2025-06-13": day(c="2.00")}))
+    run(spark, bronze, silver, ck, "partitioned")
+    land(bronze, "2025-06-15", "A_2.json",
+         doc("A", "2025-06-15T18:00:00+00:00", {"2025-06-13": day(c="3.00"), "2025-06-14": day(c="4.00")}))
+    may = sorted(os.listdir(os.path.join(silver, "trade_month=202505")))
+    run(spark, bronze, silver, ck, "partitioned")
+    assert sorted(os.listdir(os.path.join(silver, "trade_month=202505"))) == may  # untouched
+    got = {r.trade_date: r.close_price for r in spark.read.parquet(silver).collect()}
+    assert got == {date(2025, 5, 30): Decimal("1.0000"), date(2025, 6, 13): Decimal("3.0000"),
+                   date(2025, 6, 14): Decimal("4.0000")}
