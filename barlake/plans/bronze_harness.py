@@ -187,12 +187,11 @@ def q_silver_dedupe(spark, sf_dir):
 def q_silver_upsert(spark, sf_dir):
     """Two batches merged by key; late pulls of the first period arrive with the second."""
     from barlake.operators.upsert import upsert
-    from barlake.session import ensure_checkpoint_dir
-    # Both batches and the key-size check read the same flattened rows:
-    # cut the lineage once (reliable checkpoint in the session's shared
-    # checkpoint folder) instead of rebuilding the documents three times.
-    ensure_checkpoint_dir(spark)
-    rows = flattened(spark, sf_dir).rows.checkpoint(eager=True)
+    from barlake.sources.tables import stage
+    # Both batches and the key-size check read the same flattened rows: stage
+    # them once in the session's shared checkpoint folder instead of
+    # rebuilding the documents three times.
+    rows = stage(spark, flattened(spark, sf_dir).rows, "flattened")
     first = (_q() <= UPSERT_SPLIT_MONTH) & (_q() % 4 != 0)
     current = silver_rows(rows.where(first))
     incoming = silver_rows(rows.where(~first))
@@ -206,3 +205,23 @@ def q_dq_unique_copies(spark, sf_dir):
     return dups.select(F.lit("silver_clean").alias("model"),
                        F.concat_ws("|", "ticker", F.col("trade_date").cast("string")).alias("key_value"),
                        "n")
+
+
+def q_silver_merge(spark, sf_dir):
+    """The two batches of the upsert case merged into a month-partitioned table.
+
+    Writes a fresh table under the session's checkpoint folder (the merge
+    itself is the operator under test) and returns its rows.
+    """
+    import uuid
+
+    from barlake.session import ensure_checkpoint_dir
+    from barlake.sources.merge import merge_into
+    from barlake.sources.tables import stage
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    rows = stage(spark, flattened(spark, sf_dir).rows, "flattened")
+    first = (_q() <= UPSERT_SPLIT_MONTH) & (_q() % 4 != 0)
+    path = f"{root}/silver-merge-{uuid.uuid4().hex}"
+    merge_into(spark, path, silver_rows(rows.where(first)))
+    out = merge_into(spark, path, silver_rows(rows.where(~first)))
+    return _stamp(out.select(*ROW_COLUMNS))

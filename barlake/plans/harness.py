@@ -252,4 +252,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_clean": lambda spark, d: report(bh.q_silver_clean(spark, d)),
     "silver_dedupe": lambda spark, d: report(bh.q_silver_dedupe(spark, d)),
     "silver_upsert": lambda spark, d: report(bh.q_silver_upsert(spark, d)),
+    "silver_merge": lambda spark, d: report(bh.q_silver_merge(spark, d)),
 }

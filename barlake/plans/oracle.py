@@ -312,6 +312,7 @@ GROUP BY 1"""),
     "silver_clean": _sql(BRONZE, "SELECT " + _ROW_OUT + " FROM crow"),
     "silver_dedupe": _sql(BRONZE, "SELECT " + _ROW_OUT + " FROM srow"),
     "silver_upsert": _sql(BRONZE, "SELECT " + _ROW_OUT + " FROM srow"),
+    "silver_merge": _sql(BRONZE, "SELECT " + _ROW_OUT + " FROM srow"),
 })
 
 ORACLE["dq_unique"] = _sql(BRONZE + "," + DIM, """

@@ -19,14 +19,11 @@ gives the same result, because keeping the newest row per key is idempotent.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.operators.flatten import KEY_COLUMNS, keep_latest
-from barlake.session import ensure_checkpoint_dir
-from barlake.sources.tables import clustered
+from barlake.sources.tables import clustered, stage
 
 PARTITION_COLUMN = "trade_month"
 
@@ -50,13 +47,6 @@ def table_exists(spark: SparkSession, path: str) -> bool:
                for st in fs.listStatus(p))
 
 
-def _stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under the session's checkpoint folder and read it back (cuts lineage)."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/merge-{uuid.uuid4().hex}-{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def touched_partitions(batch: DataFrame, col: str = PARTITION_COLUMN) -> list:
     """Partition values present in a batch.
 
@@ -74,7 +64,7 @@ def merge_into(spark: SparkSession, path: str, incoming: DataFrame,
     Returns the table as read back after the merge.
     """
     keys = keys or KEY_COLUMNS
-    batch = _stage(spark, with_partition(incoming, col), "batch")
+    batch = stage(spark, with_partition(incoming, col), "batch")
     if table_exists(spark, path):
         current = spark.read.parquet(path)
         months = touched_partitions(batch, col)
@@ -83,8 +73,10 @@ def merge_into(spark: SparkSession, path: str, incoming: DataFrame,
                              keys + [col]).select(*current.columns)
     else:
         merged = batch
-    staged = _stage(spark, clustered(merged), "merged")
-    (staged.repartition(col).write.mode("overwrite")
+    staged = stage(spark, merged, "merged")
+    # Range partitioning by (month, ticker, date): a big month is spread over
+    # many tasks (boundaries are sampled), each writing sorted files.
+    (clustered(staged, (col, "ticker", "trade_date")).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(col).parquet(path))
     return spark.read.parquet(path)

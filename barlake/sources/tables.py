@@ -27,6 +27,22 @@ LANDING_MAX_LENGTH = {"ticker": 10, "source": 50}
 LANDING_REQUIRED = ["ticker", "trade_date"]
 
 
+def stage(spark: SparkSession, df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet under the session's checkpoint folder and read it back.
+
+    Cuts the lineage in one pass (a reliable ``checkpoint()`` computes the
+    plan twice unless it is cached first); the copy lives in the shared
+    folder the cluster names in ``spark.checkpoint.dir``, so losing an
+    executor later does not recompute the stage.
+    """
+    import uuid
+
+    from barlake.session import ensure_checkpoint_dir
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def clustered(df: DataFrame, cluster_cols=("ticker", "trade_date")) -> DataFrame:
     """Range-partition and sort by (ticker, trade_date) before a write.
 
