@@ -1,8 +1,7 @@
 """Technical indicators per entity series.
 
-All windows are ``PARTITION BY ticker ORDER BY trade_date`` with ROW frames;
-Catalyst plans the lag and every frame of one select as one Window operator
-over one hash exchange and one sort. (ticker, trade_date) must be unique
+All windows are ``PARTITION BY ticker ORDER BY trade_date``; "20-day" means
+20 rows. They are planned over one hash exchange and one sort. (ticker, trade_date) must be unique
 (see ``operators.flatten.keep_latest``); then a window partition holds at
 most one row per calendar day.
 
@@ -13,12 +12,12 @@ the volatility uses it; both SMAs are rounded before they are compared; the
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, LongType
+from pyspark.sql.types import DecimalType
 
 from barlake.functions.numeric import RETURN_TYPE, from_micro_units, half_up_ratio, micro_units
-from barlake.functions.windows import rolling_mean, series_window
+from barlake.functions.windows import series_window
 
 SMA_TYPE = DecimalType(16, 4)
 
@@ -29,20 +28,38 @@ def daily_return(close: Column, prev: Column) -> Column:
                   half_up_ratio(close - prev, prev, 6)).cast(RETURN_TYPE)
 
 
-def sample_stddev_micro(returns_micro: str, spec, start: int, end: int) -> Column:
-    """Sample standard deviation over a ROW frame, in integral micro units.
+def _frame(total: str, count: str, width: int) -> tuple[Column, Column]:
+    """Sum and count over the last ``width`` rows from running (prefix) columns.
 
-    sqrt((n * sum(r^2) - sum(r)^2) / (n * (n - 1))) with exact decimal sums,
-    rounded half up to an integer; NULL below two values. Computing it from
-    exact sums (not a running floating-point update) makes the result
-    independent of summation order.
+    frame(i) = running(i) - running(i - width); before the series has
+    ``width`` rows the lag is NULL and counts as 0.
     """
-    frame = spec.rowsBetween(start, end)
-    r = F.col(returns_micro)
-    n = F.count(r).over(frame).cast(DecimalType(10, 0))
-    s1 = F.sum(r).over(frame).cast(DecimalType(38, 0))
-    s2 = F.sum(r * r).over(frame).cast(DecimalType(38, 0))
-    variance_num = (n * s2 - s1 * s1).cast("double")
+    lag_total = F.col(f"_w_lag_{total}_{width}")
+    lag_count = F.col(f"_w_lag_{count}_{width}")
+    return (F.col(total) - F.coalesce(lag_total, F.lit(0)),
+            F.col(count) - F.coalesce(lag_count, F.lit(0)))
+
+
+def _lags(spec, cols_widths: list[tuple[str, int]]) -> list[Column]:
+    return [F.lag(c, k).over(spec).alias(f"_w_lag_{c}_{k}") for c, k in cols_widths]
+
+
+def _mean(total: Column, count: Column, total_scale: int, scale: int) -> Column:
+    """Exact mean (sum / count) rounded half up to ``scale`` places."""
+    return half_up_ratio(total.cast(DecimalType(28, total_scale)),
+                         count.cast(DecimalType(10, 0)), scale)
+
+
+def _stddev_micro(s1: Column, s2: Column, n: Column) -> Column:
+    """Sample standard deviation from exact sums, in integral micro units.
+
+    sqrt((n * sum(r^2) - sum(r)^2) / (n * (n - 1))), rounded half up to an
+    integer; NULL below two values. Exact sums make the result independent
+    of summation order.
+    """
+    n = n.cast(DecimalType(10, 0))
+    variance_num = (n * s2.cast(DecimalType(38, 0)) - s1.cast(DecimalType(38, 0))
+                    * s1.cast(DecimalType(38, 0))).cast("double")
     variance_den = (n * (n - 1)).cast("double")
     sd = F.floor(F.sqrt(variance_num / variance_den) + F.lit(0.5))
     return F.when(n >= 2, sd)
@@ -50,22 +67,45 @@ def sample_stddev_micro(returns_micro: str, spec, start: int, end: int) -> Colum
 
 def add_indicators(staged: DataFrame, partition_col: str = "ticker",
                    order_col: str = "trade_date", built_at: Column | None = None) -> DataFrame:
-    """Daily return, SMA 20/50, 20-row volatility, volume average, crossover, relative volume."""
+    """Daily return, SMA 20/50, 20-row volatility, volume average, crossover, relative volume.
+
+    Frame sums come from running (prefix) sums and their lagged values, so
+    the cost per row is constant whatever the frame width (a bounded ROW
+    frame would re-aggregate the whole frame for every row). Decimal sums
+    are exact, so the differences are exact too. All steps share one
+    partitioning and ordering: one exchange, one sort.
+    """
     w = series_window(partition_col, order_col)
-    price_type = staged.schema["close_price"].dataType
-    with_return = (staged
-                   .withColumn("prev_close_price", F.lag("close_price", 1).over(w))
-                   .withColumn("daily_return",
-                               daily_return(F.col("close_price"), F.col("prev_close_price")))
-                   .withColumn("_r_micro", micro_units(F.col("daily_return"))))
-    vol_micro = sample_stddev_micro("_r_micro", w, -19, 0)
-    out = with_return.select(
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    close, vol = F.col("close_price"), F.col("volume")
+    price_scale = staged.schema["close_price"].dataType.scale
+
+    step1 = staged.select(
+        "*",
+        daily_return(close, F.lag("close_price", 1).over(w)).alias("daily_return"),
+        F.sum(close).over(run).alias("_sc"), F.count(close).over(run).alias("_nc"),
+        F.sum(vol.cast(DecimalType(20, 0))).over(run).alias("_sv"),
+        F.count(vol).over(run).alias("_nv"))
+    r = micro_units(F.col("daily_return"))
+    step2 = step1.select(
         "*",
-        rolling_mean("close_price", price_type, w, -19, 0, 4).cast(SMA_TYPE).alias("sma_20"),
-        rolling_mean("close_price", price_type, w, -49, 0, 4).cast(SMA_TYPE).alias("sma_50"),
-        from_micro_units(vol_micro).alias("volatility_20d"),
-        rolling_mean("volume", LongType(), w, -19, 0, 0).cast("bigint").alias("volume_sma_20"),
-    ).drop("_r_micro", "prev_close_price")
+        F.sum(r).over(run).alias("_sr"), F.sum(r * r).over(run).alias("_srr"),
+        F.count(r).over(run).alias("_nr"),
+        *_lags(w, [("_sc", 20), ("_nc", 20), ("_sc", 50), ("_nc", 50), ("_sv", 20), ("_nv", 20)]))
+    step3 = step2.select("*", *_lags(w, [("_sr", 20), ("_srr", 20), ("_nr", 20)]))
+
+    sc20, nc20 = _frame("_sc", "_nc", 20)
+    sc50, nc50 = _frame("_sc", "_nc", 50)
+    sv20, nv20 = _frame("_sv", "_nv", 20)
+    sr20, nr20 = _frame("_sr", "_nr", 20)
+    srr20, _ = _frame("_srr", "_nr", 20)
+    out = step3.select(
+        *staged.columns, "daily_return",
+        _mean(sc20, nc20, price_scale, 4).cast(SMA_TYPE).alias("sma_20"),
+        _mean(sc50, nc50, price_scale, 4).cast(SMA_TYPE).alias("sma_50"),
+        from_micro_units(_stddev_micro(sr20, srr20, nr20)).alias("volatility_20d"),
+        _mean(sv20, nv20, 0, 0).cast("bigint").alias("volume_sma_20"),
+    )
     out = out.withColumns({
         "sma_crossover": F.coalesce(F.col("sma_20") > F.col("sma_50"), F.lit(False)),
         "relative_volume": F.when(F.col("volume_sma_20") > 0,

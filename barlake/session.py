@@ -31,6 +31,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Small but CPU-heavy shuffles (per-ticker windows over daily bars)
+        # keep some parallelism instead of being coalesced into one task;
+        # large shuffles are still sized by the advisory partition size.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         # size check behind every unhinted broadcast join (estimated bytes)
         .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
