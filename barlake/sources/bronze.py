@@ -82,9 +82,15 @@ def envelope(accepted: DataFrame, ticker: Column, fetched_at: Column,
 
 
 def land_documents(docs: DataFrame, root: str, mode: str = "append") -> None:
-    """Write documents partitioned by ingest date (one document per line)."""
-    (docs.select("value", *PARTITION_COLUMNS)
-     .repartition(*PARTITION_COLUMNS)
+    """Write documents partitioned by ingest date (one document per line).
+
+    Range partitioning on (date, file stem) spreads one busy ingest day over
+    many writing tasks (sampled boundaries) instead of sending the whole day
+    to one task, while each task still writes only a few date folders.
+    """
+    (docs.select("value", "file_stem", *PARTITION_COLUMNS)
+     .repartitionByRange(*PARTITION_COLUMNS, "file_stem")
+     .drop("file_stem")
      .write.mode(mode).partitionBy(*PARTITION_COLUMNS).text(root))
 
 

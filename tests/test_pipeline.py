@@ -49,3 +49,25 @@ def test_daily_run_fails_on_check(spark, tmp_path):
     with pytest.raises(QualityCheckFailed) as e:
         run_daily(spark, bronze, wh, "2025-06-15", datetime(2025, 6, 15, 20, 0), seed)
     assert e.value.result.checks["accepted_sector"] == 1
+
+
+def test_command_line(spark, tmp_path, capsys):
+    import json
+
+    from barlake.cli import main
+    bronze, wh = str(tmp_path / "bronze"), str(tmp_path / "wh")
+    land(bronze, "AAA", "2025-06-15T18:00:00+00:00", series(date(2025, 3, 1), 30, 100))
+    seed = tmp_path / "seed.csv"
+    seed.write_text("ticker,company_name,sector,market_cap_category\nAAA,A & Co,Energy,Large Cap\n")
+    code = main(["--bronze", bronze, "--warehouse", wh, "--seed", str(seed),
+                 "--processing-date", "2025-06-15", "--run-ts", "2025-06-15T20:00:00",
+                 "--wholetext"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert code == 0 and out["counts"]["parsed_days"] == 30
+
+
+def test_preview_and_limit(spark):
+    from barlake.operators.adhoc import first_rows
+    from barlake.operators.flatten import preview
+    df = spark.range(100)
+    assert preview(df).count() == 5 and first_rows(df, 10).count() == 10
