@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -63,19 +63,28 @@ def price_history(silver: DataFrame, ticker: str, n: int = 20) -> DataFrame:
 def volume_spikes(silver: DataFrame, lookback: int = 20, threshold: float = 2.0) -> DataFrame:
     """Days whose volume exceeds ``threshold`` times the mean of the previous ``lookback`` rows.
 
-    The current row is excluded from its average. The comparison is done
-    without division (volume * n > threshold * sum), so it is exact and has
-    no zero divisor; the average and the ratio are exact decimals rounded
-    half up.
+    The current row is excluded from its average. The frame sum is a running
+    exact sum lagged by one row minus the same sum lagged by ``lookback + 1``
+    rows (constant cost per row). The comparison is done without division
+    (volume * n > threshold * sum), so it is exact and has no zero divisor;
+    the average and the ratio are exact decimals rounded half up.
     """
-    frame = series_window().rowsBetween(-lookback, -1)
-    sv = F.sum("volume").over(frame).cast(DecimalType(38, 0))
-    n = F.count("volume").over(frame).cast(DecimalType(10, 0))
+    w = series_window()
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = silver.select(
+        "ticker", "trade_date", "volume",
+        F.sum(F.col("volume").cast(DecimalType(20, 0))).over(run).alias("_s"),
+        F.count("volume").over(run).alias("_c"))
+    lagged = running.select(
+        "ticker", "trade_date", "volume",
+        (F.lag("_s", 1).over(w) - F.coalesce(F.lag("_s", lookback + 1).over(w), F.lit(0)))
+        .cast(DecimalType(38, 0)).alias("_sv"),
+        (F.lag("_c", 1).over(w) - F.coalesce(F.lag("_c", lookback + 1).over(w), F.lit(0)))
+        .cast(DecimalType(10, 0)).alias("_n"))
     v = F.col("volume").cast(DecimalType(20, 0))
     k = F.lit(Decimal(str(threshold)))
-    base = silver.select("ticker", "trade_date", "volume", sv.alias("_sv"), n.alias("_n"))
-    return (base.where((F.col("_n") > 0) & (F.col("_sv") > 0)
-                       & (v * F.col("_n") > k * F.col("_sv")))
+    return (lagged.where((F.col("_n") > 0) & (F.col("_sv") > 0)
+                         & (v * F.col("_n") > k * F.col("_sv")))
             .select("ticker", "trade_date", "volume",
                     half_up_ratio(F.col("_sv"), F.col("_n"), 0).cast("bigint").alias("avg_volume_20d"),
                     half_up_ratio(v * F.col("_n"), F.col("_sv"), 2).cast(DecimalType(18, 2))
