@@ -1,9 +1,9 @@
 """Technical indicators per entity series.
 
 All windows are ``PARTITION BY ticker ORDER BY trade_date``; "20-day" means
-20 rows. They are planned over one hash exchange and one sort. (ticker, trade_date) must be unique
-(see ``operators.flatten.keep_latest``); then a window partition holds at
-most one row per calendar day.
+20 rows. They are planned over one hash exchange and one sort.
+(ticker, trade_date) must be unique (see ``operators.flatten.keep_latest``);
+then a window partition holds at most one row per calendar day.
 
 Rounding chain (kept on purpose): the return is rounded to 6 places before
 the volatility uses it; both SMAs are rounded before they are compared; the
