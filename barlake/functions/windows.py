@@ -9,7 +9,7 @@ by the data volume.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType
 
@@ -51,3 +51,38 @@ def calculate_sma(column: str, partition_col: str, order_col: str, window_size:
         raise ValueError("window_size must be at least 1")
     spec = series_window(partition_col, order_col)
     return rolling_mean(column, dtype, spec, -(window_size - 1), 0, scale)
+
+
+def sequence_blocks(df: DataFrame, key: str, order: str, chunk: Column, block_rows: int,
+                    halo: int) -> DataFrame:
+    """Cut each ``key`` series into blocks of ``block_rows`` rows plus ``halo`` rows of context.
+
+    Adds ``_seq`` (1-based position in the series), ``_blk`` (block number)
+    and ``_halo`` (True for a copy of the previous block's last ``halo`` rows).
+    A window over (key, _blk) ordered by ``order`` then sees every row with
+    at least ``halo`` predecessors, so frames up to ``halo`` rows back are
+    exact, and no task holds more than ``block_rows + halo`` rows of a key.
+
+    The position is a distributed prefix count: rows are counted per
+    (key, chunk) (``chunk`` is a coarse ordered bucket such as the year),
+    the counts are turned into offsets by a running sum over that small
+    table, and each row adds its position within its chunk.
+    """
+    c = df.withColumn("_chunk", chunk)
+    counts = c.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_cnt"))
+    offsets = counts.select(
+        key, "_chunk",
+        (F.sum("_cnt").over(Window.partitionBy(key).orderBy("_chunk")
+                            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+         - F.col("_cnt")).alias("_off"))
+    pos = F.row_number().over(Window.partitionBy(key, "_chunk").orderBy(order))
+    indexed = (c.join(offsets, [key, "_chunk"])
+               .withColumn("_seq", F.col("_off") + pos)
+               .drop("_chunk", "_off"))
+    blk = F.floor((F.col("_seq") - 1) / block_rows).cast("long")
+    tail = (F.col("_seq") - 1) % block_rows >= block_rows - halo
+    blocks = F.when(tail, F.array(blk, blk + 1)).otherwise(F.array(blk))
+    return (indexed.withColumn("_own", blk)
+            .withColumn("_blk", F.explode(blocks))
+            .withColumn("_halo", F.col("_blk") != F.col("_own"))
+            .drop("_own"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from barlake.functions.numeric import RETURN_TYPE, from_micro_units, half_up_ratio, micro_units
-from barlake.functions.windows import series_window
+from barlake.functions.windows import sequence_blocks
 
 SMA_TYPE = DecimalType(16, 4)
 
@@ -66,7 +66,8 @@ def _stddev_micro(s1: Column, s2: Column, n: Column) -> Column:
 
 
 def add_indicators(staged: DataFrame, partition_col: str = "ticker",
-                   order_col: str = "trade_date", built_at: Column | None = None) -> DataFrame:
+                   order_col: str = "trade_date", built_at: Column | None = None,
+                   extra_partition: list[str] | None = None) -> DataFrame:
     """Daily return, SMA 20/50, 20-row volatility, volume average, crossover, relative volume.
 
     Frame sums come from running (prefix) sums and their lagged values, so
@@ -75,7 +76,7 @@ def add_indicators(staged: DataFrame, partition_col: str = "ticker",
     are exact, so the differences are exact too. All steps share one
     partitioning and ordering: one exchange, one sort.
     """
-    w = series_window(partition_col, order_col)
+    w = Window.partitionBy(partition_col, *(extra_partition or [])).orderBy(order_col)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     close, vol = F.col("close_price"), F.col("volume")
     price_scale = staged.schema["close_price"].dataType.scale
@@ -116,3 +117,27 @@ def add_indicators(staged: DataFrame, partition_col: str = "ticker",
     if built_at is not None:
         out = out.withColumn("model_built_at", built_at)
     return out
+
+
+# Longest look-back of the indicators: the 50-row SMA subtracts the running
+# sum 50 rows back; the 20-row volatility needs returns 20 rows back, each
+# needing the close before it (21 rows).
+LOOKBACK_ROWS = 50
+
+
+def add_indicators_split(staged: DataFrame, block_rows: int = 1_000_000,
+                         built_at: Column | None = None) -> DataFrame:
+    """Same result as :func:`add_indicators`, without one task per ticker.
+
+    Each series is cut into blocks of ``block_rows`` rows; every block also
+    gets the previous block's last ``LOOKBACK_ROWS`` rows as context (halo),
+    the windows run per (ticker, block), and the halo copies are dropped. Use
+    it when single series are too long for one task; it costs one extra
+    shuffle (the distributed row numbering).
+    """
+    if block_rows <= LOOKBACK_ROWS:
+        raise ValueError("block_rows must exceed the look-back")
+    blocks = sequence_blocks(staged, "ticker", "trade_date", F.year("trade_date"),
+                             block_rows, LOOKBACK_ROWS)
+    out = add_indicators(blocks, "ticker", "trade_date", built_at, extra_partition=["_blk"])
+    return out.where(~F.col("_halo")).drop("_seq", "_blk", "_halo")

@@ -88,6 +88,17 @@ def q_indicators(spark, sf_dir):
         "volatility_20d", "volume_sma_20", "relative_volume", "sma_crossover"))
 
 
+# Block size of the split indicator plan in the harness: small, so every
+# series is cut into several blocks and the halo logic is exercised.
+SPLIT_BLOCK_ROWS = 500
+
+
+def q_indicators_split(spark, sf_dir):
+    return report(ind.add_indicators_split(staged(spark, sf_dir), SPLIT_BLOCK_ROWS).select(
+        "ticker", "trade_date", "close_price", "volume", "daily_return", "sma_20", "sma_50",
+        "volatility_20d", "volume_sma_20", "relative_volume", "sma_crossover"))
+
+
 def q_daily_trading(spark, sf_dir):
     return report(daily_fact(spark, sf_dir))
 
@@ -226,6 +237,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sector_performance": q_sector_performance,
     "staging": q_staging,
     "indicators": q_indicators,
+    "indicators_split": q_indicators_split,
     "daily_trading": q_daily_trading,
     "sma_generic": q_sma_generic,
     "latest_prices": q_latest_prices,

@@ -332,3 +332,6 @@ FROM bars WHERE ticker IN ('NATION_1', 'NATION_3', 'NATION_5', 'NATION_24')
 GROUP BY ticker"""),
     "row_count": _sql(BARS, "SELECT count(*) AS row_count FROM bars"),
 })
+
+# The split plan must give exactly the indicator rows.
+ORACLE["indicators_split"] = ORACLE["indicators"]

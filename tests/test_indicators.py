@@ -117,3 +117,20 @@ def test_one_window_exchange_in_plan(spark):
     df = add_indicators(staged_rows(spark, {"A": series_of(5, 1), "B": series_of(5, 2)}))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(ticker") == 1
+
+
+def test_split_plan_matches_brute_force(spark):
+    from barlake.operators.indicators import add_indicators_split
+    series = {f"S{n}": series_of(n, n) for n in (1, 50, 51, 130, 260)}
+    for block in (51, 70):
+        df = add_indicators_split(staged_rows(spark, series, gap_every=7), block_rows=block)
+        rows = df.orderBy("ticker", "trade_date").collect()
+        for t, vals in series.items():
+            check([r for r in rows if r.ticker == t], brute(vals))
+
+
+def test_split_plan_windows_per_block(spark):
+    from barlake.operators.indicators import add_indicators_split
+    df = add_indicators_split(staged_rows(spark, {"A": series_of(5, 1)}), block_rows=100)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(ticker#" in plan and "_blk#" in plan
