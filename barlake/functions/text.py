@@ -10,9 +10,10 @@ def strip_whitespace(col: Column) -> Column:
     """Remove leading and trailing whitespace of any kind (tabs, newlines too).
 
     SQL ``trim`` only strips spaces; the landing code normalises with a
-    whitespace-class strip, so the regex form is used there.
+    whitespace-class strip, so the regex form is used there. ``(?U)`` makes
+    ``\s`` match Unicode whitespace too (no-break space and the like).
     """
-    return F.regexp_replace(col, r"^\s+|\s+$", "")
+    return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
 
 
 def normalise_ticker(col: Column) -> Column:
