@@ -11,7 +11,7 @@ def strip_whitespace(col: Column) -> Column:
 
     SQL ``trim`` only strips spaces; the landing code normalises with a
     whitespace-class strip, so the regex form is used there. ``(?U)`` makes
-    ``\s`` match Unicode whitespace too (no-break space and the like).
+    the whitespace class match Unicode spaces too (no-break space and the like).
     """
     return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
 
