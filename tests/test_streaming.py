@@ -61,3 +61,34 @@ def test_arrival_partitioned_layout(spark, tmp_path):
     got = {r.trade_date: r.close_price for r in spark.read.parquet(silver).collect()}
     assert got == {date(2025, 5, 30): Decimal("1.0000"), date(2025, 6, 13): Decimal("3.0000"),
                    date(2025, 6, 14): Decimal("4.0000")}
+
+
+def test_batch_failing_half_way_is_replayed(spark, tmp_path, monkeypatch):
+    import barlake.sources.merge as merge_mod
+    from barlake.sources.tables import stage
+    bronze, silver, ck = (str(tmp_path / n) for n in ("bronze", "silver", "ck"))
+    os.makedirs(bronze)
+    land(bronze, "2025-06-14", "A_1.json",
+         doc("A", "2025-06-14T18:00:00+00:00", {"2025-06-12": day(c="1.00"), "2025-06-13": day(c="2.00")}))
+    run(spark, bronze, silver, ck, "partitioned")
+
+    land(bronze, "2025-06-15", "A_2.json",
+         doc("A", "2025-06-15T18:00:00+00:00", {"2025-06-13": day(c="3.00")}))
+    real = merge_mod.merge_into
+
+    def crash(spark_, path, incoming, *a, **k):
+        stage(spark_, incoming, "half-way")  # work done, then the driver is lost
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(merge_mod, "merge_into", crash)
+    q = start_arrival(spark, bronze, silver, ck, processed_at=datetime(2025, 7, 1),
+                      wholetext=True, layout="partitioned")
+    try:
+        q.awaitTermination(120)
+    except Exception:
+        pass
+    assert q.exception() is not None
+    monkeypatch.setattr(merge_mod, "merge_into", real)
+    run(spark, bronze, silver, ck, "partitioned")  # restart from the checkpoint: batch replayed
+    got = {r.trade_date: r.close_price for r in spark.read.parquet(silver).collect()}
+    assert got == {date(2025, 6, 12): Decimal("1.0000"), date(2025, 6, 13): Decimal("3.0000")}
