@@ -136,6 +136,25 @@ def q_monthly_average(spark, sf_dir):
     return report(adhoc.monthly_average(raw_prices(spark, sf_dir)))
 
 
+def _sql_report(spark, sf_dir, name):
+    from barlake.plans.catalog import adhoc_sql, register_models
+    register_models(spark, raw_prices(spark, sf_dir), dim_from_geography(spark, sf_dir),
+                    prefix="harness_")
+    return report(adhoc_sql(spark, name, prefix="harness_", ticker=HISTORY_TICKER))
+
+
+def q_sql_top_movers(spark, sf_dir):
+    return _sql_report(spark, sf_dir, "top_movers")
+
+
+def q_sql_volume_spikes(spark, sf_dir):
+    return _sql_report(spark, sf_dir, "volume_spikes")
+
+
+def q_sql_monthly_average(spark, sf_dir):
+    return _sql_report(spark, sf_dir, "monthly_average")
+
+
 def q_dq_not_null(spark, sf_dir):
     raw = raw_prices(spark, sf_dir)
     daily = daily_fact(spark, sf_dir)
@@ -245,6 +264,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_history": q_price_history,
     "volume_spikes": q_volume_spikes,
     "monthly_average": q_monthly_average,
+    "sql_top_movers": q_sql_top_movers,
+    "sql_volume_spikes": q_sql_volume_spikes,
+    "sql_monthly_average": q_sql_monthly_average,
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
     "dq_accepted_values": q_dq_accepted_values,

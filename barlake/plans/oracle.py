@@ -335,3 +335,7 @@ GROUP BY ticker"""),
 
 # The split plan must give exactly the indicator rows.
 ORACLE["indicators_split"] = ORACLE["indicators"]
+
+# The same reports run as SQL text over the registered model views.
+for _name in ("top_movers", "volume_spikes", "monthly_average"):
+    ORACLE["sql_" + _name] = ORACLE[_name]
