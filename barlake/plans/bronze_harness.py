@@ -100,12 +100,12 @@ def fetched_at(q: Column) -> Column:
 def api_payloads(bars: DataFrame) -> DataFrame:
     """One API payload per (ticker, pull): ticker, q, fetched_at, payload."""
     days = pull_days(bars)
+    # Each entry starts with its quoted ISO date, so sorting the texts sorts
+    # by date (newest first, as the API lists them).
     entries = (days.groupBy("ticker", "q")
-               .agg(F.sort_array(F.collect_list(F.struct(F.col("trade_date"),
-                                                         day_entry(days).alias("e"))),
-                                 asc=False).alias("es")))
+               .agg(F.sort_array(F.collect_list(day_entry(days)), asc=False).alias("es")))
     # One pull holds at most three months of days, so each list is bounded.
-    series = F.array_join(F.transform("es", lambda x: x["e"]), ", ")
+    series = F.array_join("es", ", ")
     extra = F.when(_q() % 5 == 0, F.concat(
         F.lit(', "'), F.lpad((_q() / 12).cast("int").cast("string"), 4, "0"),
         F.lit('-13-40": {"1. open": "1.00", "2. high": "1.00", "3. low": "1.00", '
