@@ -65,9 +65,12 @@ def merge_into(spark: SparkSession, path: str, incoming: DataFrame,
     """
     keys = keys or KEY_COLUMNS
     batch = stage(spark, with_partition(incoming, col), "batch")
-    if table_exists(spark, path):
+    months = touched_partitions(batch, col)
+    exists = table_exists(spark, path)
+    if not months:  # T14: nothing to merge, the table is left as it is
+        return spark.read.parquet(path) if exists else batch
+    if exists:
         current = spark.read.parquet(path)
-        months = touched_partitions(batch, col)
         current_touched = current.where(F.col(col).isin(months))
         merged = keep_latest(current_touched.unionByName(batch.select(*current.columns)),
                              keys + [col]).select(*current.columns)

@@ -51,3 +51,12 @@ def test_merge_reads_only_touched_partitions(spark, tmp_path):
         q.explain(mode="formatted")
     assert "IN (202503,202504)]" in buf.getvalue().split("PartitionFilters: ")[1].split("\n")[0]
     assert q.count() == 2
+
+
+def test_empty_batch_leaves_table_untouched(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    rows = [("A", date(2025, 1, 1), 10, 1, datetime(2025, 2, 1))]
+    merge_into(spark, path, silver_rows(spark, rows))
+    before = files_of(path, "202501")
+    out = merge_into(spark, path, silver_rows(spark, rows).limit(0))
+    assert files_of(path, "202501") == before and out.count() == 1
