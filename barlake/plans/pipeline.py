@@ -41,9 +41,37 @@ def _write(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+# Catalog names of the written stages: (schema, table) per output path key.
+CATALOG_NAMES = {
+    "silver": ("raw", "silver_stock_prices"),
+    "raw_stock_prices": ("raw", "stock_prices"),
+    "dim_stocks": ("analytics", "dim_stocks"),
+    "int_stock_indicators": ("analytics", "int_stock_indicators"),
+    "fct_daily_trading": ("analytics", "fct_daily_trading"),
+    "fct_sector_performance": ("analytics", "fct_sector_performance"),
+}
+
+
+def register_catalog(spark: SparkSession, paths: dict[str, str], frames: dict[str, DataFrame]) -> None:
+    """Declare every written stage as an external Parquet table.
+
+    The definitions are replaced on every run (dropping an external table
+    keeps its files), and the month partitions of silver are registered
+    with MSCK REPAIR.
+    """
+    tables.create_schemas(spark, sorted({db for db, _ in CATALOG_NAMES.values()}))
+    for key, (db, name) in CATALOG_NAMES.items():
+        full = f"{db}.{name}"
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        part = [merge.PARTITION_COLUMN] if key == "silver" else None
+        tables.create_external_table(spark, full, paths[key], frames[key].schema, part)
+        if part:
+            tables.repair_table(spark, full)
+
+
 def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_date: str,
               run_ts: datetime, seed: DataFrame, wholetext: bool = False,
-              as_of: datetime | None = None) -> RunResult:
+              as_of: datetime | None = None, catalog: bool = True) -> RunResult:
     """Run every stage for ``processing_date``; ``run_ts`` stamps all outputs."""
     stamp = timestamp_literal(run_ts)
     silver_root = f"{warehouse}/silver"
@@ -56,7 +84,8 @@ def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_
     obs = Observation("bronze_to_silver")
     batch = bronze_to_silver(docs, stamp, observation=obs)
     version = int(processing_date.replace("-", ""))
-    silver = merge.merge_into(spark, silver_root, batch).drop(merge.PARTITION_COLUMN)
+    silver_table = merge.merge_into(spark, silver_root, batch)
+    silver = silver_table.drop(merge.PARTITION_COLUMN)
     counts = dict(obs.get)
 
     # raw landing table (strict schema; violations are findings)
@@ -71,6 +100,12 @@ def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_
     daily = _write(marts.daily_trading(indicators, dim), paths["fct_daily_trading"])
     sector = _write(marts.sector_performance(daily, stamp), paths["fct_sector_performance"])
 
+    if catalog:
+        register_catalog(spark, {**paths, "silver": silver_root},
+                         {"silver": silver_table, "raw_stock_prices": raw, "dim_stocks": dim,
+                          "int_stock_indicators": indicators, "fct_daily_trading": daily,
+                          "fct_sector_performance": sector})
+
     # quality checks: each is a small aggregate brought back as numbers
     checks = {}
     nn = (quality.null_counts(raw, ["ticker", "trade_date", "open_price", "close_price"], "stock_prices")
