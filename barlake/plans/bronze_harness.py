@@ -106,6 +106,7 @@ def api_payloads(bars: DataFrame) -> DataFrame:
                .agg(F.sort_array(F.collect_list(day_entry(days)), asc=False).alias("es")))
     # One pull holds at most three months of days, so each list is bounded.
     series = F.array_join("es", ", ")
+    # The layout of a daily-series API payload and its error bodies.
     extra = F.when(_q() % 5 == 0, F.concat(
         F.lit(', "'), F.lpad((_q() / 12).cast("int").cast("string"), 4, "0"),
         F.lit('-13-40": {"1. open": "1.00", "2. high": "1.00", "3. low": "1.00", '

@@ -55,7 +55,7 @@ def test_invariants(spark):
 def test_seed_csv(spark, tmp_path):
     p = tmp_path / "seed.csv"
     p.write_text("ticker,company_name,sector,market_cap_category\n"
-                 "JPM,JPMorgan Chase & Co,Financials,Large Cap\n"
-                 "PG,Procter & Gamble Company,Consumer Staples,Large Cap\n")
+                 "ACM,Acme & Sons,Financials,Large Cap\n"
+                 "GLX,Globex & Partners,Consumer Staples,Large Cap\n")
     rows = read_seed_csv(spark, str(p)).collect()
-    assert [r.company_name for r in rows] == ["JPMorgan Chase & Co", "Procter & Gamble Company"]
+    assert [r.company_name for r in rows] == ["Acme & Sons", "Globex & Partners"]
