@@ -69,10 +69,11 @@ def register_catalog(spark: SparkSession, paths: dict[str, str], frames: dict[st
             tables.repair_table(spark, full)
 
 
-def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_date: str,
+def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_date: str | None,
               run_ts: datetime, seed: DataFrame, wholetext: bool = False,
               as_of: datetime | None = None, catalog: bool = True) -> RunResult:
-    """Run every stage for ``processing_date``; ``run_ts`` stamps all outputs."""
+    """Run every stage for ``processing_date`` (None: every landed date, a backfill);
+    ``run_ts`` stamps all outputs."""
     stamp = timestamp_literal(run_ts)
     silver_root = f"{warehouse}/silver"
     paths = {k: f"{warehouse}/{k}" for k in
@@ -83,7 +84,7 @@ def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_
     docs = bronze.read_bronze(spark, bronze_root, processing_date, wholetext)
     obs = Observation("bronze_to_silver")
     batch = bronze_to_silver(docs, stamp, observation=obs)
-    version = int(processing_date.replace("-", ""))
+    version = int(processing_date.replace("-", "")) if processing_date else 0
     silver_table = merge.merge_into(spark, silver_root, batch)
     silver = silver_table.drop(merge.PARTITION_COLUMN)
     counts = dict(obs.get)
