@@ -74,9 +74,9 @@ def merge_into(spark: SparkSession, path: str, incoming: DataFrame,
         current_touched = current.where(F.col(col).isin(months))
         merged = keep_latest(current_touched.unionByName(batch.select(*current.columns)),
                              keys + [col]).select(*current.columns)
+        staged = stage(spark, merged, "merged")  # the plan reads the path it will write
     else:
-        merged = batch
-    staged = stage(spark, merged, "merged")
+        staged = keep_latest(batch, keys + [col]).select(*batch.columns)
     # Range partitioning by (month, ticker, date): a big month is spread over
     # many tasks (boundaries are sampled), each writing sorted files.
     (clustered(staged, (col, "ticker", "trade_date")).write.mode("overwrite")
