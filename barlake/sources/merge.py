@@ -19,6 +19,7 @@ gives the same result, because keeping the newest row per key is idempotent.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,18 +34,17 @@ def with_partition(df: DataFrame, col: str = PARTITION_COLUMN) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True if ``path`` holds committed data (a partition folder or data file).
+    """True if ``path`` holds committed Parquet data.
 
-    A dynamic-overwrite write leaves no ``_SUCCESS`` at the root, and its
-    staging folder starts with a dot, so hidden entries are ignored.
+    Spark's file listing skips hidden and underscore entries (a running
+    dynamic-overwrite write stages under ``.spark-staging-*``), and reading a
+    path without data files raises.
     """
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except AnalysisException:
         return False
-    return any(not st.getPath().getName().startswith(("_", "."))
-               for st in fs.listStatus(p))
 
 
 def touched_partitions(batch: DataFrame, col: str = PARTITION_COLUMN) -> list:
