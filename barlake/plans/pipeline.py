@@ -14,7 +14,6 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from barlake.functions.clock import timestamp_literal
 from barlake.operators import indicators as ind
