@@ -80,3 +80,50 @@ def freshness(df: DataFrame, loaded_at: str, as_of: datetime | str | Column,
         .when(age_s > error_hours * 3600, F.lit("error"))
         .when(age_s > warn_hours * 3600, F.lit("warn"))
         .otherwise(F.lit("pass")).alias("status"))
+
+
+# The required (not-null) columns of each checked model.
+NOT_NULL_CHECKS = [
+    ("stock_prices", ["ticker", "trade_date", "open_price", "close_price"]),
+    ("fct_daily_trading", ["ticker", "trade_date", "close_price", "sector"]),
+    ("fct_sector_performance", ["sector", "trade_date", "stock_count"]),
+    ("dim_stocks", ["ticker", "company_name", "sector"]),
+]
+
+
+def _row(check: str, target: str, failures: Column, status: Column | None = None):
+    failures = F.coalesce(failures, F.lit(0)).cast("bigint")
+    status = status if status is not None else F.when(failures > 0, "fail").otherwise("pass")
+    return [F.lit(check).alias("check_name"), F.lit(target).alias("target"),
+            failures.alias("failures"), status.alias("status")]
+
+
+def check_report(raw: DataFrame, daily: DataFrame, sector: DataFrame, dim: DataFrame,
+                 as_of: datetime | str | Column) -> DataFrame:
+    """Every check of the models as one small DataFrame: (check_name, target, failures, status).
+
+    Each check is an aggregate (partial per task); the union runs as one
+    job and returns one row per check, so the caller collects a handful of
+    rows instead of running one action per check.
+    """
+    models = {"stock_prices": raw, "fct_daily_trading": daily,
+              "fct_sector_performance": sector, "dim_stocks": dim}
+    parts = []
+    for model, cols in NOT_NULL_CHECKS:
+        counts = models[model].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+        for c in cols:
+            parts.append(counts.select(*_row("not_null", f"{model}.{c}", F.col(c))))
+    parts.append(duplicate_keys(dim, ["ticker"]).agg(
+        *_row("unique", "dim_stocks.ticker", F.count(F.lit(1)))))
+    parts.append(rejected_values(daily, "sector", ACCEPTED_SECTORS).agg(
+        *_row("accepted_values", "fct_daily_trading.sector", F.sum("n"))))
+    parts.append(return_range_violations(daily).agg(
+        *_row("return_range", "fct_daily_trading.daily_return", F.count(F.lit(1)))))
+    fresh = freshness(raw, "processed_at", as_of)
+    parts.append(fresh.select(*_row("freshness", "stock_prices.processed_at",
+                                    F.when(F.col("status") == "pass", 0).otherwise(1),
+                                    F.col("status"))))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -172,6 +172,13 @@ def q_dq_not_null(spark, sf_dir):
     return report(out)
 
 
+def q_dq_report(spark, sf_dir):
+    daily = daily_fact(spark, sf_dir)
+    return report(quality.check_report(raw_prices(spark, sf_dir), daily,
+                                       marts.sector_performance(daily),
+                                       dim_from_geography(spark, sf_dir), RUN_TS))
+
+
 def _dup_report(df, keys, model):
     dups = quality.duplicate_keys(df, keys)
     key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
@@ -272,6 +279,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_accepted_values": q_dq_accepted_values,
     "dq_return_range": q_dq_return_range,
     "dq_freshness": q_dq_freshness,
+    "dq_report": q_dq_report,
     "sector_heatmap": q_sector_heatmap,
     "top_gainers": q_top_gainers,
     "crossover_signals": q_crossover_signals,

@@ -339,3 +339,46 @@ ORACLE["indicators_split"] = ORACLE["indicators"]
 # The same reports run as SQL text over the registered model views.
 for _name in ("top_movers", "volume_spikes", "monthly_average"):
     ORACLE["sql_" + _name] = ORACLE[_name]
+
+
+def _dq_report_sql() -> str:
+    # Required columns per model, as the oracle CTEs name them.
+    checks = [
+        ("stock_prices", "bars", [("ticker", "ticker"), ("trade_date", "trade_date"),
+                                  ("open_price", "o"), ("close_price", "c")]),
+        ("fct_daily_trading", "daily", [("ticker", "ticker"), ("trade_date", "trade_date"),
+                                        ("close_price", "c"), ("sector", "dsector")]),
+        ("fct_sector_performance", "sec", [("sector", "sector"), ("trade_date", "trade_date"),
+                                           ("stock_count", "stock_count")]),
+        ("dim_stocks", "dim", [("ticker", "ticker"), ("company_name", "company_name"),
+                               ("sector", "sector")]),
+    ]
+    parts = []
+    for model, cte, cols in checks:
+        for name, expr in cols:
+            parts.append(f"SELECT 'not_null' AS check_name, '{model}.{name}' AS target, "
+                         f"count(*) FILTER (WHERE {expr} IS NULL) AS failures FROM {cte}")
+    parts += [
+        "SELECT 'unique', 'dim_stocks.ticker', count(*) FROM "
+        "(SELECT ticker FROM dim GROUP BY ticker HAVING count(*) > 1)",
+        "SELECT 'accepted_values', 'fct_daily_trading.sector', count(*) FROM daily "
+        "WHERE dsector IS NOT NULL AND dsector NOT IN "
+        "('Technology', 'Financials', 'Healthcare', 'Energy', 'Consumer Staples')",
+        "SELECT 'return_range', 'fct_daily_trading.daily_return', count(*) FROM daily "
+        "WHERE rm IS NOT NULL AND abs(rm) > 500000",
+    ]
+    body = "\nUNION ALL\n".join(parts)
+    return _sql(SECTOR + """,
+chk AS (""" + body + """),
+fr AS (SELECT date_diff('second', max(CAST(trade_date AS TIMESTAMP) + INTERVAL 30 HOUR),
+                        TIMESTAMP '2001-11-06 12:00:00') AS age FROM bars)""", """
+SELECT check_name, target, CAST(failures AS BIGINT) AS failures,
+       CASE WHEN failures > 0 THEN 'fail' ELSE 'pass' END AS status FROM chk
+UNION ALL
+SELECT 'freshness', 'stock_prices.processed_at',
+       CAST(CASE WHEN age > 24 * 3600 THEN 1 ELSE 0 END AS BIGINT),
+       CASE WHEN age > 48 * 3600 THEN 'error' WHEN age > 24 * 3600 THEN 'warn' ELSE 'pass' END
+FROM fr""")
+
+
+ORACLE["dq_report"] = _dq_report_sql()

@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from barlake.functions.clock import timestamp_literal
 from barlake.operators import indicators as ind
@@ -106,28 +107,15 @@ def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_
                           "int_stock_indicators": indicators, "fct_daily_trading": daily,
                           "fct_sector_performance": sector})
 
-    # quality checks: each is a small aggregate brought back as numbers
-    checks = {}
-    nn = (quality.null_counts(raw, ["ticker", "trade_date", "open_price", "close_price"], "stock_prices")
-          .unionByName(quality.null_counts(daily, ["ticker", "trade_date", "close_price", "sector"],
-                                           "fct_daily_trading"))
-          .unionByName(quality.null_counts(sector, ["sector", "trade_date", "stock_count"],
-                                           "fct_sector_performance"))
-          .unionByName(quality.null_counts(dim, ["ticker", "company_name", "sector"], "dim_stocks")))
-    checks["not_null"] = {f"{r.model}.{r.column_name}": r.null_count for r in nn.collect()}
-    checks["unique_dim_ticker"] = quality.duplicate_keys(dim, ["ticker"]).count()
-    checks["landing_violations"] = violations.count()
-    checks["accepted_sector"] = quality.rejected_values(daily, "sector",
-                                                        quality.ACCEPTED_SECTORS).count()
-    checks["return_range"] = quality.return_range_violations(daily).count()
-    fresh = quality.freshness(raw, "processed_at", as_of or run_ts).collect()
-    checks["freshness"] = fresh[0].status if fresh else "error"
-
-    failed = [k for k, v in checks.items()
-              if (k == "not_null" and any(v.values()))
-              or (k in ("unique_dim_ticker", "landing_violations", "accepted_sector",
-                        "return_range") and v)
-              or (k == "freshness" and v == "error")]
+    # quality checks: one small DataFrame (one row per check), collected once
+    landing = violations.select(
+        F.concat(F.lit("landing_"), F.col("check")).alias("check_name"),
+        F.concat(F.lit("stock_prices."), F.col("detail")).alias("target"),
+        F.col("n").cast("bigint").alias("failures"), F.lit("fail").alias("status"))
+    report = quality.check_report(raw, daily, sector, dim, as_of or run_ts).unionByName(landing)
+    checks = {f"{r.check_name}:{r.target}": {"failures": r.failures, "status": r.status}
+              for r in report.collect()}
+    failed = sorted(k for k, v in checks.items() if v["status"] in ("fail", "error"))
     result = RunResult(version, counts, checks, {**paths, "silver": silver_root})
     if failed:
         err = QualityCheckFailed(f"quality checks failed: {failed}")

@@ -36,7 +36,8 @@ def test_daily_run(spark, tmp_path):
     seed = seed_from_rows(spark, SEED)
     res = run_daily(spark, bronze, wh, "2025-06-15", datetime(2025, 6, 15, 20, 0), seed)
     assert res.counts["parsed_days"] == 120 and res.counts["rejected_days"] == 0
-    assert res.checks["freshness"] == "pass"
+    assert res.checks["freshness:stock_prices.processed_at"]["status"] == "pass"
+    assert all(v["status"] == "pass" for v in res.checks.values())
     assert spark.read.parquet(res.paths["fct_daily_trading"]).count() == 120
     assert spark.read.parquet(res.paths["fct_sector_performance"]).count() == 2 * 59
     assert spark.table("stg_stock_prices").count() == 120
@@ -52,7 +53,8 @@ def test_daily_run_fails_on_check(spark, tmp_path):
     seed = seed_from_rows(spark, [("AAA", "A", "Crypto", "x")])
     with pytest.raises(QualityCheckFailed) as e:
         run_daily(spark, bronze, wh, "2025-06-15", datetime(2025, 6, 15, 20, 0), seed)
-    assert e.value.result.checks["accepted_sector"] == 1
+    assert e.value.result.checks["accepted_values:fct_daily_trading.sector"] == {
+        "failures": 10, "status": "fail"}
 
 
 def test_command_line(spark, tmp_path, capsys):
