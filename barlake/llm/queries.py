@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import idfiles, tokens
+from barlake.llm import classifier, idfiles, simhash, tokens
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -17,18 +17,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: 3-word shingles, 3 bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=3)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document through BPE encoding and decoding."""
     return tokens.bpe_digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score; labels of the held-out fold are not used."""
+    docs = table(spark, sf_dir, "documents")
+    scored = classifier.scored(docs, classifier.train(docs, table(spark, sf_dir, "labels")), columns=["doc_id"])
+    return scored.select(F.col("row.doc_id").alias("doc_id"), classifier.held_out(F.col("row.doc_id")).alias("held_out"),
+                         "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids written to seekable files and read back."""
     return idfiles.read_digests(idfiles.write_ids(table(spark, sf_dir, "documents"), vocabulary()))
 
 
 QUERIES = {
+    "op4_simhash": op4_simhash,
     "op7_bpe_codec": op7_bpe_codec,
+    "op9_quality": op9_quality,
     "op10_id_files": op10_id_files,
 }
 
