@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import classifier, idfiles, simhash, tokens
+from barlake.llm import classifier, idfiles, outliers, simhash, tokens
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -28,6 +28,12 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.bpe_digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op8_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text statistics of every document and whether it is kept."""
+    return outliers.quality_outliers(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality score; labels of the held-out fold are not used."""
     docs = table(spark, sf_dir, "documents")
@@ -44,6 +50,7 @@ def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_simhash": op4_simhash,
     "op7_bpe_codec": op7_bpe_codec,
+    "op8_outliers": op8_outliers,
     "op9_quality": op9_quality,
     "op10_id_files": op10_id_files,
 }
