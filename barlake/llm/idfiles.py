@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.llm import workers
+from barlake.llm.tokens import Pieces
 
 # Fixed values of the seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -40,9 +41,6 @@ SEEK_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
 NO_ID = -(1 << 63)  # stands for a null doc_id inside a file
-CACHE = 400_000
-SHORT = 64
-
 
 class Library:
     """Ids by the tokenizers library; pieces between ASCII white space are remembered.
@@ -58,24 +56,14 @@ class Library:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.known: dict[bytes, bytes] = {}
+        self.pieces = Pieces(self.learn)
 
-    def learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+    def learn(self, pieces: list[bytes]) -> list[bytes]:
         got = self.tok.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
-        return {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(pieces, got, strict=True)}
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in got]
 
     def encode(self, text: str) -> bytes:
-        pieces = text.encode().split()
-        known = self.known
-        new = {p for p in pieces if p not in known}
-        if new:
-            if len(known) > CACHE:
-                known.clear()
-                new = set(pieces)
-            here = self.learn(list(new))
-            known.update((k, v) for k, v in here.items() if len(k) <= SHORT)
-            return b"".join([known[p] if p in known else here[p] for p in pieces])
-        return b"".join([known[p] for p in pieces])
+        return self.pieces.encode(text)
 
 
 _library: dict[str, Library] = {}

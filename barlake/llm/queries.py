@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import classifier, idfiles, outliers, simhash, tokens
+from barlake.llm import classifier, idfiles, mixing, outliers, simhash, tokens
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -17,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mix takes every document: weights 3, 1, 2 by source, 150 % of all words."""
+    got = mixing.mix_report(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5)
+    return got.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, 3 bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=3)
@@ -48,6 +54,7 @@ def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_mix": op1_mix,
     "op4_simhash": op4_simhash,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_outliers": op8_outliers,

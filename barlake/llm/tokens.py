@@ -23,15 +23,80 @@ import heapq
 import json
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlake.llm import workers
 
-CACHE = 400_000  # remembered pieces per worker
-LONG = 256  # symbols from which a heap replaces the scan
+CACHE = 250_000  # remembered pieces per worker, in each of two generations
 SHORT = 64  # bytes up to which a piece is remembered
+LONG = 256  # symbols from which a heap replaces the scan
+TAIL = b".,!?;:#*$%&|"  # characters that are neither letters, digits, white space nor an apostrophe
+
+
+class Pieces:
+    """Ids of texts (little-endian unsigned 32-bit) from the ids of their pieces between ASCII white space.
+
+    A piece that ends in a letter and then characters of ``TAIL`` is two
+    pre-tokens; the part before is remembered by itself, in lower case if it
+    is ASCII, so that a word costs one encoding whatever follows it. Pieces
+    live in two generations: when the younger is full it becomes the older,
+    and what is met again moves back, so frequent pieces stay.
+    """
+
+    def __init__(self, learn):
+        self.learn = learn  # list of pieces -> list of ids as bytes
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _resolve(self, new: set[bytes]) -> dict[bytes, bytes]:
+        young, old = self.young, self.old
+        got: dict[bytes, bytes] = {}
+        parts: dict[bytes, tuple[bytes, bytes]] = {}
+        ask: dict[bytes, None] = {}
+        for p in new:
+            ids = old.get(p)
+            if ids is not None:
+                got[p] = ids
+                continue
+            stem = p.rstrip(TAIL)
+            if len(stem) == len(p) or not stem or not stem.decode()[-1].isalpha():
+                stem = p
+            tail = p[len(stem):]
+            if b"<|" not in stem and stem.isascii():
+                stem = stem.lower()
+            parts[p] = (stem, tail)
+            for x in parts[p]:
+                if x and x not in young and x not in old:
+                    ask[x] = None
+        todo = list(ask)
+        fresh = dict(zip(todo, self.learn(todo), strict=True)) if todo else {}
+        fresh[b""] = b""
+
+        def find(x):
+            ids = fresh.get(x)
+            if ids is None:
+                ids = young.get(x)
+            return old[x] if ids is None else ids
+
+        for p, (stem, tail) in parts.items():
+            got[p] = find(stem) + find(tail)
+        del fresh[b""]
+        if len(young) > CACHE:
+            self.old, self.young = young, {}
+        for known in (fresh, got):
+            self.young.update((k, v) for k, v in known.items() if len(k) <= SHORT)
+        return got
+
+    def encode(self, text: str) -> bytes:
+        pieces = text.encode().split()
+        out = list(map(self.young.get, pieces))
+        if None in out:
+            got = self._resolve({p for p, ids in zip(pieces, out, strict=True) if ids is None})
+            out = [got[p] if ids is None else ids for p, ids in zip(pieces, out, strict=True)]
+        return b"".join(out)
 
 
 def byte_symbols() -> list[str]:
@@ -63,7 +128,7 @@ class Codec:
             if self.special else None
         self.marks = [s[:2] for s in self.special]
         self.symbols = byte_symbols()
-        self.known: dict[bytes, list[int]] = {}
+        self.pieces = Pieces(lambda new: [np.array(self.piece(p), dtype="<u4").tobytes() for p in new])
 
     def merge(self, symbols: list[str]) -> list[int]:
         """Ids of one pre-token: merge the pair of least rank, leftmost first, until none is left."""
@@ -131,17 +196,7 @@ class Codec:
         return out + self.plain(text[at:])
 
     def encode(self, text: str) -> list[int]:
-        known, out = self.known, []
-        for raw in text.encode().split():
-            ids = known.get(raw)
-            if ids is None:
-                ids = self.piece(raw)
-                if len(raw) <= SHORT:
-                    if len(known) >= CACHE:
-                        known.clear()
-                    known[raw] = ids
-            out += ids
-        return out
+        return np.frombuffer(self.pieces.encode(text), dtype="<u4").tolist()
 
     def decode(self, ids) -> str:
         """Token texts joined by one space (the file has no decoder); unknown ids are left out."""
@@ -195,15 +250,14 @@ def bpe_decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded")
 
 def digest_batches(batches, path: str):
     """Ids and decoded text of each row as digests: neither leaves the task."""
-    import numpy as np
     c = codec(path)
     for batch in batches:
         n, a, b = [], [], []
         for t in _texts(batch.column(1)):
-            ids = c.encode(t or "")
-            n.append(len(ids))
-            a.append(hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest())
-            b.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())
+            raw = c.pieces.encode(t or "")
+            n.append(len(raw) // 4)
+            a.append(hashlib.sha256(raw).hexdigest())
+            b.append(hashlib.sha256(c.decode(np.frombuffer(raw, dtype="<u4").tolist()).encode()).hexdigest())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(b)],
                                          ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
