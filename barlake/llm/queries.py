@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import classifier, idfiles, mixing, outliers, simhash, tokens
+from barlake.llm import chat, classifier, idfiles, mixing, outliers, simhash, tokens
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -29,6 +29,15 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that says control strings, formatted as prefix trees and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                  "conv_id long, turn long, role string, text string")
+    return chat.formatted_digests(rows.unionByName(added))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document through BPE encoding and decoding."""
     return tokens.bpe_digests(table(spark, sf_dir, "documents"), vocabulary())
@@ -56,6 +65,7 @@ def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix": op1_mix,
     "op4_simhash": op4_simhash,
+    "op5_chat": op5_chat,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_outliers": op8_outliers,
     "op9_quality": op9_quality,
