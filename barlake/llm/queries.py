@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import chat, classifier, idfiles, mixing, outliers, simhash, tokens
+from barlake.llm import chat, classifier, idfiles, mixing, outliers, pages, simhash, tokens
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -38,6 +38,11 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted_digests(rows.unionByName(added))
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    return pages.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document through BPE encoding and decoding."""
     return tokens.bpe_digests(table(spark, sf_dir, "documents"), vocabulary())
@@ -66,6 +71,7 @@ QUERIES = {
     "op1_mix": op1_mix,
     "op4_simhash": op4_simhash,
     "op5_chat": op5_chat,
+    "op6_main_text": op6_main_text,
     "op7_bpe_codec": op7_bpe_codec,
     "op8_outliers": op8_outliers,
     "op9_quality": op9_quality,
