@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import chat, classifier, idfiles, mixing, neighbours, outliers, pages, simhash, tokens
+from barlake.llm import chat, classifier, idfiles, mixing, neighbours, outliers, pages, simhash, substrings, tokens
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -28,6 +28,11 @@ def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, top=10)
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without 13-word windows that a smaller doc_id has."""
+    return substrings.removal_report(table(spark, sf_dir, "documents"), width=13)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, 3 bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=3)
@@ -75,6 +80,7 @@ def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_neighbours": op2_neighbours,
+    "op3_substrings": op3_substrings,
     "op4_simhash": op4_simhash,
     "op5_chat": op5_chat,
     "op6_main_text": op6_main_text,

@@ -36,15 +36,24 @@ def new_folder(spark: SparkSession, tag: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{tag}-{uuid.uuid4().hex}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def keep(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the lineage.
 
-    A lost executor loses none of it. The folder lives as long as the
-    session's checkpoint folder.
+    A lost executor loses none of it. The job's shuffle files go when the
+    write is done, as nothing reads them again. The folder lives as long as
+    the session's checkpoint folder.
     """
     spark = df.sparkSession
     path = new_folder(spark, tag)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
