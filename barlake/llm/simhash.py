@@ -144,7 +144,7 @@ def links(fps: DataFrame, radius: int) -> DataFrame:
         blank = ~mask & ((1 << 64) - 1)
         tag = block * (blank & -blank)  # the blanked bits hold the block's number: keys of different blocks differ mostly
         keyed += [kept.bitwiseXOR(F.lit(_signed(flip | tag)).cast("long")) for flip in flips]
-    buckets = fps.select(F.explode(F.array(*keyed)).alias("key"), "fp") \
+    buckets = fps.repartition(parts, "fp").select(F.explode(F.array(*keyed)).alias("key"), "fp") \
         .repartition(parts, "key").sortWithinPartitions("key")
     return buckets.mapInArrow(workers.task(__name__, "link_batches", radius=radius), "a long, b long").distinct()
 

@@ -1,0 +1,95 @@
+import collections
+import re
+import zlib
+
+import numpy as np
+import pyarrow.parquet as pq
+from awkward import document_rows, documents, sentence, words
+
+from barlake.llm import classifier, outliers
+from barlake.llm.queries import op8_outliers, op9_quality
+
+FOLDER = "/root/testdata/sf0.1"
+
+
+def brute_stats(text):
+    t, w = text or "", words(text)
+    grams = list(zip(w, w[1:], w[2:], strict=False))
+    often = collections.Counter(grams)
+    covered = {j for i, g in enumerate(grams) if often[g] > 1 for j in (i, i + 1, i + 2)}
+    lines = [x for x in t.split("\n") if words(x)]
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(covered)
+
+
+def test_text_statistics(spark):
+    got = outliers.quality_outliers(documents(spark)).collect()
+    stats = sorted((str(r.doc_id), r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got)
+    assert stats == sorted((str(r[0]), *brute_stats(r[1])) for r in document_rows())
+    for r in got:
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert r.kept is False if r.base_failed else isinstance(r.kept, bool)
+    assert outliers.quality_outliers(documents(spark, [])).count() == 0
+
+
+def test_plan_is_native(spark, capsys):
+    outliers.text_statistics(documents(spark)).explain()
+    assert not re.search("Python|Pandas|Arrow", capsys.readouterr().out)
+
+
+def test_outliers_against_numpy_and_planted_rows(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, float(a), float(b), "g" if i % 2 else None) for i, (a, b) in
+            enumerate(rng.multivariate_normal([3, 1], [[1, 0.6], [0.6, 1]], 600))]
+    rows += [(1000 + i, 12.0 + i, -9.0, "g") for i in range(40)] + [(2000, None, float("nan"), "one")]
+    df = spark.createDataFrame(rows, "doc_id long, x double, y double, grp string")
+    got = outliers.outlier_distances(df, ["x", "y"], ["grp"], [0.01, 0.01], shrink=0.61).collect()
+    d2 = {r.doc_id: r.d2 for r in got}
+    assert len(d2) == len(rows) and all(d2[1000 + i] > 60 for i in range(40))
+    assert np.quantile([d2[i] for i in range(600)], 0.99) < 30
+    inner = np.array([[r[1], r[2]] for r in rows[1:600:2]])
+    exact = np.einsum("ij,jk,ik->i", inner - inner.mean(0), np.linalg.inv(np.cov(inner.T)), inner - inner.mean(0))
+    assert np.corrcoef(exact, [d2[r[0]] for r in rows[1:600:2]])[0, 1] > 0.9
+
+
+def test_clean_documents_are_kept_and_junk_goes(spark):
+    got = op8_outliers(spark, FOLDER).toPandas().merge(pq.read_table(f"{FOLDER}/labels.parquet").to_pandas(), on="doc_id")
+    passed = got[~got.base_failed]
+    assert passed[passed.quality == 1].kept.mean() > 0.995
+    assert passed[passed.quality == 0].kept.mean() < 0.5
+
+
+def test_held_out_accuracy(spark):
+    got = op9_quality(spark, FOLDER).toPandas().merge(pq.read_table(f"{FOLDER}/labels.parquet").to_pandas(), on="doc_id")
+    held = got[got.held_out]
+    assert all((zlib.crc32(str(i).encode()) % 5 == 0) == h for i, h in zip(got.doc_id, got.held_out, strict=True))
+    assert (held.predicted == held.quality).mean() > 0.97
+    assert held[held.quality == 1].predicted.mean() > 0.99
+
+
+def test_scores_by_the_sum_of_squares_identity():
+    rng = np.random.default_rng(0)
+    m = classifier.Machine(dims=30, dense=3, rank=4)
+    m.w, m.v, m.w0 = rng.normal(size=33), rng.normal(size=(33, 4)), 0.3
+    cols, value, first, dense = np.array([1, 5, 9, 2]), rng.normal(size=4), np.array([0, 3, 3, 4]), rng.normal(size=(3, 3))
+    for k, z in enumerate(m.raw(cols, value, first, dense)[0]):
+        x = np.zeros(33)
+        x[cols[first[k]:first[k + 1]]] = value[first[k]:first[k + 1]]
+        x[30:] = dense[k]
+        pairs = sum(m.v[i] @ m.v[j] * x[i] * x[j] for i in range(33) for j in range(i))
+        assert abs(z - (0.3 + m.w @ x + pairs)) < 1e-9
+
+
+def test_awkward_documents_and_labels(spark):
+    docs = documents(spark, document_rows() + [(200 + i, ("### | " * 40) + sentence(i, 20), "en", "a", 0) for i in range(40)])
+    labels = spark.createDataFrame([(i, 1, "x") for i in range(1, 70)] + [(200 + i, 0, "x") for i in range(40)]
+                                   + [(None, 1, "x"), (3, None, "x"), (3, 0, "x"), (9999, 1, "x")], "doc_id long, quality int, row string")
+    first = classifier.scored(docs, classifier.train(docs, labels), columns=["doc_id"])
+    got = [(r.row.doc_id, r.score) for r in first.collect()]
+    assert len(got) == docs.count() and all(0 <= s <= 1 for _, s in got)
+    again = classifier.scored(docs, classifier.train(docs.repartition(7), labels.repartition(5)), columns=["doc_id"])
+    assert sorted(got, key=str) == sorted(((r.row.doc_id, r.score) for r in again.collect()), key=str)
+    kept = classifier.keep_good(docs, labels)
+    assert kept.columns == docs.columns and not {r.doc_id for r in kept.collect()} & set(range(200, 240))
+    none = classifier.train(docs, labels.limit(0))
+    assert {round(r.score, 6) for r in classifier.scored(docs, none, columns=["doc_id"]).collect()} == {0.5}
+    assert classifier.keep_good(documents(spark, []), labels).count() == 0
