@@ -71,14 +71,3 @@ def unpack_value(key: Column, value_digits: int) -> Column:
     base = F.lit(Decimal(10) ** (value_digits + 1))
     shift = F.lit(Decimal(10) ** value_digits - 1)
     return (F.pmod(key, base) - shift).cast(DecimalType(38, 0))
-
-
-def to_double_columns(df: DataFrame) -> DataFrame:
-    """Cast every decimal column to double (final select of a report only)."""
-    cols = []
-    for field in df.schema.fields:
-        if isinstance(field.dataType, DecimalType):
-            cols.append(F.col(field.name).cast("double").alias(field.name))
-        else:
-            cols.append(F.col(field.name))
-    return df.select(*cols)

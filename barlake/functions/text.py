@@ -25,7 +25,3 @@ def parse_ticker_list(text: str) -> list[str]:
     """A comma-separated ticker parameter as a clean list (empty items dropped)."""
     return [t.strip().upper() for t in text.split(",") if t.strip()]
 
-
-def explode_ticker_list(col: Column) -> Column:
-    """A column of comma-separated ticker lists, one normalised ticker per row."""
-    return normalise_ticker(F.explode(F.split(col, ",")))

@@ -28,16 +28,25 @@ def _exact(col: Column, dtype) -> Column:
     raise TypeError(f"moving averages need an exact (decimal or integral) column, got {dtype}")
 
 
+def wide_scale(dtype) -> int:
+    return dtype.scale if isinstance(dtype, DecimalType) else 0
+
+
 def rolling_mean(col: str, dtype, spec: WindowSpec, start: int, end: int, scale: int) -> Column:
     """Exact mean of ``col`` over ROWS BETWEEN ``start`` AND ``end``, rounded half up.
 
-    Implemented as exact sum / count over the frame: NULLs are ignored, a
-    frame without values gives NULL.
+    Exact sum / count over the frame: NULLs are ignored, a frame without
+    values gives NULL. The frame's sum is the running sum up to its end less
+    the running sum before its start, so a row costs the same whatever the
+    width (decimal sums are exact, and so is their difference).
     """
-    frame = spec.rowsBetween(start, end)
-    total = _exact(F.sum(col).over(frame), dtype)
-    count = F.count(col).over(frame).cast(DecimalType(10, 0))
-    return half_up_ratio(total, count, scale)
+    def upto(c: Column, row: int) -> Column:
+        return c.over(spec.rowsBetween(Window.unboundedPreceding, row))
+
+    wide = _exact(F.col(col), dtype)
+    total = F.coalesce(upto(F.sum(wide), end), F.lit(0)) - F.coalesce(upto(F.sum(wide), start - 1), F.lit(0))
+    count = upto(F.count(col), end) - upto(F.count(col), start - 1)
+    return F.when(count > 0, half_up_ratio(total.cast(DecimalType(38, wide_scale(dtype))), count.cast(DecimalType(10, 0)), scale))
 
 
 def calculate_sma(column: str, partition_col: str, order_col: str, window_size: int,

@@ -20,7 +20,7 @@ def latest_date(silver: DataFrame, col: str = "trade_date"):
 def latest_prices(silver: DataFrame) -> DataFrame:
     """Prices of every ticker on the newest trade date, by ticker.
 
-    The scalar subquery result becomes a runtime filter on the scan.
+    The scalar subquery is worked out first and filters below the projection.
     """
     return (silver.where(F.col("trade_date") == latest_date(silver))
             .select("ticker", "trade_date", "open_price", "close_price", "volume")

@@ -6,15 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def sector_heatmap(sector_perf: DataFrame, sectors: list[str]) -> DataFrame:
-    """Average daily return, one row per date and one column per sector.
+def sector_heatmap(sector_perf: DataFrame) -> DataFrame:
+    """Average daily return of every sector and date, one row for each (the heatmap's cells).
 
-    The pivot values are given, so no extra job scans for distinct sectors.
-    (sector, trade_date) is unique in the sector fact; max picks its value.
+    Long rows: no list of sectors is needed, and the NULL sector is a row like any other.
     """
-    return (sector_perf.groupBy("trade_date")
-            .pivot("sector", sectors)
-            .agg(F.max("avg_daily_return")))
+    return sector_perf.groupBy("sector", "trade_date").agg(F.max("avg_daily_return").alias("avg_daily_return"))
 
 
 def top_gainers(daily: DataFrame, k: int = 5) -> DataFrame:

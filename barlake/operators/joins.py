@@ -1,42 +1,15 @@
-"""Join helpers: broadcast only behind a size check."""
+"""Join helpers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Default row bound for a broadcast side. A dimension or mapping row here is
-# a few short columns (well under 100 bytes), so the bound keeps the
-# broadcast relation far below executor memory.
-DEFAULT_BROADCAST_ROWS = 1_000_000
 
+def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """Equi-join a fact to a dimension, without a hint.
 
-def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows (bounded count, stops past the bound)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows.
-
-    The check is a bounded count (``limit(max_rows + 1).count()``): it stops
-    reading once the bound is exceeded and only returns a number to the
-    driver. Above the bound the DataFrame is returned unhinted, so the
-    planner falls back to a shuffle join (and AQE may still convert it at
-    runtime if the real size turns out small).
-    """
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
-def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-                max_rows: int | None = None) -> DataFrame:
-    """Equi-join a fact to a dimension.
-
-    By default no hint is given: the planner broadcasts the dimension only
-    when its estimated size is below ``spark.sql.autoBroadcastJoinThreshold``
-    and otherwise plans a sort-merge join; AQE re-checks the real size at
-    runtime. That check costs no extra job. With ``max_rows`` the explicit
-    bounded count of :func:`bounded_broadcast` decides instead.
+    The planner broadcasts the dimension only when its estimated size is
+    below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise plans a
+    sort-merge join; AQE re-checks the real size at runtime.
     """
-    side = dim if max_rows is None else bounded_broadcast(dim, max_rows)
-    return fact.join(side, on, how)
+    return fact.join(dim, on, how)

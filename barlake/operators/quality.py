@@ -55,7 +55,11 @@ def rejected_values(df: DataFrame, column: str, accepted: list[str]) -> DataFram
             .groupBy(column).agg(F.count(F.lit(1)).alias("n")))
 
 
-def return_range_violations(daily: DataFrame, limit: float = 0.50) -> DataFrame:
+# Fixed value: the largest absolute daily return that is not a finding.
+RETURN_LIMIT = 0.50
+
+
+def return_range_violations(daily: DataFrame, limit: float = RETURN_LIMIT) -> DataFrame:
     """Rows whose absolute daily return exceeds ``limit`` (the test passes when empty)."""
     r = F.col("daily_return")
     return (daily.where(r.isNotNull() & (F.abs(r) > F.lit(limit).cast("decimal(18,6)")))
@@ -91,39 +95,49 @@ NOT_NULL_CHECKS = [
 ]
 
 
-def _row(check: str, target: str, failures: Column, status: Column | None = None):
-    failures = F.coalesce(failures, F.lit(0)).cast("bigint")
-    status = status if status is not None else F.when(failures > 0, "fail").otherwise("pass")
-    return [F.lit(check).alias("check_name"), F.lit(target).alias("target"),
-            failures.alias("failures"), status.alias("status")]
+def _checks(df: DataFrame, aggs: dict[tuple[str, str], Column], status: dict[tuple[str, str], Column] | None = None) -> DataFrame:
+    """(check_name, target, failures, status) rows from one aggregate over ``df``: one scan for all its checks."""
+    names = {k: f"c{i}" for i, k in enumerate(aggs)}
+    one = df.agg(*[aggs[k].alias(n) for k, n in names.items()])
+    rows = []
+    for (check, target), n in names.items():
+        special = (status or {}).get((check, target))
+        state = special(F.col(n)) if special else F.when(F.coalesce(F.col(n), F.lit(0)) > 0, "fail").otherwise("pass")
+        failures = F.when(state == "pass", 0).otherwise(1) if special else F.coalesce(F.col(n), F.lit(0))
+        rows.append(F.struct(F.lit(check).alias("check_name"), F.lit(target).alias("target"),
+                             failures.cast("bigint").alias("failures"), state.alias("status")))
+    return one.select(F.inline(F.array(*rows)))
 
 
 def check_report(raw: DataFrame, daily: DataFrame, sector: DataFrame, dim: DataFrame,
                  as_of: datetime | str | Column) -> DataFrame:
     """Every check of the models as one small DataFrame: (check_name, target, failures, status).
 
-    Each check is an aggregate (partial per task); the union runs as one
-    job and returns one row per check, so the caller collects a handful of
-    rows instead of running one action per check.
+    One aggregate for each model answers all its checks in one scan; only
+    uniqueness, which groups, reads the dimension again.
     """
     models = {"stock_prices": raw, "fct_daily_trading": daily,
               "fct_sector_performance": sector, "dim_stocks": dim}
-    parts = []
+    now = timestamp_literal(as_of)
+
+    def age(newest: Column) -> Column:
+        seconds = F.unix_timestamp(now) - F.unix_timestamp(newest)
+        return (F.when(newest.isNull() | (seconds > FRESHNESS_ERROR_HOURS * 3600), F.lit("error"))
+                .when(seconds > FRESHNESS_WARN_HOURS * 3600, F.lit("warn")).otherwise(F.lit("pass")))
+
+    sector_name, change = F.col("sector"), F.col("daily_return")
+    more = {
+        "stock_prices": {("freshness", "stock_prices.processed_at"): F.max("processed_at")},
+        "fct_daily_trading": {
+            ("accepted_values", "fct_daily_trading.sector"):
+                F.count_if(sector_name.isNotNull() & ~sector_name.isin(ACCEPTED_SECTORS)),
+            ("return_range", "fct_daily_trading.daily_return"):
+                F.count_if(change.isNotNull() & (F.abs(change) > F.lit(RETURN_LIMIT).cast("decimal(18,6)")))},
+    }
+    out = duplicate_keys(dim, ["ticker"]).transform(
+        lambda d: _checks(d, {("unique", "dim_stocks.ticker"): F.count("n")}))
     for model, cols in NOT_NULL_CHECKS:
-        counts = models[model].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-        for c in cols:
-            parts.append(counts.select(*_row("not_null", f"{model}.{c}", F.col(c))))
-    parts.append(duplicate_keys(dim, ["ticker"]).agg(
-        *_row("unique", "dim_stocks.ticker", F.count(F.lit(1)))))
-    parts.append(rejected_values(daily, "sector", ACCEPTED_SECTORS).agg(
-        *_row("accepted_values", "fct_daily_trading.sector", F.sum("n"))))
-    parts.append(return_range_violations(daily).agg(
-        *_row("return_range", "fct_daily_trading.daily_return", F.count(F.lit(1)))))
-    fresh = freshness(raw, "processed_at", as_of)
-    parts.append(fresh.select(*_row("freshness", "stock_prices.processed_at",
-                                    F.when(F.col("status") == "pass", 0).otherwise(1),
-                                    F.col("status"))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        aggs = {("not_null", f"{model}.{c}"): F.count_if(F.col(c).isNull()) for c in cols}
+        out = out.unionByName(_checks(models[model], {**aggs, **more.get(model, {})},
+                                      {("freshness", "stock_prices.processed_at"): age}))
     return out

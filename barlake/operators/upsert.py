@@ -3,31 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from barlake.operators.flatten import KEY_COLUMNS, keep_latest
-from barlake.operators.joins import DEFAULT_BROADCAST_ROWS, fits_broadcast
 
 
-def upsert(current: DataFrame, incoming: DataFrame, keys: list[str] | None = None,
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Merge ``incoming`` into ``current``: per key the newest ingest wins.
+def upsert(current: DataFrame, incoming: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Merge ``incoming`` into ``current``: per key the newest ingest wins, one row per key.
 
     Ordering is by ``ingested_at`` (then values), never by arrival, so an
-    older pull landing after a newer one cannot displace it.
+    older pull landing after a newer one cannot displace it. Keys compare
+    with NULL equal to NULL, and copies already in ``current`` collapse too.
 
-    Plan: when the batch's key set is proven small it is broadcast, and the
-    current table is only scanned (anti-join keeps untouched rows, semi-join
-    picks the touched ones; no shuffle of history). Otherwise both sides go
-    through one keyed aggregation.
+    One keyed aggregation with partial aggregation on the map side, whatever
+    the sizes. To leave untouched history unread, merge by partition
+    (``sources.merge``).
     """
     keys = keys or KEY_COLUMNS
-    incoming = incoming.select(*current.columns)
-    new_keys = incoming.select(*keys).distinct()
-    if fits_broadcast(new_keys, max_broadcast_rows):
-        hinted = F.broadcast(new_keys)
-        untouched = current.join(hinted, keys, "left_anti")
-        touched = current.join(hinted, keys, "left_semi")
-        merged = keep_latest(touched.unionByName(incoming), keys).select(*current.columns)
-        return untouched.unionByName(merged)
-    return keep_latest(current.unionByName(incoming), keys).select(*current.columns)
+    both = current.unionByName(incoming.select(*current.columns))
+    return keep_latest(both, keys).select(*current.columns)

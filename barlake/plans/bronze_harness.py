@@ -20,6 +20,7 @@ day fault (first rule)  r = 2 and doy % 17 = 0: close "abc"
                         doy % 13 = 0: volume key missing (volume 0)
 pull (first rule)       q % 13 = 7: "Error Message" payload (quarantined)
                         q % 23 = 9: "Note" payload (quarantined)
+                        q % 29 = 11: a web page instead of JSON (quarantined)
                         q % 11 in (5, 8, 10): file damaged ({bad, [1], empty)
                         q % 19 = 0: empty series (skipped)
 extra                   q % 5 = 0: an extra day keyed YYYY-13-40
@@ -118,6 +119,7 @@ def api_payloads(bars: DataFrame) -> DataFrame:
                     F.lit("}"))
     payload = (F.when(_q() % 13 == 7, F.lit('{"Error Message": "Invalid API call."}'))
                .when(_q() % 23 == 9, F.lit('{"Note": "API call frequency exceeded."}'))
+               .when(_q() % 29 == 11, F.lit("<html>busy</html>"))
                .otherwise(data))
     return entries.select("ticker", "q", fetched_at(_q()).alias("fetched_at"),
                           payload.alias("payload"))
@@ -189,9 +191,7 @@ def q_silver_upsert(spark, sf_dir):
     """Two batches merged by key; late pulls of the first period arrive with the second."""
     from barlake.operators.upsert import upsert
     from barlake.sources.tables import stage
-    # Both batches and the key-size check read the same flattened rows: stage
-    # them once in the session's shared checkpoint folder instead of
-    # rebuilding the documents three times.
+    # Both batches read the same flattened rows: staged once.
     rows = stage(spark, flattened(spark, sf_dir).rows, "flattened")
     first = (_q() <= UPSERT_SPLIT_MONTH) & (_q() % 4 != 0)
     current = silver_rows(rows.where(first))
@@ -199,15 +199,6 @@ def q_silver_upsert(spark, sf_dir):
     return _stamp(upsert(current, incoming).select(*ROW_COLUMNS))
 
 
-def q_dq_unique_copies(spark, sf_dir):
-    """Keys delivered more than once among the cleaned rows (before deduplication)."""
-    from barlake.operators.quality import duplicate_keys
-    dups = duplicate_keys(clean_rows(spark, sf_dir), ["ticker", "trade_date"])
-    return dups.select(F.lit("silver_clean").alias("model"),
-                       F.concat_ws("|", "ticker", F.col("trade_date").cast("string")).alias("key_value"),
-                       "n")
-
-
 def q_silver_merge(spark, sf_dir):
     """The two batches of the upsert case merged into a month-partitioned table.
 
@@ -226,3 +217,64 @@ def q_silver_merge(spark, sf_dir):
     merge_into(spark, path, silver_rows(rows.where(first)))
     out = merge_into(spark, path, silver_rows(rows.where(~first)))
     return _stamp(out.select(*ROW_COLUMNS))
+
+
+def _fresh_path(spark, name):
+    import uuid
+
+    from barlake.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_silver_by_ticker(spark, sf_dir):
+    """Silver partitioned by ticker; a second write of some tickers leaves the others alone."""
+    from barlake.sources.tables import stage, write_silver
+    rows = stage(spark, silver_rows(flattened(spark, sf_dir).rows), "silver")
+    path = _fresh_path(spark, "silver-by-ticker")
+    write_silver(rows, path, ["ticker"])
+    write_silver(rows.where(F.length("ticker") % 2 == 0), path, ["ticker"])
+    return _stamp(spark.read.parquet(path).select(*ROW_COLUMNS))
+
+
+def q_table_reload(spark, sf_dir):
+    """A partitioned catalog table holding a stale ticker, reloaded in full from Parquet."""
+    from barlake.sources import tables
+    rows = silver_rows(flattened(spark, sf_dir).rows)
+    source, path = _fresh_path(spark, "reload-source"), _fresh_path(spark, "reload-table")
+    tables.write_silver(rows, source)
+    name = "reload_" + path.rsplit("-", 1)[1]
+    silver = spark.read.parquet(source)
+    columns = ["ticker", *[c for c in silver.columns if c != "ticker"]]
+    tables.create_external_table(spark, name, path, silver.schema, ["ticker"])
+    try:
+        stale = silver.limit(1).withColumn("ticker", F.lit("STALE"))
+        stale.select(*spark.table(name).columns).write.insertInto(name)
+        tables.reload_table(spark, name, source)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the files stay
+    return _stamp(spark.read.schema(silver.select(*columns).schema).parquet(path).select(*ROW_COLUMNS))
+
+
+def _landed(spark, sf_dir) -> str:
+    root = _fresh_path(spark, "landed")
+    bronze.land_documents(documents_for(spark, sf_dir), root)
+    return root
+
+
+def q_landed_roundtrip(spark, sf_dir):
+    """Documents landed as files, read back and flattened."""
+    docs = bronze.read_bronze(spark, _landed(spark, sf_dir), wholetext=False)
+    return _stamp(fl.flatten_documents(docs, PROCESSED_AT).rows.select("date_key", *ROW_COLUMNS))
+
+
+def q_landed_date(spark, sf_dir):
+    """One processing date read from the landed files."""
+    docs = bronze.read_bronze(spark, _landed(spark, sf_dir), "1998-06-01", wholetext=False)
+    return _stamp(fl.flatten_documents(docs, PROCESSED_AT).rows.select("date_key", *ROW_COLUMNS))
+
+
+def q_run_accounting(spark, sf_dir):
+    from barlake.operators import accounting
+    from barlake.sources.tables import stage
+    days = stage(spark, accounting.document_days(documents_for(spark, sf_dir), PROCESSED_AT), "days")
+    return accounting.accounting(days)

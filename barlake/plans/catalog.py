@@ -1,8 +1,7 @@
 """Models as named views, so they can be queried with SQL text.
 
 ``register_models`` builds the model chain over a silver table and a seed
-and registers each model under its usual name; ``ADHOC_SQL`` holds the
-ad-hoc reports as Spark SQL over those names. Views are lazy: a query plans
+and registers each model under its usual name. Views are lazy: a query plans
 through the whole chain and Catalyst optimises it as one plan.
 """
 
@@ -33,51 +32,3 @@ def register_models(spark: SparkSession, silver: DataFrame, seed: DataFrame,
     for name, df in views.items():
         df.createOrReplaceTempView(prefix + name)
     return views
-
-
-# The ad-hoc reports in Spark SQL over the registered names ({p} = prefix).
-# Exact decimals throughout; DATE_TRUNC is replaced by trunc(...) to keep a DATE.
-ADHOC_SQL = {
-    "latest_prices": """
-SELECT ticker, trade_date, open_price, close_price, volume
-FROM {p}silver_stock_prices
-WHERE trade_date = (SELECT max(trade_date) FROM {p}silver_stock_prices)
-ORDER BY ticker""",
-    "top_movers": """
-WITH latest AS (
-  SELECT ticker, trade_date, close_price,
-         lag(close_price) OVER (PARTITION BY ticker ORDER BY trade_date) AS prev_close
-  FROM {p}silver_stock_prices)
-SELECT ticker, trade_date, close_price, prev_close,
-       round((close_price - prev_close) * 100 / prev_close, 2) AS pct_change
-FROM latest
-WHERE trade_date = (SELECT max(trade_date) FROM latest) AND prev_close IS NOT NULL
-ORDER BY abs((close_price - prev_close) / prev_close) DESC, ticker""",
-    "price_history": """
-SELECT ticker, trade_date, open_price, high_price, low_price, close_price, volume
-FROM {p}silver_stock_prices WHERE ticker = '{ticker}'
-ORDER BY trade_date DESC LIMIT 20""",
-    "volume_spikes": """
-WITH va AS (
-  SELECT ticker, trade_date, volume,
-         sum(CAST(volume AS DECIMAL(20,0))) OVER w AS sv, count(volume) OVER w AS n
-  FROM {p}silver_stock_prices
-  WINDOW w AS (PARTITION BY ticker ORDER BY trade_date ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING))
-SELECT ticker, trade_date, volume,
-       CAST(round(sv / n, 0) AS BIGINT) AS avg_volume_20d,
-       round(CAST(volume AS DECIMAL(20,0)) * n / sv, 2) AS relative_volume
-FROM va WHERE n > 0 AND sv > 0 AND volume * n > 2 * sv
-ORDER BY trade_date DESC, relative_volume DESC, ticker""",
-    "monthly_average": """
-SELECT ticker, trunc(trade_date, 'MM') AS month,
-       round(avg(close_price), 2) AS avg_close,
-       CAST(round(avg(CAST(volume AS DECIMAL(20,0))), 0) AS BIGINT) AS avg_volume,
-       count(*) AS trading_days
-FROM {p}silver_stock_prices
-GROUP BY ticker, trunc(trade_date, 'MM')
-ORDER BY ticker, month DESC""",
-}
-
-
-def adhoc_sql(spark: SparkSession, name: str, prefix: str = "", **params) -> DataFrame:
-    return spark.sql(ADHOC_SQL[name].format(p=prefix, **params))

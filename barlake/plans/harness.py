@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.functions.numeric import PRICE_TYPE
+from barlake.functions.text import parse_ticker_list
 from barlake.functions.windows import calculate_sma
 from barlake.operators import adhoc, dashboards, quality
 from barlake.operators import indicators as ind
@@ -24,17 +25,15 @@ from barlake.plans import bronze_harness as bh
 from barlake.plans.reporting import report
 from barlake.sources.testbars import bars_for, read_table
 
-# Fixed values of the harness mapping (not of the reference): the nation
-# left out of the dimension, so some facts have no sector; the ticker the
-# single-ticker history report looks at; the clock of the freshness check.
-DIM_EXCLUDED_NATION = 24
+# Fixed values of the harness mapping: the ticker the single-ticker history
+# report looks at; the clock of the freshness check.
 HISTORY_TICKER = "NATION_7"
 RUN_TS = datetime(2001, 11, 6, 12, 0, 0)
 
 
-def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_prices(spark: SparkSession, sf_dir: str, tickers: list[str] | None = None) -> DataFrame:
     """Bars in the raw landing shape (decimal(12,4) prices, source and stamps)."""
-    bars = bars_for(spark, sf_dir)
+    bars = bars_for(spark, sf_dir, tickers)
     day = F.col("trade_date").cast("timestamp")
     return bars.select(
         "ticker", "trade_date",
@@ -50,8 +49,7 @@ def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dim_from_geography(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
-    seed = (nation.where(F.col("n_nationkey") != DIM_EXCLUDED_NATION)
-            .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    seed = (nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
             .select(F.col("n_name").alias("ticker"),
                     F.concat(F.col("n_name"), F.lit(" Holdings & Co")).alias("company_name"),
                     F.col("r_name").alias("sector"),
@@ -125,7 +123,7 @@ def q_top_movers(spark, sf_dir):
 
 
 def q_price_history(spark, sf_dir):
-    return report(adhoc.price_history(raw_prices(spark, sf_dir), HISTORY_TICKER, 20))
+    return report(adhoc.price_history(raw_prices(spark, sf_dir, [HISTORY_TICKER]), HISTORY_TICKER, 20))
 
 
 def q_volume_spikes(spark, sf_dir):
@@ -136,25 +134,6 @@ def q_monthly_average(spark, sf_dir):
     return report(adhoc.monthly_average(raw_prices(spark, sf_dir)))
 
 
-def _sql_report(spark, sf_dir, name):
-    from barlake.plans.catalog import adhoc_sql, register_models
-    register_models(spark, raw_prices(spark, sf_dir), dim_from_geography(spark, sf_dir),
-                    prefix="harness_")
-    return report(adhoc_sql(spark, name, prefix="harness_", ticker=HISTORY_TICKER))
-
-
-def q_sql_top_movers(spark, sf_dir):
-    return _sql_report(spark, sf_dir, "top_movers")
-
-
-def q_sql_volume_spikes(spark, sf_dir):
-    return _sql_report(spark, sf_dir, "volume_spikes")
-
-
-def q_sql_monthly_average(spark, sf_dir):
-    return _sql_report(spark, sf_dir, "monthly_average")
-
-
 def q_dq_not_null(spark, sf_dir):
     raw = raw_prices(spark, sf_dir)
     daily = daily_fact(spark, sf_dir)
@@ -225,7 +204,7 @@ TICKER_LIST = "NATION_1, nation_3 ,NATION_5,,NATION_24"
 
 
 def q_ticker_filter(spark, sf_dir):
-    rows = adhoc.filter_tickers(raw_prices(spark, sf_dir), TICKER_LIST)
+    rows = adhoc.filter_tickers(raw_prices(spark, sf_dir, parse_ticker_list(TICKER_LIST)), TICKER_LIST)
     return report(rows.groupBy("ticker").agg(F.count(F.lit(1)).alias("days"),
                                              F.max("trade_date").alias("last_date"),
                                              F.sum("volume").alias("total_volume")))
@@ -235,12 +214,8 @@ def q_row_count(spark, sf_dir):
     return report(adhoc.row_count(raw_prices(spark, sf_dir)))
 
 
-# Fixed values of the harness: the sectors (region names) shown in the heatmap.
-HEATMAP_SECTORS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
-
-
 def q_sector_heatmap(spark, sf_dir):
-    return report(dashboards.sector_heatmap(sector_fact(spark, sf_dir), HEATMAP_SECTORS))
+    return report(dashboards.sector_heatmap(sector_fact(spark, sf_dir)))
 
 
 def q_top_gainers(spark, sf_dir):
@@ -259,6 +234,40 @@ def q_relative_volume_spikes(spark, sf_dir):
     return report(dashboards.relative_volume_spikes(daily_fact(spark, sf_dir)))
 
 
+def q_staging_view(spark, sf_dir):
+    """The catalog's staging view over a landing table."""
+    import uuid
+
+    from barlake.sources import tables
+    name = uuid.uuid4().hex
+    path = bh._fresh_path(spark, "landing")
+    tables.write_silver(tables.conform(raw_prices(spark, sf_dir)), path)
+    tables.create_schemas(spark, ["harness_raw", "harness_analytics"])
+    tables.create_external_table(spark, f"harness_raw.prices_{name}", path, tables.LANDING_SCHEMA)
+    tables.create_staging_view(spark, f"harness_analytics.stg_{name}", f"harness_raw.prices_{name}")
+    return report(spark.table(f"harness_analytics.stg_{name}").drop("ingested_at", "processed_at"))
+
+
+def q_incremental_indicators(spark, sf_dir):
+    """Indicators kept by month: built from part of the bars with wrong prices, then revised by the rest."""
+    from barlake.plans.incremental import update_indicators
+    from barlake.sources.merge import merge_into, touched_partitions, with_partition
+    from barlake.sources.merge import read_table as read_parquet
+    silver, table = bh._fresh_path(spark, "inc-silver"), bh._fresh_path(spark, "inc-indicators")
+    rows = raw_prices(spark, sf_dir)
+    late = (F.year("trade_date") == 1996) & (F.month("trade_date") == 3) | (F.year("trade_date") == 1998)
+    wrong = rows.where((F.year("trade_date") != 1998) & (F.col("volume") >= 0)).withColumn(
+        "close_price", F.when(late, F.col("close_price") + 1).otherwise(F.col("close_price")).cast(PRICE_TYPE)) \
+        .withColumn("ingested_at", F.col("ingested_at") - F.expr("INTERVAL 1 DAY"))
+    for batch in (wrong, rows.where(late)):
+        merge_into(spark, silver, batch)
+        months = touched_partitions(with_partition(batch))
+        update_indicators(spark, silver, table, months)
+    return report(read_parquet(spark, table).select(
+        "ticker", "trade_date", "close_price", "volume", "daily_return", "sma_20", "sma_50",
+        "volatility_20d", "volume_sma_20", "relative_volume", "sma_crossover"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sector_performance": q_sector_performance,
     "staging": q_staging,
@@ -271,9 +280,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_history": q_price_history,
     "volume_spikes": q_volume_spikes,
     "monthly_average": q_monthly_average,
-    "sql_top_movers": q_sql_top_movers,
-    "sql_volume_spikes": q_sql_volume_spikes,
-    "sql_monthly_average": q_sql_monthly_average,
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
     "dq_accepted_values": q_dq_accepted_values,
@@ -294,5 +300,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_clean": lambda spark, d: report(bh.q_silver_clean(spark, d)),
     "silver_dedupe": lambda spark, d: report(bh.q_silver_dedupe(spark, d)),
     "silver_upsert": lambda spark, d: report(bh.q_silver_upsert(spark, d)),
+    "silver_by_ticker": lambda spark, d: report(bh.q_silver_by_ticker(spark, d)),
+    "table_reload": lambda spark, d: report(bh.q_table_reload(spark, d)),
+    "landed_roundtrip": lambda spark, d: report(bh.q_landed_roundtrip(spark, d)),
+    "landed_date": lambda spark, d: report(bh.q_landed_date(spark, d)),
+    "run_accounting": lambda spark, d: report(bh.q_run_accounting(spark, d)),
+    "staging_view": q_staging_view,
+    "incremental_indicators": q_incremental_indicators,
     "silver_merge": lambda spark, d: report(bh.q_silver_merge(spark, d)),
 }

@@ -69,8 +69,7 @@ DIM = """
 dim AS (
   SELECT n_name AS ticker, n_name || ' Holdings & Co' AS company_name, r_name AS sector,
          CASE WHEN n_nationkey < 10 THEN 'Large Cap' ELSE 'Mid Cap' END AS market_cap_category
-  FROM nation JOIN region ON n_regionkey = r_regionkey
-  WHERE n_nationkey <> 24)"""
+  FROM nation JOIN region ON n_regionkey = r_regionkey)"""
 
 DAILY = INDICATORS + "," + DIM + """,
 daily AS (
@@ -212,13 +211,7 @@ SELECT ticker, strftime(m, '%Y-%m-%d %H:%M:%S') AS max_loaded_at, age / 3600.0 A
          AS status
 FROM g"""),
     "sector_heatmap": _sql(SECTOR_AVG, """
-SELECT trade_date,
-  max(avgr) FILTER (WHERE sector = 'AFRICA') / 1000000.0 AS "AFRICA",
-  max(avgr) FILTER (WHERE sector = 'AMERICA') / 1000000.0 AS "AMERICA",
-  max(avgr) FILTER (WHERE sector = 'ASIA') / 1000000.0 AS "ASIA",
-  max(avgr) FILTER (WHERE sector = 'EUROPE') / 1000000.0 AS "EUROPE",
-  max(avgr) FILTER (WHERE sector = 'MIDDLE EAST') / 1000000.0 AS "MIDDLE EAST"
-FROM secf GROUP BY trade_date"""),
+SELECT sector, trade_date, max(avgr) / 1000000.0 AS avg_daily_return FROM secf GROUP BY sector, trade_date"""),
     "top_gainers": _sql(DAILY, """
 SELECT ticker, company_name, dsector AS sector, trade_date, c / 100.0 AS close_price,
        rm / 1000000.0 AS daily_return
@@ -259,6 +252,7 @@ pf AS (
 ing AS (
   SELECT ticker, q,
     CASE WHEN q % 13 = 7 THEN 'error_message' WHEN q % 23 = 9 THEN 'rate_limited'
+         WHEN q % 29 = 11 THEN 'not_json'
          WHEN q % 11 IN (5, 8, 10) THEN 'rejected' WHEN q % 19 = 0 THEN 'skipped'
          ELSE 'ok' END AS st,
     make_timestamp(CAST((q + 1) // 12 AS BIGINT), CAST((q + 1) % 12 + 1 AS BIGINT), 1, 18, 0, 0.0) AS ts
@@ -296,7 +290,7 @@ SELECT event_type, count(*) AS events,
 FROM events GROUP BY event_type""",
     "payload_triage": _sql(BRONZE, """
 SELECT ticker, strftime(ts, '%Y-%m-%d %H:%M:%S') AS fetched_at, st AS quarantine_reason
-FROM ing WHERE st IN ('error_message', 'rate_limited')"""),
+FROM ing WHERE st IN ('error_message', 'rate_limited', 'not_json')"""),
     "bronze_roundtrip": _sql(BRONZE, "SELECT date_key, " + _ROW_OUT + " FROM frows"),
     "bronze_rejects": _sql(BRONZE, """
 SELECT 'unparseable_document' AS reject_reason, count(*) AS n FROM ing WHERE st = 'rejected'
@@ -336,9 +330,22 @@ GROUP BY ticker"""),
 # The split plan must give exactly the indicator rows.
 ORACLE["indicators_split"] = ORACLE["indicators"]
 
-# The same reports run as SQL text over the registered model views.
-for _name in ("top_movers", "volume_spikes", "monthly_average"):
-    ORACLE["sql_" + _name] = ORACLE[_name]
+# Written to storage and read back: the same rows.
+ORACLE["silver_by_ticker"] = ORACLE["table_reload"] = ORACLE["silver_dedupe"]
+ORACLE["landed_roundtrip"] = ORACLE["bronze_roundtrip"]
+ORACLE["landed_date"] = _sql(BRONZE, "SELECT date_key, " + _ROW_OUT + " FROM frows WHERE CAST(ts AS DATE) = DATE '1998-06-01'")
+ORACLE["staging_view"] = ORACLE["staging"]
+ORACLE["incremental_indicators"] = ORACLE["indicators"]
+ORACLE["run_accounting"] = _sql(BRONZE, """
+SELECT (SELECT count(*) FROM ing WHERE st IN ('ok', 'rejected', 'skipped')) AS documents,
+       (SELECT count(*) FROM ing WHERE st = 'skipped') AS skipped_documents,
+       (SELECT count(*) FROM ing WHERE st = 'rejected') AS rejected_documents,
+       (SELECT count(*) FROM frows) AS parsed_days,
+       (SELECT count(*) FROM pf p JOIN ing i ON p.ticker = i.ticker AND p.q = i.q WHERE i.st = 'ok'
+         AND fault IN ('abc_close', 'null_high', 'not_object', 'decimal_volume', 'nan_low')) AS rejected_days,
+       (SELECT count(*) FROM frows) - (SELECT count(*) FROM crow) AS dropped_rows,
+       (SELECT count(*) FROM crow) AS clean_rows,
+       (SELECT count(*) FROM srow) AS final_rows""")
 
 
 def _dq_report_sql() -> str:

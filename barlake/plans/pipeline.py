@@ -1,6 +1,6 @@
 """The full daily run, stage by stage.
 
-bronze (one processing date) -> silver (merged by key into the touched months) ->
+bronze (one processing date; rejects stored by date) -> silver (merged by key into the touched months) ->
 raw landing table -> seed dimension -> staging view -> indicators -> daily
 fact -> sector fact -> quality checks. Each stage that later stages read is
 written to storage under ``warehouse`` first, so lineage is cut at stage
@@ -13,14 +13,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.functions.clock import timestamp_literal
-from barlake.operators import indicators as ind
-from barlake.operators import marts, quality
-from barlake.operators.flatten import bronze_to_silver
-from barlake.operators.staging import stage_prices
+from barlake.operators import accounting, marts, quality
+from barlake.plans import incremental as inc
 from barlake.sources import bronze, merge, tables
 
 
@@ -41,6 +39,15 @@ def _write(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _dim_changed(spark: SparkSession, path: str, new: DataFrame) -> bool:
+    """True if the stored dimension says something else than ``new`` (stamps aside)."""
+    if not merge.table_exists(spark, path):
+        return True
+    cols = [c for c in new.columns if c != "loaded_at"]
+    old = spark.read.parquet(path).select(cols)
+    return not (old.exceptAll(new.select(cols)).isEmpty() and new.select(cols).exceptAll(old).isEmpty())
+
+
 # Catalog names of the written stages: (schema, table) per output path key.
 CATALOG_NAMES = {
     "silver": ("raw", "silver_stock_prices"),
@@ -56,22 +63,24 @@ def register_catalog(spark: SparkSession, paths: dict[str, str], frames: dict[st
     """Declare every written stage as an external Parquet table.
 
     The definitions are replaced on every run (dropping an external table
-    keeps its files), and the month partitions of silver are registered
-    with MSCK REPAIR.
+    keeps its files), the month partitions are registered with MSCK REPAIR,
+    and the staging view is created over the landing table.
     """
     tables.create_schemas(spark, sorted({db for db, _ in CATALOG_NAMES.values()}))
     for key, (db, name) in CATALOG_NAMES.items():
         full = f"{db}.{name}"
         spark.sql(f"DROP TABLE IF EXISTS {full}")
-        part = [merge.PARTITION_COLUMN] if key == "silver" else None
+        part = {"silver": [merge.PARTITION_COLUMN], "dim_stocks": None}.get(key, [inc.MONTH])
         tables.create_external_table(spark, full, paths[key], frames[key].schema, part)
         if part:
             tables.repair_table(spark, full)
+    tables.create_staging_view(spark, "analytics.stg_stock_prices", "raw.stock_prices")
 
 
 def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_date: str | None,
-              run_ts: datetime, seed: DataFrame, wholetext: bool = False,
-              as_of: datetime | None = None, catalog: bool = True) -> RunResult:
+              run_ts: datetime, seed: DataFrame, wholetext: bool = True,
+              as_of: datetime | None = None, catalog: bool = True,
+              max_rejected_share: float = accounting.MAX_REJECTED_SHARE) -> RunResult:
     """Run every stage for ``processing_date`` (None: every landed date, a backfill);
     ``run_ts`` stamps all outputs."""
     stamp = timestamp_literal(run_ts)
@@ -80,32 +89,46 @@ def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_
              ("raw_stock_prices", "dim_stocks", "int_stock_indicators", "fct_daily_trading",
               "fct_sector_performance")}
 
-    # bronze -> silver batch, counts observed in the same pass
+    # bronze -> silver batch; what is refused is stored by processing date, and
+    # documents that do not parse fail the run before anything else is written
     docs = bronze.read_bronze(spark, bronze_root, processing_date, wholetext)
-    obs = Observation("bronze_to_silver")
-    batch = bronze_to_silver(docs, stamp, observation=obs)
+    batch, rejects, counts = accounting.account(docs, stamp)
+    (rejects.withColumn("processing_date", F.lit(processing_date or "all")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("processing_date").parquet(f"{warehouse}/rejects"))
+    accounting.require_parsed(counts, max_rejected_share)
     version = int(processing_date.replace("-", "")) if processing_date else 0
     silver_table = merge.merge_into(spark, silver_root, batch)
     silver = silver_table.drop(merge.PARTITION_COLUMN)
-    counts = dict(obs.get)
 
-    # raw landing table (strict schema; violations are findings)
-    raw = _write(tables.conform(silver), paths["raw_stock_prices"])
+    # raw landing table (strict schema; violations are findings): the months of this batch
+    months = merge.touched_partitions(merge.with_partition(batch))
+    fresh = not merge.table_exists(spark, paths["raw_stock_prices"])
+    if fresh:  # a first run, or models lost: every month of silver
+        months = merge.touched_partitions(silver_table)
+    raw = inc.write_months(tables.conform(silver), paths["raw_stock_prices"], months).drop(inc.MONTH)
     violations = tables.landing_violations(raw)
 
     # dimension from the seed, models
-    dim = _write(marts.dim_stocks(seed, stamp), paths["dim_stocks"])
-    staged = stage_prices(raw)
-    tables.materialise_view(staged, "stg_stock_prices")
-    indicators = _write(ind.add_indicators(staged, built_at=stamp), paths["int_stock_indicators"])
-    daily = _write(marts.daily_trading(indicators, dim), paths["fct_daily_trading"])
-    sector = _write(marts.sector_performance(daily, stamp), paths["fct_sector_performance"])
+    new_dim = marts.dim_stocks(seed, stamp)
+    rebuilt = fresh or _dim_changed(spark, paths["dim_stocks"], new_dim)
+    dim = _write(new_dim, paths["dim_stocks"])
+    # the models: only the months that this batch reaches, unless the dimension changed
+    table, reached = inc.update_indicators(spark, silver_root, paths["int_stock_indicators"], months, stamp)
+    indicators = table.drop(inc.MONTH)
+    part = indicators if rebuilt else table.where(F.col(inc.MONTH).isin(reached)).drop(inc.MONTH)
+    facts = None if rebuilt else reached
+    daily_table = inc.write_months(marts.daily_trading(part, dim), paths["fct_daily_trading"], facts)
+    daily = daily_table.drop(inc.MONTH)
+    part = daily if rebuilt else daily_table.where(F.col(inc.MONTH).isin(reached)).drop(inc.MONTH)
+    sector_table = inc.write_months(marts.sector_performance(part, stamp), paths["fct_sector_performance"], facts,
+                                    ("sector", "trade_date"))
+    sector = sector_table.drop(inc.MONTH)
 
     if catalog:
         register_catalog(spark, {**paths, "silver": silver_root},
-                         {"silver": silver_table, "raw_stock_prices": raw, "dim_stocks": dim,
-                          "int_stock_indicators": indicators, "fct_daily_trading": daily,
-                          "fct_sector_performance": sector})
+                         {"silver": silver_table, "raw_stock_prices": inc.with_month(raw), "dim_stocks": dim,
+                          "int_stock_indicators": table, "fct_daily_trading": daily_table,
+                          "fct_sector_performance": sector_table})
 
     # quality checks: one small DataFrame (one row per check), collected once
     landing = violations.select(

@@ -1,15 +1,18 @@
 """Bronze landing: payload triage, metadata envelope, partitioned landing, readers.
 
-Documents are single-line JSON. The writer lands them as JSON Lines files
-under Hive-style ``year=/month=/day=`` folders of the ingest date (few large
-files instead of one small file per document); the reader also takes the
-one-document-per-file layout (``wholetext``).
+The reader's default is the landed layout: one document per file, however
+it is printed (``wholetext``), under Hive-style ``year=/month=/day=`` folders
+of the ingest date. The writer here packs documents as JSON Lines (few large
+files, one document per line, so ``wholetext=False`` reads them); documents
+are serialised to one line first.
 """
 
 from __future__ import annotations
 
+from datetime import date
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,14 +36,16 @@ class Triage(NamedTuple):
 def triage_payloads(payloads: DataFrame, payload_col: str = "payload") -> Triage:
     """Split API payloads into data and quarantine (with the reason).
 
-    A payload carrying an ``Error Message`` is quarantined as
-    ``error_message``, one carrying a ``Note`` (rate limit) as
-    ``rate_limited``.
+    A payload with an ``Error Message`` key is quarantined as
+    ``error_message``, one with a ``Note`` key (rate limit) as
+    ``rate_limited``, whatever the key's value; what is not a JSON object at
+    all (a NULL, a web page, a list) as ``not_json``.
     """
-    marks = F.from_json(F.col(payload_col),
-                        f"`{ERROR_KEY}` string, `{NOTE_KEY}` string")
-    reason = (F.when(marks.getField(ERROR_KEY).isNotNull(), F.lit("error_message"))
-              .when(marks.getField(NOTE_KEY).isNotNull(), F.lit("rate_limited")))
+    keys = F.json_object_keys(F.when(F.try_parse_json(payload_col).isNotNull()
+                                     & F.ltrim(F.regexp_replace(payload_col, r"^\s+", "")).startswith("{"), F.col(payload_col)))
+    reason = (F.when(keys.isNull(), F.lit("not_json"))
+              .when(F.array_contains(keys, ERROR_KEY), F.lit("error_message"))
+              .when(F.array_contains(keys, NOTE_KEY), F.lit("rate_limited")))
     tagged = payloads.withColumn("quarantine_reason", reason)
     return Triage(
         tagged.where(F.col("quarantine_reason").isNull()).drop("quarantine_reason"),
@@ -57,7 +62,8 @@ def envelope(accepted: DataFrame, ticker: Column, fetched_at: Column,
              payload_col: str = "payload") -> DataFrame:
     """S3: wrap each payload in a metadata envelope; adds ``value`` and landing columns.
 
-    The payload text is embedded as is (it is already JSON). Landing columns:
+    The payload is serialised to one line, so that a document printed over
+    several lines stays one document. Landing columns:
     ``year``, ``month``, ``day`` of the ingest time and a file stem
     ``TICKER_yyyyMMdd_HHmmss``.
     """
@@ -69,7 +75,7 @@ def envelope(accepted: DataFrame, ticker: Column, fetched_at: Column,
         F.lit(ENVELOPE_PIPELINE).alias("pipeline"),
     ))
     value = F.concat(F.lit('{"metadata": '), meta, F.lit(', "raw_data": '),
-                     F.col(payload_col), F.lit("}"))
+                     F.regexp_replace(F.col(payload_col), r"[\r\n]+\s*", " "), F.lit("}"))
     return accepted.select(
         "*",
         value.alias("value"),
@@ -95,18 +101,24 @@ def land_documents(docs: DataFrame, root: str, mode: str = "append") -> None:
 
 
 def read_bronze(spark: SparkSession, root: str, processing_date: str | None = None,
-                wholetext: bool = False) -> DataFrame:
+                wholetext: bool = True) -> DataFrame:
     """Scan landed documents, optionally one processing date only.
 
-    The date becomes a filter on the discovered partition columns, which
-    Catalyst turns into partition pruning (no path strings are built).
-    ``wholetext`` reads one row per file (one pretty-printed document per
-    file); otherwise one row per line.
+    One date lists and reads its own folder only (``basePath`` keeps the
+    partition columns), so the cost does not grow with history; a date
+    without a folder is an empty result. ``wholetext`` reads one row per file
+    (one document per file, printed in any way); otherwise one row per line.
     """
-    df = (spark.read.option("wholetext", wholetext).text(root)
-          .withColumn("source_file", F.col("_metadata.file_path")))
+    reader = spark.read.option("basePath", root)
+    schema = "value string, year int, month int, day int"
+    path = root
     if processing_date is not None:
-        d = F.to_date(F.lit(processing_date))
-        df = df.where((F.col("year") == F.year(d)) & (F.col("month") == F.month(d))
-                      & (F.col("day") == F.dayofmonth(d)))
-    return df
+        d = date.fromisoformat(processing_date)
+        path = f"{root.rstrip('/')}/year={d:%Y}/month={d:%m}/day={d:%d}"
+    try:
+        df = reader.text(path, wholetext=wholetext)
+    except AnalysisException as e:
+        if processing_date is None or e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema).withColumn("source_file", F.lit(""))
+    return df.withColumn("source_file", F.col("_metadata.file_path"))

@@ -38,13 +38,20 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
     Spark's file listing skips hidden and underscore entries (a running
     dynamic-overwrite write stages under ``.spark-staging-*``), and reading a
-    path without data files raises.
+    path without data files raises. Any other error is passed on: taking it
+    for "no table" would overwrite months without their history.
     """
     try:
         spark.read.parquet(path).schema
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
 
 
 def touched_partitions(batch: DataFrame, col: str = PARTITION_COLUMN) -> list:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, DecimalType, LongType, StringType, StructField,
@@ -59,13 +61,13 @@ def write_silver(df: DataFrame, path: str, partition_by: list[str] | None = None
                  mode: str = "overwrite") -> None:
     """Write silver Parquet, clustered, optionally partitioned.
 
-    With ``partition_by`` and the session's dynamic partition overwrite, an
-    overwrite replaces only the partitions present in ``df``. For very many
-    tickers partition by a coarse column (e.g. a year) instead of ticker.
+    With ``partition_by`` an overwrite replaces only the partitions present
+    in ``df``, whatever the session's overwrite mode. For very many tickers
+    partition by a coarse column (e.g. a year) instead of ticker.
     """
     writer = clustered(df).write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     writer.parquet(path)
 
 
@@ -81,7 +83,13 @@ def _ddl_columns(schema: StructType) -> str:
 
 def create_external_table(spark: SparkSession, name: str, path: str, schema: StructType,
                           partition_by: list[str] | None = None) -> None:
-    """Declare a Parquet table over existing files (partition columns last)."""
+    """Declare a Parquet table over existing files (partition columns last).
+
+    A relative path is taken from the working folder, where the files were
+    written, not from the warehouse folder.
+    """
+    if "://" not in path and not path.startswith(("/", "file:")):
+        path = os.path.abspath(path)
     part = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     fields = [f for f in schema.fields if f.name not in (partition_by or [])]
     fields += [f for f in schema.fields if f.name in (partition_by or [])]
@@ -120,10 +128,20 @@ def landing_violations(df: DataFrame) -> DataFrame:
 
 
 def reload_table(spark: SparkSession, table: str, parquet_path: str) -> None:
-    """Full reload (truncate + copy) of a table from Parquet files."""
+    """Full reload (truncate + copy) of a table from Parquet files.
+
+    Everything that was in the table goes, partitions that the files lack
+    included, whatever the session's overwrite mode.
+    """
+    mode = "spark.sql.sources.partitionOverwriteMode"
     src = spark.read.parquet(parquet_path)
     cols = spark.table(table).columns
-    src.select(*cols).write.insertInto(table, overwrite=True)
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "static")
+    try:
+        src.select(*cols).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def materialise_table(df: DataFrame, name: str) -> None:
@@ -134,3 +152,14 @@ def materialise_table(df: DataFrame, name: str) -> None:
 def materialise_view(df: DataFrame, name: str) -> None:
     """A (session) view: nothing is stored, the plan runs when queried."""
     df.createOrReplaceTempView(name)
+
+
+def create_staging_view(spark: SparkSession, name: str, raw_table: str) -> None:
+    """The staging view in the catalog, over the landing table; it outlives the session's run."""
+    prices = ("open_price", "high_price", "low_price", "close_price")
+    typed = ", ".join(f"CAST(round(CAST({c} AS DECIMAL(12,4)), 4) AS DECIMAL(12,4)) AS {c}" for c in prices)
+    spark.sql(f"""CREATE OR REPLACE VIEW {name} AS
+        SELECT upper(trim(ticker)) AS ticker, trade_date, {typed}, CAST(volume AS BIGINT) AS volume,
+               CAST(round(CAST(high_price AS DECIMAL(12,4)) - CAST(low_price AS DECIMAL(12,4)), 4) AS DECIMAL(12,4)) AS daily_range,
+               source AS data_source, ingested_at, processed_at
+        FROM {raw_table} WHERE trade_date IS NOT NULL AND close_price > 0""")

@@ -3,10 +3,11 @@
 A file-source stream over the bronze root (``year=/month=/day=`` folders are
 discovered as columns) with a checkpoint, so every file is taken exactly
 once. Each micro-batch is flattened, cleaned and deduplicated, then merged
-into silver by key: by default only the months the batch touches are read
-and rewritten; alternatively each batch writes a full snapshot version.
+into silver by key; only the months the batch touches are read and rewritten.
 Merging is idempotent (newest ingest per key), so re-running a failed batch
-after a restart gives the same silver.
+after a restart gives the same silver. What a batch rejects is stored under
+its batch id (a replayed batch replaces its own rows), and a batch of which
+no document parses stops the stream instead of being lost.
 """
 
 from __future__ import annotations
@@ -18,48 +19,41 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barlake.functions.clock import timestamp_literal
-from barlake.operators.flatten import bronze_to_silver
-from barlake.operators.upsert import upsert
-from barlake.sources import merge, versions
+from barlake.operators import accounting
+from barlake.sources import merge
 
 BRONZE_STREAM_SCHEMA = "value string, year int, month int, day int"
 
 
-def bronze_stream(spark: SparkSession, bronze_root: str, wholetext: bool = False,
+def bronze_stream(spark: SparkSession, bronze_root: str, wholetext: bool = True,
                   max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(BRONZE_STREAM_SCHEMA).option("wholetext", wholetext)
+    reader = spark.readStream.schema(BRONZE_STREAM_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.text(bronze_root)
+    return reader.text(bronze_root, wholetext=wholetext)
 
 
 def merge_batch(spark: SparkSession, silver_root: str, processed_at: datetime | None = None,
-                layout: str = "partitioned"):
-    """The ``foreachBatch`` function: flatten the batch and merge it into silver.
+                rejects_root: str | None = None):
+    """The ``foreachBatch`` function: flatten the batch, store its rejects, merge it into silver."""
+    rejects_root = rejects_root or f"{silver_root.rstrip('/')}_rejects"
 
-    ``layout="partitioned"``: silver partitioned by month; only the months the
-    batch touches are read and rewritten (``sources.merge``).
-    ``layout="versions"``: every batch writes a full new snapshot
-    ``version=batch_id`` (simple, but rewrites all history each batch).
-    """
     def run(batch: DataFrame, batch_id: int) -> None:
         stamp = timestamp_literal(processed_at) if processed_at else F.current_timestamp()
-        incoming = bronze_to_silver(batch, stamp)
-        if layout == "partitioned":
-            merge.merge_into(spark, silver_root, incoming)
-            return
-        current = versions.read_latest(spark, silver_root, below=batch_id)
-        merged = incoming if current is None else upsert(current, incoming)
-        versions.write_version(merged, silver_root, batch_id)
+        silver, rejects, counts = accounting.account(batch, stamp)
+        (rejects.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejects_root))
+        accounting.require_parsed(counts)
+        merge.merge_into(spark, silver_root, silver)
     return run
 
 
 def start_arrival(spark: SparkSession, bronze_root: str, silver_root: str, checkpoint: str,
-                  processed_at: datetime | None = None, wholetext: bool = False,
-                  available_now: bool = True, layout: str = "partitioned") -> StreamingQuery:
+                  processed_at: datetime | None = None, wholetext: bool = True,
+                  available_now: bool = True, rejects_root: str | None = None) -> StreamingQuery:
     """Start the arrival job; ``available_now`` processes what has landed, then stops."""
     writer = (bronze_stream(spark, bronze_root, wholetext).writeStream
-              .foreachBatch(merge_batch(spark, silver_root, processed_at, layout))
+              .foreachBatch(merge_batch(spark, silver_root, processed_at, rejects_root))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")

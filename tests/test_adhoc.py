@@ -3,6 +3,8 @@
 from datetime import date, timedelta
 from decimal import ROUND_HALF_UP, Decimal
 
+from pyspark.sql import functions as F
+
 from barlake.operators import adhoc, dashboards, marts
 from barlake.operators.indicators import add_indicators
 from barlake.operators.staging import stage_prices
@@ -92,9 +94,11 @@ def test_dashboards(spark):
                                   ("C", "c", "Healthcare", "x")])
     daily = marts.daily_trading(add_indicators(stage_prices(raw)), seed)
     sector = marts.sector_performance(daily)
-    heat = dashboards.sector_heatmap(sector, ["Energy", "Healthcare"])
-    assert heat.columns == ["trade_date", "Energy", "Healthcare"]
-    assert heat.count() == sector.select("trade_date").distinct().count()
+    heat = dashboards.sector_heatmap(sector)
+    assert heat.columns == ["sector", "trade_date", "avg_daily_return"]
+    assert sorted(map(tuple, heat.collect())) == sorted(map(tuple, sector.select(*heat.columns).collect()))
+    unknown = sector.limit(1).withColumn("sector", F.lit(None).cast("string"))
+    assert dashboards.sector_heatmap(unknown).count() == 1  # the NULL sector is a row too
     top = dashboards.top_gainers(daily, 1).collect()
     assert len(top) == 1
     best = max((r for r in daily.collect() if r.trade_date == START + timedelta(days=44)),

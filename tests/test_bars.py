@@ -58,16 +58,24 @@ def test_ohlcv_is_a_hash_aggregate(spark):
     assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
-def test_upsert_paths_agree(spark):
+def test_upsert_keeps_the_newest(spark):
     old = silver_rows(spark, [("A", date(2025, 1, d), 10 + d, 1, datetime(2025, 1, 10))
                               for d in range(1, 8)])
     new = silver_rows(spark, [("A", date(2025, 1, d), 20 + d, 2, datetime(2025, 1, 12))
                               for d in range(5, 10)]
                       + [("A", date(2025, 1, 3), 99, 3, datetime(2025, 1, 5))])  # older pull, late
     small = sorted(upsert(old, new).collect())
-    big = sorted(upsert(old, new, max_broadcast_rows=0).collect())
-    assert small == big
     closes = {r.trade_date.day: r.close_price for r in small}
     assert closes == {1: Decimal("11.0000"), 2: Decimal("12.0000"), 3: Decimal("13.0000"),
                       4: Decimal("14.0000"), 5: Decimal("25.0000"), 6: Decimal("26.0000"),
                       7: Decimal("27.0000"), 8: Decimal("28.0000"), 9: Decimal("29.0000")}
+
+
+def test_upsert_gives_one_row_for_each_key(spark):
+    """Copies in the current table and NULL keys are like any other."""
+    d = date(2025, 1, 1)
+    old = silver_rows(spark, [("A", d, 1, 1), ("A", d, 1, 1), ("B", d, 2, 1), (None, d, 3, 1), (None, d, 3, 1)])
+    for new in ([("B", d, 5, 1, datetime(2025, 1, 2))], [("B", d, 5, 1, datetime(2025, 1, 2)), (None, d, 6, 1, datetime(2025, 1, 2))]):
+        got = upsert(old, silver_rows(spark, new))
+        assert got.count() == 3 and got.where("ticker = 'B'").first().close_price == 5
+    assert got.where("ticker is null").first().close_price == 6

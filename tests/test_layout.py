@@ -3,9 +3,10 @@
 import os
 from datetime import date
 
+import pytest
 from pyspark.sql import functions as F
 
-from barlake.sources import tables, versions
+from barlake.sources import tables
 from barlake.sources.bronze import envelope, land_documents, read_bronze, triage_payloads
 from helpers import silver_rows
 
@@ -79,15 +80,34 @@ def test_sorted_clustered_files(spark, tmp_path):
     assert sum(r.n for r in per_file) <= 3 + len(per_file)  # tickers do not interleave across files
 
 
-def test_versions(spark, tmp_path):
-    root = str(tmp_path / "v")
-    assert versions.read_latest(spark, root) is None
-    versions.write_version(silver(spark), root, 3)
-    versions.write_version(silver(spark).limit(5), root, 7)
-    os.makedirs(versions.version_path(root, 9))  # unfinished write: no _SUCCESS
-    assert versions.committed_versions(spark, root) == [3, 7]
-    assert versions.latest_version(spark, root, below=7) == 3
-    assert versions.read_latest(spark, root).count() == 5
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_overwrites_do_not_depend_on_the_session(spark, tmp_path, mode):
+    path = str(tmp_path / "silver")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        tables.write_silver(silver(spark), path, partition_by=["ticker"])
+        tables.write_silver(silver(spark).where("ticker = 'AAA'").limit(4), path, partition_by=["ticker"])
+        assert spark.read.parquet(path).count() == 24
+        source, name = str(tmp_path / "source"), f"reload_{mode}"
+        silver(spark).where("ticker <> 'CCC'").write.parquet(source)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        tables.create_external_table(spark, name, str(tmp_path / "table"), tables.LANDING_SCHEMA, ["ticker"])
+        silver(spark).select(*spark.table(name).columns).write.insertInto(name)
+        tables.reload_table(spark, name, source)
+        assert sorted({r.ticker for r in spark.table(name).collect()}) == ["AAA", "BBB"]
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def test_relative_location(spark, tmp_path, monkeypatch):
+    monkeypatch.chdir(tmp_path)
+    tables.write_silver(silver(spark), "file:" + str(tmp_path / "lake"), partition_by=["ticker"])
+    spark.sql("DROP TABLE IF EXISTS relative_table")
+    tables.create_external_table(spark, "relative_table", "lake", tables.LANDING_SCHEMA, ["ticker"])
+    tables.repair_table(spark, "relative_table")
+    assert spark.table("relative_table").count() == 30
 
 
 def test_landing_round_trip_and_pruning(spark, tmp_path):
@@ -95,11 +115,13 @@ def test_landing_round_trip_and_pruning(spark, tmp_path):
         [("AAPL", "2025-06-15 18:00:00", '{"Time Series (Daily)": {"2025-06-13": {"4. close": "1"}}}'),
          ("MSFT", "2025-06-16 18:00:00", '{"Time Series (Daily)": {}}'),
          ("IBM", "2025-06-16 18:00:00", '{"Error Message": "Invalid API call."}'),
-         ("IBM", "2025-06-16 18:01:00", '{"Note": "slow down"}')],
+         ("IBM", "2025-06-16 18:01:00", '{"Note": null}'), ("IBM", "2025-06-16 18:02:00", "<html>busy</html>"),
+         ("IBM", "2025-06-16 18:03:00", None), ("IBM", "2025-06-16 18:04:00", "[1]"),
+         ("IBM", "2025-06-16 18:05:00", '{"cut": ')],
         "ticker string, ts string, payload string").withColumn("ts", F.to_timestamp("ts"))
     tri = triage_payloads(payloads)
     assert sorted(r.quarantine_reason for r in tri.quarantined.collect()) == [
-        "error_message", "rate_limited"]
+        "error_message", "not_json", "not_json", "not_json", "not_json", "rate_limited"]
     docs = envelope(tri.accepted, F.col("ticker"), F.col("ts"))
     first = docs.where("ticker = 'AAPL'").first()
     assert first.file_stem == "AAPL_20250615_180000"
@@ -107,7 +129,21 @@ def test_landing_round_trip_and_pruning(spark, tmp_path):
     root = str(tmp_path / "bronze")
     land_documents(docs, root)
     assert os.path.isdir(os.path.join(root, "year=2025", "month=06", "day=15"))
-    day = read_bronze(spark, root, "2025-06-16")
-    assert day.count() == 1
-    plan = day._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "day#" in plan
+    day = read_bronze(spark, root, "2025-06-16", wholetext=False)
+    assert day.count() == 1 and day.select("year", "month", "day").first() == (2025, 6, 16)
+    assert all("day=16" in f for f in day.inputFiles())  # only the day's folder is listed
+    assert read_bronze(spark, root, "2031-01-01").count() == 0
+
+
+def test_payloads_printed_over_many_lines_stay_one_document(spark, tmp_path):
+    import json
+
+    from barlake.operators.flatten import flatten_documents
+    text = json.dumps({"Time Series (Daily)": {"2025-06-13": {"1. open": "1", "2. high": "1", "3. low": "1", "4. close": "1",
+                                                              "5. volume": "5"}}}, indent=2)
+    payloads = spark.createDataFrame([("A", text)], "ticker string, payload string")
+    docs = envelope(payloads, F.col("ticker"), F.to_timestamp(F.lit("2025-06-15 18:00:00")))
+    root = str(tmp_path / "bronze")
+    land_documents(docs, root)
+    got = flatten_documents(read_bronze(spark, root, "2025-06-15", wholetext=False), "2025-07-01 00:00:00")
+    assert got.rows.count() == 1 and got.rejects.count() == 0

@@ -22,10 +22,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_mod.oracle_sql()) == set(entry_mod.queries())
+    assert set(entry_mod.oracle_sql()) >= set(entry_mod.QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.queries()))
+@pytest.mark.parametrize("name", sorted(entry_mod.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     ok, n_spark, n_oracle, detail = compare_key(spark, con, name, SF)
     assert ok, (name, n_spark, n_oracle, detail)

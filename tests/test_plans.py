@@ -5,6 +5,9 @@ from datetime import date, datetime
 
 import pytest
 
+from barlake.operators import marts, quality
+from barlake.operators.indicators import add_indicators
+from barlake.operators.staging import stage_prices
 from barlake.operators.upsert import upsert
 from barlake.plans import harness as h
 from helpers import silver_rows
@@ -46,11 +49,28 @@ def test_scans_read_only_needed_columns(spark):
     assert "ReadSchema: struct<event_type:string,props:string>" in p
 
 
-def test_upsert_broadcasts_small_batch_keys(spark):
+def test_upsert_is_one_aggregate_whatever_the_sizes(spark):
     old = silver_rows(spark, [("A", date(2025, 1, d), 10, 1, datetime(2025, 1, 10))
                               for d in range(1, 5)])
     new = silver_rows(spark, [("A", date(2025, 1, 4), 11, 1, datetime(2025, 1, 11))])
     p = plan(upsert(old, new))
-    assert "LeftAnti" in p and "LeftSemi" in p and "BroadcastHashJoin" in p
-    p2 = plan(upsert(old, new, max_broadcast_rows=0))
-    assert "LeftAnti" not in p2
+    assert "Join" not in p and "SinglePartition" not in p and p.count("Exchange hashpartitioning") == 1
+
+
+@needs_data
+def test_ticker_filter_reaches_the_suppliers(spark):
+    p = plan(h.q_price_history(spark, SF))
+    low = p[p.index("partial_min"):]  # below the bars' aggregate
+    assert "LeftSemi" in low and "PushedFilters: [In(n_name" in low or "EqualTo(n_name" in low
+
+
+def test_check_report_scans_each_stored_model_once(spark, tmp_path):
+    tables = {}
+    raw = silver_rows(spark, [("A", date(2025, 1, d), 10 + d, 1) for d in range(1, 5)])
+    dim = spark.createDataFrame([("A", "a", "Energy", "x")], "ticker string, company_name string, sector string, market_cap_category string")
+    daily = marts.daily_trading(add_indicators(stage_prices(raw)), dim)
+    for name, df in (("raw", raw), ("daily", daily), ("sector", marts.sector_performance(daily)), ("dim", dim)):
+        df.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    p = plan(quality.check_report(tables["raw"], tables["daily"], tables["sector"], tables["dim"], datetime(2025, 1, 5)))
+    assert p[:p.find("Initial Plan")].count("FileScan parquet") <= 5

@@ -1,10 +1,13 @@
 """Files arriving over several runs are merged into silver exactly once."""
 
+import json
 import os
 from datetime import date, datetime
 from decimal import Decimal
 
-from barlake.sources import versions
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from barlake.streaming.arrival import start_arrival
 from helpers import day, doc
 
@@ -17,50 +20,62 @@ def land(root, ymd, name, text):
         f.write(text)
 
 
-def run(spark, bronze, silver, ck, layout="versions"):
-    q = start_arrival(spark, bronze, silver, ck, processed_at=datetime(2025, 7, 1), wholetext=True,
-                      layout=layout)
+def run(spark, bronze, silver, ck):
+    q = start_arrival(spark, bronze, silver, ck, processed_at=datetime(2025, 7, 1))
     q.awaitTermination(120)
     assert q.exception() is None
 
 
+def closes(spark, silver):
+    return {r.trade_date: r.close_price for r in spark.read.parquet(silver).collect()}
+
+
 def test_arrival_runs(spark, tmp_path):
     bronze, silver, ck = (str(tmp_path / n) for n in ("bronze", "silver", "ck"))
     os.makedirs(bronze)
     land(bronze, "2025-06-14", "A_1.json",
-         doc("A", "2025-06-14T18:00:00+00:00", {"2025-06-12": day(c="1.00"), "2025-06-13": day(c="2.00")}))
+         doc("A", "2025-06-14T18:00:00+00:00", {"2025-05-30": day(c="1.00"), "2025-06-12": day(c="1.00"),
+                                                "2025-06-13": day(c="2.00")}))
     run(spark, bronze, silver, ck)
-    assert len(versions.committed_versions(spark, silver)) == 1
-
     # a newer pull revises 06-13; an older pull for 06-12 lands late and must lose
     land(bronze, "2025-06-15", "A_2.json",
          doc("A", "2025-06-15T18:00:00+00:00", {"2025-06-13": day(c="3.00"), "2025-06-14": day(c="4.00")}))
     land(bronze, "2025-06-15", "A_0.json",
          doc("A", "2025-06-10T18:00:00+00:00", {"2025-06-12": day(c="9.00")}))
+    may = sorted(os.listdir(os.path.join(silver, "trade_month=202505")))
     run(spark, bronze, silver, ck)
-    got = {r.trade_date: r.close_price for r in versions.read_latest(spark, silver).collect()}
-    assert got == {date(2025, 6, 12): Decimal("1.0000"), date(2025, 6, 13): Decimal("3.0000"),
-                   date(2025, 6, 14): Decimal("4.0000")}
-    before = versions.committed_versions(spark, silver)
-
+    assert sorted(os.listdir(os.path.join(silver, "trade_month=202505"))) == may  # untouched
+    want = {date(2025, 5, 30): Decimal("1.0000"), date(2025, 6, 12): Decimal("1.0000"),
+            date(2025, 6, 13): Decimal("3.0000"), date(2025, 6, 14): Decimal("4.0000")}
+    assert closes(spark, silver) == want
     run(spark, bronze, silver, ck)  # nothing new: nothing changes
-    assert versions.committed_versions(spark, silver) == before
+    assert closes(spark, silver) == want
+
 
+def printed(text):
+    return json.dumps(json.loads(text), indent=2)
 
-def test_arrival_partitioned_layout(spark, tmp_path):
+
+def test_documents_printed_over_many_lines(spark, tmp_path):
     bronze, silver, ck = (str(tmp_path / n) for n in ("bronze", "silver", "ck"))
     os.makedirs(bronze)
-    land(bronze, "2025-06-14", "A_1.json",
-         doc("A", "2025-06-14T18:00:00+00:00", {"2025-05-30": day(c="1.00"), "2025-06-13": day(c="2.00")}))
-    run(spark, bronze, silver, ck, "partitioned")
-    land(bronze, "2025-06-15", "A_2.json",
-         doc("A", "2025-06-15T18:00:00+00:00", {"2025-06-13": day(c="3.00"), "2025-06-14": day(c="4.00")}))
-    may = sorted(os.listdir(os.path.join(silver, "trade_month=202505")))
-    run(spark, bronze, silver, ck, "partitioned")
-    assert sorted(os.listdir(os.path.join(silver, "trade_month=202505"))) == may  # untouched
-    got = {r.trade_date: r.close_price for r in spark.read.parquet(silver).collect()}
-    assert got == {date(2025, 5, 30): Decimal("1.0000"), date(2025, 6, 13): Decimal("3.0000"),
-                   date(2025, 6, 14): Decimal("4.0000")}
+    land(bronze, "2025-06-14", "A_1.json", printed(doc("A", "2025-06-14T18:00:00+00:00", {"2025-06-12": day(c="1.00")})))
+    run(spark, bronze, silver, ck)
+    assert closes(spark, silver) == {date(2025, 6, 12): Decimal("1.0000")}
+
+
+def test_rejects_are_stored_and_a_lost_batch_stops_the_stream(spark, tmp_path):
+    bronze, silver, ck = (str(tmp_path / n) for n in ("bronze", "silver", "ck"))
+    os.makedirs(bronze)
+    land(bronze, "2025-06-14", "A_1.json", doc("A", "2025-06-14T18:00:00+00:00",
+                                               {"2025-06-12": day(c="1.00"), "2025-06-13": day(c="abc")}))
+    run(spark, bronze, silver, ck)
+    stored = spark.read.parquet(silver + "_rejects").collect()
+    assert [(r.ticker, r.date_key, r.reject_reason, r.batch_id) for r in stored] == [("A", "2025-06-13", "bad_close", 0)]
+    land(bronze, "2025-06-15", "A_2.json", "<html>busy</html>")
+    q = start_arrival(spark, bronze, silver, ck, processed_at=datetime(2025, 7, 1))
+    with pytest.raises(StreamingQueryException, match="could not be parsed"):
+        q.awaitTermination(120)
 
 
 def test_batch_failing_half_way_is_replayed(spark, tmp_path, monkeypatch):
@@ -70,7 +85,7 @@ def test_batch_failing_half_way_is_replayed(spark, tmp_path, monkeypatch):
     os.makedirs(bronze)
     land(bronze, "2025-06-14", "A_1.json",
          doc("A", "2025-06-14T18:00:00+00:00", {"2025-06-12": day(c="1.00"), "2025-06-13": day(c="2.00")}))
-    run(spark, bronze, silver, ck, "partitioned")
+    run(spark, bronze, silver, ck)
 
     land(bronze, "2025-06-15", "A_2.json",
          doc("A", "2025-06-15T18:00:00+00:00", {"2025-06-13": day(c="3.00")}))
@@ -81,14 +96,13 @@ def test_batch_failing_half_way_is_replayed(spark, tmp_path, monkeypatch):
         raise RuntimeError("lost")
 
     monkeypatch.setattr(merge_mod, "merge_into", crash)
-    q = start_arrival(spark, bronze, silver, ck, processed_at=datetime(2025, 7, 1),
-                      wholetext=True, layout="partitioned")
+    q = start_arrival(spark, bronze, silver, ck, processed_at=datetime(2025, 7, 1))
     try:
         q.awaitTermination(120)
     except Exception:
         pass
     assert q.exception() is not None
     monkeypatch.setattr(merge_mod, "merge_into", real)
-    run(spark, bronze, silver, ck, "partitioned")  # restart from the checkpoint: batch replayed
+    run(spark, bronze, silver, ck)  # restart from the checkpoint: batch replayed
     got = {r.trade_date: r.close_price for r in spark.read.parquet(silver).collect()}
     assert got == {date(2025, 6, 12): Decimal("1.0000"), date(2025, 6, 13): Decimal("3.0000")}
