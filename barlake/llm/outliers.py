@@ -34,6 +34,7 @@ SYMBOLS = "#*$%&|<>"
 PRIOR = 30.0
 STEPS = 3
 HALF = 0.75
+SALTS = 32  # parts of a group's rows when they meet its estimate
 #: Rows of a normal sample within its nearest 75 % have a covariance smaller by this factor (5 statistics).
 SHRINK = 0.6136
 CUTOFF = 30.0
@@ -130,14 +131,16 @@ def _pooled(rows: DataFrame, xs: list[str]) -> DataFrame:
     return all_rows.select("start", *[F.col(c).alias(f"p{c}") for c in all_rows.columns if c != "start"])
 
 
-def _distance(rows: DataFrame, est: DataFrame, keys: list[str], xs: list[str]) -> DataFrame:
+def _distance(rows: DataFrame, est: DataFrame, keys: list[str], xs: list[str], *more: str) -> DataFrame:
     """Rows joined to their group's estimate, with the squared Mahalanobis distance ``d2``."""
-    got = rows.join(est, keys)
+    # each group's one row stands SALTS times, so that a hot group's rows go to as many tasks
+    spread = est.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    got = rows.withColumn("salt", (F.monotonically_increasing_id() % SALTS).cast("int")).join(spread, [*keys, "salt"])
     for i in range(len(xs)):  # forward substitution
         rest = reduce(lambda a, k: a - F.col(f"l_{i}_{k}") * F.col(f"y_{k}"), range(i), F.col(xs[i]) - F.col(f"m_{i}"))  # noqa: B023
         got = got.withColumn(f"y_{i}", rest / F.col(f"l_{i}_{i}"))
     d2 = reduce(lambda a, b: a + b, [F.col(f"y_{i}") * F.col(f"y_{i}") for i in range(len(xs))])
-    return got.select(*rows.columns, d2.alias("d2"), "logdet")
+    return got.select(*rows.columns, d2.alias("d2"), "logdet", *more)
 
 
 def outlier_distances(df: DataFrame, xs: list[str], groups: list[str], floors: list[float], half: float = HALF,
@@ -152,7 +155,8 @@ def outlier_distances(df: DataFrame, xs: list[str], groups: list[str], floors: l
 
     med = rows.groupBy(*keys).agg(F.count("*").cast("double").alias("n"),
                                   *[F.percentile_approx(x, 0.5, 1000).alias(f"m_{i}") for i, x in enumerate(xs)])
-    away = rows.join(med, keys)
+    spread = med.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    away = rows.withColumn("salt", (F.monotonically_increasing_id() % SALTS).cast("int")).join(spread, [*keys, "salt"])
     mad = away.groupBy(*keys).agg(*[F.percentile_approx(F.abs(F.col(x) - F.col(f"m_{i}")), 0.5, 1000).alias(f"d_{i}")
                                     for i, x in enumerate(xs)])
     start0 = med.join(mad, keys).select(
@@ -166,7 +170,7 @@ def outlier_distances(df: DataFrame, xs: list[str], groups: list[str], floors: l
         est = workers.keep(est, "estimate")
         near = _distance(two, est, by, xs)
         limits = near.groupBy(*by).agg(F.percentile_approx("d2", half, 1000).alias("limit"))
-        inner = near.join(limits, by).filter("d2 <= limit")
+        inner = _distance(two, est.join(limits, by), by, xs, "limit").filter("d2 <= limit")
         est = _settled(_moments(inner, by, xs), _pooled(inner, xs), floors, shrink)
     est = workers.keep(est, "estimate")
     best = est.groupBy(*keys).agg(F.min(F.struct("logdet", "start")).alias("best"))
