@@ -11,7 +11,8 @@ few months (a pull re-sends about 100 days), so the merge:
 3. merges those rows with the batch, newest ingest winning per key, and
    stages the result (the plan must not write to the path it reads);
 4. writes the staged rows back with dynamic partition overwrite, which
-   replaces exactly the touched partitions at job commit.
+   replaces exactly the touched partitions at job commit;
+5. deletes the staged copies.
 
 Untouched history is neither read nor rewritten. Re-running a failed merge
 gives the same result, because keeping the newest row per key is idempotent.
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.operators.flatten import KEY_COLUMNS, keep_latest
-from barlake.sources.tables import clustered, stage
+from barlake.sources.tables import clustered, discard, stage
 
 PARTITION_COLUMN = "trade_month"
 
@@ -82,11 +83,15 @@ def merge_into(spark: SparkSession, path: str, incoming: DataFrame,
         merged = keep_latest(current_touched.unionByName(batch.select(*current.columns)),
                              keys + [col]).select(*current.columns)
         staged = stage(spark, merged, "merged")  # the plan reads the path it will write
+        copies = [batch, staged]
     else:
         staged = keep_latest(batch, keys + [col]).select(*batch.columns)
+        copies = [batch]
     # Range partitioning by (month, ticker, date): a big month is spread over
     # many tasks (boundaries are sampled), each writing sorted files.
     (clustered(staged, (col, "ticker", "trade_date")).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(col).parquet(path))
+    for copy in copies:  # committed: the staged copies are not read again
+        discard(copy)
     return spark.read.parquet(path)

@@ -45,6 +45,24 @@ def stage(spark: SparkSession, df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def discard(staged: DataFrame) -> None:
+    """Delete the copy that ``stage`` made, once nothing will read it again.
+
+    Storage that pyarrow cannot reach by URI keeps the copy, as long as the
+    checkpoint folder lives.
+    """
+    import pyarrow as pa
+    from pyarrow import fs
+    files = staged.inputFiles()
+    if not files:
+        return
+    try:
+        store, path = fs.FileSystem.from_uri(files[0].rsplit("/", 1)[0])
+    except (pa.ArrowInvalid, OSError):
+        return
+    store.delete_dir(path)
+
+
 def clustered(df: DataFrame, cluster_cols=("ticker", "trade_date")) -> DataFrame:
     """Range-partition and sort by (ticker, trade_date) before a write.
 

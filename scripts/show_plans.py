@@ -15,7 +15,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from barlake.plans.harness import QUERIES  # noqa: E402
 from barlake.session import build_session  # noqa: E402
 
 
@@ -49,7 +49,7 @@ def main() -> None:
              f"`python scripts/show_plans.py {sf_dir}`: operator trees before adaptive",
              "re-planning, with the scan details. Queries that write data while being",
              "built (silver_upsert, silver_merge) show the plan of their final read.", ""]
-    for name, q in queries().items():
+    for name, q in QUERIES.items():
         parts += [f"## {name}", "", "```", condensed(q(spark, sf_dir)), "```", ""]
     with open(target, "w") as f:
         f.write("\n".join(parts))

@@ -60,3 +60,13 @@ def test_empty_batch_leaves_table_untouched(spark, tmp_path):
     before = files_of(path, "202501")
     out = merge_into(spark, path, silver_rows(spark, rows).limit(0))
     assert files_of(path, "202501") == before and out.count() == 1
+
+
+def test_staged_copies_go_after_the_commit(spark, tmp_path):
+    import os
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    before = set(os.listdir(folder))
+    rows = silver_rows(spark, [("A", date(2025, 1, d), 10 + d, 1) for d in range(1, 5)])
+    for _ in range(2):
+        merge_into(spark, str(tmp_path / "silver"), rows)
+    assert {n for n in set(os.listdir(folder)) - before if n.startswith("stage-")} == set()
