@@ -36,7 +36,7 @@ STEPS = 3
 HALF = 0.75
 SALTS = 32  # parts of a group's rows when they meet its estimate
 #: Rows of a normal sample within its nearest 75 % have a covariance smaller by this factor (5 statistics).
-SHRINK = 0.6136
+SHRINK = 0.708
 CUTOFF = 30.0
 FEATURES = ["f_len", "f_word", "f_sym", "f_dup", "f_rep"]
 FLOORS = [0.8, 0.6, 0.35, 0.25, 0.15]
