@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.llm import chat, classifier, idfiles, mixing, neighbours, outliers, pages, simhash, substrings, tokens
+from barlake.llm.oracle import ORACLE  # noqa: F401
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -89,5 +90,3 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_id_files": op10_id_files,
 }
-
-ORACLE: dict[str, str] = {}
