@@ -49,5 +49,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if state == seen or not state[0]:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(
                 now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-        seen = state
-        now = workers.keep(_small_star(_large_star(now)), "stars")
+        seen, last = state, now
+        now = workers.keep(_small_star(_large_star(last)), "stars")
+        workers.drop(last)

@@ -119,7 +119,8 @@ def tilts(hist: DataFrame, sources: DataFrame) -> DataFrame:
         F.when(down < 0, 0.0).otherwise(F.log(F.lit(float(CAP))) / edge).alias("hi"), "scale", "target",
         F.lit(1.0).alias("err")), "state")
     for _ in range(ROUNDS):
-        state = workers.keep(_step(hist, _step(hist, state)), "state")
+        last, state = state, workers.keep(_step(hist, _step(hist, state)), "state")
+        workers.drop(last)
         worst = state.agg(F.max(F.when(F.col("hi") - F.col("lo") > 1e-14, F.abs("err")))).first()[0]
         if worst is None or worst <= CLOSE:
             break
@@ -156,7 +157,9 @@ def balance(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: floa
                                              rate.alias("rate"), tie.alias("tie"), group.alias("part"))
     schema = rated.select("*", F.lit(0).alias("copies")).schema
     done = rated.groupBy("skey", "part").applyInArrow(workers.task(__name__, "round_group"), schema)
-    return workers.keep(done.drop("tie", "part"), "copies")
+    copies = workers.keep(done.drop("tie", "part"), "copies")
+    workers.drop(units, sources, hist)
+    return copies
 
 
 def mix_report(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5) -> DataFrame:

@@ -274,6 +274,7 @@ def nearest(vectors: DataFrame, is_query, top: int = 10, vec_id: str = "vec_id",
         again = each.join(scan, "part").select("qids", "qvecs", "ids", "vecs")
         whole = workers.keep(ranked(again), "whole")
         found = found.join(whole.select("query").distinct(), "query", "left_anti").unionByName(whole)
+    workers.drop(index_blocks)
 
     names = classes.select("id", "h1", "h2")
     askers = asked.join(names, ["h1", "h2"]).select(F.col("vec_id").alias("query_id"), F.col("id").alias("query"))

@@ -166,8 +166,12 @@ def outlier_distances(df: DataFrame, xs: list[str], groups: list[str], floors: l
     start1 = _moments(rows, keys, xs).withColumn("start", F.lit(1)).select(*start0.columns)
     est = _settled(workers.keep(start0.unionAll(start1), "starts"), _pooled(two, xs), floors, 1.0)
     by = [*keys, "start"]
+    last = None
     for _ in range(steps):
         est = workers.keep(est, "estimate")
+        if last is not None:
+            workers.drop(last)
+        last = est
         near = _distance(two, est, by, xs)
         limits = near.groupBy(*by).agg(F.percentile_approx("d2", half, 1000).alias("limit"))
         inner = _distance(two, est.join(limits, by), by, xs, "limit").filter("d2 <= limit")

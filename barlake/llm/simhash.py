@@ -156,8 +156,9 @@ def _marked(docs: DataFrame, width: int, radius: int, doc_id: str, text: str) ->
         workers.task(__name__, "fingerprint_batches", width=width), "doc_id long, digest long, fp long"), "fingerprints")
     distinct = workers.keep(prints.select("fp").distinct(), "distinct")
     roots = components(links(distinct, radius)).withColumnRenamed("node", "fp")
-    classes = distinct.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
-    return prints, workers.keep(classes, "classes")
+    classes = workers.keep(distinct.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root")), "classes")
+    workers.drop(distinct)
+    return prints, classes
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 3, doc_id: str = "doc_id",

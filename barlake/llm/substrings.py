@@ -203,10 +203,14 @@ def shard_windows(table: pa.Table, width: int) -> pa.Table:
                      "least": pa.ListArray.from_arrays(pa.array(offsets), pa.array(least[order]))})
 
 
-def first_documents(segments: DataFrame, width: int) -> DataFrame:
+def distinct_segments(segments: DataFrame) -> DataFrame:
+    """(route, content, doc_id): equal segments as one, with their least doc_id."""
+    return segments.groupBy("route", "content").agg(F.min("doc_id").alias("doc_id"))
+
+
+def first_documents(distinct: DataFrame, width: int) -> DataFrame:
     """(k1, k2, least): for each distinct segment the least doc_id of each of its windows."""
-    spark = segments.sparkSession
-    distinct = workers.keep(segments.groupBy("route", "content").agg(F.min("doc_id").alias("doc_id")), "segments")
+    spark = distinct.sparkSession
     shards = max(workers.tasks_for(spark), -(-distinct.count() // SHARD))
     dealt = distinct.select(F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard"), "content", "doc_id")
     schema = "k1 long, k2 long, least array<long>"
@@ -234,14 +238,19 @@ def removed_windows(rows: DataFrame, width: int = WIDTH) -> DataFrame:
         "place", "anchor", F.coalesce("often", F.lit(False)).alias("often"))).alias("places"))
     texts = rows.filter("doc_id is not null and text is not null").dropDuplicates(["doc_id", "mark"])
     held = workers.keep(texts.join(placed, ["doc_id", "mark"]).select("doc_id", "mark", "text", "places"), "texts")
+    workers.drop(shared)
     cut = held.mapInArrow(workers.task(__name__, "segment_batches", width=width, content=True),
                           "route long, doc_id long, content binary")
-    least = workers.keep(first_documents(cut, width), "windows")
+    distinct = workers.keep(distinct_segments(cut), "segments")
+    least = workers.keep(first_documents(distinct, width), "windows")
+    workers.drop(distinct)
     where = held.mapInArrow(workers.task(__name__, "segment_batches", width=width, content=False),
                             "doc_id long, mark int, start int, k1 long, k2 long")
     hits = where.join(least, ["k1", "k2"]).select("doc_id", "mark", F.explode(F.filter(F.transform(
         "least", lambda m, i: F.when(m < F.col("doc_id"), F.col("start") + i.cast("int"))), lambda x: x.isNotNull())).alias("at"))
-    return hits.groupBy("doc_id", "mark").agg(F.collect_list("at").alias("starts"))
+    found = workers.keep(hits.groupBy("doc_id", "mark").agg(F.collect_list("at").alias("starts")), "removed")
+    workers.drop(held, least)
+    return found
 
 
 def digest_batches(batches, width: int):
@@ -268,14 +277,14 @@ def text_batches(batches, width: int):
 def removal_report(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every row."""
     rows = _rows(docs, "doc_id", "text")
-    gone = workers.keep(removed_windows(rows, width), "removed")
+    gone = removed_windows(rows, width)
     return rows.join(gone, ["doc_id", "mark"], "left").select("doc_id", "text", "starts") \
         .mapInArrow(workers.task(__name__, "digest_batches", width=width), "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``docs`` with repeated passages cut from ``text``; ``n_chars``, if a column, is the new length where text changed."""
-    gone = workers.keep(removed_windows(_rows(docs, "doc_id", "text"), width), "removed")
+    gone = removed_windows(_rows(docs, "doc_id", "text"), width)
     wide = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"),
                        F.col("text").cast("string").alias("text")).withColumn("tell", _mark())
     joined = wide.join(gone, (wide.id == gone.doc_id) & (wide.tell == gone.mark), "left").select("row", "text", "starts")

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from barlake.session import ensure_checkpoint_dir
+from barlake.sources import tables
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -43,12 +44,12 @@ def keep(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts the lineage.
 
     A lost executor loses none of it. The job's shuffle files go when the
-    write is done, as nothing reads them again. The folder lives as long as
-    the session's checkpoint folder.
+    write is done, as nothing reads them again. The folder lives until
+    ``drop``, else as long as the session's checkpoint folder.
     """
     spark = df.sparkSession
     path = new_folder(spark, tag)
-    before = spark.conf.get(CLEANUP)
+    before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
         df.write.parquet(path)
@@ -57,6 +58,12 @@ def keep(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(*kept: DataFrame) -> None:
+    """Delete what ``keep`` wrote, once nothing will read it again."""
+    for df in kept:
+        tables.discard(df)
+
+
 def tasks_for(spark: SparkSession) -> int:
     """Shuffle partitions of the session: the launcher sets them to the input."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
