@@ -52,6 +52,7 @@ def _dim_changed(spark: SparkSession, path: str, new: DataFrame) -> bool:
 CATALOG_NAMES = {
     "silver": ("raw", "silver_stock_prices"),
     "raw_stock_prices": ("raw", "stock_prices"),
+    "seed_stock_tickers": ("raw", "seed_stock_tickers"),
     "dim_stocks": ("analytics", "dim_stocks"),
     "int_stock_indicators": ("analytics", "int_stock_indicators"),
     "fct_daily_trading": ("analytics", "fct_daily_trading"),
@@ -70,7 +71,7 @@ def register_catalog(spark: SparkSession, paths: dict[str, str], frames: dict[st
     for key, (db, name) in CATALOG_NAMES.items():
         full = f"{db}.{name}"
         spark.sql(f"DROP TABLE IF EXISTS {full}")
-        part = {"silver": [merge.PARTITION_COLUMN], "dim_stocks": None}.get(key, [inc.MONTH])
+        part = {"silver": [merge.PARTITION_COLUMN], "dim_stocks": None, "seed_stock_tickers": None}.get(key, [inc.MONTH])
         tables.create_external_table(spark, full, paths[key], frames[key].schema, part)
         if part:
             tables.repair_table(spark, full)
@@ -86,7 +87,7 @@ def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_
     stamp = timestamp_literal(run_ts)
     silver_root = f"{warehouse}/silver"
     paths = {k: f"{warehouse}/{k}" for k in
-             ("raw_stock_prices", "dim_stocks", "int_stock_indicators", "fct_daily_trading",
+             ("raw_stock_prices", "seed_stock_tickers", "dim_stocks", "int_stock_indicators", "fct_daily_trading",
               "fct_sector_performance")}
 
     # bronze -> silver batch; what is refused is stored by processing date, and
@@ -109,7 +110,8 @@ def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_
     violations = tables.landing_violations(raw)
 
     # dimension from the seed, models
-    new_dim = marts.dim_stocks(seed, stamp)
+    seed_table = _write(seed, paths["seed_stock_tickers"])
+    new_dim = marts.dim_stocks(seed_table, stamp)
     rebuilt = fresh or _dim_changed(spark, paths["dim_stocks"], new_dim)
     dim = _write(new_dim, paths["dim_stocks"])
     # the models: only the months that this batch reaches, unless the dimension changed
@@ -126,7 +128,8 @@ def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_
 
     if catalog:
         register_catalog(spark, {**paths, "silver": silver_root},
-                         {"silver": silver_table, "raw_stock_prices": inc.with_month(raw), "dim_stocks": dim,
+                         {"silver": silver_table, "raw_stock_prices": inc.with_month(raw),
+                          "seed_stock_tickers": seed_table, "dim_stocks": dim,
                           "int_stock_indicators": table, "fct_daily_trading": daily_table,
                           "fct_sector_performance": sector_table})
 

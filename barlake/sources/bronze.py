@@ -53,6 +53,12 @@ def triage_payloads(payloads: DataFrame, payload_col: str = "payload") -> Triage
     )
 
 
+def store_quarantine(quarantined: DataFrame, root: str, fetched_at: Column) -> None:
+    """Keep what triage refused, by ingest date; storing a date's rows again replaces them."""
+    (quarantined.withColumn("ingest_date", F.to_date(fetched_at)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("ingest_date").parquet(root))
+
+
 def iso_timestamp(ts: Column) -> Column:
     """ISO-8601 text with microseconds and a numeric offset (+00:00 in UTC)."""
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barlake.sources import tables
-from barlake.sources.bronze import envelope, land_documents, read_bronze, triage_payloads
+from barlake.sources.bronze import envelope, land_documents, read_bronze, store_quarantine, triage_payloads
 from helpers import silver_rows
 
 
@@ -122,6 +122,9 @@ def test_landing_round_trip_and_pruning(spark, tmp_path):
     tri = triage_payloads(payloads)
     assert sorted(r.quarantine_reason for r in tri.quarantined.collect()) == [
         "error_message", "not_json", "not_json", "not_json", "not_json", "rate_limited"]
+    for _ in range(2):  # a second run of the same dates replaces them
+        store_quarantine(tri.quarantined, str(tmp_path / "quarantine"), F.col("ts"))
+    assert spark.read.parquet(str(tmp_path / "quarantine")).where("ingest_date = '2025-06-16'").count() == 6
     docs = envelope(tri.accepted, F.col("ticker"), F.col("ts"))
     first = docs.where("ticker = 'AAPL'").first()
     assert first.file_stem == "AAPL_20250615_180000"

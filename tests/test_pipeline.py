@@ -43,6 +43,7 @@ def test_daily_run(spark, tmp_path):
     assert spark.read.parquet(res.paths["fct_daily_trading"]).count() == 120
     assert spark.read.parquet(res.paths["fct_sector_performance"]).count() == 2 * 59
     assert spark.table("analytics.stg_stock_prices").count() == 120
+    assert spark.table("raw.seed_stock_tickers").count() == 2
     assert spark.table("analytics.fct_daily_trading").count() == 120
     assert spark.table("raw.silver_stock_prices").count() == 120
     n = spark.sql("SELECT count(*) AS n FROM raw.silver_stock_prices WHERE trade_month = 202503").first().n
