@@ -196,9 +196,10 @@ def parse(source: str) -> tuple[list[tuple[str, tuple[str, ...]]], dict[str, lis
     return [(text, path) for text, path, _ in chosen], kids
 
 
-def host_of(url: str | None) -> str | None:
-    m = re.match(r"\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", url or "")
-    return m[1].lower() if m else None
+def host_of(url):
+    """The host of a URL column in lower case, without user and port; null if there is none."""
+    found = F.regexp_extract(url, r"^\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1)
+    return F.nullif(F.lower(found), F.lit(""))
 
 
 def _hash(text: str) -> int:
@@ -206,42 +207,52 @@ def _hash(text: str) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace"))).view(np.int64))
 
 
-def page_batches(batches):
-    """page_id, url, host, digest, blocks (text, paths) and nodes (path, child sequence)."""
-    block = pa.list_(pa.struct([("text", pa.string()), ("paths", pa.list_(pa.int64()))]))
+def shape_batches(batches):
+    """(host, html) rows as host, digest, blocks (digest, container paths) and nodes (path, child sequence)."""
+    block = pa.list_(pa.struct([("block", pa.int64()), ("paths", pa.list_(pa.int64()))]))
     node = pa.list_(pa.struct([("path", pa.int64()), ("kids", pa.int64())]))
     for batch in batches:
-        hosts, digests, blocks, nodes = [], [], [], []
-        for url, source in zip(batch.column(1), batch.column(2), strict=True):
+        digests, blocks, nodes = [], [], []
+        for source in batch.column(1):
             found, kids = parse(source.as_py() or "")
             ids = {p: _hash(p) for p in kids}
-            hosts.append(host_of(url.as_py()))
-            blocks.append([{"text": t, "paths": [ids[p] for p in paths]} for t, paths in found])
+            blocks.append([{"block": _hash(t), "paths": [ids[p] for p in paths]} for t, paths in found if paths])
             nodes.append([{"path": ids[p], "kids": _hash(" ".join(k))} for p, k in kids.items()])
             digests.append(_hash("\n".join(t + "\t" + "".join(p[-1:]) for t, p in found) + "\n".join(kids)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(hosts, pa.string()),
-                                          pa.array(digests, pa.int64()), pa.array(blocks, block), pa.array(nodes, node)],
-                                         ["page_id", "url", "host", "digest", "blocks", "nodes"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.int64()), pa.array(blocks, block),
+                                          pa.array(nodes, node)], ["host", "digest", "blocks", "nodes"])
 
 
-_PARSED = ("page_id long, url string, host string, digest long, "
-           "blocks array<struct<text:string,paths:array<long>>>, nodes array<struct<path:long,kids:long>>")
+def text_batches(batches):
+    """(page_id, url, html, removed) rows as page_id, url, text."""
+    for batch in batches:
+        texts = []
+        for source, removed in zip(batch.column(2), batch.column(3), strict=True):
+            gone = set(removed.as_py() or ())
+            blocks = parse(source.as_py() or "")[0]
+            texts.append("\n".join(t for t, paths in blocks if not gone or gone.isdisjoint(map(_hash, paths))))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
+
+
+def _rows(pages: DataFrame) -> DataFrame:
+    url = F.col("url").cast("string")
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"),
+                        F.col("html").cast("string").alias("html"), host_of(url).alias("host"))
 
 
-def parsed_pages(pages: DataFrame) -> DataFrame:
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-                        F.col("html").cast("string").alias("html"))
-    return rows.mapInArrow(workers.task(__name__, "page_batches"), _PARSED)
+def page_shapes(pages: DataFrame) -> DataFrame:
+    """host, digest, blocks and nodes of every page that has a host and containers; no texts."""
+    shapes = _rows(pages).filter("host is not null").select("host", "html").mapInArrow(
+        workers.task(__name__, "shape_batches"),
+        "host string, digest long, blocks array<struct<block:long,paths:array<long>>>, nodes array<struct<path:long,kids:long>>")
+    return shapes.filter("size(nodes) > 0")
 
 
-def node_importance(parsed: DataFrame) -> DataFrame:
+def node_importance(shapes: DataFrame) -> DataFrame:
     """(host, path, pages, importance) of every container path of every host's style tree."""
-    slim = parsed.filter("host is not null and size(nodes) > 0").select(
-        "host", "digest", "nodes", F.transform("blocks", lambda b: F.struct(
-            F.xxhash64(b["text"]).alias("block"), b["paths"].alias("paths"))).alias("blocks"))
-    one = slim.groupBy("host", "digest").agg(F.first("nodes").alias("nodes"), F.first("blocks").alias("blocks"))
-    shapes = one.select("host", "digest", F.explode("nodes").alias("n")).select("host", "n.path", "n.kids")
-    seqs = shapes.groupBy("host", "path", "kids").agg(F.count("*").alias("c"))
+    one = shapes.groupBy("host", "digest").agg(F.first("nodes").alias("nodes"), F.first("blocks").alias("blocks"))
+    nodes = one.select("host", F.explode("nodes").alias("n")).select("host", "n.path", "n.kids")
+    seqs = nodes.groupBy("host", "path", "kids").agg(F.count("*").alias("c"))
     look = seqs.groupBy("host", "path").agg(F.sum("c").alias("pages"), F.sum(F.col("c") * F.log("c")).alias("clogc"))
     said = one.select("host", "digest", F.explode(F.array_distinct("blocks")).alias("b")) \
         .select("host", "b.block", F.explode("b.paths").alias("path"))
@@ -255,12 +266,17 @@ def node_importance(parsed: DataFrame) -> DataFrame:
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text, n_chars) of every row of ``pages``."""
-    parsed = workers.keep(parsed_pages(pages), "pages")
-    noise = node_importance(parsed).filter((F.col("pages") >= EVIDENCE) & (F.col("importance") < LOW)).select("host", "path")
-    on = parsed.filter("host is not null").select("host", "digest", F.explode("nodes.path").alias("path")).distinct()
-    removed = on.join(noise, ["host", "path"]).groupBy("host", "digest").agg(F.collect_set("path").alias("removed"))
-    rows = parsed.select("page_id", "url", "host", "digest", "blocks").join(removed, ["host", "digest"], "left")
-    kept = F.filter("blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["paths"], F.col("removed")), F.lit(False)))
-    return rows.select("page_id", "url", F.concat_ws("\n", F.transform(kept, lambda b: b["text"])).alias("text")) \
+    """(page_id, url, text, n_chars) of every row of ``pages``.
+
+    The first pass keeps digests of the pages' containers and blocks only.
+    The paths to remove (at most the container paths that a host repeats on
+    ``EVIDENCE`` pages) are written, so that the planner knows their size when
+    it joins them to the pages of their host, which are read a second time.
+    """
+    shapes = workers.keep(page_shapes(pages), "shapes")
+    low = node_importance(shapes).filter((F.col("pages") >= EVIDENCE) & (F.col("importance") < LOW))
+    removed = workers.keep(low.groupBy("host").agg(F.collect_set("path").alias("removed")), "removed")
+    workers.drop(shapes)
+    rows = _rows(pages).join(removed, "host", "left").select("page_id", "url", "html", "removed")
+    return rows.mapInArrow(workers.task(__name__, "text_batches"), "page_id long, url string, text string") \
         .withColumn("n_chars", F.length("text").cast("long"))

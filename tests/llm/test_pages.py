@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from barlake.llm import pages
 
 SCHEMA = "page_id long, url string, html string, text string, host int, removed string"
@@ -59,8 +61,8 @@ def test_copies_are_one_page_and_hosts_are_apart(spark):
 
 
 def test_importance_is_between_nothing_and_one(spark):
-    got = {r.pages: r.importance for r in pages.node_importance(pages.parsed_pages(frame(spark, site(12)))).collect()}
-    values = sorted(r.importance for r in pages.node_importance(pages.parsed_pages(frame(spark, site(12)))).collect())
+    got = {r.pages: r.importance for r in pages.node_importance(pages.page_shapes(frame(spark, site(12)))).collect()}
+    values = sorted(r.importance for r in pages.node_importance(pages.page_shapes(frame(spark, site(12)))).collect())
     assert set(got) == {12} and values[0] < 0.05 and 0.8 < values[-1] <= 1
 
 
@@ -71,4 +73,5 @@ def test_awkward_rows(spark):
     assert got.columns == ["page_id", "url", "text", "n_chars"]
     assert texts(spark, data) == sorted([(None, "", 0), (1, "x", 1), (1, "x", 1), (2, "", 0), (3, "", 0), (4, "", 0)], key=str)
     assert pages.main_texts(frame(spark, [])).count() == 0
-    assert pages.host_of("http://u@H.example:80/x") == "h.example" and pages.host_of("x") is None
+    hosts = frame(spark, [(0, u, "") for u in ("http://u@H.example:80/x", "x", None, "//a.b?c")]).select(pages.host_of(F.col("url")))
+    assert sorted(map(str, (r[0] for r in hosts.collect()))) == ["None", "None", "a.b", "h.example"]
