@@ -214,22 +214,24 @@ def codec(path: str) -> Codec:
     return _codecs[path]
 
 
-def encode_batches(batches, path: str, text: str, out: str):
+def encode_batches(batches, path: str):
+    """(row, text) as (row, value): the text's ids."""
     c = codec(path)
     for batch in batches:
-        raw = [None if t is None else c.pieces.encode(t) for t in _texts(batch.column(text))]
+        raw = [None if t is None else c.pieces.encode(t) for t in _texts(batch.column(1))]
         offsets = np.concatenate([[0], np.cumsum([0 if r is None else len(r) // 4 for r in raw])])
         flat = pa.array(np.frombuffer(b"".join([r for r in raw if r]), dtype="<i4"))
         none = pa.array([r is None for r in raw], pa.bool_())
         ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat, mask=none)
-        yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, out])
+        yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["row", "value"])
 
 
-def decode_batches(batches, path: str, ids: str, out: str):
+def decode_batches(batches, path: str):
+    """(row, ids) as (row, value): the ids' text."""
     c = codec(path)
     for batch in batches:
-        texts = pa.array([None if x.as_py() is None else c.decode(x.as_py()) for x in batch.column(ids)], pa.string())
-        yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, out])
+        texts = pa.array([None if x.as_py() is None else c.decode(x.as_py()) for x in batch.column(1)], pa.string())
+        yield pa.RecordBatch.from_arrays([batch.column(0), texts], ["row", "value"])
 
 
 def _texts(column):
@@ -237,20 +239,24 @@ def _texts(column):
         yield x.as_py()
 
 
-def bpe_encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """``df`` with the ids of ``text`` (null for a null text) as an array column ``out``."""
+def _beside(df: DataFrame, batches: str, path: str, source, kind: str, out: str) -> DataFrame:
+    """``df`` with a column ``out`` that a task works out from ``source``; the row travels as one struct, whatever its names."""
     if out in df.columns:
         raise ValueError(f"{out} is already a column")
-    schema = df.select("*", F.lit(None).cast("array<int>").alias(out)).schema
-    return df.mapInArrow(workers.task(__name__, "encode_batches", path=path, text=text, out=out), schema)
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), source.alias("value"))
+    schema = rows.withColumn("value", F.lit(None).cast(kind)).schema
+    done = rows.mapInArrow(workers.task(__name__, batches, path=path), schema)
+    return done.select(*[F.col(f"row.`{c}`").alias(c) for c in df.columns], F.col("value").alias(out))
+
+
+def bpe_encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
+    """``df`` with the ids of ``text`` (null for a null text) as an array column ``out``."""
+    return _beside(df, "encode_batches", path, F.col(f"`{text}`").cast("string"), "array<int>", out)
 
 
 def bpe_decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the text of the ids in ``ids`` as a column ``out``."""
-    if out in df.columns:
-        raise ValueError(f"{out} is already a column")
-    schema = df.select("*", F.lit(None).cast("string").alias(out)).schema
-    return df.mapInArrow(workers.task(__name__, "decode_batches", path=path, ids=ids, out=out), schema)
+    return _beside(df, "decode_batches", path, F.col(f"`{ids}`"), "string", out)
 
 
 def digest_batches(batches, path: str):
