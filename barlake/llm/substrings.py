@@ -233,12 +233,14 @@ def _kept_words(text: str, spans, width: int) -> tuple[list[bytes], int]:
 def removed_windows(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, mark, starts): where windows start, in words, that a smaller doc_id has too. ``rows`` as by ``_rows``."""
     shared = workers.keep(shared_segments(rows, width), "anchors")
-    often = shared.groupBy("anchor").count().filter(F.col("count") > FREQUENT).select("anchor", F.lit(True).alias("often"))
+    # written, so that the join below reads a plain table: small enough to broadcast, or a shuffle that Spark can split
+    often = workers.keep(shared.groupBy("anchor").count().filter(F.col("count") > FREQUENT)
+                         .select("anchor", F.lit(True).alias("often")), "often")
     placed = shared.join(often, "anchor", "left").groupBy("doc_id", "mark").agg(F.collect_list(F.struct(
         "place", "anchor", F.coalesce("often", F.lit(False)).alias("often"))).alias("places"))
     texts = rows.filter("doc_id is not null and text is not null").dropDuplicates(["doc_id", "mark"])
     held = workers.keep(texts.join(placed, ["doc_id", "mark"]).select("doc_id", "mark", "text", "places"), "texts")
-    workers.drop(shared)
+    workers.drop(shared, often)
     cut = held.mapInArrow(workers.task(__name__, "segment_batches", width=width, content=True),
                           "route long, doc_id long, content binary")
     distinct = workers.keep(distinct_segments(cut), "segments")
