@@ -43,6 +43,7 @@ GOAL = 0.98
 MOST_CELLS = 150  # cells a table may cost a query on average; else fewer projections are used
 BLOCK, QUERIES = 256, 64  # vectors and queries of a block
 EDGE = 1e-9
+MERGED = 500_000  # rows of a task's buffer of results
 
 
 class Index:
@@ -181,13 +182,30 @@ def _blocks(rows: pa.Table, size: int, last: bool):
     return out, rows.slice(int(cuts[-1]))
 
 
+def _best(q: np.ndarray, v: np.ndarray, score: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The nearest ``top`` rows of each query, a row found twice counted once."""
+    order = np.lexsort((v, score, q))
+    q, v, score = q[order], v[order], score[order]
+    if len(q):
+        new = np.concatenate([[True], (q[1:] != q[:-1]) | (v[1:] != v[:-1]) | (score[1:] != score[:-1])])
+        q, v, score = q[new], v[new], score[new]
+    keep = np.arange(len(q)) - np.searchsorted(q, q) < top
+    return q[keep], v[keep], score[keep]
+
+
 def rank_batches(batches, dims: int, top: int):
-    """Pairs of blocks (qids, qvecs, ids, vecs) as each query's nearest classes: (query, id, score)."""
+    """Pairs of blocks (qids, qvecs, ids, vecs) as each query's nearest classes: (query, id, score).
+
+    What a task finds for a query is merged before it leaves the task, in a
+    buffer of ``MERGED`` rows.
+    """
+    names = ["query", "id", "score"]
+    held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
     for batch in batches:
-        out_q, out_v, out_s = [], [], []
-        for qids, qvecs, ids, vecs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            qi, vi = np.frombuffer(qids, "<i8"), np.frombuffer(ids, "<i8")
-            q, v = np.frombuffer(qvecs, "<f8").reshape(-1, dims), np.frombuffer(vecs, "<f8").reshape(-1, dims)
+        found = []
+        for qids, qvecs, ids, vecs in zip(*batch.columns, strict=True):
+            qi, vi = np.frombuffer(qids.as_py(), "<i8"), np.frombuffer(ids.as_py(), "<i8")
+            q, v = np.frombuffer(qvecs.as_py(), "<f8").reshape(-1, dims), np.frombuffer(vecs.as_py(), "<f8").reshape(-1, dims)
             norm = (q ** 2).sum(1)[:, None] + (v ** 2).sum(1)
             rough = norm - 2 * q @ v.T
             if len(vi) > top:  # rounding may move a distance by EDGE of the norms at most
@@ -195,16 +213,14 @@ def rank_batches(batches, dims: int, top: int):
                 rows, cols = np.nonzero(rough <= limit + EDGE * norm)
             else:
                 rows, cols = np.nonzero(rough == rough)
-            score = np.sqrt(((q[rows] - v[cols]) ** 2).sum(1))
-            order = np.lexsort((vi[cols], score, rows))
-            rows, cols, score = rows[order], cols[order], score[order]
-            nth = np.arange(len(rows)) - np.searchsorted(rows, rows)
-            best = nth < top
-            out_q.append(qi[rows[best]])
-            out_v.append(vi[cols[best]])
-            out_s.append(score[best])
-        if out_q:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_q, out_v, out_s)], ["query", "id", "score"])
+            found.append((qi[rows], vi[cols], np.sqrt(((q[rows] - v[cols]) ** 2).sum(1))))
+        if found:
+            held = _best(*(np.concatenate(x) for x in zip(held, *found, strict=True)), top)
+        if len(held[0]) > MERGED:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names)
+            held = tuple(x[:0] for x in held)
+    if len(held[0]):
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names)
 
 
 def _first(df: DataFrame, by: list, order: list, n: int) -> DataFrame:
