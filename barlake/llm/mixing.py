@@ -156,7 +156,8 @@ def balance(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: floa
     rated = units.join(known, "skey").select("doc_id", "skey", "digest", "size", "n", "source_size", "target",
                                              rate.alias("rate"), tie.alias("tie"), group.alias("part"))
     schema = rated.select("*", F.lit(0).alias("copies")).schema
-    done = rated.groupBy("skey", "part").applyInArrow(workers.task(__name__, "round_group"), schema)
+    # dealt by group: the join leaves a source's rows together, and its groups need not be
+    done = rated.repartition("skey", "part").groupBy("skey", "part").applyInArrow(workers.task(__name__, "round_group"), schema)
     copies = workers.keep(done.drop("tie", "part"), "copies")
     workers.drop(units, sources, hist)
     return copies
