@@ -1,23 +1,25 @@
 """Operator 6: main text of web pages by a site style tree.
 
-Every page is read into containers (divisions, sections, lists, tables; named
-by tag, id and classes along their path) and text blocks. Elements that say
-what they are - by tag, role, class or id - menus, headers, footers, sidebars,
-notices, adverts, forms and reader comments are left out at once, and if a
-page marks its article, only that is read.
-
-The DOMs of one host are merged into a style tree whose nodes are container
-paths. A node met on m pages has two entropies to base m: that of its child
+Every page is read into elements (all block elements, menus, footers and
+adverts too; named by tag, id and classes along their path) and text blocks.
+The DOMs of one host are merged into a style tree whose nodes are element
+paths and, as leaves, each text at its path. A node met on m pages has two entropies to base m: that of its child
 sequences (presentation) and, for each text block below it, that of the pages
 that repeat the block (content). Its importance is
 (1 - GAMMA) * presentation entropy + GAMMA * (1 - mean content entropy): near 0
-for what looks and says the same on every page. Branches below ``LOW`` are
+for what looks and says the same on every page; a leaf that k of the m pages
+have has GAMMA * (1 - log k / log m). Branches and leaves below ``LOW`` are
 removed from each page, if at least ``EVIDENCE`` different pages tell; the
 paragraphs of a marked article are never judged by their host, only
 containers in it.
 
-Scale: the tree is counts by (host, path, child sequence) and (host, path,
-block), partial sums first; no host is ever gathered. Copies of a page within
+Names add to the tree, as text that differs on every page looks important to
+it: what says by tag, role, class or id that it is a menu, header, footer,
+sidebar, notice, advert, form or reader comment is no text on any page, and
+if a page marks its article, only that is read.
+
+Scale: the tree is counts by (host, path, child sequence), (host, path,
+block) and (host, leaf), partial sums first; no host is ever gathered. Copies of a page within
 a host count once.
 
 Defined cases: null html is empty and gives the empty text; a null url or one
@@ -48,6 +50,8 @@ BLOCKS = frozenset("""address article aside blockquote body caption center dd de
  figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot
  th thead tr ul""".split())
 CONTAINERS = frozenset("div section ul ol table dl figure center details".split())
+#: What is a node of the tree outside a marked article; in one, CONTAINERS are.
+NODES = BLOCKS - frozenset("html body article main hr".split())
 #: Words of class, id and role names that say a part is not the article.
 NOISE_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising adsbygoogle banner breadcrumb breadcrumbs
  comment comments commentlist complementary consent contentinfo cookie cookies disclaimer disqus footer gdpr login masthead
@@ -98,11 +102,16 @@ def _mark(tag: str, attrs: str) -> tuple[bool, bool, str]:
     return off or bool(words & NOISE_WORDS), bool(words & COMMENT_WORDS), ".".join([tag, *label])
 
 
-def parse(source: str) -> tuple[list[tuple[str, tuple[str, ...]]], dict[str, list[str]]]:
-    """Blocks (text, container paths around it) that are not noise, and the child sequence of each container path."""
+def parse(source: str) -> tuple[list, dict[str, list[str]], list]:
+    """Blocks (text, nodes around it) that are not noise by name, the child sequence of each path, and all blocks.
+
+    A block's nodes are the element paths around it and, outside a marked
+    article, its leaf; in the list of all blocks the leaf stands apart.
+    """
     blocks: list = []  # text, paths, in an article, in an article whose surroundings are noise
+    every: list = []  # text, paths, leaf or None
     stack = [_Open("", False, 0, ())]
-    kids: dict[str, list[str]] = {}
+    kids: dict[str, list[str]] = {"": []}
     run: list[str] = []
     first_article = [False]
 
@@ -112,10 +121,13 @@ def parse(source: str) -> tuple[list[tuple[str, tuple[str, ...]]], dict[str, lis
             run.clear()
             if text:
                 top = stack[-1]
+                leaf = None if top.article or top.noise == 2 else f"{top.path[-1] if top.path else ''}\t{text}"
+                every.append((text, top.path, leaf))
+                nodes = top.path if leaf is None else (*top.path, leaf)
                 if not top.noise:
-                    blocks.append((text, top.path, top.article))
+                    blocks.append((text, nodes, top.article))
                 elif top.noise == 2:
-                    blocks.append((text, top.path, 2))
+                    blocks.append((text, nodes, 2))
 
     def close(i):
         if any(e.tag in BLOCKS for e in stack[i:]):
@@ -182,18 +194,18 @@ def parse(source: str) -> tuple[list[tuple[str, tuple[str, ...]]], dict[str, lis
         if tag in ("article", "main"):
             first_article[0] = True
         path = top.path
-        if tag in CONTAINERS and not noise:
-            if path:
-                kids[path[-1]].append(name)
+        inside = article or noise == 2
+        if tag in (CONTAINERS if inside else NODES):
+            kids[path[-1] if path else ""].append(name)
             path = (*path, f"{path[-1] if path else ''}/{name}")
             kids.setdefault(path[-1], [])
-        elif tag in BLOCKS and path and not noise:
-            kids[path[-1]].append(tag)
+        elif tag in BLOCKS and (path or not inside):
+            kids[path[-1] if path else ""].append(tag)
         stack.append(_Open(tag, noise, article, path))
     flush()
     marked = [b for b in blocks if b[2] == 1 or b[2] is True]
     chosen = marked or [b for b in blocks if b[2] == 2] or [b for b in blocks if not b[2]]
-    return [(text, path) for text, path, _ in chosen], kids
+    return [(text, nodes) for text, nodes, _ in chosen], kids, every
 
 
 def host_of(url):
@@ -208,29 +220,30 @@ def _hash(text: str) -> int:
 
 
 def shape_batches(batches):
-    """(host, html) rows as host, digest, blocks (digest, container paths) and nodes (path, child sequence)."""
-    block = pa.list_(pa.struct([("block", pa.int64()), ("paths", pa.list_(pa.int64()))]))
+    """(host, html) rows as host, digest, blocks (digest, paths, leaf, path of the leaf) and nodes (path, child sequence)."""
+    block = pa.list_(pa.struct([("block", pa.int64()), ("paths", pa.list_(pa.int64())), ("leaf", pa.int64()), ("at", pa.int64())]))
     node = pa.list_(pa.struct([("path", pa.int64()), ("kids", pa.int64())]))
     for batch in batches:
         digests, blocks, nodes = [], [], []
         for source in batch.column(1):
-            found, kids = parse(source.as_py() or "")
+            _, kids, found = parse(source.as_py() or "")
             ids = {p: _hash(p) for p in kids}
-            blocks.append([{"block": _hash(t), "paths": [ids[p] for p in paths]} for t, paths in found if paths])
+            blocks.append([{"block": _hash(t), "paths": [ids[p] for p in paths], "leaf": None if leaf is None else _hash(leaf),
+                            "at": ids[paths[-1] if paths else ""]} for t, paths, leaf in found if paths or leaf is not None])
             nodes.append([{"path": ids[p], "kids": _hash(" ".join(k))} for p, k in kids.items()])
-            digests.append(_hash("\n".join(t + "\t" + "".join(p[-1:]) for t, p in found) + "\n".join(kids)))
+            digests.append(_hash("\n".join(t + "\t" + "".join(p[-1:]) for t, p, _ in found) + "\n".join(kids)))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.int64()), pa.array(blocks, block),
                                           pa.array(nodes, node)], ["host", "digest", "blocks", "nodes"])
 
 
 def text_batches(batches):
-    """(page_id, url, html, removed) rows as page_id, url, text."""
+    """(page_id, url, html, removed) rows as page_id, url, text; removed: paths and leaves of low importance."""
     for batch in batches:
         texts = []
         for source, removed in zip(batch.column(2), batch.column(3), strict=True):
             gone = set(removed.as_py() or ())
             blocks = parse(source.as_py() or "")[0]
-            texts.append("\n".join(t for t, paths in blocks if not gone or gone.isdisjoint(map(_hash, paths))))
+            texts.append("\n".join(t for t, nodes in blocks if not gone or gone.isdisjoint(map(_hash, nodes))))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
@@ -241,35 +254,42 @@ def _rows(pages: DataFrame) -> DataFrame:
 
 
 def page_shapes(pages: DataFrame) -> DataFrame:
-    """host, digest, blocks and nodes of every page that has a host and containers; no texts."""
+    """host, digest, blocks and nodes of every page that has a host and text to judge; no texts."""
     shapes = _rows(pages).filter("host is not null").select("host", "html").mapInArrow(
         workers.task(__name__, "shape_batches"),
-        "host string, digest long, blocks array<struct<block:long,paths:array<long>>>, nodes array<struct<path:long,kids:long>>")
-    return shapes.filter("size(nodes) > 0")
+        "host string, digest long, blocks array<struct<block:long,paths:array<long>,leaf:long,at:long>>, "
+        "nodes array<struct<path:long,kids:long>>")
+    return shapes.filter("size(blocks) > 0")
 
 
 def node_importance(shapes: DataFrame) -> DataFrame:
-    """(host, path, pages, importance) of every container path of every host's style tree."""
+    """(host, path, pages, importance) of every element path of every host's style tree, and of each leaf that may be low."""
     one = shapes.groupBy("host", "digest").agg(F.first("nodes").alias("nodes"), F.first("blocks").alias("blocks"))
     nodes = one.select("host", F.explode("nodes").alias("n")).select("host", "n.path", "n.kids")
     seqs = nodes.groupBy("host", "path", "kids").agg(F.count("*").alias("c"))
     look = seqs.groupBy("host", "path").agg(F.sum("c").alias("pages"), F.sum(F.col("c") * F.log("c")).alias("clogc"))
-    said = one.select("host", "digest", F.explode(F.array_distinct("blocks")).alias("b")) \
-        .select("host", "b.block", F.explode("b.paths").alias("path"))
+    texts = one.select("host", F.explode(F.array_distinct("blocks")).alias("b"))
+    said = texts.select("host", "b.block", F.explode("b.paths").alias("path"))
     on = said.groupBy("host", "path", "block").agg(F.count("*").alias("k"))
     repeats = on.groupBy("host", "path").agg(F.sum("k").alias("all"), F.sum(F.col("k") * F.log("k")).alias("klogk"))
     both = look.join(repeats, ["host", "path"], "left")
     logm = F.log(F.greatest(F.col("pages"), F.lit(2)))
     presentation = (F.log("pages") - F.col("clogc") / F.col("pages")) / logm
     content = F.coalesce(1 - F.least(F.lit(1.0), F.col("klogk") / F.col("all") / logm), F.lit(0.0))
-    return both.select("host", "path", "pages", ((1 - GAMMA) * presentation + GAMMA * content).alias("importance"))
+    paths = both.filter(F.col("path") != _hash("")).select("host", "path", "pages", ((1 - GAMMA) * presentation + GAMMA * content).alias("importance"))
+    # a leaf is below LOW if k > pages ** (1 - LOW / GAMMA): texts of few pages never are and meet no join
+    leaves = texts.filter("b.leaf is not null").groupBy("host", "b.leaf", "b.at").agg(F.count("*").alias("k")) \
+        .filter(F.col("k") > EVIDENCE ** (1 - LOW / GAMMA))
+    alone = leaves.join(look.select("host", F.col("path").alias("at"), "pages"), ["host", "at"]) \
+        .select("host", F.col("leaf").alias("path"), "pages", (GAMMA * (1 - F.least(F.lit(1.0), F.log("k") / logm))).alias("importance"))
+    return paths.unionAll(alone)
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages``.
 
-    The first pass keeps digests of the pages' containers and blocks only.
-    The paths to remove (at most the container paths that a host repeats on
+    The first pass keeps digests of the pages' elements and blocks only.
+    The nodes to remove (at most the paths and leaves that a host repeats on
     ``EVIDENCE`` pages) are written, so that the planner knows their size when
     it joins them to the pages of their host, which are read a second time.
     """

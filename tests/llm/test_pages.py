@@ -75,3 +75,22 @@ def test_awkward_rows(spark):
     assert pages.main_texts(frame(spark, [])).count() == 0
     hosts = frame(spark, [(0, u, "") for u in ("http://u@H.example:80/x", "x", None, "//a.b?c")]).select(pages.host_of(F.col("url")))
     assert sorted(map(str, (r[0] for r in hosts.collect()))) == ["None", "None", "a.b", "h.example"]
+
+
+def test_unnamed_menus_and_leaves_go_by_importance(spark):
+    """No known name and no container: what repeats over the host's pages goes, also as a leaf among the text's paragraphs."""
+    data = [(i, f"https://plain.example/{i}", f"<body><p>Home | Shop | About</p><h1>Title {i}</h1><p>Story {i} is told here</p>"
+             f"<div class='q7'><a>One</a> <a>Two</a></div><p>All rights belong to us</p>loose</body>") for i in range(12)]
+    assert [t for _, t, _ in texts(spark, data)] == [t for _, t, _ in sorted(
+        ((i, f"Title {i}\nStory {i} is told here", 0) for i in range(12)), key=str)]
+
+
+def test_named_elements_are_in_the_tree(spark):
+    """Pages that mark their article tell what a page of the host without one repeats; menus and adverts are nodes."""
+    page = "<nav><ul><li>Home</li></ul></nav><div class='ad'>buy {0}</div><div class='q7'>Our shops</div>"
+    data = [(i, f"https://m.example/{i}", (page + "<article><p>Text {0}</p></article>").format(i)) for i in range(12)]
+    assert pages.page_shapes(frame(spark, data)).count() == 12
+    assert {pages._hash(p) for p in ("/nav", "/nav/ul/li", "/div.ad", "/div.q7")} <= {
+        r.path for r in pages.node_importance(pages.page_shapes(frame(spark, data))).collect()}
+    got = {i: t for i, t, _ in texts(spark, [*data, (99, "https://m.example/", (page + "<p>Welcome {0}</p>").format(99))])}
+    assert got[99] == "Welcome 99" and got[3] == "Text 3"
