@@ -4,8 +4,9 @@ An indicator looks back ``LOOKBACK_ROWS`` rows. After a merge that touched
 some months, the rows to work out anew are those of the touched months and,
 for each ticker, the next ``LOOKBACK_ROWS`` rows after each of them. Which
 months that is follows from the number of rows of each (ticker, month), an
-aggregate of the narrow key columns; prices are read only for those months and
-the months before them that hold the look-back.
+aggregate of the narrow key columns. A month is rewritten for all tickers, so
+prices are read for those months and the months before them that hold the
+look-back of any ticker, whichever ticker they are rewritten for.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ def affected_months(silver: DataFrame, touched: list[int], rows: int = LOOKBACK_
     """(months to write, months to read): lists bounded by the calendar.
 
     A month is affected if for some ticker fewer than ``rows`` rows lie
-    between it and a touched month before it; it needs the months that
-    hold the ``rows`` rows before its first.
+    between it and a touched month before it; it needs, for every ticker,
+    the months that hold the ``rows`` rows before its first.
     """
     m = F.col(PARTITION_COLUMN)
     counts = silver.groupBy("ticker", m).agg(F.count("*").alias("n"))
@@ -36,11 +37,12 @@ def affected_months(silver: DataFrame, touched: list[int], rows: int = LOOKBACK_
     last = F.max(F.when(F.col("touched"), F.col("upto"))).over(series.rowsBetween(Window.unboundedPreceding, 0))
     # rows of the ticker between the last touched month and the first row of this one
     hit = at.withColumn("hit", F.col("touched") | F.coalesce(F.col("upto") - F.col("n") - last < rows, F.lit(False)))
-    # rows from the end of a month to the next affected one
+    write = sorted(r[0] for r in hit.where("hit").select(m).distinct().collect())
+    # a written month is written for all tickers: each one's rows from the end of a month to the next written one
+    written = at.withColumn("hit", m.isin(write))
     following = F.min(F.when(F.col("hit"), F.col("upto") - F.col("n"))).over(series.rowsBetween(0, Window.unboundedFollowing))
-    need = hit.withColumn("need", F.col("hit") | F.coalesce(following - F.col("upto") < rows, F.lit(False)))
-    got = need.groupBy(m).agg(F.max("hit").alias("hit"), F.max("need").alias("need")).where("hit or need").collect()
-    return sorted(r[0] for r in got if r["hit"]), sorted(r[0] for r in got if r["need"])
+    need = written.select(m, (F.col("hit") | F.coalesce(following - F.col("upto") < rows, F.lit(False))).alias("need"))
+    return write, sorted(r[0] for r in need.where("need").select(m).distinct().collect())
 
 
 def with_month(df: DataFrame) -> DataFrame:
