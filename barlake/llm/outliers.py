@@ -4,14 +4,16 @@ Text statistics are worked out row by row. For each (language, source) group
 the method looks for the share ``half`` of rows whose covariance has the least
 determinant: from two starts (medians with median deviations; plain mean and
 covariance) concentration steps keep the rows nearest to the current centre
-and estimate anew, and the start that ends with the smaller determinant wins.
-A row is an outlier if its squared Mahalanobis distance exceeds the cutoff.
+and estimate anew until no determinant changes, and the start that ends with the smaller determinant wins.
+A row is an outlier if its squared Mahalanobis distance exceeds the cutoff,
+the 97.5 % point of chi-square for the number of statistics.
 
 Scale: groups are only ever aggregated (partial sums of values and products,
 mergeable quantile sketches), so a hot group meets in no task; what is joined
 back is one row per group. The covariance gets two additions: ``floors``, the
 spread below which a statistic's differences do not matter (many statistics
-are exactly 0 in most rows, which would make the determinant 0), and a pull
+are exactly 0 in most rows, which would make the determinant 0; each is small
+enough that its statistic alone can exceed the cutoff), and a pull
 of ``PRIOR`` rows towards the estimate over all groups, for small groups.
 
 Defined cases: null text counts as empty; null language or source is a group
@@ -32,14 +34,16 @@ from barlake.llm import workers
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 PRIOR = 30.0
-STEPS = 3
+STEPS = 12  # at most; a step that changes no log determinant by SETTLED is the last
+SETTLED = 0.01
 HALF = 0.75
 SALTS = 32  # parts of a group's rows when they meet its estimate
 #: Rows of a normal sample within its nearest 75 % have a covariance smaller by this factor (5 statistics).
 SHRINK = 0.708
-CUTOFF = 30.0
+#: 97.5 % point of chi-square with 5 degrees of freedom.
+CUTOFF = 12.833
 FEATURES = ["f_len", "f_word", "f_sym", "f_dup", "f_rep"]
-FLOORS = [0.8, 0.6, 0.35, 0.25, 0.15]
+FLOORS = [0.5, 0.3, 0.35, 0.22, 0.16]
 
 
 def _let(value: Column, body) -> Column:
@@ -167,16 +171,19 @@ def outlier_distances(df: DataFrame, xs: list[str], groups: list[str], floors: l
     est = _settled(workers.keep(start0.unionAll(start1), "starts"), _pooled(two, xs), floors, 1.0)
     by = [*keys, "start"]
     last = None
+    est = workers.keep(est, "estimate")
     for _ in range(steps):
-        est = workers.keep(est, "estimate")
         if last is not None:
             workers.drop(last)
         last = est
         near = _distance(two, est, by, xs)
         limits = near.groupBy(*by).agg(F.percentile_approx("d2", half, 1000).alias("limit"))
         inner = _distance(two, est.join(limits, by), by, xs, "limit").filter("d2 <= limit")
-        est = _settled(_moments(inner, by, xs), _pooled(inner, xs), floors, shrink)
-    est = workers.keep(est, "estimate")
+        est = workers.keep(_settled(_moments(inner, by, xs), _pooled(inner, xs), floors, shrink), "estimate")
+        moved = est.join(last.select(*by, F.col("logdet").alias("before")), by) \
+            .agg(F.max(F.abs(F.col("logdet") - F.col("before")))).first()[0]
+        if moved is None or moved < SETTLED:
+            break
     best = est.groupBy(*keys).agg(F.min(F.struct("logdet", "start")).alias("best"))
     final = est.join(best, keys).filter("start = best.start").drop("best", "start", "n")
     out = _distance(clean, workers.keep(final, "final"), keys, xs)

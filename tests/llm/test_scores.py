@@ -1,4 +1,5 @@
 import collections
+import random
 import re
 import zlib
 
@@ -93,3 +94,22 @@ def test_awkward_documents_and_labels(spark):
     none = classifier.train(docs, labels.limit(0))
     assert {round(r.score, 6) for r in classifier.scored(docs, none, columns=["doc_id"]).collect()} == {0.5}
     assert classifier.keep_good(documents(spark, []), labels).count() == 0
+
+
+def test_each_statistic_alone_makes_an_outlier(spark):
+    rng = random.Random(3)
+
+    def prose(n):
+        return ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(n)]
+    usual = [(i, " ".join(prose(rng.randint(100, 400)))) for i in range(300)]
+    short = prose(12)
+    lines = [line for i in range(90) for line in (" ".join(prose(8)), *rng.choices(short, k=3))]
+    odd = {1000: " ".join(prose(40_000)),  # length
+           1001: " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(200)),  # letter by letter
+           1002: " ".join(w + "#" * (i % 2) for i, w in enumerate(prose(250))),  # symbols
+           1003: "\n".join(lines),  # short lines repeated between others
+           1004: " ".join(prose(130) + (run := prose(45)) + prose(5) + run)}  # repeated words, within the base rule
+    docs = documents(spark, [(i, t, "en", "a", None) for i, t in [*usual, *odd.items()]])
+    got = {r.doc_id: r for r in outliers.quality_outliers(docs).collect()}
+    assert not any(got[i].base_failed for i in odd) and not any(got[i].kept for i in odd), {i: got[i].d2 for i in odd}
+    assert sum(got[i].kept for i, _ in usual) >= 297
