@@ -16,7 +16,11 @@ containers in it.
 Names add to the tree, as text that differs on every page looks important to
 it: what says by tag, role, class or id that it is a menu, header, footer,
 sidebar, notice, advert, form or reader comment is no text on any page, and
-if a page marks its article, only that is read.
+if a page marks its article, only that is read. A class counts as a whole (all
+its words say so: cookie-notice, but not related-work) and, as roles and ids
+do, only on containers; an id not in an article and not on a section, whose id
+is an anchor. An element with more than ``MOST`` of the page's text is its
+wrapper and goes by no name.
 
 Scale: the tree is counts by (host, path, child sequence), (host, path,
 block) and (host, leaf), partial sums first; no host is ever gathered. Copies of a page within
@@ -41,7 +45,7 @@ from pyspark.sql import functions as F
 
 from barlake.llm import workers
 
-GAMMA, LOW, EVIDENCE = 0.9, 0.2, 8
+GAMMA, LOW, EVIDENCE, MOST = 0.9, 0.2, 8, 0.8
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg math xmp object video audio canvas select".split())
@@ -58,6 +62,8 @@ NOISE_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising a
  menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted
  promotion recommended related reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe
  subscription teaser toolbar topbar widget""".split())
+#: What may stand before one of them in a whole name.
+PLACES = frozenset("bottom left main page post reader right side site top user".split())
 COMMENT_WORDS = frozenset("comment comments commentlist reply disqus".split())
 CLOSES = {  # an opening tag ends these if open, up to the nearest of the second set
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu"])),
@@ -77,37 +83,49 @@ _NAME = re.compile(r"[a-z]+|[0-9]+")
 class _Open:
     """An open element."""
 
-    __slots__ = ("tag", "noise", "article", "path", "kids")
+    __slots__ = ("tag", "noise", "article", "path", "named")
 
-    def __init__(self, tag, noise, article, path):
-        self.tag, self.noise, self.article, self.path, self.kids = tag, noise, article, path, None
+    def __init__(self, tag, noise, article, path, named=()):
+        self.tag, self.noise, self.article, self.path, self.named = tag, noise, article, path, named
 
 
-def _mark(tag: str, attrs: str) -> tuple[bool, bool, str]:
-    """(is noise, is a comment, name) of an element by its attributes."""
+def _says(name: str) -> set[str]:
+    """The words of a whole class, id or role name if they say that it is not the article."""
+    # lower and mixed case names alike: cookieNotice, cookie-notice
+    words = _NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+    words = [w for w in words if not w.isdigit()]
+    return set(words) if words and words[-1] in NOISE_WORDS and all(w in NOISE_WORDS or w in PLACES for w in words) else set()
+
+
+def _mark(tag: str, attrs: str, article) -> tuple[bool, bool, bool, str]:
+    """(is hidden, is noise, is a comment, name) of an element by its attributes."""
     if not attrs or attrs.isspace():
-        return False, False, tag
+        return False, False, False, tag
     words, label, off = set(), [], False
+    holds = tag in CONTAINERS or tag in NOISE_TAGS or tag in ("article", "main")
     for m in _ATTR.finditer(attrs):
         key, value = m[1].lower(), (m[2] or "").strip("\"'")
         if key in ("class", "id"):
             label.append(value)
-            # lower and mixed case names alike: cookieNotice, cookie-notice
-            words.update(_NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
+            if holds and (key == "class" or not article and tag != "section"):
+                words.update(*map(_says, value.split()))
         elif key == "role":
-            words.update(_NAME.findall(value.lower()))
+            if holds:
+                words.update(*map(_says, value.split()))
         elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" \
                 or key == "style" and "display:none" in value.replace(" ", "").lower():
             off = True
-    return off or bool(words & NOISE_WORDS), bool(words & COMMENT_WORDS), ".".join([tag, *label])
+    return off, bool(words & NOISE_WORDS), bool(words & COMMENT_WORDS), ".".join([tag, *label])
 
 
-def parse(source: str) -> tuple[list, dict[str, list[str]], list]:
+def parse(source: str, spare: frozenset = frozenset()) -> tuple[list, dict[str, list[str]], list]:
     """Blocks (text, nodes around it) that are not noise by name, the child sequence of each path, and all blocks.
 
     A block's nodes are the element paths around it and, outside a marked
     article, its leaf; in the list of all blocks the leaf stands apart.
+    ``spare``: which elements, counted by their names, are wrappers.
     """
+    named, held, total = 0, {}, 0
     blocks: list = []  # text, paths, in an article, in an article whose surroundings are noise
     every: list = []  # text, paths, leaf or None
     stack = [_Open("", False, 0, ())]
@@ -116,6 +134,7 @@ def parse(source: str) -> tuple[list, dict[str, list[str]], list]:
     first_article = [False]
 
     def flush():
+        nonlocal total
         if run:
             text = " ".join("".join(run).split())
             run.clear()
@@ -123,6 +142,10 @@ def parse(source: str) -> tuple[list, dict[str, list[str]], list]:
                 top = stack[-1]
                 leaf = None if top.article or top.noise == 2 else f"{top.path[-1] if top.path else ''}\t{text}"
                 every.append((text, top.path, leaf))
+                if not any(e.tag in NOISE_TAGS for e in stack):
+                    total += len(text)
+                    for i in top.named:
+                        held[i] = held.get(i, 0) + len(text)
                 nodes = top.path if leaf is None else (*top.path, leaf)
                 if not top.noise:
                     blocks.append((text, nodes, top.article))
@@ -176,8 +199,14 @@ def parse(source: str) -> tuple[list, dict[str, list[str]], list]:
         if tag in BLOCKS:
             flush()
         top = stack[-1]
-        noisy, comment, name = _mark(tag, attrs)
         article = top.article
+        hidden, noisy, comment, name = _mark(tag, attrs, article)
+        around = top.named
+        if noisy and not comment and tag in CONTAINERS:
+            noisy = named not in spare
+            around = (*around, named)
+            named += 1
+        noisy = noisy or hidden
         if tag in ("article", "main"):
             noisy = comment
             if not top.noise:
@@ -201,8 +230,11 @@ def parse(source: str) -> tuple[list, dict[str, list[str]], list]:
             kids.setdefault(path[-1], [])
         elif tag in BLOCKS and (path or not inside):
             kids[path[-1] if path else ""].append(tag)
-        stack.append(_Open(tag, noise, article, path))
+        stack.append(_Open(tag, noise, article, path, around))
     flush()
+    wrappers = spare.union(i for i, chars in held.items() if chars > MOST * total)
+    if wrappers != spare:
+        return parse(source, wrappers)
     marked = [b for b in blocks if b[2] == 1 or b[2] is True]
     chosen = marked or [b for b in blocks if b[2] == 2] or [b for b in blocks if not b[2]]
     return [(text, nodes) for text, nodes, _ in chosen], kids, every

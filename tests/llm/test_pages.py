@@ -94,3 +94,14 @@ def test_named_elements_are_in_the_tree(spark):
         r.path for r in pages.node_importance(pages.page_shapes(frame(spark, data))).collect()}
     got = {i: t for i, t, _ in texts(spark, [*data, (99, "https://m.example/", (page + "<p>Welcome {0}</p>").format(99))])}
     assert got[99] == "Welcome 99" and got[3] == "Text 3"
+
+
+def test_names_count_whole_and_on_containers_only():
+    assert text("<article><h2 id='related-work'>Related</h2><p class='social-science'>a</p><section id='search'><p>b</p></section>"
+                "<div class='elementor-widget-container'>c</div><p class='notice'>d</p><span class='share'>e</span>"
+                "<div class='social-share'>gone</div></article>") == "Related\na\nb\nc\nd\ne"
+    for wrapper in ("content-sidebar-wrap", "has-sidebar", "sidebar"):
+        assert text(f"<body><nav>{'link ' * 50}</nav><div class='{wrapper}'><p>The story is here</p><div class='ad'>x</div></div></body>") \
+            == "The story is here"
+    assert text("<body><p>The story is here, long enough</p><div class='sidebar'>x</div><div id='site-menu'>y</div></body>") \
+        == "The story is here, long enough"
