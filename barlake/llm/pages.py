@@ -11,7 +11,9 @@ for what looks and says the same on every page; a leaf that k of the m pages
 have has GAMMA * (1 - log k / log m). Branches and leaves below ``LOW`` are
 removed from each page, if at least ``EVIDENCE`` different pages tell; the
 paragraphs of a marked article are never judged by their host, only
-containers in it.
+containers in it: paths start anew at the article. Pages of a host that share
+more than ``MOST`` of their text are near copies of one page; what would take
+that much of a page is not removed from it.
 
 Names add to the tree, as text that differs on every page looks important to
 it: what says by tag, role, class or id that it is a menu, header, footer,
@@ -224,9 +226,12 @@ def parse(source: str, spare: frozenset = frozenset()) -> tuple[list, dict[str,
             first_article[0] = True
         path = top.path
         inside = article or noise == 2
+        if inside and (tag == "main" and not top.article or tag == "article" and not any(e.tag == "article" for e in stack)):
+            path = ()
+        base = "/article" if inside else ""
         if tag in (CONTAINERS if inside else NODES):
-            kids[path[-1] if path else ""].append(name)
-            path = (*path, f"{path[-1] if path else ''}/{name}")
+            kids.setdefault(path[-1] if path else base, []).append(name)
+            path = (*path, f"{path[-1] if path else base}/{name}")
             kids.setdefault(path[-1], [])
         elif tag in BLOCKS and (path or not inside):
             kids[path[-1] if path else ""].append(tag)
@@ -275,7 +280,10 @@ def text_batches(batches):
         for source, removed in zip(batch.column(2), batch.column(3), strict=True):
             gone = set(removed.as_py() or ())
             blocks = parse(source.as_py() or "")[0]
-            texts.append("\n".join(t for t, nodes in blocks if not gone or gone.isdisjoint(map(_hash, nodes))))
+            left = [t for t, nodes in blocks if not gone or gone.isdisjoint(map(_hash, nodes))]
+            if sum(map(len, left)) < (1 - MOST) * sum(len(t) for t, _ in blocks):
+                left = [t for t, _ in blocks]
+            texts.append("\n".join(left))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 

@@ -105,3 +105,11 @@ def test_names_count_whole_and_on_containers_only():
             == "The story is here"
     assert text("<body><p>The story is here, long enough</p><div class='sidebar'>x</div><div id='site-menu'>y</div></body>") \
         == "The story is here, long enough"
+
+
+def test_near_copies_keep_their_text(spark):
+    """A host of near copies: nine of ten paragraphs alike, in a wrapper, with and without a marked article."""
+    same = "".join(f"<p>Paragraph {k} says the same on all of them</p>" for k in range(9))
+    for n, (start, end) in enumerate((("<article>", "</article>"), ("<article><div class='b'>", "</div></article>"), ("", ""))):
+        data = [(i, f"https://copies{n}.example/{i}", f"<body><div id='page'>{start}{same}<p>Only {i}</p>{end}</div></body>") for i in range(30)]
+        assert all(t.count("\n") == 9 and t.endswith(f"Only {i}") for i, t, _ in texts(spark, data))
