@@ -50,7 +50,8 @@ from barlake.llm import workers
 GAMMA, LOW, EVIDENCE, MOST = 0.9, 0.2, 8, 0.8
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math xmp object video audio canvas select".split())
+RAW = frozenset("script style noscript template textarea title iframe svg object video audio canvas select".split())
+TO_THE_END = frozenset("script style textarea title".split())  # without an end tag, the rest of the page is theirs
 NOISE_TAGS = frozenset("head nav footer aside form button menu dialog header label fieldset".split())
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption
  figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot
@@ -178,9 +179,16 @@ def parse(source: str, spare: frozenset = frozenset()) -> tuple[list, dict[str,
                     close(i)
                     break
             continue
-        if tag in RAW:
+        if tag in ("svg", "math") and attrs.endswith("/") and not re.search(r"=\s*[^\s\"'>]*/$", attrs):
+            continue
+        if tag in RAW or tag == "xmp":
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(source, at)
-            at = end.end() if end else n
+            if tag == "xmp":  # shown as it stands
+                flush()
+                run.append(source[at:end.start() if end else n])
+                flush()
+            if end or tag in TO_THE_END or tag == "xmp":
+                at = end.end() if end else n
             continue
         if tag == "br":
             run.append(" ")

@@ -113,3 +113,11 @@ def test_near_copies_keep_their_text(spark):
     for n, (start, end) in enumerate((("<article>", "</article>"), ("<article><div class='b'>", "</div></article>"), ("", ""))):
         data = [(i, f"https://copies{n}.example/{i}", f"<body><div id='page'>{start}{same}<p>Only {i}</p>{end}</div></body>") for i in range(30)]
         assert all(t.count("\n") == 9 and t.endswith(f"Only {i}") for i, t, _ in texts(spark, data))
+
+
+def test_skipped_elements_end_where_they_end():
+    assert text("<article><p>a</p><svg/><p>b</p><math/><p>c</p></article>") == "a\nb\nc"
+    assert text("<article><p>a <svg width='1' /> b <svg><text>no</text></svg> c</p></article>") == "a b c"
+    assert text("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p><xmp>if a < b & <i>c</article></xmp><p>d</p></article>") \
+        == "so x=1\nif a < b & <i>c</article>\nd"
+    assert text("<article><p>a</p><iframe src=x><p>b</p></article>") == "a\nb" and text("<article><p>a</p><script>b") == "a"
