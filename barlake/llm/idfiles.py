@@ -17,12 +17,15 @@ reaches the manifest, so a lost executor or a second attempt leaves at most an
 unlisted file. Storage is reached through pyarrow's file systems by URI.
 
 Defined cases: a null or empty text holds the end id alone; rows with a null
-doc_id come first; rows of one doc_id are ordered by text and each is kept;
-an empty table gives an empty manifest.
+doc_id come first and spread over files; rows of one doc_id are ordered by
+their text's first 64 characters, then by its hash, and each is kept; an empty
+table gives an empty manifest.
 """
 
 from __future__ import annotations
 
+import json
+import string
 import struct
 import uuid
 import zlib
@@ -41,9 +44,13 @@ SEEK_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
 NO_ID = -(1 << 63)  # stands for a null doc_id inside a file
+JOINED = 2_000  # new pieces that the library encodes as one text
+#: a vocabulary without a special token: nothing can be joined
+NO_MARK = {"content": None, "id": None, "special": True, "normalized": False, "single_word": False, "lstrip": False, "rstrip": False}
+
 
 class Library:
-    """Ids by the tokenizers library; pieces between ASCII white space are remembered.
+    """Ids by the tokenizers library; pieces between ASCII white space are remembered (``tokens.Pieces``).
 
     No normaliser, pattern or added token of the file spans white space, so a
     piece's ids do not depend on its neighbours.
@@ -58,9 +65,45 @@ class Library:
         self.tok.no_padding()
         self.pieces = Pieces(self.learn)
 
-    def learn(self, pieces: list[bytes]) -> list[bytes]:
-        got = self.tok.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in got]
+        self.mark = next((t["content"], t["id"]) for t in [*json.loads(self.tok.to_str())["added_tokens"], NO_MARK]
+                         if t["special"] and not (t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"]))
+
+        probe = string.ascii_lowercase * 2
+        self.model = self.tok.model if (
+            (self.tok.normalizer is None or self.tok.normalizer.normalize_str(probe) == probe)
+            and self.tok.pre_tokenizer is not None and self.tok.pre_tokenizer.pre_tokenize_str(probe) == [(probe, (0, 52))]) else None
+
+    def learn(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """Ids of pieces.
+
+        Where a word of a to z is left as it is and is one pre-token, the
+        library's model is asked for it directly; other pieces are joined by a
+        special token and encoded together, apart from those that may hold one.
+        """
+        mark, mark_id = self.mark
+        out: list = [None] * len(pieces)
+        rest = list(range(len(pieces)))
+        if self.model is not None:
+            ask = self.model.tokenize
+            for i, p in enumerate(pieces):
+                if p.isalpha() and p.isascii() and p.islower():
+                    out[i] = np.array([t.id for t in ask(p.decode())], dtype="<u4")
+            rest = [i for i in rest if out[i] is None]
+        alone = rest if mark is None else [i for i in rest if mark[0].encode() in pieces[i]]
+        if mark is not None:
+            own = set(alone)
+            rest = [i for i in rest if i not in own]
+            for a in range(0, len(rest), JOINED):
+                group = rest[a:a + JOINED]
+                text = mark.join([pieces[i].decode() for i in group])
+                ids = np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+                cuts = np.flatnonzero(ids == mark_id).tolist()
+                for i, x, y in zip(group, [-1, *cuts], [*cuts, len(ids)], strict=True):
+                    out[i] = ids[x + 1:y]
+        got = self.tok.encode_batch_fast([pieces[i].decode() for i in alone], add_special_tokens=False)
+        for i, e in zip(alone, got, strict=True):
+            out[i] = np.array(e.ids, dtype="<u4")
+        return out
 
     def encode(self, text: str) -> bytes:
         return self.pieces.encode(text)
@@ -172,14 +215,15 @@ def write_batches(batches, path: str, folder: str, end_id: int, frame_bytes: int
     lib, end = library(path), np.array([end_id], dtype="<u4").tobytes()
     writer = sink = None
     for batch in batches:
-        for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
+        ids, at = lib.pieces.encode_column(batch.column(1))
+        for doc_id, a, b in zip(batch.column(0).to_pylist(), at[:-1].tolist(), at[1:].tolist(), strict=True):
             if writer is None:
                 fs, root = open_fs(folder)
                 fs.create_dir(root, recursive=True)
                 name = f"ids-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.zst"
                 sink = fs.open_output_stream(f"{root}/{name}", compression=None)
                 writer = Writer(sink, frame_bytes, level)
-            writer.add(doc_id.as_py(), lib.encode(text.as_py() or "") + end)
+            writer.add(doc_id, ids[a:b].tobytes() + end)
     if writer is not None:
         writer.close()
         size = sink.tell()
@@ -195,9 +239,12 @@ def write_ids(df: DataFrame, path: str, folder: str | None = None, end_id: int =
     """Write every row's ids, in ascending doc_id order, and return the manifest: one row per file."""
     spark = df.sparkSession
     folder = folder or workers.new_folder(spark, "ids")
-    rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = rows.repartitionByRange(workers.tasks_for(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-    manifest = rows.mapInArrow(workers.task(__name__, "write_batches", path=path, folder=folder, end_id=end_id,
+    rows = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    # the driver samples the keys: the text itself, however long, is none of them
+    order = ["doc_id", F.substring("text", 1, 64).alias("head"), F.xxhash64("text").alias("hash")]
+    rows = rows.select("doc_id", "text", *order[1:])
+    rows = rows.repartitionByRange(workers.tasks_for(spark), "doc_id", "head", "hash").sortWithinPartitions("doc_id", "head", "hash")
+    manifest = rows.select("doc_id", "text").mapInArrow(workers.task(__name__, "write_batches", path=path, folder=folder, end_id=end_id,
                                             frame_bytes=frame_bytes, level=level), _MANIFEST)
     return workers.keep(manifest, "manifest")
 

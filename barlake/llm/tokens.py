@@ -8,12 +8,13 @@ uses a heap of (rank, position) instead, with the same result.
 
 Texts are cut at ASCII white space first; neither the normaliser (NFC, white
 space, lower case), the pattern nor an added token of the vocabulary spans
-it, so a piece's ids do not depend on its neighbours and are remembered in a
-bounded dictionary in each worker.
+it, so a piece's ids do not depend on its neighbours and are remembered, up to
+a bound, in each worker; a whole column is cut, looked up and gathered at once.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text;
 an id outside the vocabulary is left out when decoding; repeated rows give
-repeated results; other columns are carried along unchanged.
+repeated results; other columns are carried along unchanged, and a table that
+has the output's name already is refused.
 """
 
 from __future__ import annotations
@@ -28,76 +29,164 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlake.llm import workers
+from barlake.llm import words, workers
+from barlake.llm.probing import Slots
 
-# 479 CPU seconds a GB for op10 with one dictionary of 400,000, 428 with two of 250,000, 286 with two of 500,000.
-CACHE = 500_000  # remembered pieces per worker (about 200 bytes each), in each of two generations
-SHORT = 64  # bytes up to which a piece is remembered
+CACHE = 1_500_000  # remembered pieces per worker (about 60 bytes each); beyond it the worker starts anew
+SHORT = 16  # bytes up to which a piece is found by its bytes as two 64-bit numbers
 LONG = 256  # symbols from which a heap replaces the scan
 TAIL = b".,!?;:#*$%&|"  # characters that are neither letters, digits, white space nor an apostrophe
 
+_IN_TAIL = np.zeros(256, dtype=bool)
+_IN_TAIL[list(TAIL)] = True
+_LETTER = np.zeros(256, dtype=bool)  # ASCII letters
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_LATIN = np.zeros(256, dtype=bool)  # second bytes of U+00C0 to U+00FF without the signs for times and division
+_LATIN[0x80:0xC0] = True
+_LATIN[[0x97, 0xB7]] = False
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_FIRST = np.array([(1 << 8 * i) - 1 for i in range(9)], dtype=np.uint64)  # the first bytes of a 64-bit number
+
+
+def _eights(buf: np.ndarray) -> np.ndarray:
+    """The 8 bytes from every position on, as little-endian numbers; 24 positions beyond the end may be asked."""
+    padded = np.concatenate([buf, np.zeros(32, dtype=np.uint8)])
+    return np.ndarray(len(padded) - 8, dtype="<u8", buffer=padded, strides=(1,))
+
 
 class Pieces:
-    """Ids of texts (little-endian unsigned 32-bit) from the ids of their pieces between ASCII white space.
+    """Ids of texts from the remembered ids of their pieces between ASCII white space, for whole columns.
 
     A piece that ends in a letter and then characters of ``TAIL`` is two
-    pre-tokens; the part before is remembered by itself, in lower case if it
-    is ASCII, so that a word costs one encoding whatever follows it. Pieces
-    live in two generations: when the younger is full it becomes the older,
-    and what is met again moves back, so frequent pieces stay.
+    pre-tokens and is cut there, so that a word costs one encoding whatever
+    follows it. It is cut only after a letter that the normaliser leaves a
+    letter for certain: ASCII or Latin-1. A piece of ASCII without ``<`` is
+    remembered in lower case. Pieces of up to ``SHORT`` bytes are found by
+    their very bytes, longer ones in a dictionary.
     """
 
     def __init__(self, learn):
-        self.learn = learn  # list of pieces -> list of ids as bytes
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def _resolve(self, new: set[bytes]) -> dict[bytes, bytes]:
-        young, old = self.young, self.old
-        got: dict[bytes, bytes] = {}
-        parts: dict[bytes, tuple[bytes, bytes]] = {}
-        ask: dict[bytes, None] = {}
-        for p in new:
-            ids = old.get(p)
-            if ids is not None:
-                got[p] = ids
+        self.learn = learn  # list of pieces -> list of id arrays
+        self._clear()
+
+    def _clear(self) -> None:
+        self.slots = Slots(16)
+        self.count = self.used = 0
+        self.key = np.zeros((3, 1 << 12), dtype=np.uint64)  # first 8 bytes, next 8, length
+        self.at = np.zeros(1 << 12, dtype=np.int64)
+        self.n = np.zeros(1 << 12, dtype=np.int32)
+        self.ids = np.zeros(1 << 14, dtype="<u4")
+        self.long: dict[bytes, int] = {}
+
+    def _store(self, pieces: list[bytes]) -> np.ndarray:
+        """Learn new pieces; their numbers."""
+        got = self.learn(pieces) if pieces else []
+        n = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
+        a, b = self.count, self.count + len(got)
+        while b > len(self.n):
+            self.key = np.concatenate([self.key, np.zeros_like(self.key)], axis=1)
+            self.at, self.n = np.concatenate([self.at, self.at]), np.concatenate([self.n, self.n])
+        total = int(n.sum())
+        while self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.at[a:b] = self.used + np.cumsum(n) - n
+        self.n[a:b] = n
+        if total:
+            self.ids[self.used:self.used + total] = np.concatenate(got)
+        self.count, self.used = b, self.used + total
+        return np.arange(a, b)
+
+    def _cut(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        """Starts, ends and "lower the case" of the pieces of words; number of pieces of each word."""
+        odd, special = np.zeros(len(starts), dtype=bool), np.zeros(len(starts), dtype=bool)
+        for flags, here in ((odd, buf >= 128), (special, buf == 60)):  # words with other than ASCII, with a <
+            flags[np.searchsorted(starts, np.flatnonzero(here), "right") - 1] = True
+        stem = ends.copy()
+        left = np.flatnonzero(_IN_TAIL[buf[stem - 1]] & ~special)
+        for _ in range(64):  # what has more of such characters stays whole
+            if not len(left):
+                break
+            stem[left] -= 1
+            left = left[stem[left] > starts[left]]
+            left = left[_IN_TAIL[buf[stem[left] - 1]]]
+        stem[left] = ends[left]
+        last = buf[np.maximum(stem - 1, 0)]
+        letter = _LETTER[last] | (_LATIN[last] & (stem - starts >= 2) & (buf[np.maximum(stem - 2, 0)] == 0xC3))
+        cut = (stem > starts) & (stem < ends) & letter
+        pieces = 1 + cut.astype(np.int64)
+        first = np.cumsum(pieces) - pieces
+        s, e = np.empty(int(pieces.sum()), np.int64), np.empty(int(pieces.sum()), np.int64)
+        s[first], e[first] = starts, np.where(cut, stem, ends)
+        s[first[cut] + 1], e[first[cut] + 1] = stem[cut], ends[cut]
+        lower = np.zeros(len(s), dtype=bool)
+        lower[first] = ~odd & ~special
+        return s, e, lower, pieces
+
+    def _numbers(self, buf: np.ndarray, s: np.ndarray, e: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """The number of every piece, learnt if it is new."""
+        size = (e - s).astype(np.uint64)
+        plain, folded = _eights(buf), _eights(_LOWER[buf])
+        part = np.minimum(size, np.uint64(8)).astype(np.int64)
+        lo = np.where(lower, folded[s], plain[s]) & _FIRST[part]
+        more = np.minimum(np.maximum(size, np.uint64(8)) - np.uint64(8), np.uint64(8)).astype(np.int64)
+        hi = np.where(more > 0, np.where(lower, folded[s + 8 * (more > 0)], plain[s + 8 * (more > 0)]), np.uint64(0)) & _FIRST[more]
+        h = words.mix(lo + words.mix(hi + size))
+        out = self.slots.find(h).astype(np.int64)
+        short = size <= SHORT
+        at = np.maximum(out, 0)
+        same = short & (out >= 0) & (self.key[0, at] == lo) & (self.key[1, at] == hi) & (self.key[2, at] == size)
+        new = np.flatnonzero(~same)
+        if not len(new):
+            return out
+        raw = buf.tobytes()
+
+        def names(at):
+            spans = zip(s[at].tolist(), e[at].tolist(), lower[at].tolist(), strict=True)
+            return [raw[a:b].lower() if f else raw[a:b] for a, b, f in spans]
+
+        mine = new[short[new] & (out[new] < 0)]
+        hashes, first, back = np.unique(h[mine], return_index=True, return_inverse=True)
+        kind = mine[first]  # one piece of each new hash
+        same = (lo[mine] == lo[kind][back]) & (hi[mine] == hi[kind][back]) & (size[mine] == size[kind][back])
+        numbers = self._store(names(kind))
+        self.key[0, numbers], self.key[1, numbers], self.key[2, numbers] = lo[kind], hi[kind], size[kind]
+        self.slots.add(hashes, numbers.astype(np.int32))
+        out[mine] = np.where(same, numbers[back], -1)
+        # long pieces, and short ones whose hash another piece has, go by name
+        by_key = np.zeros(len(out), dtype=bool)
+        by_key[mine[same]] = True
+        rest = new[~by_key[new]]
+        found = names(rest)
+        unknown = list(dict.fromkeys(x for x in found if x not in self.long))
+        self.long.update(zip(unknown, self._store(unknown).tolist(), strict=True))
+        out[rest] = [self.long[x] for x in found]
+        return out
+
+    def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of an Arrow string column, one after the other, and n+1 offsets; null is empty."""
+        parts, counts = [], [np.zeros(1, dtype=np.int64)]
+        for a, b in words.pieces(column):
+            if self.count > CACHE:
+                self._clear()
+            buf, offs = words.text_bytes(column.slice(a, b - a))
+            starts, ends = words.spans(buf, offs)
+            if not len(starts):
+                counts.append(np.zeros(b - a, dtype=np.int64))
                 continue
-            stem = p.rstrip(TAIL)
-            if len(stem) == len(p) or not stem or not stem.decode()[-1].isalpha():
-                stem = p
-            tail = p[len(stem):]
-            if b"<|" not in stem and stem.isascii():
-                stem = stem.lower()
-            parts[p] = (stem, tail)
-            for x in parts[p]:
-                if x and x not in young and x not in old:
-                    ask[x] = None
-        todo = list(ask)
-        fresh = dict(zip(todo, self.learn(todo), strict=True)) if todo else {}
-        fresh[b""] = b""
-
-        def find(x):
-            ids = fresh.get(x)
-            if ids is None:
-                ids = young.get(x)
-            return old[x] if ids is None else ids
-
-        for p, (stem, tail) in parts.items():
-            got[p] = find(stem) + find(tail)
-        del fresh[b""]
-        if len(young) > CACHE:
-            self.old, self.young = young, {}
-        for known in (fresh, got):
-            self.young.update((k, v) for k, v in known.items() if len(k) <= SHORT)
-        return got
+            s, e, lower, pieces = self._cut(buf, starts, ends)
+            number = self._numbers(buf, s, e, lower)
+            n = self.n[number].astype(np.int64)
+            done = np.concatenate([[0], np.cumsum(n)])
+            total = int(done[-1])
+            parts.append(self.ids[np.repeat(self.at[number] - done[:-1], n) + np.arange(total)])
+            edge = np.concatenate([[0], np.cumsum(pieces)])[np.searchsorted(starts, offs)]  # first piece of each text
+            counts.append(np.diff(done[edge]))
+        ids = np.concatenate(parts) if parts else np.zeros(0, dtype="<u4")
+        return ids, np.cumsum(np.concatenate(counts))
 
     def encode(self, text: str) -> bytes:
-        pieces = text.encode().split()
-        out = list(map(self.young.get, pieces))
-        if None in out:
-            got = self._resolve({p for p, ids in zip(pieces, out, strict=True) if ids is None})
-            out = [got[p] if ids is None else ids for p, ids in zip(pieces, out, strict=True)]
-        return b"".join(out)
+        return self.encode_column(pa.array([text], pa.string()))[0].tobytes()
 
 
 def byte_symbols() -> list[str]:
@@ -129,7 +218,7 @@ class Codec:
             if self.special else None
         self.marks = [s[:2] for s in self.special]
         self.symbols = byte_symbols()
-        self.pieces = Pieces(lambda new: [np.array(self.piece(p), dtype="<u4").tobytes() for p in new])
+        self.pieces = Pieces(lambda new: [np.array(self.piece(p), dtype="<u4") for p in new])
 
     def merge(self, symbols: list[str]) -> list[int]:
         """Ids of one pre-token: merge the pair of least rank, leftmost first, until none is left."""
@@ -218,11 +307,9 @@ def encode_batches(batches, path: str):
     """(row, text) as (row, value): the text's ids."""
     c = codec(path)
     for batch in batches:
-        raw = [None if t is None else c.pieces.encode(t) for t in _texts(batch.column(1))]
-        offsets = np.concatenate([[0], np.cumsum([0 if r is None else len(r) // 4 for r in raw])])
-        flat = pa.array(np.frombuffer(b"".join([r for r in raw if r]), dtype="<i4"))
-        none = pa.array([r is None for r in raw], pa.bool_())
-        ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat, mask=none)
+        flat, offsets = c.pieces.encode_column(batch.column(1))
+        ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.view("<i4")),
+                                       mask=batch.column(1).is_null())
         yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["row", "value"])
 
 
@@ -234,11 +321,6 @@ def decode_batches(batches, path: str):
         yield pa.RecordBatch.from_arrays([batch.column(0), texts], ["row", "value"])
 
 
-def _texts(column):
-    for x in column:
-        yield x.as_py()
-
-
 def _beside(df: DataFrame, batches: str, path: str, source, kind: str, out: str) -> DataFrame:
     """``df`` with a column ``out`` that a task works out from ``source``; the row travels as one struct, whatever its names."""
     if out in df.columns:
@@ -263,13 +345,11 @@ def digest_batches(batches, path: str):
     """Ids and decoded text of each row as digests: neither leaves the task."""
     c = codec(path)
     for batch in batches:
-        n, a, b = [], [], []
-        for t in _texts(batch.column(1)):
-            raw = c.pieces.encode(t or "")
-            n.append(len(raw) // 4)
-            a.append(hashlib.sha256(raw).hexdigest())
-            b.append(hashlib.sha256(c.decode(np.frombuffer(raw, dtype="<u4").tolist()).encode()).hexdigest())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(b)],
+        ids, at = c.pieces.encode_column(batch.column(1))
+        each = [ids[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        raw = [hashlib.sha256(x).hexdigest() for x in each]
+        text = [hashlib.sha256(c.decode(x.tolist()).encode()).hexdigest() for x in each]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(at)), pa.array(raw, pa.string()), pa.array(text, pa.string())],
                                          ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 

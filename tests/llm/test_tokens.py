@@ -46,6 +46,51 @@ def test_cache_generations_do_not_change_ids(library, monkeypatch):
         assert codec.encode(text) == library.encode(text, add_special_tokens=False).ids
 
 
+def changed_letters():
+    import unicodedata
+    every = [chr(c) for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000]
+    return [c for c in every if not c.isspace() and (unicodedata.normalize("NFC", c) != c or c.lower() != c)]
+
+
+@pytest.mark.parametrize("form", ["{}.", "ab{}, x", "{}\u0301!", "İ{}#", "É{}. é, ×. ÷, ß; ª.", "{}'S. {}<|endoftext|>."])
+def test_letters_that_the_normaliser_changes_before_punctuation(library, form):
+    """All such letters at once: one text, so that a wrong cut of one piece shows."""
+    letters = changed_letters()
+    assert len(letters) > 2_000 and "İ" in letters and "\u0958" in letters
+    text = " ".join(form.replace("{}", c) for c in letters) + " BELEDİYESİ. İSTANBUL'DAKİ, bir ŞEHRİ. TÜRKİYE"
+    want = library.encode(text, add_special_tokens=False).ids
+    assert tokens.Codec(vocabulary()).encode(text) == want
+    assert np.frombuffer(idfiles.Library(vocabulary()).encode(text), "<u4").tolist() == want
+
+
+def test_pieces_of_every_length_and_hashes_that_meet(library, monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [" ".join("".join(rng.choice(list("abXY\x00é.,<|"), n)) for n in rng.integers(1, 40, 300)) for _ in range(4)]
+    texts += ["." * 500 + " a" + "." * 100 + " " + "b" * 15 + "." + " " + "c" * 17 + "!"]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    lib = idfiles.Library(vocabulary())
+    assert [np.frombuffer(lib.encode(t), "<u4").tolist() for t in [*texts, *texts]] == [*want, *want]
+    monkeypatch.setattr(tokens.words, "mix", lambda h: h & np.uint64(7))  # nearly every hash is shared
+    codec = tokens.Codec(vocabulary())
+    assert [codec.encode(t) for t in [*texts, *texts]] == [*want, *want]
+    monkeypatch.setattr(idfiles, "NO_MARK", {**idfiles.NO_MARK})
+    lib.mark = (None, None)
+    lib.pieces._clear()
+    assert [np.frombuffer(lib.encode(t), "<u4").tolist() for t in texts] == want
+
+
+def test_null_doc_ids_and_dotted_names_spread_over_files(spark, library):
+    rows = [(None if i % 3 == 0 else i, f"text {i} is here", 1) for i in range(3_000)]
+    docs = spark.createDataFrame(rows, "`a.id` long, `the.text` string, doc_id int").repartition(4)
+    manifest = idfiles.write_ids(docs, vocabulary(), doc_id="a.id", text="the.text")
+    files = manifest.collect()
+    assert sum(f.docs for f in files) == 3_000 and max(f.docs for f in files) < 1_200
+    got = idfiles.read_digests(manifest).collect()
+    assert sum(r.doc_id is None for r in got) == 1_000
+    starts = sorted((r.start, r.n_tokens) for r in got)
+    assert starts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:], strict=False))
+
+
 def test_digests_and_columns(spark, library):
     got = sorted(map(tuple, tokens.bpe_digests(documents(spark), vocabulary()).collect()), key=str)
     want = []
