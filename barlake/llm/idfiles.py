@@ -18,7 +18,7 @@ unlisted file. Storage is reached through pyarrow's file systems by URI.
 
 Defined cases: a null or empty text holds the end id alone; rows with a null
 doc_id come first and spread over files; rows of one doc_id are ordered by
-their text's first 64 characters, then by its hash, and each is kept; an empty
+their text's first 16 characters, then by its hash, and each is kept; an empty
 table gives an empty manifest.
 """
 
@@ -241,7 +241,7 @@ def write_ids(df: DataFrame, path: str, folder: str | None = None, end_id: int =
     folder = folder or workers.new_folder(spark, "ids")
     rows = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     # the driver samples the keys: the text itself, however long, is none of them
-    order = ["doc_id", F.substring("text", 1, 64).alias("head"), F.xxhash64("text").alias("hash")]
+    order = ["doc_id", F.substring("text", 1, 16).alias("head"), F.xxhash64("text").alias("hash")]
     rows = rows.select("doc_id", "text", *order[1:])
     rows = rows.repartitionByRange(workers.tasks_for(spark), "doc_id", "head", "hash").sortWithinPartitions("doc_id", "head", "hash")
     manifest = rows.select("doc_id", "text").mapInArrow(workers.task(__name__, "write_batches", path=path, folder=folder, end_id=end_id,

@@ -29,4 +29,25 @@ SELECT conv_id, count(*) AS n_turns,
     AS formatted_chars
 FROM c GROUP BY conv_id"""
 
-ORACLE = {"op3_substrings": SUBSTRINGS, "op5_chat": CHAT}
+# every phrase of one to five words counted, scored at its lowest cut
+PHRASES = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+s AS (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM s GROUP BY ALL),
+n AS (SELECT lang, sum(f)::HUGEINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 100),
+cut AS (SELECT lang, k, phrase, a, ws, unnest(range(1, k)) AS j FROM c),
+scored AS (SELECT cut.lang, cut.k, cut.phrase, a, x.f AS l, y.f AS r, n, j, (1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS score
+  FROM cut JOIN n ON n.lang = cut.lang
+  JOIN f AS x ON x.lang = cut.lang AND x.phrase = array_to_string(ws[1:j], ' ')
+  JOIN f AS y ON y.lang = cut.lang AND y.phrase = array_to_string(ws[j + 1:cut.k], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+free AS (SELECT * FROM best WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.lang = best.lang AND c.k > best.k AND 100 * c.a >= 100 * best.a
+  AND contains(' ' || c.phrase || ' ', ' ' || best.phrase || ' '))),
+r AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM free)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM r WHERE rank <= 2000"""
+
+ORACLE = {"op3_substrings": SUBSTRINGS, "op5_chat": CHAT, "op11_phrases": PHRASES}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import chat, classifier, idfiles, mixing, neighbours, outliers, pages, simhash, substrings, tokens
+from barlake.llm import chat, classifier, idfiles, mixing, neighbours, outliers, pages, phrases, simhash, substrings, tokens
 from barlake.llm.oracle import ORACLE  # noqa: F401
 
 
@@ -78,6 +78,11 @@ def op10_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.read_digests(idfiles.write_ids(table(spark, sf_dir, "documents"), vocabulary()))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best collocations of each language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_neighbours": op2_neighbours,
@@ -89,4 +94,5 @@ QUERIES = {
     "op8_outliers": op8_outliers,
     "op9_quality": op9_quality,
     "op10_id_files": op10_id_files,
+    "op11_phrases": op11_phrases,
 }
