@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import chat, classifier, idfiles, mixing, neighbours, outliers, pages, phrases, simhash, substrings, tokens
+from barlake.llm import chat, classifier, idfiles, mixing, neighbours, outliers, pages, phrases, simhash, substrings, tokens, whitening
 from barlake.llm.oracle import ORACLE  # noqa: F401
 
 
@@ -83,6 +83,11 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the first 16 whitened components."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), top=16)
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_neighbours": op2_neighbours,
@@ -95,4 +100,5 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_id_files": op10_id_files,
     "op11_phrases": op11_phrases,
+    "op12_whitening": op12_whitening,
 }
