@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import chat, classifier, idfiles, mixing, neighbours, outliers, pages, phrases, simhash, substrings, tokens, whitening
+from barlake.llm import (chat, classifier, idfiles, mixing, neighbours, outliers, packing, pages, phrases, simhash, substrings,
+                         tokens, whitening)
 from barlake.llm.oracle import ORACLE  # noqa: F401
 
 
@@ -88,6 +89,11 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"), top=16)
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2,048 tokens, each window filled with its seed's lexical neighbours."""
+    return packing.packed(table(spark, sf_dir, "documents"), vocabulary(), end_id=1, window=2048)
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_neighbours": op2_neighbours,
@@ -101,4 +107,5 @@ QUERIES = {
     "op10_id_files": op10_id_files,
     "op11_phrases": op11_phrases,
     "op12_whitening": op12_whitening,
+    "op13_packing": op13_packing,
 }
