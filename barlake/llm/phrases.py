@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,9 +40,9 @@ from barlake.llm.probing import Slots
 RANKS = 1 << 18  # ids of a round given to every task
 FILTER = 1 << 26  # bits of the filter for all others
 TILE = 1 << 10  # ids on a tile's side
-OPEN = 12  # dense tiles a task holds at once (8 MB each)
-BUFFER = 1 << 21  # pairs that a task gathers before it counts them
-SPARSE = 3 << 20  # distinct pairs of sparse tiles that a task holds before it hands them on
+OPEN = 12  # dense tiles a task holds at once (4 MB each)
+BUFFER = 1 << 20  # symbols worked on at once, and pairs that a task gathers before it counts them
+SPARSE = 3 << 19  # distinct pairs of sparse tiles that a task holds before it hands them on
 
 NONE = np.iinfo(np.int64).min  # no symbol: another word, or the end of a piece
 _BREAK, _HASHED = -1, -2  # the same in stored sequences; and a symbol that is a pair of hashes
@@ -210,7 +211,7 @@ class PairCounts:
         self.waiting = 0
         self.slot = np.full((RANKS // TILE + 1) ** 2, -1, dtype=np.int8)
         self.dense: list[tuple[int, np.ndarray]] = []
-        self.sparse = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        self.sparse = [np.zeros(0, np.int64), np.zeros(0, np.int64)]  # codes in order, counts
         self.hashed: list[np.ndarray] = []
 
     def add(self, a, b, a2, b2):
@@ -238,12 +239,12 @@ class PairCounts:
         for t in np.argsort(-held)[:OPEN].tolist():
             if held[t] * 16 >= TILE * TILE and self.slot[t] < 0 and len(self.dense) < OPEN:
                 self.slot[t] = len(self.dense)
-                self.dense.append((t, np.zeros(TILE * TILE, dtype=np.int64)))
+                self.dense.append((t, np.zeros(TILE * TILE, dtype=np.int32)))
         slot = self.slot[tile]
         for k, (_, cells) in enumerate(self.dense):
             here = code[slot == k]
             if len(here):
-                cells += np.bincount(((here >> 32) % TILE) * TILE + (here & 0xFFFFFFFF) % TILE, minlength=TILE * TILE)
+                cells += np.bincount(((here >> 32) % TILE) * TILE + (here & 0xFFFFFFFF) % TILE, minlength=TILE * TILE).astype(np.int32)
         rest = np.sort(code[slot < 0])
         if len(rest):
             at = np.flatnonzero(np.concatenate([[True], rest[1:] != rest[:-1]]))
@@ -282,11 +283,21 @@ class PairCounts:
         yield from self._hand_on_hashed()
 
 
+def parts(batch: pa.RecordBatch):
+    """A batch of stored sequences in slices of about ``BUFFER`` symbols; every sequence ends with a break."""
+    ends = np.cumsum(pc.list_value_length(batch.column(0)).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BUFFER, "right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def pair_batches(batches, levels):
     """Stored sequences as counts of (phrase of len(levels) + 1 words, next word) pairs."""
     known = [Symbols(*x) for x in levels]
     counts = PairCounts()
-    for batch in batches:
+    for batch in (part for whole in batches for part in parts(whole)):
         sym = batch.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
         sym2 = np.zeros(len(sym), dtype=np.int64)
         hashed = np.flatnonzero(sym == _HASHED)
