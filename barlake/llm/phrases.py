@@ -40,9 +40,10 @@ from barlake.llm.probing import Slots
 RANKS = 1 << 18  # ids of a round given to every task
 FILTER = 1 << 26  # bits of the filter for all others
 TILE = 1 << 10  # ids on a tile's side
-OPEN = 12  # dense tiles a task holds at once (4 MB each)
-BUFFER = 1 << 20  # symbols worked on at once, and pairs that a task gathers before it counts them
-SPARSE = 3 << 19  # distinct pairs of sparse tiles that a task holds before it hands them on
+OPEN = 8  # dense tiles a task holds at once (4 MB each)
+BUFFER = 1 << 19  # symbols worked on at once, and pairs that a task gathers before it counts them
+SPARSE = 1 << 20  # distinct pairs of sparse tiles that a task holds before it hands them on
+PARTS = 32  # shares of a language that are ranked by themselves first
 
 NONE = np.iinfo(np.int64).min  # no symbol: another word, or the end of a piece
 _BREAK, _HASHED = -1, -2  # the same in stored sequences; and a symbol that is a pair of hashes
@@ -107,7 +108,7 @@ def filter_places(h, size: int):
 def _texts(batch, which=(0, 1)):
     """For pieces of a (lang, text) batch: (rows, bytes, starts, ends, row of each word, end of piece after it, hashes)."""
     lang = batch.column(0).fill_null("und")
-    for a, b in words.pieces(batch.column(1)):
+    for a, b in words.pieces(batch.column(1), 2 * words.PIECE):
         buf, offs = words.text_bytes(batch.column(1).slice(a, b - a))
         buf = _LOWER[buf]
         if not len(buf):
@@ -436,6 +437,10 @@ def collocations(df: DataFrame, least: int = 100, longest: int = 5, top: int = 2
     scored = cuts.mapInArrow(workers.task(__name__, "score_batches"),
                              "lang string, phrase string, a long, n long, cut int, l long, r long, score long")
     best = scored.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "cut", "l", "r")).alias("c"))
-    order = Window.partitionBy("lang").orderBy(F.desc("c.score"), F.desc("a"), "phrase")
-    return best.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top).select(
+    order = [F.desc("c.score"), F.desc("a"), "phrase"]
+    # the best of each of PARTS shares of a language first, so that its last task meets PARTS * top rows at most
+    share_of = best.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    near = share_of.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
+    ranks = F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")
+    return near.withColumn("rank", ranks).where(F.col("rank") <= top).select(
         "lang", "rank", "phrase", "a", F.col("c.l").alias("l"), F.col("c.r").alias("r"), "n", F.col("c.score").alias("score"))
