@@ -27,14 +27,13 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--seed", required=True, help="seed CSV with header")
     ap.add_argument("--processing-date", required=True, help="YYYY-MM-DD (ingest date folder)")
     ap.add_argument("--run-ts", help="stamp for all outputs, default now (UTC)")
-    ap.add_argument("--lines", action="store_true", help="one document per line (default: one per file)")
     args = ap.parse_args(argv)
     run_ts = (datetime.fromisoformat(args.run_ts) if args.run_ts
               else datetime.now(timezone.utc).replace(tzinfo=None))
     spark = SparkSession.builder.appName("barlake-daily").getOrCreate()
     try:
         res = run_daily(spark, args.bronze, args.warehouse, args.processing_date, run_ts,
-                        read_seed_csv(spark, args.seed), wholetext=not args.lines)
+                        read_seed_csv(spark, args.seed))
         print(json.dumps({"version": res.silver_version, "counts": res.counts,
                           "checks": res.checks}, default=str))
         return 0

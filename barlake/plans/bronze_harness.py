@@ -263,13 +263,37 @@ def _landed(spark, sf_dir) -> str:
 
 def q_landed_roundtrip(spark, sf_dir):
     """Documents landed as files, read back and flattened."""
-    docs = bronze.read_bronze(spark, _landed(spark, sf_dir), wholetext=False)
+    docs = bronze.read_bronze(spark, _landed(spark, sf_dir))
     return _stamp(fl.flatten_documents(docs, PROCESSED_AT).rows.select("date_key", *ROW_COLUMNS))
 
 
+def q_landed_files(spark, sf_dir):
+    """Every landed file by its name, and how many documents it holds."""
+    from barlake.functions.json import documents_in
+    files = bronze.read_bronze(spark, _landed(spark, sf_dir))
+    return files.select(F.regexp_extract("source_file", r"[^/]+$", 0).alias("file_name"),
+                        F.date_format(F.make_date("year", "month", "day"), "yyyy-MM-dd").alias("ingest_date"),
+                        F.size(documents_in(F.col("value"))).alias("documents"))
+
+
+def q_landed_batches(spark, sf_dir):
+    """Files of several documents, with words before and behind them, read whole: rows, bad days and rests."""
+    docs = documents_for(spark, sf_dir).where(~(_q() % 11).isin(5, 8, 10)).withColumn("b", (_q() / 4).cast("int"))
+    ending = F.when(F.col("b") % 3 == 0, F.lit(' {"cut": ')).when(F.col("b") % 3 == 1, F.lit(" words behind")).otherwise(F.lit(""))
+    # a file holds at most four pulls of one ticker
+    files = docs.groupBy("ticker", "b").agg(F.sort_array(F.collect_list(F.struct("q", "value"))).alias("ds")).select(
+        F.concat(F.when(F.col("b") % 5 == 0, F.lit("words before ")).otherwise(F.lit("")),
+                 F.array_join("ds.value", "\n"), ending).alias("value"),
+        F.concat_ws("_", "ticker", "b").alias("file_stem"), F.lit("2001").alias("year"), F.lit("12").alias("month"), F.lit("01").alias("day"))
+    root = _fresh_path(spark, "landed-batches")
+    bronze.land_documents(files, root)
+    days = fl.flatten_documents(bronze.read_bronze(spark, root), PROCESSED_AT).days
+    return days.select("ticker", "date_key", "reject_reason")
+
+
 def q_landed_date(spark, sf_dir):
     """One processing date read from the landed files."""
-    docs = bronze.read_bronze(spark, _landed(spark, sf_dir), "1998-06-01", wholetext=False)
+    docs = bronze.read_bronze(spark, _landed(spark, sf_dir), "1998-06-01")
     return _stamp(fl.flatten_documents(docs, PROCESSED_AT).rows.select("date_key", *ROW_COLUMNS))
 
 

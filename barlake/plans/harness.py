@@ -303,6 +303,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_by_ticker": lambda spark, d: report(bh.q_silver_by_ticker(spark, d)),
     "table_reload": lambda spark, d: report(bh.q_table_reload(spark, d)),
     "landed_roundtrip": lambda spark, d: report(bh.q_landed_roundtrip(spark, d)),
+    "landed_files": lambda spark, d: report(bh.q_landed_files(spark, d)),
+    "landed_batches": lambda spark, d: report(bh.q_landed_batches(spark, d)),
     "landed_date": lambda spark, d: report(bh.q_landed_date(spark, d)),
     "run_accounting": lambda spark, d: report(bh.q_run_accounting(spark, d)),
     "staging_view": q_staging_view,

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from barlake.operators.indicators import LOOKBACK_ROWS, add_indicators
 from barlake.operators.staging import stage_prices
 from barlake.sources import tables
-from barlake.sources.merge import PARTITION_COLUMN, read_table
+from barlake.sources.merge import PARTITION_COLUMN, read_table, table_exists
 
 MONTH = "month_key"  # partition column of the model tables: yyyyMM as an integer
 
@@ -60,7 +60,8 @@ def write_months(df: DataFrame, path: str, months: list[int] | None, order=("tic
     if months is None or months:
         (tables.clustered(rows, (MONTH, *order)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path))
-    return read_table(df.sparkSession, path)
+    spark = df.sparkSession
+    return read_table(spark, path) if table_exists(spark, path) else spark.createDataFrame([], rows.schema)  # no row so far
 
 
 def update_indicators(spark: SparkSession, silver_path: str, table_path: str, touched: list[int],

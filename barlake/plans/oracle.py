@@ -334,6 +334,25 @@ ORACLE["indicators_split"] = ORACLE["indicators"]
 ORACLE["silver_by_ticker"] = ORACLE["table_reload"] = ORACLE["silver_dedupe"]
 ORACLE["landed_roundtrip"] = ORACLE["bronze_roundtrip"]
 ORACLE["landed_date"] = _sql(BRONZE, "SELECT date_key, " + _ROW_OUT + " FROM frows WHERE CAST(ts AS DATE) = DATE '1998-06-01'")
+# the name of a document shows the ticker as the payload does, in upper case, and the ingest time
+ORACLE["landed_files"] = _sql(BRONZE, """
+SELECT ticker || '_' || strftime(ts, '%Y%m%d_%H%M%S') || '.json' AS file_name, strftime(ts, '%Y-%m-%d') AS ingest_date,
+       CAST(1 AS BIGINT) AS documents
+FROM ing WHERE st IN ('ok', 'rejected', 'skipped')""")
+ORACLE["landed_batches"] = _sql(BRONZE, """
+SELECT f.ticker, date_key, CAST(NULL AS VARCHAR) AS reject_reason FROM frows f
+UNION ALL
+SELECT p.ticker, CAST(p.trade_date AS VARCHAR),
+       CASE fault WHEN 'abc_close' THEN 'bad_close' WHEN 'null_high' THEN 'bad_high'
+                  WHEN 'not_object' THEN 'day_not_object' WHEN 'decimal_volume' THEN 'bad_volume'
+                  WHEN 'nan_low' THEN 'bad_low' END
+FROM pf p JOIN ing i ON p.ticker = i.ticker AND p.q = i.q
+WHERE i.st = 'ok' AND fault IN ('abc_close', 'null_high', 'not_object', 'decimal_volume', 'nan_low')
+UNION ALL
+SELECT NULL, NULL, 'unparseable_document'
+FROM (SELECT DISTINCT ticker, q // 4 AS b FROM ing WHERE st IN ('ok', 'skipped')) files,
+     (SELECT unnest([1, 2]) AS part)
+WHERE (part = 1 AND b % 3 IN (0, 1)) OR (part = 2 AND b % 5 = 0)""")
 ORACLE["staging_view"] = ORACLE["staging"]
 ORACLE["incremental_indicators"] = ORACLE["indicators"]
 ORACLE["run_accounting"] = _sql(BRONZE, """

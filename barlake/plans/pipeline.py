@@ -79,7 +79,7 @@ def register_catalog(spark: SparkSession, paths: dict[str, str], frames: dict[st
 
 
 def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_date: str | None,
-              run_ts: datetime, seed: DataFrame, wholetext: bool = True,
+              run_ts: datetime, seed: DataFrame,
               as_of: datetime | None = None, catalog: bool = True,
               max_rejected_share: float = accounting.MAX_REJECTED_SHARE) -> RunResult:
     """Run every stage for ``processing_date`` (None: every landed date, a backfill);
@@ -92,7 +92,7 @@ def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_
 
     # bronze -> silver batch; what is refused is stored by processing date, and
     # documents that do not parse fail the run before anything else is written
-    docs = bronze.read_bronze(spark, bronze_root, processing_date, wholetext)
+    docs = bronze.read_bronze(spark, bronze_root, processing_date)
     batch, rejects, counts = accounting.account(docs, stamp)
     (rejects.withColumn("processing_date", F.lit(processing_date or "all")).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("processing_date").parquet(f"{warehouse}/rejects"))

@@ -1,10 +1,9 @@
 """Bronze landing: payload triage, metadata envelope, partitioned landing, readers.
 
-The reader's default is the landed layout: one document per file, however
-it is printed (``wholetext``), under Hive-style ``year=/month=/day=`` folders
-of the ingest date. The writer here packs documents as JSON Lines (few large
-files, one document per line, so ``wholetext=False`` reads them); documents
-are serialised to one line first.
+Landing writes one document a file, named after its ticker and ingest time,
+under Hive-style ``year=/month=/day=`` folders of the ingest date. Reading takes
+whole files, however a document is printed; a file of several documents (JSON
+Lines, say) gives them all, as ``operators.flatten`` takes texts apart.
 """
 
 from __future__ import annotations
@@ -13,9 +12,12 @@ from datetime import date
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from barlake.functions.json import is_one_object
+from barlake.sources import landing
+
 # Fixed values of the envelope.
 ENVELOPE_SOURCE = "alpha_vantage"
 ENVELOPE_API_FUNCTION = "TIME_SERIES_DAILY"
@@ -38,11 +40,11 @@ def triage_payloads(payloads: DataFrame, payload_col: str = "payload") -> Triage
 
     A payload with an ``Error Message`` key is quarantined as
     ``error_message``, one with a ``Note`` key (rate limit) as
-    ``rate_limited``, whatever the key's value; what is not a JSON object at
-    all (a NULL, a web page, a list) as ``not_json``.
+    ``rate_limited``, whatever the key's value; what is not one JSON object
+    and nothing else (a NULL, a web page, a list, text behind the object) as
+    ``not_json``.
     """
-    keys = F.json_object_keys(F.when(F.try_parse_json(payload_col).isNotNull()
-                                     & F.ltrim(F.regexp_replace(payload_col, r"^\s+", "")).startswith("{"), F.col(payload_col)))
+    keys = F.json_object_keys(F.when(is_one_object(F.col(payload_col)), F.col(payload_col)))
     reason = (F.when(keys.isNull(), F.lit("not_json"))
               .when(F.array_contains(keys, ERROR_KEY), F.lit("error_message"))
               .when(F.array_contains(keys, NOTE_KEY), F.lit("rate_limited")))
@@ -93,27 +95,34 @@ def envelope(accepted: DataFrame, ticker: Column, fetched_at: Column,
     )
 
 
-def land_documents(docs: DataFrame, root: str, mode: str = "append") -> None:
-    """Write documents partitioned by ingest date (one document per line).
+def file_name() -> Column:
+    """``TICKER_yyyyMMdd_HHmmss.json`` from ``file_stem``: no path separators, and nothing that listings hide."""
+    stem = F.url_encode(F.coalesce("file_stem", F.lit("UNKNOWN")))
+    hidden = F.concat(F.when(stem.startswith("_"), F.lit("%5F")).otherwise(F.lit("%2E")), stem.substr(2, 1 << 20))
+    return F.when(stem.rlike("^[._]"), hidden).otherwise(stem)
+
+
+def land_documents(docs: DataFrame, root: str) -> None:
+    """Land each document as a file of its own under its ingest date, by its name.
 
-    Range partitioning on (date, file stem) spreads one busy ingest day over
-    many writing tasks (sampled boundaries) instead of sending the whole day
-    to one task, while each task still writes only a few date folders.
+    Documents of one name (one ticker, one second) are numbered from the
+    second on, so none replaces another; landing the same documents again
+    replaces the same files. An empty document is landed as a line end, as
+    Spark does not read empty files.
     """
-    (docs.select("value", "file_stem", *PARTITION_COLUMNS)
-     .repartitionByRange(*PARTITION_COLUMNS, "file_stem")
-     .drop("file_stem")
-     .write.mode(mode).partitionBy(*PARTITION_COLUMNS).text(root))
+    same = Window.partitionBy(*PARTITION_COLUMNS, "stem").orderBy("value")
+    named = docs.select(F.when(F.length("value") > 0, F.col("value")).otherwise(F.lit("\n")).alias("value"),
+                        file_name().alias("stem"), *PARTITION_COLUMNS).withColumn("n", F.row_number().over(same))
+    number = F.when(F.col("n") > 1, F.concat(F.lit("_"), F.col("n").cast("string"))).otherwise(F.lit(""))
+    landing.land(named.select("value", F.concat("stem", number, F.lit(".json")).alias("file_name"), *PARTITION_COLUMNS), root)
 
 
-def read_bronze(spark: SparkSession, root: str, processing_date: str | None = None,
-                wholetext: bool = True) -> DataFrame:
-    """Scan landed documents, optionally one processing date only.
+def read_bronze(spark: SparkSession, root: str, processing_date: str | None = None) -> DataFrame:
+    """Scan landed files, one row each, optionally of one processing date only.
 
     One date lists and reads its own folder only (``basePath`` keeps the
     partition columns), so the cost does not grow with history; a date
-    without a folder is an empty result. ``wholetext`` reads one row per file
-    (one document per file, printed in any way); otherwise one row per line.
+    without a folder is an empty result.
     """
     reader = spark.read.option("basePath", root)
     schema = "value string, year int, month int, day int"
@@ -122,7 +131,7 @@ def read_bronze(spark: SparkSession, root: str, processing_date: str | None = No
         d = date.fromisoformat(processing_date)
         path = f"{root.rstrip('/')}/year={d:%Y}/month={d:%m}/day={d:%d}"
     try:
-        df = reader.text(path, wholetext=wholetext)
+        df = reader.text(path, wholetext=True)
     except AnalysisException as e:
         if processing_date is None or e.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -25,12 +25,12 @@ from barlake.sources import merge
 BRONZE_STREAM_SCHEMA = "value string, year int, month int, day int"
 
 
-def bronze_stream(spark: SparkSession, bronze_root: str, wholetext: bool = True,
+def bronze_stream(spark: SparkSession, bronze_root: str,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(BRONZE_STREAM_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.text(bronze_root, wholetext=wholetext)
+    return reader.text(bronze_root, wholetext=True)
 
 
 def merge_batch(spark: SparkSession, silver_root: str, processed_at: datetime | None = None,
@@ -49,10 +49,10 @@ def merge_batch(spark: SparkSession, silver_root: str, processed_at: datetime |
 
 
 def start_arrival(spark: SparkSession, bronze_root: str, silver_root: str, checkpoint: str,
-                  processed_at: datetime | None = None, wholetext: bool = True,
+                  processed_at: datetime | None = None,
                   available_now: bool = True, rejects_root: str | None = None) -> StreamingQuery:
     """Start the arrival job; ``available_now`` processes what has landed, then stops."""
-    writer = (bronze_stream(spark, bronze_root, wholetext).writeStream
+    writer = (bronze_stream(spark, bronze_root).writeStream
               .foreachBatch(merge_batch(spark, silver_root, processed_at, rejects_root))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(

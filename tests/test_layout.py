@@ -132,7 +132,7 @@ def test_landing_round_trip_and_pruning(spark, tmp_path):
     root = str(tmp_path / "bronze")
     land_documents(docs, root)
     assert os.path.isdir(os.path.join(root, "year=2025", "month=06", "day=15"))
-    day = read_bronze(spark, root, "2025-06-16", wholetext=False)
+    day = read_bronze(spark, root, "2025-06-16")
     assert day.count() == 1 and day.select("year", "month", "day").first() == (2025, 6, 16)
     assert all("day=16" in f for f in day.inputFiles())  # only the day's folder is listed
     assert read_bronze(spark, root, "2031-01-01").count() == 0
@@ -148,5 +148,5 @@ def test_payloads_printed_over_many_lines_stay_one_document(spark, tmp_path):
     docs = envelope(payloads, F.col("ticker"), F.to_timestamp(F.lit("2025-06-15 18:00:00")))
     root = str(tmp_path / "bronze")
     land_documents(docs, root)
-    got = flatten_documents(read_bronze(spark, root, "2025-06-15", wholetext=False), "2025-07-01 00:00:00")
+    got = flatten_documents(read_bronze(spark, root, "2025-06-15"), "2025-07-01 00:00:00")
     assert got.rows.count() == 1 and got.rejects.count() == 0
