@@ -110,7 +110,10 @@ def telling_batches(batches, kind: str, idf: np.ndarray):
 
 
 class Shard:
-    """An inverted index over the items of a shard: for each token its items and their BM25 weights."""
+    """An inverted index over the items of a shard: for each token its items and their BM25 weights.
+
+    Tokens that more than an eighth of the items hold are kept as dense rows.
+    """
 
     def __init__(self, ids: pa.Array, kind: str, idf: np.ndarray, mean: float):
         item, token, tf, size = _terms(ids, kind)
@@ -122,13 +125,22 @@ class Shard:
         row = np.searchsorted(self.tokens, token)
         self.first = np.append(np.searchsorted(item, np.arange(len(size))), len(item))
         self.rows, self.n = row, len(size)
+        common = np.flatnonzero(self.count * 8 > self.n)
+        self.dense_row = np.full(len(self.tokens), -1)
+        self.dense_row[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), self.n), dtype=np.float32)
+        held = self.dense_row[row[order]]
+        self.dense[held[held >= 0], self.items[held >= 0]] = self.weights[held >= 0]
 
     def scores(self, item: int) -> np.ndarray:
         """BM25 of every item of the shard for the tokens of one of them."""
         rows = self.rows[self.first[item]:self.first[item + 1]]
+        dense = self.dense_row[rows]
+        common = self.dense[dense[dense >= 0]].sum(axis=0)
+        rows = rows[dense < 0]
         n = self.count[rows]
         at = np.repeat(self.begin[rows] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-        return np.bincount(self.items[at], weights=self.weights[at], minlength=self.n)
+        return common + np.bincount(self.items[at], weights=self.weights[at], minlength=self.n)
 
 
 class Packer:
