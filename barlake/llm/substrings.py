@@ -147,36 +147,51 @@ def shared_segments(rows: DataFrame, width: int) -> DataFrame:
     return met.mapInArrow(workers.task(__name__, "shared_batches"), "anchor long, doc_id long, mark int, place long")
 
 
+def segment_keys(hashes: list[np.ndarray], begin: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit hashes of the words from ``begin`` to ``end``, from the words' own two: a polynomial by prefix sums."""
+    out = []
+    for which, h in enumerate(hashes):
+        up, down = words.powers(which, len(h))
+        prefix = np.zeros(len(h) + 1, dtype=np.uint64)
+        np.cumsum(h * up[:len(h)], out=prefix[1:])
+        out.append(words.mix((prefix[end] - prefix[begin]) * down[begin] + (end - begin).astype(np.uint64)).view(np.int64))
+    return out
+
+
 def segment_batches(batches, width: int, content: bool):
-    """(doc_id, mark, text, places) rows as segments (route, doc_id, mark, start, windows, content or its digests)."""
+    """(doc_id, mark, text, places) rows as segments (route, doc_id, content) or their places (doc_id, mark, start, k1, k2)."""
     for batch in batches:
-        for doc_id, mark, text, places in zip(*(batch.column(i) for i in range(4)), strict=True):
-            doc_id, mark = doc_id.as_py(), mark.as_py()
-            found = text.as_py().encode().split()
-            canon = b" ".join(found)
-            lens = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-            ends = np.cumsum(lens + 1) - 1
-            starts = ends - lens
-            place, route, often = (places.values.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+        for a, b in words.pieces(batch.column(2)):
+            part = batch.slice(a, b - a)
+            texts = [b" ".join(t.as_py().encode().split()) for t in part.column(2)]
+            offs = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+            canon = b" ".join(texts)
+            buf = np.frombuffer(canon, dtype=np.uint8)
+            starts, ends = words.spans(buf, np.minimum(offs, len(buf)))
+            first = np.searchsorted(starts, offs[:-1])
+            places = part.column(3)
+            place, route, often = (places.flatten().field(i).to_numpy(zero_copy_only=False) for i in range(3))
+            row = np.repeat(np.arange(b - a), places.value_lengths().to_numpy())
             place, route, often = place.astype(np.int64), route.astype(np.int64), often.astype(bool)
             begin, size = place >> 7, place & 127
             if often.any():  # frequent anchors: every window by itself
                 times = np.where(often, size, 1)
                 shift = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
                 begin, size = np.repeat(begin, times) + np.repeat(often, times) * shift, np.repeat(np.where(often, 1, size), times)
-                route, often = np.repeat(route, times), np.repeat(often, times)
-            s, e = starts[begin], ends[begin + size + width - 2]
-            parts = [canon[x:y] for x, y in zip(s.tolist(), e.tolist(), strict=True)]
-            digests = np.frombuffer(b"".join([hashlib.blake2b(x, digest_size=16).digest() for x in parts]), dtype="<i8").reshape(-1, 2)
+                route, often, row = np.repeat(route, times), np.repeat(often, times), np.repeat(row, times)
+            w = first[row] + begin
+            if not content or often.any():
+                k1, k2 = segment_keys([words.hashes(buf, starts, ends, i) for i in (0, 1)], w, w + size + width - 1)
+            doc = part.column(0).take(pa.array(row))
             if content:
-                route = np.where(often, digests[:, 0], route)
-                yield pa.RecordBatch.from_arrays([pa.array(route), pa.array(np.full(len(parts), doc_id)), pa.array(parts, pa.binary())],
-                                                 ["route", "doc_id", "content"])
+                s, e = starts[w], ends[w + size + width - 2]
+                parts = [canon[x:y] for x, y in zip(s.tolist(), e.tolist(), strict=True)]
+                if often.any():
+                    route = np.where(often, k1, route)
+                yield pa.RecordBatch.from_arrays([pa.array(route), doc, pa.array(parts, pa.binary())], ["route", "doc_id", "content"])
             else:
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(parts), doc_id)), pa.array(np.full(len(parts), mark, dtype=np.int32)),
-                    pa.array(begin.astype(np.int32)), pa.array(digests[:, 0]), pa.array(digests[:, 1])],
-                    ["doc_id", "mark", "start", "k1", "k2"])
+                yield pa.RecordBatch.from_arrays([doc, part.column(1).take(pa.array(row)), pa.array(begin.astype(np.int32)),
+                                                  pa.array(k1), pa.array(k2)], ["doc_id", "mark", "start", "k1", "k2"])
 
 
 def shard_windows(table: pa.Table, width: int) -> pa.Table:
@@ -184,7 +199,8 @@ def shard_windows(table: pa.Table, width: int) -> pa.Table:
     parts = table["content"].combine_chunks()
     buf, offs = words.text_bytes(parts)
     starts, ends = words.spans(buf, offs)
-    symbols = np.unique(words.hashes(buf, starts, ends), return_inverse=True)[1].astype(np.int64) + 1
+    hashes = [words.hashes(buf, starts, ends, i) for i in (0, 1)]
+    symbols = np.unique(hashes[0], return_inverse=True)[1].astype(np.int64) + 1
     lengths = np.bincount(np.searchsorted(offs, starts, "right") - 1, minlength=len(parts))
     index = FMIndex(symbols, lengths, width)
     docs = table["doc_id"].to_numpy()[index.sequence[index.order]]  # of each row of the index
@@ -197,9 +213,10 @@ def shard_windows(table: pa.Table, width: int) -> pa.Table:
     least = np.minimum.reduceat(np.append(docs, docs[-1]), cuts)[::2][back]
     order = np.lexsort((at, seq))
     counts = np.bincount(seq, minlength=len(parts))
-    digests = np.frombuffer(b"".join([hashlib.blake2b(x, digest_size=16).digest() for x in parts.to_pylist()]), dtype="<i8").reshape(-1, 2)
+    end = np.cumsum(lengths)
+    k1, k2 = segment_keys(hashes, end - lengths, end)
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-    return pa.table({"k1": digests[:, 0], "k2": digests[:, 1],
+    return pa.table({"k1": k1, "k2": k2,
                      "least": pa.ListArray.from_arrays(pa.array(offsets), pa.array(least[order]))})
 
 

@@ -29,7 +29,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i mod 2**64 for i up to n (kept up to the piece size)."""
     got = _pow.get(which)
     if got is None or len(got[0]) <= n:
@@ -87,7 +87,7 @@ def hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0
     while at < len(starts):
         to = max(at + 1, int(np.searchsorted(ends, starts[at] + PIECE, "right")))
         a, b = int(starts[at]), int(ends[to - 1])
-        up, down = _powers(which, b - a)
+        up, down = powers(which, b - a)
         prefix = np.zeros(b - a + 1, dtype=np.uint64)
         np.cumsum(_BYTE[which][buf[a:b]] * up[:b - a], out=prefix[1:])
         s, e = starts[at:to] - a, ends[at:to] - a
