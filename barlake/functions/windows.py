@@ -62,36 +62,34 @@ def calculate_sma(column: str, partition_col: str, order_col: str, window_size:
     return rolling_mean(column, dtype, spec, -(window_size - 1), 0, scale)
 
 
-def sequence_blocks(df: DataFrame, key: str, order: str, chunk: Column, block_rows: int,
-                    halo: int) -> DataFrame:
-    """Cut each ``key`` series into blocks of ``block_rows`` rows plus ``halo`` rows of context.
-
-    Adds ``_seq`` (1-based position in the series), ``_blk`` (block number)
-    and ``_halo`` (True for a copy of the previous block's last ``halo`` rows).
-    A window over (key, _blk) ordered by ``order`` then sees every row with
-    at least ``halo`` predecessors, so frames up to ``halo`` rows back are
-    exact, and no task holds more than ``block_rows + halo`` rows of a key.
-
-    The position is a distributed prefix count: rows are counted per
-    (key, chunk) (``chunk`` is a coarse ordered bucket such as the year),
-    the counts are turned into offsets by a running sum over that small
-    table, and each row adds its position within its chunk.
+def with_rows_before(df: DataFrame, key: str, order: str, days: int, rows: int) -> DataFrame:
+    """Cut each ``key`` series into stretches of ``days`` calendar days, each with the ``rows`` rows before it.
+
+    Adds ``_stretch`` and ``_before`` (True for the copied rows). A window over
+    (key, _stretch) ordered by ``order`` then sees every row with at least
+    ``rows`` predecessors, as far as the series has them, and no task needs a
+    whole series.
+
+    A stretch is gathered as one array (at most a row a day, as (key, order) is
+    unique), shuffled once by (key, _stretch). Only its last ``rows`` rows go
+    on: put in order by ``key``, they give the rows before each later stretch,
+    however short the ones in between are, and these join the arrays where
+    they lie.
     """
-    c = df.withColumn("_chunk", chunk)
-    counts = c.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.select(
-        key, "_chunk",
-        (F.sum("_cnt").over(Window.partitionBy(key).orderBy("_chunk")
-                            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-         - F.col("_cnt")).alias("_off"))
-    pos = F.row_number().over(Window.partitionBy(key, "_chunk").orderBy(order))
-    indexed = (c.join(offsets, [key, "_chunk"])
-               .withColumn("_seq", F.col("_off") + pos)
-               .drop("_chunk", "_off"))
-    blk = F.floor((F.col("_seq") - 1) / block_rows).cast("long")
-    tail = (F.col("_seq") - 1) % block_rows >= block_rows - halo
-    blocks = F.when(tail, F.array(blk, blk + 1)).otherwise(F.array(blk))
-    return (indexed.withColumn("_own", blk)
-            .withColumn("_blk", F.explode(blocks))
-            .withColumn("_halo", F.col("_blk") != F.col("_own"))
-            .drop("_own"))
+    day = F.datediff(F.col(order), F.lit("1970-01-01").cast("date"))
+    # a row without a date is the first of its series, as windows order it
+    stretch = F.coalesce(F.floor(day / days), F.lit(-1 << 40)).cast("long").alias("_stretch")
+    others = [c for c in df.columns if c not in (key, order)]
+    row = F.struct(order, *others).alias("_row")
+    series = df.select(key, stretch, row).groupBy(key, "_stretch").agg(F.sort_array(F.collect_list("_row")).alias("_rows"))
+    last = series.select(key, "_stretch", F.slice("_rows", -F.least(F.size("_rows"), F.lit(rows)), rows).alias("_last"))
+    # every stretch has a row, so those before one lie in as many stretches
+    entries = Window.partitionBy(key).orderBy("_stretch").rowsBetween(-rows, -1)
+    earlier = F.flatten(F.collect_list("_last").over(entries))
+    before = last.select(F.col(key).alias("_key"), F.col("_stretch").alias("_at"), earlier.alias("_earlier")).select(
+        "_key", "_at", F.slice("_earlier", F.greatest(F.size("_earlier") - rows + 1, F.lit(1)), rows).alias("_earlier"))
+    whole = series.join(before, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_stretch") == F.col("_at")))
+    mark = lambda column, flag: F.transform(column, lambda r: F.struct(r.alias("row"), F.lit(flag).alias("before")))
+    each = whole.select(key, "_stretch", F.explode(F.concat(mark("_earlier", True), mark("_rows", False))).alias("_e"))
+    return each.select(*[F.col(c) if c == key else F.col(f"_e.row.`{c}`").alias(c) for c in df.columns], "_stretch",
+                       F.col("_e.before").alias("_before"))

@@ -1,9 +1,12 @@
 """Technical indicators per entity series.
 
-All windows are ``PARTITION BY ticker ORDER BY trade_date``; "20-day" means
-20 rows. They are planned over one hash exchange and one sort.
-(ticker, trade_date) must be unique (see ``operators.flatten.keep_latest``);
-then a window partition holds at most one row per calendar day.
+Windows run over a ticker's rows by date; "20-day" means 20 rows. A series is
+cut into stretches of ``STRETCH_DAYS`` calendar days, and each stretch is given
+the ``LOOKBACK_ROWS`` rows before it, so a window partition is (ticker,
+stretch): a ticker with a third of all rows is spread over as many tasks as it
+has stretches. (ticker, trade_date) must be unique (see
+``operators.flatten.keep_latest``); then a window partition holds at most one
+row per calendar day of its stretch.
 
 Rounding chain (kept on purpose): the return is rounded to 6 places before
 the volatility uses it; both SMAs are rounded before they are compared; the
@@ -17,10 +20,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from barlake.functions.numeric import RETURN_TYPE, from_micro_units, half_up_ratio, micro_units
-from barlake.functions.windows import sequence_blocks
+from barlake.functions.windows import with_rows_before
 
 SMA_TYPE = DecimalType(16, 4)
 
+# Longest look-back of the indicators: the 50-row SMA subtracts the running
+# sum 50 rows back; the 20-row volatility needs returns 20 rows back, each
+# needing the close before it (21 rows).
+LOOKBACK_ROWS = 50
+
+# Calendar days of a stretch: about 700 trading days, so the rows before a stretch add about 7 %.
+STRETCH_DAYS = 1024
+
 
 def daily_return(close: Column, prev: Column) -> Column:
     """(close - prev) / prev at 6 places; NULL without a positive previous close."""
@@ -67,16 +78,19 @@ def _stddev_micro(s1: Column, s2: Column, n: Column) -> Column:
 
 def add_indicators(staged: DataFrame, partition_col: str = "ticker",
                    order_col: str = "trade_date", built_at: Column | None = None,
-                   extra_partition: list[str] | None = None) -> DataFrame:
+                   stretch_days: int = STRETCH_DAYS) -> DataFrame:
     """Daily return, SMA 20/50, 20-row volatility, volume average, crossover, relative volume.
 
     Frame sums come from running (prefix) sums and their lagged values, so
     the cost per row is constant whatever the frame width (a bounded ROW
     frame would re-aggregate the whole frame for every row). Decimal sums
-    are exact, so the differences are exact too. All steps share one
-    partitioning and ordering: one exchange, one sort.
+    are exact, so the differences are exact too. The sums start anew with the
+    rows before each stretch, so no task holds a whole series; all steps share
+    one partitioning and ordering.
     """
-    w = Window.partitionBy(partition_col, *(extra_partition or [])).orderBy(order_col)
+    columns = staged.columns
+    staged = with_rows_before(staged, partition_col, order_col, stretch_days, LOOKBACK_ROWS)
+    w = Window.partitionBy(partition_col, "_stretch").orderBy(order_col)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     close, vol = F.col("close_price"), F.col("volume")
     price_scale = staged.schema["close_price"].dataType.scale
@@ -100,8 +114,8 @@ def add_indicators(staged: DataFrame, partition_col: str = "ticker",
     sv20, nv20 = _frame("_sv", "_nv", 20)
     sr20, nr20 = _frame("_sr", "_nr", 20)
     srr20, _ = _frame("_srr", "_nr", 20)
-    out = step3.select(
-        *staged.columns, "daily_return",
+    out = step3.where(~F.col("_before")).select(
+        *columns, "daily_return",
         _mean(sc20, nc20, price_scale, 4).cast(SMA_TYPE).alias("sma_20"),
         _mean(sc50, nc50, price_scale, 4).cast(SMA_TYPE).alias("sma_50"),
         from_micro_units(_stddev_micro(sr20, srr20, nr20)).alias("volatility_20d"),
@@ -117,27 +131,3 @@ def add_indicators(staged: DataFrame, partition_col: str = "ticker",
     if built_at is not None:
         out = out.withColumn("model_built_at", built_at)
     return out
-
-
-# Longest look-back of the indicators: the 50-row SMA subtracts the running
-# sum 50 rows back; the 20-row volatility needs returns 20 rows back, each
-# needing the close before it (21 rows).
-LOOKBACK_ROWS = 50
-
-
-def add_indicators_split(staged: DataFrame, block_rows: int = 1_000_000,
-                         built_at: Column | None = None) -> DataFrame:
-    """Same result as :func:`add_indicators`, without one task per ticker.
-
-    Each series is cut into blocks of ``block_rows`` rows; every block also
-    gets the previous block's last ``LOOKBACK_ROWS`` rows as context (halo),
-    the windows run per (ticker, block), and the halo copies are dropped. Use
-    it when single series are too long for one task; it costs one extra
-    shuffle (the distributed row numbering).
-    """
-    if block_rows <= LOOKBACK_ROWS:
-        raise ValueError("block_rows must exceed the look-back")
-    blocks = sequence_blocks(staged, "ticker", "trade_date", F.year("trade_date"),
-                             block_rows, LOOKBACK_ROWS)
-    out = add_indicators(blocks, "ticker", "trade_date", built_at, extra_partition=["_blk"])
-    return out.where(~F.col("_halo")).drop("_seq", "_blk", "_halo")

@@ -86,13 +86,9 @@ def q_indicators(spark, sf_dir):
         "volatility_20d", "volume_sma_20", "relative_volume", "sma_crossover"))
 
 
-# Block size of the split indicator plan in the harness: small, so every
-# series is cut into several blocks and the halo logic is exercised.
-SPLIT_BLOCK_ROWS = 500
-
-
 def q_indicators_split(spark, sf_dir):
-    return report(ind.add_indicators_split(staged(spark, sf_dir), SPLIT_BLOCK_ROWS).select(
+    """The same with short stretches: every series is cut into many."""
+    return report(ind.add_indicators(staged(spark, sf_dir), stretch_days=100).select(
         "ticker", "trade_date", "close_price", "volume", "daily_return", "sma_20", "sma_50",
         "volatility_20d", "volume_sma_20", "relative_volume", "sma_crossover"))
 

@@ -327,7 +327,7 @@ GROUP BY ticker"""),
     "row_count": _sql(BARS, "SELECT count(*) AS row_count FROM bars"),
 })
 
-# The split plan must give exactly the indicator rows.
+# Short stretches give the same rows.
 ORACLE["indicators_split"] = ORACLE["indicators"]
 
 # Written to storage and read back: the same rows.

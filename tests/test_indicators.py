@@ -3,6 +3,8 @@
 import math
 from decimal import ROUND_HALF_UP, Decimal
 
+from pyspark.sql import functions as F
+
 from barlake.functions.windows import calculate_sma
 from barlake.operators.indicators import add_indicators
 from helpers import staged_rows
@@ -113,24 +115,31 @@ def test_generic_sma_matches_window(spark):
         assert r.s == q(sum(w) / len(w), 4)
 
 
-def test_one_window_exchange_in_plan(spark):
-    df = add_indicators(staged_rows(spark, {"A": series_of(5, 1), "B": series_of(5, 2)}))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning(ticker") == 1
-
-
-def test_split_plan_matches_brute_force(spark):
-    from barlake.operators.indicators import add_indicators_split
+def test_stretches_match_brute_force(spark):
+    """Stretches shorter than the look-back, of one row, and gaps of whole stretches."""
     series = {f"S{n}": series_of(n, n) for n in (1, 50, 51, 130, 260)}
-    for block in (51, 70):
-        df = add_indicators_split(staged_rows(spark, series, gap_every=7), block_rows=block)
+    for days in (1, 40, 70, 4096):
+        df = add_indicators(staged_rows(spark, series, gap_every=7), stretch_days=days)
         rows = df.orderBy("ticker", "trade_date").collect()
         for t, vals in series.items():
             check([r for r in rows if r.ticker == t], brute(vals))
 
 
-def test_split_plan_windows_per_block(spark):
-    from barlake.operators.indicators import add_indicators_split
-    df = add_indicators_split(staged_rows(spark, {"A": series_of(5, 1)}), block_rows=100)
+def keep_partitions(spark, request, key="spark.sql.adaptive.coalescePartitions.enabled"):
+    """Small shuffles keep their partitions."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    request.addfinalizer(lambda: spark.conf.set(key, before))
+
+
+def test_a_hot_ticker_lies_in_many_tasks(spark, request):
+    """No window partition, and no task, holds a ticker's series; the input is read once."""
+    keep_partitions(spark, request)
+    staged = staged_rows(spark, {"A": series_of(900, 1), **{f"B{i}": series_of(3, i) for i in range(9)}})
+    df = add_indicators(staged, stretch_days=64)
+    df.write.format("noop").mode("overwrite").save()
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange hashpartitioning(ticker#" in plan and "_blk#" in plan
+    windows = [line for line in plan.splitlines() if "Window [sum(" in line or "Window [lag(" in line]
+    assert windows and all("_stretch#" in line for line in windows)
+    tasks = df.withColumn("task", F.spark_partition_id()).where("ticker = 'A'").groupBy("task").count().collect()
+    assert len(tasks) >= 3 and max(r["count"] for r in tasks) < 600
