@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.operators import flatten as fl
 from barlake.sources.tables import stage
 
-#: Share of unparseable documents from which a run fails instead of going on without them.
-MAX_REJECTED_SHARE = 0.5
+#: Share of unparseable documents beyond which a run fails instead of going on without them; a caller may allow more.
+MAX_REJECTED_SHARE = 0.0
 
 
 class BronzeUnreadable(RuntimeError):
@@ -55,6 +55,13 @@ def account(docs: DataFrame, processed_at, value_col: str = "value") -> tuple[Da
     return silver, rejects(days), accounting(days).first().asDict()
 
 
+def store_counts(spark: SparkSession, counts: dict, root: str, batch_id) -> None:
+    """Keep the counts of a batch, one row each under ``root/batch_id=...``; a repeated batch replaces its own."""
+    row = spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} long" for c in counts))
+    (row.withColumn("stored_at", F.current_timestamp()).withColumn("batch_id", F.lit(str(batch_id)))
+     .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(root))
+
+
 def require_parsed(counts: dict, share: float = MAX_REJECTED_SHARE) -> None:
     """Raise if documents were read but none parsed, or more than ``share`` of them were rejected."""
     read, bad = counts["documents"], counts["rejected_documents"]

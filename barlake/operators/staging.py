@@ -3,13 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from barlake.functions.numeric import PRICE_TYPE
 
 PRICE_COLUMNS = ("open_price", "high_price", "low_price", "close_price")
 
 
+def _price(of: str) -> str:
+    return f"CAST({of} AS {PRICE_TYPE.simpleString()})"
+
+
+#: Staged column -> expression over the landed row; the DataFrame and the catalog's view are both made of it.
+EXPRESSIONS = {
+    "ticker": "upper(trim(ticker))",
+    "trade_date": "trade_date",
+    **{c: _price(c) for c in PRICE_COLUMNS},
+    "volume": "CAST(volume AS BIGINT)",
+    "daily_range": _price(f"{_price('high_price')} - {_price('low_price')}"),
+    "data_source": "source",
+    "ingested_at": "ingested_at",
+    "processed_at": "processed_at",
+}
+KEPT = "trade_date IS NOT NULL AND close_price > 0"
+
+
 def stage_prices(raw: DataFrame) -> DataFrame:
     """Staging projection and filter over raw price rows.
 
@@ -18,19 +35,9 @@ def stage_prices(raw: DataFrame) -> DataFrame:
     * ``source`` renamed ``data_source``
     * only rows with a trade date and a positive close are kept
     """
-    prices = {c: F.round(F.col(c).cast(PRICE_TYPE), 4).cast(PRICE_TYPE) for c in PRICE_COLUMNS}
-    return (raw
-            .where(F.col("trade_date").isNotNull()
-                   & F.col("close_price").isNotNull()
-                   & (F.col("close_price") > 0))
-            .select(
-                F.upper(F.trim(F.col("ticker"))).alias("ticker"),
-                F.col("trade_date"),
-                *[prices[c].alias(c) for c in PRICE_COLUMNS],
-                F.col("volume").cast("bigint").alias("volume"),
-                F.round(F.col("high_price").cast(PRICE_TYPE) - F.col("low_price").cast(PRICE_TYPE), 4)
-                .cast(PRICE_TYPE).alias("daily_range"),
-                F.col("source").alias("data_source"),
-                F.col("ingested_at"),
-                F.col("processed_at"),
-            ))
+    return raw.where(KEPT).selectExpr(*[f"{e} AS {name}" for name, e in EXPRESSIONS.items()])
+
+
+def staging_view(table: str) -> str:
+    """The same as SQL over a table of the catalog."""
+    return f"SELECT {', '.join(f'{e} AS {name}' for name, e in EXPRESSIONS.items())} FROM {table} WHERE {KEPT}"

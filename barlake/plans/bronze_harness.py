@@ -237,22 +237,33 @@ def q_silver_by_ticker(spark, sf_dir):
 
 
 def q_table_reload(spark, sf_dir):
-    """A partitioned catalog table holding a stale ticker, reloaded in full from Parquet."""
+    """A partitioned catalog table holding a stale ticker, reloaded in full from Parquet; its readers see old or new rows."""
     from barlake.sources import tables
     rows = silver_rows(flattened(spark, sf_dir).rows)
     source, path = _fresh_path(spark, "reload-source"), _fresh_path(spark, "reload-table")
     tables.write_silver(rows, source)
     name = "reload_" + path.rsplit("-", 1)[1]
     silver = spark.read.parquet(source)
-    columns = ["ticker", *[c for c in silver.columns if c != "ticker"]]
     tables.create_external_table(spark, name, path, silver.schema, ["ticker"])
-    try:
-        stale = silver.limit(1).withColumn("ticker", F.lit("STALE"))
-        stale.select(*spark.table(name).columns).write.insertInto(name)
-        tables.reload_table(spark, name, source)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the files stay
-    return _stamp(spark.read.schema(silver.select(*columns).schema).parquet(path).select(*ROW_COLUMNS))
+    stale = silver.limit(1).withColumn("ticker", F.lit("STALE"))
+    stale.select(*spark.table(name).columns).write.insertInto(name)
+    tables.reload_table(spark, name, source, f"{path}-versions", ["ticker"])
+    return _stamp(spark.table(name).select(*ROW_COLUMNS))
+
+
+def q_landing_quarantine(spark, sf_dir):
+    """A batch with rows that the strict table refuses: what is published, and what is stored with its rule."""
+    from barlake.sources import tables
+    rows = silver_rows(flattened(spark, sf_dir).rows)
+    day = F.dayofyear("trade_date")
+    broken = rows.withColumn("source", F.when(day % 23 == 0, F.repeat(F.lit("s"), 51)).otherwise(F.col("source"))) \
+        .withColumn("ticker", F.when(day % 17 == 0, F.concat("ticker", F.lit("_TOO_LONG"))).when(day % 31 == 0, F.lit(None)).otherwise(F.col("ticker")))
+    older = broken.where(day % 29 == 0).withColumn("ingested_at", F.col("ingested_at") - F.expr("INTERVAL 1 DAY"))
+    quarantine = _fresh_path(spark, "quarantine")
+    good = tables.write_audit(spark, broken.unionByName(older), quarantine, "one")
+    refused = spark.read.parquet(quarantine)
+    both = good.withColumn("rule", F.lit(None).cast("string")).unionByName(refused.select(*good.columns, "rule"))
+    return _stamp(both).select("ticker", "trade_date", "close_price", "ingested_at", "rule")
 
 
 def _landed(spark, sf_dir) -> str:

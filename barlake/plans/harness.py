@@ -297,6 +297,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_dedupe": lambda spark, d: report(bh.q_silver_dedupe(spark, d)),
     "silver_upsert": lambda spark, d: report(bh.q_silver_upsert(spark, d)),
     "silver_by_ticker": lambda spark, d: report(bh.q_silver_by_ticker(spark, d)),
+    "landing_quarantine": lambda spark, d: report(bh.q_landing_quarantine(spark, d)),
     "table_reload": lambda spark, d: report(bh.q_table_reload(spark, d)),
     "landed_roundtrip": lambda spark, d: report(bh.q_landed_roundtrip(spark, d)),
     "landed_files": lambda spark, d: report(bh.q_landed_files(spark, d)),

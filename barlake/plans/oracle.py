@@ -334,6 +334,17 @@ ORACLE["indicators_split"] = ORACLE["indicators"]
 ORACLE["silver_by_ticker"] = ORACLE["table_reload"] = ORACLE["silver_dedupe"]
 ORACLE["landed_roundtrip"] = ORACLE["bronze_roundtrip"]
 ORACLE["landed_date"] = _sql(BRONZE, "SELECT date_key, " + _ROW_OUT + " FROM frows WHERE CAST(ts AS DATE) = DATE '1998-06-01'")
+ORACLE["landing_quarantine"] = _sql(BRONZE + """,
+changed AS (
+  SELECT CASE WHEN dayofyear(trade_date) % 17 = 0 THEN ticker || '_TOO_LONG' WHEN dayofyear(trade_date) % 31 = 0 THEN NULL ELSE ticker END AS ticker,
+         trade_date, c, ts, dayofyear(trade_date) AS doy FROM srow),
+ruled AS (
+  SELECT *, CASE WHEN ticker IS NULL THEN 'not_null:ticker' WHEN length(ticker) > 10 THEN 'max_length:ticker'
+                 WHEN doy % 23 = 0 THEN 'max_length:source' END AS rule FROM changed)""", """
+SELECT ticker, trade_date, c / 100.0 AS close_price, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ingested_at, rule FROM ruled
+UNION ALL
+SELECT ticker, trade_date, c / 100.0, strftime(ts - INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S'), coalesce(rule, 'unique_key:ticker,trade_date')
+FROM ruled WHERE doy % 29 = 0""")
 # the name of a document shows the ticker as the payload does, in upper case, and the ingest time
 ORACLE["landed_files"] = _sql(BRONZE, """
 SELECT ticker || '_' || strftime(ts, '%Y%m%d_%H%M%S') || '.json' AS file_name, strftime(ts, '%Y-%m-%d') AS ingest_date,

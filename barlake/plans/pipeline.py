@@ -1,7 +1,7 @@
 """The full daily run, stage by stage.
 
-bronze (one processing date; rejects stored by date) -> silver (merged by key into the touched months) ->
-raw landing table -> seed dimension -> staging view -> indicators -> daily
+bronze (one processing date; rejects and counts stored by date) -> audit (rows that break the landing rules stored
+with the rule) -> silver (merged by key into the touched months) -> raw landing table -> seed dimension -> staging view -> indicators -> daily
 fact -> sector fact -> quality checks. Each stage that later stages read is
 written to storage under ``warehouse`` first, so lineage is cut at stage
 boundaries and a lost executor only recomputes the current stage.
@@ -60,28 +60,25 @@ CATALOG_NAMES = {
 }
 
 
-def register_catalog(spark: SparkSession, paths: dict[str, str], frames: dict[str, DataFrame]) -> None:
-    """Declare every written stage as an external Parquet table.
+def register_catalog(spark: SparkSession, paths: dict[str, str], frames: dict[str, DataFrame],
+                     months: dict[str, list[int] | None]) -> None:
+    """Declare every written stage as an external Parquet table, and register what the run wrote.
 
-    The definitions are replaced on every run (dropping an external table
-    keeps its files), the month partitions are registered with MSCK REPAIR,
-    and the staging view is created over the landing table.
+    ``months`` names the partitions that the run wrote of each stage (None:
+    any). A stage that is declared already gets those and is not dropped. The
+    staging view is created over the landing table.
     """
     tables.create_schemas(spark, sorted({db for db, _ in CATALOG_NAMES.values()}))
     for key, (db, name) in CATALOG_NAMES.items():
-        full = f"{db}.{name}"
-        spark.sql(f"DROP TABLE IF EXISTS {full}")
-        part = {"silver": [merge.PARTITION_COLUMN], "dim_stocks": None, "seed_stock_tickers": None}.get(key, [inc.MONTH])
-        tables.create_external_table(spark, full, paths[key], frames[key].schema, part)
-        if part:
-            tables.repair_table(spark, full)
+        part = {"silver": merge.PARTITION_COLUMN, "dim_stocks": None, "seed_stock_tickers": None}.get(key, inc.MONTH)
+        tables.register_partitions(spark, f"{db}.{name}", paths[key], frames[key].schema, part, months.get(key))
     tables.create_staging_view(spark, "analytics.stg_stock_prices", "raw.stock_prices")
 
 
 def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_date: str | None,
               run_ts: datetime, seed: DataFrame,
               as_of: datetime | None = None, catalog: bool = True,
-              max_rejected_share: float = accounting.MAX_REJECTED_SHARE) -> RunResult:
+              max_rejected_share: float = accounting.MAX_REJECTED_SHARE, max_refused_share: float = 1.0) -> RunResult:
     """Run every stage for ``processing_date`` (None: every landed date, a backfill);
     ``run_ts`` stamps all outputs."""
     stamp = timestamp_literal(run_ts)
@@ -96,7 +93,10 @@ def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_
     batch, rejects, counts = accounting.account(docs, stamp)
     (rejects.withColumn("processing_date", F.lit(processing_date or "all")).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("processing_date").parquet(f"{warehouse}/rejects"))
+    accounting.store_counts(spark, counts, f"{warehouse}/run_counts", processing_date or "all")
     accounting.require_parsed(counts, max_rejected_share)
+    # rows that the strict landing table refuses are stored with the rule, and never reach a table
+    batch = tables.write_audit(spark, batch, f"{warehouse}/quarantine", processing_date or "all", max_refused_share)
     version = int(processing_date.replace("-", "")) if processing_date else 0
     silver_table = merge.merge_into(spark, silver_root, batch)
     silver = silver_table.drop(merge.PARTITION_COLUMN)
@@ -131,7 +131,9 @@ def run_daily(spark: SparkSession, bronze_root: str, warehouse: str, processing_
                          {"silver": silver_table, "raw_stock_prices": inc.with_month(raw),
                           "seed_stock_tickers": seed_table, "dim_stocks": dim,
                           "int_stock_indicators": table, "fct_daily_trading": daily_table,
-                          "fct_sector_performance": sector_table})
+                          "fct_sector_performance": sector_table},
+                         {"silver": months, "raw_stock_prices": months, "int_stock_indicators": reached,
+                          "fct_daily_trading": facts, "fct_sector_performance": facts})
 
     # quality checks: one small DataFrame (one row per check), collected once
     landing = violations.select(

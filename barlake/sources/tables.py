@@ -3,28 +3,18 @@
 from __future__ import annotations
 
 import os
+import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DateType, DecimalType, LongType, StringType, StructField,
-                               StructType, TimestampType)
+from pyspark.sql.types import StructType
 
-from barlake.operators import quality
+from barlake.operators import quality, staging
+from barlake.operators.flatten import KEY_COLUMNS, SILVER_SCHEMA
 
 # Fixed values of the strict landing table: key, maximum lengths and required columns.
-LANDING_SCHEMA = StructType([
-    StructField("ticker", StringType(), False),
-    StructField("trade_date", DateType(), False),
-    StructField("open_price", DecimalType(12, 4)),
-    StructField("high_price", DecimalType(12, 4)),
-    StructField("low_price", DecimalType(12, 4)),
-    StructField("close_price", DecimalType(12, 4)),
-    StructField("volume", LongType()),
-    StructField("source", StringType()),
-    StructField("ingested_at", TimestampType()),
-    StructField("processed_at", TimestampType()),
-])
-LANDING_KEY = ["ticker", "trade_date"]
+LANDING_SCHEMA = SILVER_SCHEMA
+LANDING_KEY = KEY_COLUMNS
 LANDING_MAX_LENGTH = {"ticker": 10, "source": 50}
 LANDING_REQUIRED = ["ticker", "trade_date"]
 
@@ -99,6 +89,13 @@ def _ddl_columns(schema: StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+def _place(path: str) -> str:
+    """A location in one form: local paths absolute and without their scheme."""
+    if "://" not in path and not path.startswith(("/", "file:")):
+        path = os.path.abspath(path)
+    return re.sub("^file:/+", "/", path).rstrip("/")
+
+
 def create_external_table(spark: SparkSession, name: str, path: str, schema: StructType,
                           partition_by: list[str] | None = None) -> None:
     """Declare a Parquet table over existing files (partition columns last).
@@ -145,26 +142,95 @@ def landing_violations(df: DataFrame) -> DataFrame:
     return nulls.unionByName(lengths).unionByName(dups)
 
 
-def reload_table(spark: SparkSession, table: str, parquet_path: str) -> None:
-    """Full reload (truncate + copy) of a table from Parquet files.
+def landing_rule() -> Column:
+    """The rule of the strict table that a row breaks by itself, NULL if none."""
+    rules = [F.when(F.col(c).isNull(), F.lit(f"not_null:{c}")) for c in LANDING_REQUIRED]
+    rules += [F.when(F.length(c) > n, F.lit(f"max_length:{c}")) for c, n in LANDING_MAX_LENGTH.items()]
+    return F.coalesce(*rules)
+
+
+def audited(df: DataFrame) -> DataFrame:
+    """Rows of the landing schema with ``rule``: what the strict table would refuse them for, NULL if nothing.
 
-    Everything that was in the table goes, partitions that the files lack
-    included, whatever the session's overwrite mode.
+    Of rows that share a key the newest stays, and the others break the key.
     """
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    src = spark.read.parquet(parquet_path)
-    cols = spark.table(table).columns
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "static")
-    try:
-        src.select(*cols).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
+    ruled = conform(df).withColumn("rule", landing_rule())
+    others = [c for c in df.columns if c in LANDING_SCHEMA.names and c not in (*LANDING_KEY, "ingested_at")]
+    newest = Window.partitionBy(*LANDING_KEY).orderBy(F.col("rule").isNotNull(), F.desc_nulls_last("ingested_at"), *others)
+    again = F.when(F.col("rule").isNull() & (F.row_number().over(newest) > 1), F.lit("unique_key:" + ",".join(LANDING_KEY)))
+    return ruled.withColumn("rule", F.coalesce("rule", again))
+
 
+class BatchRefused(RuntimeError):
+    """More of a batch breaks the landing rules than may: nothing of it was published."""
 
-def materialise_table(df: DataFrame, name: str) -> None:
-    """Create-table-as-select, replacing any previous table."""
-    df.write.mode("overwrite").saveAsTable(name)
+
+def write_audit(spark: SparkSession, batch: DataFrame, quarantine: str, batch_id: str, max_refused_share: float = 1.0) -> DataFrame:
+    """S13 write and audit: the rows of a batch that may be published.
+
+    The batch is staged; rows that break a rule are stored under
+    ``quarantine/batch_id=...`` with the rule (a repeated batch replaces its
+    own). If they are more than ``max_refused_share`` of all, the batch is
+    refused before anything of it reaches the table.
+    """
+    rows = stage(spark, audited(batch), "audit")
+    (rows.where(F.col("rule").isNotNull()).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(quarantine))
+    n = rows.agg(F.count("*").alias("rows"), F.count("rule").alias("refused")).first()
+    if n.refused > max_refused_share * n.rows:
+        raise BatchRefused(f"{n.refused} of {n.rows} rows break the landing rules")
+    return rows.where(F.col("rule").isNull()).drop("rule")
+
+
+def publish(df: DataFrame, name: str, path: str | None = None, partition_by: list[str] | None = None) -> str:
+    """Make ``df`` the content of ``name`` in one statement; returns the new version's table.
+
+    The rows are written aside, as a table of their own, and ``name`` is a view
+    of it: replacing the view is the switch. A reader that began before sees
+    the old rows to its end, one that begins after the new ones, and nobody
+    none. Of the versions before, the last one stays for its readers and older
+    ones go. ``path`` names a folder for the versions (the warehouse if None).
+    A plain table of that name becomes a version: the one time that the name
+    is gone for a moment.
+    """
+    import uuid
+    spark = df.sparkSession
+    schema, _, short = name.rpartition(".")
+    catalog = [t for t in spark.catalog.listTables(schema or None) if not t.isTemporary]
+    mark = f"{short.lower()}__v"
+    before = sorted(t.name for t in catalog if t.name.startswith(mark))
+    version = f"{mark}{len(before) and int(before[-1][len(mark):len(mark) + 8]) + 1:08d}_{uuid.uuid4().hex[:8]}"
+    full = f"{schema}.{version}" if schema else version
+    writer = df.write
+    if path is not None:
+        writer = writer.option("path", f"{path.rstrip('/')}/{version}")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(full)
+    if any(t.name == short.lower() and t.tableType != "VIEW" for t in catalog):
+        old = f"{mark}00000000_plain"
+        spark.sql(f"ALTER TABLE {name} RENAME TO {f'{schema}.{old}' if schema else old}")
+        before = before or [old]
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {full}")
+    for old in before[:-1]:
+        spark.sql(f"DROP TABLE IF EXISTS {f'{schema}.{old}' if schema else old}")
+    return full
+
+
+def reload_table(spark: SparkSession, table: str, parquet_path: str, path: str | None = None,
+                 partition_by: list[str] | None = None) -> str:
+    """The whole content of a table from Parquet files, without a moment in which it is empty (``publish``).
+
+    Columns and their order are those that the table has; everything that was
+    in it goes, partitions that the files lack included.
+    """
+    columns = spark.table(table).columns
+    return publish(spark.read.parquet(parquet_path).select(*columns), table, path, partition_by)
+
+
+def materialise_table(df: DataFrame, name: str) -> str:
+    """Create-table-as-select, replacing any previous content at once (``publish``)."""
+    return publish(df, name)
 
 
 def materialise_view(df: DataFrame, name: str) -> None:
@@ -174,10 +240,30 @@ def materialise_view(df: DataFrame, name: str) -> None:
 
 def create_staging_view(spark: SparkSession, name: str, raw_table: str) -> None:
     """The staging view in the catalog, over the landing table; it outlives the session's run."""
-    prices = ("open_price", "high_price", "low_price", "close_price")
-    typed = ", ".join(f"CAST(round(CAST({c} AS DECIMAL(12,4)), 4) AS DECIMAL(12,4)) AS {c}" for c in prices)
-    spark.sql(f"""CREATE OR REPLACE VIEW {name} AS
-        SELECT upper(trim(ticker)) AS ticker, trade_date, {typed}, CAST(volume AS BIGINT) AS volume,
-               CAST(round(CAST(high_price AS DECIMAL(12,4)) - CAST(low_price AS DECIMAL(12,4)), 4) AS DECIMAL(12,4)) AS daily_range,
-               source AS data_source, ingested_at, processed_at
-        FROM {raw_table} WHERE trade_date IS NOT NULL AND close_price > 0""")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {staging.staging_view(raw_table)}")
+
+
+def register_partitions(spark: SparkSession, name: str, path: str, schema: StructType, column: str, values: list | None) -> None:
+    """Declare the table if it is not there, and register the partitions that a write touched.
+
+    A known table is not dropped: one statement adds the given partitions,
+    so the cost does not grow with history. A table that is new, lies
+    elsewhere or has other columns now, is declared and repaired over all its files; ``values`` of
+    None repair it too.
+    """
+    known = spark.catalog.tableExists(name)
+    if known:
+        where = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        columns = {(f.name, f.dataType) for f in spark.table(name).schema}
+        if _place(where["Location"]) != _place(path) or columns != {(f.name, f.dataType) for f in schema}:
+            spark.sql(f"DROP TABLE {name}")  # external: the files stay
+            known = False
+    create_external_table(spark, name, path, schema, [column] if column else None)
+    if column and known and values is not None:
+        if values:
+            parts = " ".join(f"PARTITION ({column}={int(v)})" for v in values)
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+    elif column:
+        repair_table(spark, name)
+    if known:
+        spark.catalog.refreshTable(name)

@@ -5,8 +5,8 @@ discovered as columns) with a checkpoint, so every file is taken exactly
 once. Each micro-batch is flattened, cleaned and deduplicated, then merged
 into silver by key; only the months the batch touches are read and rewritten.
 Merging is idempotent (newest ingest per key), so re-running a failed batch
-after a restart gives the same silver. What a batch rejects is stored under
-its batch id (a replayed batch replaces its own rows), and a batch of which
+after a restart gives the same silver. What a batch rejects, and its counts,
+are stored under its batch id (a replayed batch replaces its own rows), and a batch of which
 no document parses stops the stream instead of being lost.
 """
 
@@ -34,7 +34,7 @@ def bronze_stream(spark: SparkSession, bronze_root: str,
 
 
 def merge_batch(spark: SparkSession, silver_root: str, processed_at: datetime | None = None,
-                rejects_root: str | None = None):
+                rejects_root: str | None = None, max_rejected_share: float = accounting.MAX_REJECTED_SHARE):
     """The ``foreachBatch`` function: flatten the batch, store its rejects, merge it into silver."""
     rejects_root = rejects_root or f"{silver_root.rstrip('/')}_rejects"
 
@@ -43,17 +43,19 @@ def merge_batch(spark: SparkSession, silver_root: str, processed_at: datetime |
         silver, rejects, counts = accounting.account(batch, stamp)
         (rejects.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(rejects_root))
-        accounting.require_parsed(counts)
+        accounting.store_counts(spark, counts, f"{silver_root.rstrip('/')}_counts", batch_id)
+        accounting.require_parsed(counts, max_rejected_share)
         merge.merge_into(spark, silver_root, silver)
     return run
 
 
 def start_arrival(spark: SparkSession, bronze_root: str, silver_root: str, checkpoint: str,
                   processed_at: datetime | None = None,
-                  available_now: bool = True, rejects_root: str | None = None) -> StreamingQuery:
+                  available_now: bool = True, rejects_root: str | None = None,
+                  max_rejected_share: float = accounting.MAX_REJECTED_SHARE) -> StreamingQuery:
     """Start the arrival job; ``available_now`` processes what has landed, then stops."""
     writer = (bronze_stream(spark, bronze_root).writeStream
-              .foreachBatch(merge_batch(spark, silver_root, processed_at, rejects_root))
+              .foreachBatch(merge_batch(spark, silver_root, processed_at, rejects_root, max_rejected_share))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")

@@ -99,6 +99,7 @@ def process_days(spark: SparkSession, bronze_root: str, silver_root: str, proces
             silver, rejects, counts = accounting.account(bronze.read_bronze(spark, bronze_root, day), stamp)
             (rejects.withColumn("processing_date", F.lit(day)).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("processing_date").parquet(rejects_root))
+            accounting.store_counts(spark, counts, f"{silver_root.rstrip('/')}_counts", day)
             accounting.require_parsed(counts, max_rejected_share)
             merge.merge_into(spark, silver_root, silver)
     return run

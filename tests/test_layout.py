@@ -150,3 +150,67 @@ def test_payloads_printed_over_many_lines_stay_one_document(spark, tmp_path):
     land_documents(docs, root)
     got = flatten_documents(read_bronze(spark, root, "2025-06-15"), "2025-07-01 00:00:00")
     assert got.rows.count() == 1 and got.rejects.count() == 0
+
+
+def test_rows_that_break_the_landing_rules_are_stored_and_not_published(spark, tmp_path):
+    rows = silver(spark)
+    long = rows.limit(1).withColumn("ticker", F.lit("X" * 11))
+    none = rows.limit(1).withColumn("trade_date", F.lit(None).cast("date"))
+    old = rows.where("ticker = 'AAA'").limit(2).withColumn("ingested_at", F.col("ingested_at") - F.expr("INTERVAL 1 DAY"))
+    batch = rows.unionByName(long).unionByName(none).unionByName(old)
+    quarantine = str(tmp_path / "quarantine")
+    for _ in range(2):  # a repeated batch replaces what it stored
+        good = tables.write_audit(spark, batch, quarantine, "2025-06-15")
+        assert good.count() == 30 and good.exceptAll(rows.select(*good.columns)).count() == 0
+        stored = spark.read.parquet(quarantine).groupBy("rule").count().collect()
+        assert {r.rule: r["count"] for r in stored} == {"max_length:ticker": 1, "not_null:trade_date": 1, "unique_key:ticker,trade_date": 2}
+    with pytest.raises(tables.BatchRefused, match="4 of 34"):
+        tables.write_audit(spark, batch, quarantine, "2025-06-16", max_refused_share=0.1)
+
+
+def test_readers_see_old_or_new_rows_while_a_table_is_reloaded(spark, tmp_path):
+    import threading
+    spark.sql("DROP VIEW IF EXISTS reloaded")
+    rows = silver(spark)
+    tables.publish(rows, "reloaded", str(tmp_path / "versions"), ["ticker"])
+    source, counts, stop = str(tmp_path / "source"), [], threading.Event()
+    rows.where("ticker <> 'CCC'").write.parquet(source)
+    began = spark.table("reloaded")  # resolved before the switch: reads the old rows to its end
+
+    def read():
+        while not stop.is_set():
+            counts.append(spark.table("reloaded").count())
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        tables.reload_table(spark, "reloaded", source, str(tmp_path / "versions"), ["ticker"])
+        assert spark.table("reloaded").count() == 20 and began.count() == 30
+    finally:
+        stop.set()
+        reader.join()
+    assert set(counts) <= {30, 20}
+    for n in (10, 30):
+        tables.materialise_table(rows.limit(n), "reloaded")
+    assert spark.table("reloaded").count() == 30
+    versions = [t.name for t in spark.catalog.listTables() if t.name.startswith("reloaded__v")]
+    assert len(versions) == 2  # the last one before stays for its readers
+
+
+def test_touched_partitions_are_registered_without_dropping_the_table(spark, tmp_path, monkeypatch):
+    path, name = str(tmp_path / "months"), "months_table"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    rows = silver(spark).withColumn("m", F.dayofmonth("trade_date"))
+    rows.where("m <= 2").write.partitionBy("m").parquet(path)
+    tables.register_partitions(spark, name, path, rows.schema, "m", [1, 2])
+    assert spark.table(name).count() == 6
+    rows.where("m = 3").write.mode("append").partitionBy("m").parquet(path)
+    said, real = [], type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, q, *a, **k: (said.append(q), real(self, q, *a, **k))[1])
+    tables.register_partitions(spark, name, path, rows.schema, "m", [3])
+    assert not [q for q in said if q.startswith(("DROP", "MSCK"))]
+    assert [q for q in said if q.startswith("ALTER")] == [f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION (m=3)"]
+    assert spark.table(name).count() == 9
+    rows.write.partitionBy("m").parquet(str(tmp_path / "elsewhere"))
+    tables.register_partitions(spark, name, str(tmp_path / "elsewhere"), rows.schema, "m", [3])
+    assert spark.table(name).count() == 30

@@ -72,6 +72,8 @@ def test_rejects_are_stored_and_a_lost_batch_stops_the_stream(spark, tmp_path):
     run(spark, bronze, silver, ck)
     stored = spark.read.parquet(silver + "_rejects").collect()
     assert [(r.ticker, r.date_key, r.reject_reason, r.batch_id) for r in stored] == [("A", "2025-06-13", "bad_close", 0)]
+    counts = spark.read.parquet(silver + "_counts").collect()
+    assert [(r.batch_id, r.documents, r.parsed_days, r.rejected_days, r.final_rows) for r in counts] == [(0, 1, 1, 1, 1)]
     land(bronze, "2025-06-15", "A_2.json", "<html>busy</html>")
     q = start_arrival(spark, bronze, silver, ck, processed_at=datetime(2025, 7, 1))
     with pytest.raises(StreamingQueryException, match="could not be parsed"):
