@@ -36,7 +36,7 @@ from barlake.llm.idfiles import library
 
 SHARD = 1024  # items of a shard
 K1, B = 1.2, 0.75  # BM25
-ROWS = 1 << 9  # items of a batch that carries ids
+ROWS = 1 << 11  # items worked on at once
 
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long"
 _ITEM = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, ids binary"
@@ -81,10 +81,17 @@ def _terms(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndar
     return code[at] >> 32, code[at] & 0xFFFFFFFF, np.diff(np.append(at, len(code))), size
 
 
+def slices(batches):
+    """Batches in slices of ``ROWS`` items."""
+    for batch in batches:
+        for at in range(0, len(batch), ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def frequency_batches(batches, kind: str, size: int):
     """Items' ids as (token, items that hold it); token -1 stands for (items, their tokens)."""
     held, items, tokens = np.zeros(size, dtype=np.int64), 0, 0
-    for batch in batches:
+    for batch in slices(batches):
         _, token, _, n = _terms(batch.column(0), kind)
         held += np.bincount(token, minlength=size)
         items, tokens = items + len(n), tokens + int(n.sum())
@@ -94,7 +101,7 @@ def frequency_batches(batches, kind: str, size: int):
 
 def telling_batches(batches, kind: str, idf: np.ndarray):
     """Items with their two tokens of greatest tf * idf and a hash, by which they are dealt into shards."""
-    for batch in batches:
+    for batch in slices(batches):
         item, token, tf, size = _terms(batch.column(batch.schema.names.index("ids")), kind)
         weight = tf * idf[token]
         order = np.lexsort((token, -weight, item))

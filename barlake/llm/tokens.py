@@ -166,7 +166,7 @@ class Pieces:
     def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of an Arrow string column, one after the other, and n+1 offsets; null is empty."""
         parts, counts = [], [np.zeros(1, dtype=np.int64)]
-        for a, b in words.pieces(column):
+        for a, b in words.pieces(column, 2 * words.PIECE):
             if self.count > CACHE:
                 self._clear()
             buf, offs = words.text_bytes(column.slice(a, b - a))
