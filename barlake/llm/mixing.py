@@ -53,15 +53,18 @@ def _ranked(sources: DataFrame) -> DataFrame:
     spark = sources.sparkSession
     parts = workers.tasks_for(spark)
     dealt = workers.keep(sources.repartitionByRange(parts, "skey").withColumn("part", F.spark_partition_id()), "sources")
-    # a row for each partition, whatever the number of sources
+    return dealt.join(starts(dealt), "part").withColumn(
+        "rank", F.row_number().over(Window.partitionBy("part").orderBy("skey")) - 1 + F.col("before")).drop("part", "before")
+
+
+def starts(dealt: DataFrame) -> DataFrame:
+    """(part, before): the rows in all partitions before each; a row for each partition, however many rows they have."""
     counts = sorted((r["part"], r["count"]) for r in dealt.groupBy("part").count().collect())
-    before, total = {}, 0
+    before, total = [], 0
     for part, n in counts:
-        before[part], total = total, total + n
-    offset = F.lit(0)
-    for part, n in before.items():
-        offset = F.when(F.col("part") == part, F.lit(n)).otherwise(offset)
-    return dealt.withColumn("rank", F.row_number().over(Window.partitionBy("part").orderBy("skey")) - 1 + offset).drop("part")
+        before.append((part, total))
+        total += n
+    return dealt.sparkSession.createDataFrame(before, "part int, before long")
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...], share: float, cap: float = CAP) -> DataFrame:

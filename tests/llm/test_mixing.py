@@ -67,3 +67,9 @@ def test_all_sources_at_the_cap(spark):
     rows = many(200)
     got = mixing.mix_report(documents(spark, rows), share=2.0).collect()
     assert all(r.copies == 2 for r in got)
+
+
+def test_ranks_over_two_thousand_partitions(spark):
+    dealt = spark.range(6_000).selectExpr("cast(id % 2000 as int) as part")
+    got = {r.part: r.before for r in dealt.join(mixing.starts(dealt), "part").distinct().collect()}
+    assert got == {p: 3 * p for p in range(2_000)}
