@@ -78,7 +78,7 @@ def _stddev_micro(s1: Column, s2: Column, n: Column) -> Column:
 
 def add_indicators(staged: DataFrame, partition_col: str = "ticker",
                    order_col: str = "trade_date", built_at: Column | None = None,
-                   stretch_days: int = STRETCH_DAYS) -> DataFrame:
+                   stretch_days: int | None = STRETCH_DAYS) -> DataFrame:
     """Daily return, SMA 20/50, 20-row volatility, volume average, crossover, relative volume.
 
     Frame sums come from running (prefix) sums and their lagged values, so
@@ -87,10 +87,18 @@ def add_indicators(staged: DataFrame, partition_col: str = "ticker",
     are exact, so the differences are exact too. The sums start anew with the
     rows before each stretch, so no task holds a whole series; all steps share
     one partitioning and ordering.
+
+    ``stretch_days`` of None cuts no series: the windows run by
+    ``partition_col`` as it lies, which needs no shuffle over a table bucketed
+    by it (``sources.tables.write_bucketed``). A window partition is then a
+    whole series, at most a row a calendar day.
     """
     columns = staged.columns
-    staged = with_rows_before(staged, partition_col, order_col, stretch_days, LOOKBACK_ROWS)
-    w = Window.partitionBy(partition_col, "_stretch").orderBy(order_col)
+    if stretch_days is None:
+        staged = staged.withColumns({"_stretch": F.lit(0), "_before": F.lit(False)})
+    else:
+        staged = with_rows_before(staged, partition_col, order_col, stretch_days, LOOKBACK_ROWS)
+    w = Window.partitionBy(partition_col).orderBy(order_col) if stretch_days is None else Window.partitionBy(partition_col, "_stretch").orderBy(order_col)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     close, vol = F.col("close_price"), F.col("volume")
     price_scale = staged.schema["close_price"].dataType.scale

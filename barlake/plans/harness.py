@@ -264,6 +264,34 @@ def q_incremental_indicators(spark, sf_dir):
         "volatility_20d", "volume_sma_20", "relative_volume", "sma_crossover"))
 
 
+def q_bucketed_daily(spark, sf_dir):
+    """Staged prices and the dimension in buckets by ticker: indicators and the join to the dimension where the rows lie."""
+    import uuid
+
+    from barlake.sources import tables
+    name = uuid.uuid4().hex
+    prices = tables.write_bucketed(staged(spark, sf_dir), f"bucketed_prices_{name}", 8,
+                                   path=bh._fresh_path(spark, "bucketed-prices"))
+    dim = tables.write_bucketed(dim_from_geography(spark, sf_dir), f"bucketed_dim_{name}", 8,
+                                path=bh._fresh_path(spark, "bucketed-dim"))
+    return report(marts.daily_trading(ind.add_indicators(prices, stretch_days=None), dim))
+
+
+def q_sector_delta(spark, sf_dir):
+    """Sector facts kept as partial states: built from wrong daily rows, then brought right by the rows that changed."""
+    from barlake.plans.incremental import changed_rows, update_sector_states
+    from barlake.sources.tables import stage
+    right = stage(spark, daily_fact(spark, sf_dir), "daily")
+    late = (F.year("trade_date") == 1996) & (F.month("trade_date") == 3) | (F.year("trade_date") == 1998)
+    off = F.when(late & (F.day("trade_date") % 3 == 0), F.col("daily_return") + F.lit(1).cast("decimal(2,0)")) \
+        .otherwise(F.col("daily_return")).cast(right.schema["daily_return"].dataType)
+    wrong = right.where(~(late & (F.day("trade_date") % 7 == 1))).withColumn("daily_return", off)
+    path = bh._fresh_path(spark, "sector-states")
+    update_sector_states(spark, path, wrong.limit(0), wrong, wrong)
+    states, _ = update_sector_states(spark, path, *changed_rows(wrong, right), right)
+    return report(marts.finish_sectors(states))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sector_performance": q_sector_performance,
     "staging": q_staging,
@@ -306,5 +334,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_accounting": lambda spark, d: report(bh.q_run_accounting(spark, d)),
     "staging_view": q_staging_view,
     "incremental_indicators": q_incremental_indicators,
+    "bucketed_daily": q_bucketed_daily,
+    "sector_delta": q_sector_delta,
     "silver_merge": lambda spark, d: report(bh.q_silver_merge(spark, d)),
 }

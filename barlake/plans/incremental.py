@@ -7,6 +7,9 @@ months that is follows from the number of rows of each (ticker, month), an
 aggregate of the narrow key columns. A month is rewritten for all tickers, so
 prices are read for those months and the months before them that hold the
 look-back of any ticker, whichever ticker they are rewritten for.
+
+The sector fact can be kept by delta instead: its partial states are stored by
+month, and a revision takes the old rows back and adds the new ones.
 """
 
 from __future__ import annotations
@@ -14,10 +17,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from barlake.operators import marts
 from barlake.operators.indicators import LOOKBACK_ROWS, add_indicators
 from barlake.operators.staging import stage_prices
 from barlake.sources import tables
-from barlake.sources.merge import PARTITION_COLUMN, read_table, table_exists
+from barlake.sources.merge import PARTITION_COLUMN, read_table, table_exists, touched_partitions
 
 MONTH = "month_key"  # partition column of the model tables: yyyyMM as an integer
 
@@ -72,3 +76,53 @@ def update_indicators(spark: SparkSession, silver_path: str, table_path: str, to
     source = silver.where(F.col(PARTITION_COLUMN).isin(read)).drop(PARTITION_COLUMN)
     fresh = add_indicators(stage_prices(source), built_at=built_at)
     return write_months(fresh, table_path, write), write
+
+
+def changed_rows(old: DataFrame, new: DataFrame, keys=("ticker", "trade_date")) -> tuple[DataFrame, DataFrame]:
+    """(removed, added): rows of ``old`` that ``new`` lacks or has with other values, and the reverse.
+
+    Both are unique by ``keys``; columns of ``new`` count, load stamps should be left out.
+    """
+    cols = new.columns
+    row = F.struct(*cols)
+    sides = old.select(*cols).select(*keys, row.alias("o"), F.lit(None).cast(row_type(new)).alias("n")) \
+        .unionByName(new.select(*keys, F.lit(None).cast(row_type(new)).alias("o"), row.alias("n")))
+    pairs = sides.groupBy(*keys).agg(F.first("o", ignorenulls=True).alias("o"), F.first("n", ignorenulls=True).alias("n")) \
+        .where(~F.col("o").eqNullSafe(F.col("n")))
+    return pairs.where("o is not null").select("o.*"), pairs.where("n is not null").select("n.*")
+
+
+def row_type(df: DataFrame):
+    """The struct type of a whole row, every field nullable."""
+    from pyspark.sql.types import StructField, StructType
+    return StructType([StructField(f.name, f.dataType) for f in df.schema])
+
+
+def update_sector_states(spark: SparkSession, path: str, removed: DataFrame, added: DataFrame,
+                         daily: DataFrame) -> tuple[DataFrame, list[int]]:
+    """Bring the stored sector states at ``path`` up to date; returns the states' table and the months written.
+
+    ``removed`` and ``added``: the daily rows that a revision took away and
+    brought (a changed row is in both); ``daily``: all daily rows after it,
+    with ``MONTH`` if it is partitioned by it. The months of these rows are the
+    only ones read and written. Of ``daily`` only the groups are read whose
+    best or worst return was taken away.
+    """
+    gone, new = tables.stage(spark, with_month(removed), "removed"), tables.stage(spark, with_month(added), "added")
+    months = touched_partitions(gone.select(MONTH).unionByName(new.select(MONTH)), MONTH)
+    if not months:
+        return read_table(spark, path), months
+    if table_exists(spark, path):
+        old = read_table(spark, path).where(F.col(MONTH).isin(months)).drop(MONTH)
+    else:
+        old = marts.sector_states(new.limit(0))
+    merged = tables.stage(spark, marts.merge_states(old, gone, new), "states")
+    lost = merged.where("_lost").select(F.col("sector").alias("_sector"), F.col("trade_date").alias("_day"))
+    rows = daily if MONTH in daily.columns else with_month(daily)
+    again = rows.where(F.col(MONTH).isin(months)).join(
+        lost, F.col("sector").eqNullSafe(F.col("_sector")) & (F.col("trade_date") == F.col("_day")), "left_semi")
+    fresh = tables.stage(spark, merged.where("not _lost").drop("_lost").unionByName(marts.sector_states(again)), "fresh")
+    table = write_months(fresh, path, months, marts.GROUP)
+    for copy in (gone, new, merged, fresh):
+        tables.discard(copy)
+    return table, months

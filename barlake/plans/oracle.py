@@ -366,6 +366,8 @@ FROM (SELECT DISTINCT ticker, q // 4 AS b FROM ing WHERE st IN ('ok', 'skipped')
 WHERE (part = 1 AND b % 3 IN (0, 1)) OR (part = 2 AND b % 5 = 0)""")
 ORACLE["staging_view"] = ORACLE["staging"]
 ORACLE["incremental_indicators"] = ORACLE["indicators"]
+ORACLE["bucketed_daily"] = ORACLE["daily_trading"]
+ORACLE["sector_delta"] = ORACLE["sector_performance"]
 ORACLE["run_accounting"] = _sql(BRONZE, """
 SELECT (SELECT count(*) FROM ing WHERE st IN ('ok', 'rejected', 'skipped')) AS documents,
        (SELECT count(*) FROM ing WHERE st = 'skipped') AS skipped_documents,
