@@ -11,9 +11,10 @@ for what looks and says the same on every page; a leaf that k of the m pages
 have has GAMMA * (1 - log k / log m). Branches and leaves below ``LOW`` are
 removed from each page, if at least ``EVIDENCE`` different pages tell; the
 paragraphs of a marked article are never judged by their host, only
-containers in it: paths start anew at the article. Pages of a host that share
-more than ``MOST`` of their text are near copies of one page; what would take
-that much of a page is not removed from it.
+containers in it: paths start anew at the article. A page that would lose more
+than ``MOST`` of its text is a near copy of others and no evidence: the tree is
+counted again without such pages, and only what is low there as well goes, then
+from every page, also from one that has nothing else.
 
 Names add to the tree, as text that differs on every page looks important to
 it: what says by tag, role, class or id that it is a menu, header, footer,
@@ -21,7 +22,8 @@ sidebar, notice, advert, form or reader comment is no text on any page, and
 if a page marks its article, only that is read. A class counts as a whole (all
 its words say so: cookie-notice, but not related-work) and, as roles and ids
 do, only on containers; an id not in an article and not on a section, whose id
-is an anchor. An element with more than ``MOST`` of the page's text is its
+is an anchor, unless it names reader comments. Buttons, labels and hidden
+inline elements are no text either. An element with more than ``MOST`` of the page's text is its
 wrapper and goes by no name.
 
 Scale: the tree is counts by (host, path, child sequence), (host, path,
@@ -31,8 +33,9 @@ a host count once.
 Defined cases: null html is empty and gives the empty text; a null url or one
 without a host has no site, so nothing is removed by importance; repeated rows
 give repeated results; unclosed and stray tags, unterminated comments and
-truncated pages are read as browsers do, in one pass; an empty table gives an
-empty result.
+truncated pages are read as browsers do, in one pass; elements nested deeper
+than ``DEPTH`` count as parts of their ancestor there, so a page costs no more
+than its length times a constant; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -48,6 +51,7 @@ from pyspark.sql import functions as F
 from barlake.llm import workers
 
 GAMMA, LOW, EVIDENCE, MOST = 0.9, 0.2, 8, 0.8
+DEPTH = 256  # levels of the tree; browsers bound theirs alike
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg object video audio canvas select".split())
@@ -67,7 +71,12 @@ NOISE_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising a
  subscription teaser toolbar topbar widget""".split())
 #: What may stand before one of them in a whole name.
 PLACES = frozenset("bottom left main page post reader right side site top user".split())
-COMMENT_WORDS = frozenset("comment comments commentlist reply disqus".split())
+COMMENT_WORDS = frozenset("comment comments commentlist reply disqus reviews".split())
+COMMENT_IDS = frozenset("comments commentlist disqus reviews".split())
+#: Whose reviews are comments; a review by itself may be the article.
+READERS = frozenset("customer guest reader user visitor".split())
+INLINE = frozenset("button label".split())  # no text, without a block of their own
+IN_HEAD = frozenset("title meta link script style base noscript template".split())
 CLOSES = {  # an opening tag ends these if open, up to the nearest of the second set
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu"])),
     "dt": (frozenset(["dt", "dd"]), frozenset(["dl"])), "dd": (frozenset(["dt", "dd"]), frozenset(["dl"])),
@@ -86,10 +95,12 @@ _NAME = re.compile(r"[a-z]+|[0-9]+")
 class _Open:
     """An open element."""
 
-    __slots__ = ("tag", "noise", "article", "path", "named")
+    __slots__ = ("tag", "noise", "article", "path", "number", "mute", "tagged", "chars")
 
-    def __init__(self, tag, noise, article, path, named=()):
-        self.tag, self.noise, self.article, self.path, self.named = tag, noise, article, path, named
+    def __init__(self, tag, noise, article, path, number=None, mute=False, tagged=False):
+        self.tag, self.noise, self.article, self.path = tag, noise, article, path
+        self.number, self.mute, self.tagged = number, mute, tagged  # if named; if silent; if in a noise tag
+        self.chars = 0  # of text in it and in what was closed in it
 
 
 def _says(name: str) -> set[str]:
@@ -97,41 +108,49 @@ def _says(name: str) -> set[str]:
     # lower and mixed case names alike: cookieNotice, cookie-notice
     words = _NAME.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
     words = [w for w in words if not w.isdigit()]
+    if len(words) > 1 and words[-1] in ("review", "reviews") and all(w in READERS for w in words[:-1]):
+        return {"reviews", "comments"}
     return set(words) if words and words[-1] in NOISE_WORDS and all(w in NOISE_WORDS or w in PLACES for w in words) else set()
 
 
-def _mark(tag: str, attrs: str, article) -> tuple[bool, bool, bool, str]:
-    """(is hidden, is noise, is a comment, name) of an element by its attributes."""
+def _mark(tag: str, attrs: str, article) -> tuple[bool, bool, bool, bool, str]:
+    """(is not shown, is hidden, is noise, is a comment, name) of an element by its attributes."""
     if not attrs or attrs.isspace():
-        return False, False, False, tag
-    words, label, off = set(), [], False
+        return False, False, False, False, tag
+    words, label, off, silent = set(), [], False, False
     holds = tag in CONTAINERS or tag in NOISE_TAGS or tag in ("article", "main")
     for m in _ATTR.finditer(attrs):
         key, value = m[1].lower(), (m[2] or "").strip("\"'")
         if key in ("class", "id"):
             label.append(value)
-            if holds and (key == "class" or not article and tag != "section"):
-                words.update(*map(_says, value.split()))
+            if holds:
+                said = set().union(*map(_says, value.split()))
+                if key == "id" and (article or tag == "section") and not said & COMMENT_IDS:
+                    said = set()
+                words |= said
         elif key == "role":
             if holds:
                 words.update(*map(_says, value.split()))
-        elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" \
-                or key == "style" and "display:none" in value.replace(" ", "").lower():
+        elif key == "hidden" or key == "style" and "display:none" in value.replace(" ", "").lower():
             off = True
-    return off, bool(words & NOISE_WORDS), bool(words & COMMENT_WORDS), ".".join([tag, *label])
+        elif key == "aria-hidden" and value.lower() == "true":
+            silent = True
+    return off, off or silent, bool(words & NOISE_WORDS), bool(words & COMMENT_WORDS), ".".join([tag, *label])
 
 
 def parse(source: str, spare: frozenset = frozenset()) -> tuple[list, dict[str, list[str]], list]:
-    """Blocks (text, nodes around it) that are not noise by name, the child sequence of each path, and all blocks.
+    """Blocks (text, nodes around it) that are the text by name, the child sequence of each path, and all blocks.
 
     A block's nodes are the element paths around it and, outside a marked
-    article, its leaf; in the list of all blocks the leaf stands apart.
+    article, its leaf; in the list of all blocks the leaf stands apart, and a flag says which are the text by name.
     ``spare``: which elements, counted by their names, are wrappers.
     """
     named, held, total = 0, {}, 0
-    blocks: list = []  # text, paths, in an article, in an article whose surroundings are noise
+    blocks: list = []  # number among all, nodes, in an article, in an article whose surroundings are noise
     every: list = []  # text, paths, leaf or None
     stack = [_Open("", False, 0, ())]
+    count: dict[str, int] = {}  # open elements by tag
+    endless: set[str] = set()  # skipped elements of which no end follows
     kids: dict[str, list[str]] = {"": []}
     run: list[str] = []
     first_article = [False]
@@ -144,54 +163,69 @@ def parse(source: str, spare: frozenset = frozenset()) -> tuple[list, dict[str,
             if text:
                 top = stack[-1]
                 leaf = None if top.article or top.noise == 2 else f"{top.path[-1] if top.path else ''}\t{text}"
-                every.append((text, top.path, leaf))
-                if not any(e.tag in NOISE_TAGS for e in stack):
+                if not top.tagged:
                     total += len(text)
-                    for i in top.named:
-                        held[i] = held.get(i, 0) + len(text)
+                    top.chars += len(text)
                 nodes = top.path if leaf is None else (*top.path, leaf)
                 if not top.noise:
-                    blocks.append((text, nodes, top.article))
+                    blocks.append((len(every), nodes, top.article))
                 elif top.noise == 2:
-                    blocks.append((text, nodes, 2))
+                    blocks.append((len(every), nodes, 2))
+                every.append((text, top.path, leaf))
 
     def close(i):
         if any(e.tag in BLOCKS for e in stack[i:]):
             flush()
-        del stack[i:]
+        while len(stack) > i:
+            e = stack.pop()
+            stack[-1].chars += e.chars
+            count[e.tag] -= 1
+            if e.number is not None:
+                held[e.number] = e.chars
+
+    def say(text):
+        if stack[-1].tag == "head" and not text.isspace():
+            close(len(stack) - 1)
+        if not stack[-1].mute:
+            run.append(text)
 
     at, n = 0, len(source)
     while at < n:
         m = _TOKEN.search(source, at)
         if not m:
-            run.append(entities.unescape(source[at:]))
+            say(entities.unescape(source[at:]))
             break
         if m.start() > at:
-            run.append(entities.unescape(source[at:m.start()]))
+            say(entities.unescape(source[at:m.start()]))
         at = m.end()
         slash, tag, attrs = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if not tag:
             continue
         tag = tag.lower()
         if slash:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    close(i)
-                    break
+            if count.get(tag):
+                i = len(stack) - 1
+                while stack[i].tag != tag:
+                    i -= 1
+                close(i)
             continue
+        if stack[-1].tag == "head" and tag not in IN_HEAD:
+            close(len(stack) - 1)
         if tag in ("svg", "math") and attrs.endswith("/") and not re.search(r"=\s*[^\s\"'>]*/$", attrs):
             continue
         if tag in RAW or tag == "xmp":
-            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(source, at)
+            end = None if tag in endless else re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(source, at)
+            if not end:
+                endless.add(tag)
             if tag == "xmp":  # shown as it stands
                 flush()
-                run.append(source[at:end.start() if end else n])
+                say(source[at:end.start() if end else n])
                 flush()
             if end or tag in TO_THE_END or tag == "xmp":
                 at = end.end() if end else n
             continue
         if tag == "br":
-            run.append(" ")
+            say(" ")
             continue
         if tag == "hr":
             flush()
@@ -199,7 +233,8 @@ def parse(source: str, spare: frozenset = frozenset()) -> tuple[list, dict[str,
             continue
         if tag in _CUTS_P or tag in CLOSES:
             ends, stops = CLOSES.get(tag, ((), ()))
-            for i in range(len(stack) - 1, 0, -1):
+            open_ones = any(count.get(t) for t in ends) or tag in _CUTS_P and count.get("p")
+            for i in range(len(stack) - 1 if open_ones else 0, 0, -1):
                 t = stack[i].tag
                 if t in ends or t == "p" and tag in _CUTS_P:
                     close(i)
@@ -210,11 +245,12 @@ def parse(source: str, spare: frozenset = frozenset()) -> tuple[list, dict[str,
             flush()
         top = stack[-1]
         article = top.article
-        hidden, noisy, comment, name = _mark(tag, attrs, article)
-        around = top.named
+        unseen, hidden, noisy, comment, name = _mark(tag, attrs, article)
+        mute = tag not in ("article", "main") and (top.mute or tag in INLINE or unseen and tag not in BLOCKS and tag not in ("html", "body"))
+        number = None
         if noisy and not comment and tag in CONTAINERS:
             noisy = named not in spare
-            around = (*around, named)
+            number = named
             named += 1
         noisy = noisy or hidden
         if tag in ("article", "main"):
@@ -234,23 +270,34 @@ def parse(source: str, spare: frozenset = frozenset()) -> tuple[list, dict[str,
             first_article[0] = True
         path = top.path
         inside = article or noise == 2
-        if inside and (tag == "main" and not top.article or tag == "article" and not any(e.tag == "article" for e in stack)):
+        if inside and (tag == "main" and not top.article or tag == "article" and not count.get("article")):
             path = ()
         base = "/article" if inside else ""
-        if tag in (CONTAINERS if inside else NODES):
+        if len(path) >= DEPTH:
+            pass
+        elif tag in (CONTAINERS if inside else NODES):
             kids.setdefault(path[-1] if path else base, []).append(name)
-            path = (*path, f"{path[-1] if path else base}/{name}")
+            path = (*path, _step(path[-1] if path else base, name))
             kids.setdefault(path[-1], [])
         elif tag in BLOCKS and (path or not inside):
             kids[path[-1] if path else ""].append(tag)
-        stack.append(_Open(tag, noise, article, path, around))
+        stack.append(_Open(tag, noise, article, path, number, mute, top.tagged or tag in NOISE_TAGS))
+        count[tag] = count.get(tag, 0) + 1
     flush()
+    close(1)
     wrappers = spare.union(i for i, chars in held.items() if chars > MOST * total)
     if wrappers != spare:
         return parse(source, wrappers)
     marked = [b for b in blocks if b[2] == 1 or b[2] is True]
     chosen = marked or [b for b in blocks if b[2] == 2] or [b for b in blocks if not b[2]]
-    return [(text, nodes) for text, nodes, _ in chosen], kids, every
+    of = {i for i, _, _ in chosen}
+    return [(every[i][0], nodes) for i, nodes, _ in chosen], kids, [(*e, i in of) for i, e in enumerate(every)]
+
+
+def _step(path: str, name: str) -> str:
+    """The path one element further: in words as long as it is short, then its digest, so that depth does not lengthen it."""
+    longer = f"{path}/{name}"
+    return longer if len(longer) <= 200 else f"#{_hash(longer) & (1 << 64) - 1:016x}"
 
 
 def host_of(url):
@@ -264,21 +311,32 @@ def _hash(text: str) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace"))).view(np.int64))
 
 
+_SHAPES = ("host string, digest long, chars long, "
+           "blocks array<struct<block:long,paths:array<long>,leaf:long,at:long,n:long>>, nodes array<struct<path:long,kids:long>>")
+
+
 def shape_batches(batches):
-    """(host, html) rows as host, digest, blocks (digest, paths, leaf, path of the leaf) and nodes (path, child sequence)."""
-    block = pa.list_(pa.struct([("block", pa.int64()), ("paths", pa.list_(pa.int64())), ("leaf", pa.int64()), ("at", pa.int64())]))
+    """(host, html) rows as host, digest, chars of the text by name, blocks and nodes (path, child sequence).
+
+    A block is its digest, the paths around it, its leaf, the path of the leaf, and n: its length if it is text by name, else 0.
+    """
+    block = pa.list_(pa.struct([("block", pa.int64()), ("paths", pa.list_(pa.int64())), ("leaf", pa.int64()), ("at", pa.int64()),
+                                ("n", pa.int64())]))
     node = pa.list_(pa.struct([("path", pa.int64()), ("kids", pa.int64())]))
     for batch in batches:
-        digests, blocks, nodes = [], [], []
+        digests, chars, blocks, nodes = [], [], [], []
         for source in batch.column(1):
-            _, kids, found = parse(source.as_py() or "")
+            texts, kids, found = parse(source.as_py() or "")
             ids = {p: _hash(p) for p in kids}
             blocks.append([{"block": _hash(t), "paths": [ids[p] for p in paths], "leaf": None if leaf is None else _hash(leaf),
-                            "at": ids[paths[-1] if paths else ""]} for t, paths, leaf in found if paths or leaf is not None])
+                            "at": ids[paths[-1] if paths else ""], "n": len(t) if chosen else 0}
+                           for t, paths, leaf, chosen in found if paths or leaf is not None])
             nodes.append([{"path": ids[p], "kids": _hash(" ".join(k))} for p, k in kids.items()])
-            digests.append(_hash("\n".join(t + "\t" + "".join(p[-1:]) for t, p, _ in found) + "\n".join(kids)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.int64()), pa.array(blocks, block),
-                                          pa.array(nodes, node)], ["host", "digest", "blocks", "nodes"])
+            digests.append(_hash("\n".join(t + "\t" + "".join(p[-1:]) for t, p, _, _ in found) + "\n".join(kids)))
+            chars.append(sum(len(t) for t, _ in texts))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.int64()), pa.array(chars, pa.int64()),
+                                          pa.array(blocks, block), pa.array(nodes, node)],
+                                         ["host", "digest", "chars", "blocks", "nodes"])
 
 
 def text_batches(batches):
@@ -288,10 +346,7 @@ def text_batches(batches):
         for source, removed in zip(batch.column(2), batch.column(3), strict=True):
             gone = set(removed.as_py() or ())
             blocks = parse(source.as_py() or "")[0]
-            left = [t for t, nodes in blocks if not gone or gone.isdisjoint(map(_hash, nodes))]
-            if sum(map(len, left)) < (1 - MOST) * sum(len(t) for t, _ in blocks):
-                left = [t for t, _ in blocks]
-            texts.append("\n".join(left))
+            texts.append("\n".join(t for t, nodes in blocks if not gone or gone.isdisjoint(map(_hash, nodes))))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
 
@@ -304,9 +359,7 @@ def _rows(pages: DataFrame) -> DataFrame:
 def page_shapes(pages: DataFrame) -> DataFrame:
     """host, digest, blocks and nodes of every page that has a host and text to judge; no texts."""
     shapes = _rows(pages).filter("host is not null").select("host", "html").mapInArrow(
-        workers.task(__name__, "shape_batches"),
-        "host string, digest long, blocks array<struct<block:long,paths:array<long>,leaf:long,at:long>>, "
-        "nodes array<struct<path:long,kids:long>>")
+        workers.task(__name__, "shape_batches"), _SHAPES)
     return shapes.filter("size(blocks) > 0")
 
 
@@ -333,6 +386,20 @@ def node_importance(shapes: DataFrame) -> DataFrame:
     return paths.unionAll(alone)
 
 
+def low_nodes(shapes: DataFrame) -> DataFrame:
+    """(host, removed): paths and leaves that enough pages show to be of low importance."""
+    low = node_importance(shapes).filter((F.col("pages") >= EVIDENCE) & (F.col("importance") < LOW))
+    return low.groupBy("host").agg(F.collect_set("path").alias("removed"))
+
+
+def telling_pages(shapes: DataFrame, removed: DataFrame) -> DataFrame:
+    """The pages of hosts with low nodes that keep a part of their text without these: the others are near copies."""
+    nodes = lambda b: F.concat(b["paths"], F.array_compact(F.array(b["leaf"])))
+    lost = F.aggregate(F.filter("blocks", lambda b: (b["n"] > 0) & F.arrays_overlap(nodes(b), "removed")), F.lit(0).cast("long"),
+                       lambda so_far, b: so_far + b["n"])
+    return shapes.join(removed, "host").filter(lost <= MOST * F.col("chars")).drop("removed")
+
+
 def main_texts(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of ``pages``.
 
@@ -342,9 +409,10 @@ def main_texts(pages: DataFrame) -> DataFrame:
     it joins them to the pages of their host, which are read a second time.
     """
     shapes = workers.keep(page_shapes(pages), "shapes")
-    low = node_importance(shapes).filter((F.col("pages") >= EVIDENCE) & (F.col("importance") < LOW))
-    removed = workers.keep(low.groupBy("host").agg(F.collect_set("path").alias("removed")), "removed")
+    first = workers.keep(low_nodes(shapes), "low")
+    removed = workers.keep(low_nodes(telling_pages(shapes, first)), "removed")
     workers.drop(shapes)
+    workers.drop(first)
     rows = _rows(pages).join(removed, "host", "left").select("page_id", "url", "html", "removed")
     return rows.mapInArrow(workers.task(__name__, "text_batches"), "page_id long, url string, text string") \
         .withColumn("n_chars", F.length("text").cast("long"))

@@ -121,3 +121,103 @@ def test_skipped_elements_end_where_they_end():
     assert text("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p><xmp>if a < b & <i>c</article></xmp><p>d</p></article>") \
         == "so x=1\nif a < b & <i>c</article>\nd"
     assert text("<article><p>a</p><iframe src=x><p>b</p></article>") == "a\nb" and text("<article><p>a</p><script>b") == "a"
+
+
+def test_comments_buttons_and_labels_are_no_text():
+    assert text("<article><p>Read <button>Share this</button><label>a</label> more</p><section id='comments'><p>c</p></section>"
+                "<div class='user-reviews'>r</div><div id='disqus'>q</div><p>so <span hidden>no</span>it <i style='display: none'>x</i>is"
+                " <i aria-hidden='true'>*</i></p></article>") == "Read more\nso it is *"
+    assert text("<article class='review'><div class='review'><p>A book</p></div><section id='notice'>n</section></article>") == "A book\nn"
+    assert text("<button>x<article><p>never closed</p></article>") == "never closed"
+
+
+def test_head_ends_where_the_text_begins():
+    for start in ("<html><head><title>T</title><body>", "<head><meta charset=utf-8><link rel=x>", "<html><head><title>T</title></head>"):
+        assert text(f"{start}<p>x</p>") == "x" and text(f"{start}plain") == "plain"
+
+
+def test_a_page_of_nothing_but_the_menu_is_empty(spark):
+    menu = "<div class='m1'><p>Home</p><p>About us</p></div>"
+    data = [(i, f"https://menu.example/{i}", f"<body>{menu}<p>Story {i}</p></body>") for i in range(29)]
+    got = {i: t for i, t, _ in texts(spark, [*data, (99, "https://menu.example/99", f"<body>{menu}</body>")])}
+    assert got == {**{i: f"Story {i}" for i in range(29)}, 99: ""}
+
+
+def test_near_copies_are_no_evidence_beside_other_pages(spark):
+    """Near copies on a host with a menu: the menu goes from all of them, what only they share stays."""
+    menu = "<div class='m1'><p>Home is here</p></div>"
+    same = "".join(f"<p>Paragraph {k} says the same on each</p>" for k in range(9))
+    data = [(i, f"https://mixed.example/{i}", f"<body>{menu}<div class='c'><p>Story {i} is told at length here</p><p>{i}</p></div></body>")
+            for i in range(40)]
+    copies = [(100 + i, f"https://mixed.example/{i}", f"<body>{menu}<section class='c'>{same}<p>Only {i}</p></section></body>") for i in range(10)]
+    got = {i: t for i, t, _ in texts(spark, data + copies)}
+    assert got[3] == "Story 3 is told at length here\n3"
+    assert all(got[100 + i].count("\n") == 9 and "Home" not in got[100 + i] for i in range(10))
+
+
+def test_deep_and_unclosed_elements_cost_what_their_length_does():
+    import time
+    import tracemalloc
+    for html in ("<div>x" * 20_000, "<div class=ad>y" * 20_000 + "<p>hello</p>", "<select>" * 20_000, "<b>" * 20_000 + "</i>" * 20_000,
+                 "<p>a" * 20_000):
+        began = time.process_time()
+        pages.parse(html)
+        took = time.process_time() - began
+        tracemalloc.start()
+        pages.parse(html)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert took < 4 and peak < 100e6, (html[:20], took, peak)
+    deep = text("<div>" * 1000 + "<p>deep</p><nav>n</nav>" + "</div>" * 1000 + "<p>after</p>")
+    assert deep == "deep\nafter"
+
+
+def brute_importance(data):
+    """Importance of every (host, path) and leaf from the pages' elements, by counting."""
+    import math
+    from collections import Counter, defaultdict
+    seen, looks, said, leaves = set(), defaultdict(Counter), defaultdict(Counter), Counter()
+    for _, url, html in data:
+        host = url.split("/")[2]
+        _, kids, found = pages.parse(html)
+        mark = (host, tuple(f[:3] for f in found), tuple(kids))
+        if mark in seen or not any(paths or leaf for _, paths, leaf, _ in found):
+            continue
+        seen.add(mark)
+        for path, k in kids.items():
+            looks[host, path][" ".join(k)] += 1
+        once = {(t, paths, leaf) for t, paths, leaf, _ in found if paths or leaf}
+        for t, paths, leaf in once:
+            for p in paths:
+                said[host, p][t] += 1
+        for at, leaf in {(paths[-1] if paths else "", leaf) for _, paths, leaf in once if leaf}:
+            leaves[host, at, leaf] += 1
+    out = {}
+    for (host, path), look in looks.items():
+        m, blocks = sum(look.values()), said[host, path]
+        if path:
+            logm = math.log(max(m, 2))
+            looked = -sum(c / m * math.log(c / m) for c in look.values()) / logm
+            total = sum(blocks.values())
+            told = 1 - min(1, sum(k * math.log(k) for k in blocks.values()) / total / logm) if total else 0
+            out[host, pages._hash(path)] = (m, 0.1 * looked + 0.9 * told)
+    for (host, at, leaf), k in leaves.items():
+        m = sum(looks[host, at].values())
+        if k > 8 ** (1 - 0.2 / 0.9):
+            out[host, pages._hash(leaf)] = (m, 0.9 * (1 - min(1, math.log(k) / math.log(max(m, 2)))))
+    return out
+
+
+def test_importance_equals_counting(spark):
+    import random
+    rnd = random.Random(7)
+    def part(depth):
+        tag = rnd.choice(["div class=a", "div class=b", "ul", "section", "p", "nav", "article"] if depth else ["div class=a", "p"])
+        inner = "".join(part(depth - 1) for _ in range(rnd.randrange(3))) if depth and tag != "p" else ""
+        return f"<{tag}>{rnd.choice(['Home', 'About', 'Shop', str(rnd.randrange(99))])}{inner}</{tag.split()[0]}>"
+    data = [(i, f"https://h{i % 3}.example/{i}", "<body>" + "".join(part(3) for _ in range(3)) + "</body>") for i in range(60)]
+    data += data[:9]
+    got = {(r.host, r.path): (r.pages, r.importance) for r in pages.node_importance(pages.page_shapes(frame(spark, data))).collect()}
+    want = brute_importance(data)
+    assert got.keys() == want.keys() and len(want) > 30
+    assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9 for k in want)
