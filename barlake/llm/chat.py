@@ -102,8 +102,8 @@ def paths(conversations: DataFrame) -> DataFrame:
 
 def _shared(a: bytes, b: bytes) -> int:
     """Number of ids that two paths have in common at the beginning."""
-    n = 0
-    while a[n:n + ID] == b[n:n + ID] and n < min(len(a), len(b)):
+    n, end = 0, min(len(a), len(b))
+    while n < end and a[n:n + ID] == b[n:n + ID]:
         n += ID
     return n // ID
 
@@ -161,15 +161,11 @@ _NODES = ("tree_id binary, node_id binary, depth int, start long, n_tokens int,
           "ancestors array<struct<start:long,end:long>>, segment string, loss_start int, loss_end int")
 
 
-def _intervals(starts: list[int], lengths: list[int]) -> list[dict]:
-    """Token intervals of a branch, neighbours joined."""
-    out: list[dict] = []
-    for s, n in zip(starts, lengths, strict=True):
-        if out and out[-1]["end"] == s:
-            out[-1]["end"] = s + n
-        else:
-            out.append({"start": s, "end": s + n})
-    return out
+def _joined(intervals: tuple, start: int, n: int) -> tuple:
+    """Token intervals of a branch with the next node's, neighbours joined."""
+    if intervals and intervals[-1][1] == start:
+        return (*intervals[:-1], (intervals[-1][0], start + n))
+    return (*intervals, (start, start + n))
 
 
 def node_batches(batches, carried):
@@ -183,9 +179,13 @@ def node_batches(batches, carried):
         if part != now:
             now, walk = part, _Walk(*carried[part])
         lengths = [len(s) for s in segments]
-        for d in range(walk.step(path, lengths), len(lengths)):
-            rows.append((path[:ID], path[d * ID:(d + 1) * ID], d, walk.starts[d], lengths[d], sum(lengths[:d]),
-                         _intervals(walk.starts[:d], lengths[:d]), segments[d], *losses[d]))
+        common, position, ancestors = walk.step(path, lengths), 0, ()
+        for d, n in enumerate(lengths):
+            if d >= common:
+                rows.append((path[:ID], path[d * ID:(d + 1) * ID], d, walk.starts[d], n, position,
+                             [{"start": a, "end": b} for a, b in ancestors], segments[d], *losses[d]))
+            position += n
+            ancestors = _joined(ancestors, walk.starts[d], n)
         if len(rows) > 2000:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
             rows = []
@@ -223,11 +223,11 @@ def read_back_batches(batches):
     for batch in batches:
         out = {k: [] for k in ("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")}
         for conv, nodes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            turns, loss, spoken, chars, where = hashlib.sha256(), hashlib.sha256(), 0, 0, []
+            turns, loss, spoken, chars, before = hashlib.sha256(), hashlib.sha256(), 0, 0, ()
             for n in nodes:
-                if n["position"] != chars or _intervals([w[0] for w in where], [w[1] for w in where]) != n["ancestors"]:
+                if n["position"] != chars or before != tuple((a["start"], a["end"]) for a in n["ancestors"]):
                     raise ValueError("a node's position or ancestors do not fit its conversation")
-                where.append((n["start"], n["n_tokens"]))
+                before = _joined(before, n["start"], n["n_tokens"])
                 role, text = parse(n["segment"])
                 turns.update(f"{role}\n{text}\n".encode())
                 under = unescape(n["segment"][n["loss_start"]:n["loss_end"]])

@@ -72,3 +72,12 @@ def test_controls_cannot_occur_and_escapes_are_reversible():
 def test_a_tree_over_many_partitions(spark):
     data = [(c, t, "user" if t % 2 == 0 else "assistant", "common" if t < 2 else f"{c % 50} {t}") for c in range(200) for t in range(4)]
     assert set(map(tuple, chat.formatted_digests(frame(spark, data)).collect())) == brute(data)
+
+
+def test_a_conversation_of_many_turns(spark):
+    """A long conversation beside one that leaves it late: every node's ancestors are two intervals at most."""
+    long = [(1, t, "user" if t % 2 == 0 else "assistant", f"turn {t}") for t in range(6000)]
+    data = long + [(2, *r[1:]) for r in long[:5000]] + [(2, 5000 + t, "user", f"other {t}") for t in range(1000)]
+    assert set(map(tuple, chat.formatted_digests(frame(spark, data)).collect())) == brute(data)
+    nodes = chat.prefix_trees(chat.paths(frame(spark, data)))
+    assert nodes.count() == 7000 and nodes.selectExpr("max(size(ancestors))").first()[0] == 2
