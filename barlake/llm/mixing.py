@@ -22,6 +22,8 @@ table gives an empty result; other columns are carried by ``mixed`` as they are.
 
 from __future__ import annotations
 
+import warnings
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -127,6 +129,8 @@ def tilts(hist: DataFrame, sources: DataFrame) -> DataFrame:
         worst = state.agg(F.max(F.when(F.col("hi") - F.col("lo") > 1e-14, F.abs("err")))).first()[0]
         if worst is None or worst <= CLOSE:
             break
+    else:
+        warnings.warn(f"the rates have not settled: a source is {worst:.1e} off its target", RuntimeWarning, stacklevel=2)
     return state.select("skey", "a", "scale")
 
 

@@ -24,6 +24,7 @@ input's other columns are not looked at.
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -184,6 +185,8 @@ def outlier_distances(df: DataFrame, xs: list[str], groups: list[str], floors: l
             .agg(F.max(F.abs(F.col("logdet") - F.col("before")))).first()[0]
         if moved is None or moved < SETTLED:
             break
+    else:
+        warnings.warn(f"the estimates have not settled in {steps} steps: a log determinant moved by {moved}", RuntimeWarning, stacklevel=2)
     best = est.groupBy(*keys).agg(F.min(F.struct("logdet", "start")).alias("best"))
     final = est.join(best, keys).filter("start = best.start").drop("best", "start", "n")
     out = _distance(clean, workers.keep(final, "final"), keys, xs)
