@@ -34,6 +34,7 @@ DIMS = 1 << BITS
 RANK = 6
 MAX_ROWS = 8_000  # labelled rows that training takes at most
 EPOCHS = 12
+SLICE = 1 << 20  # bytes of text worked on at once: a worker's memory is some 25 times this, whatever the batch
 
 KINDS = 9
 _KIND = np.full(256, 8, dtype=np.uint8)  # other ASCII
@@ -58,9 +59,21 @@ def _repeats(groups: np.ndarray, keys: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(g[same], minlength=n).astype(float)
 
 
+def _kinds(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """How many bytes of each kind a text has; counted ``SLICE`` bytes at a time, so that a long text costs no more."""
+    n = len(offs) - 1
+    out = np.zeros(n * KINDS, dtype=np.int64)
+    for at in range(0, len(buf), SLICE):
+        part = buf[at:at + SLICE]
+        a, b = np.searchsorted(offs, [at, at + len(part) - 1], "right") - 1  # the texts of the first and last byte
+        row = np.repeat(np.arange(b - a + 1) * KINDS, np.diff(np.clip(offs[a:b + 2], at, at + len(part))))
+        out[a * KINDS:(b + 1) * KINDS] += np.bincount(row + _KIND[part], minlength=(b - a + 1) * KINDS)
+    return out.reshape(n, KINDS)
+
+
 def features(column: pa.Array):
     """For pieces of a text column: (hashed column, value, first entry of each row, dense columns)."""
-    for a, b in words.pieces(column):
+    for a, b in words.pieces(column, SLICE):
         buf, offs = words.text_bytes(column.slice(a, b - a))
         n = b - a
         starts, ends = words.spans(buf, offs)
@@ -72,8 +85,7 @@ def features(column: pa.Array):
         norm = np.sqrt(np.bincount(of, value * value, n))
         value = value / norm[of]
         size = np.maximum(np.diff(offs), 1)
-        kinds = np.bincount((np.searchsorted(offs, np.arange(len(buf)), "right") - 1) * KINDS + _KIND[buf],
-                            minlength=n * KINDS).reshape(n, KINDS) if len(buf) else np.zeros((n, KINDS))
+        kinds = _kinds(buf, offs)
         n_words = np.bincount(row, minlength=n)
         some = np.maximum(n_words, 1)
         length = ends - starts
@@ -207,12 +219,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows:
     return fit(sorted((tuple(r) for r in got), key=lambda r: (r[3], r[1], r[0])))
 
 
-def score_batches(batches, model, keep_from=None):
-    """Rows (row, text) as (row, score); with ``keep_from``, only rows whose score reaches it."""
+def score_batches(batches, model, keep_from=None, text=None):
+    """Rows (row, text) as (row, score); with ``keep_from``, only rows whose score reaches it.
+
+    With ``text``, the text is that field of ``row`` and does not come a second time.
+    """
     m = model.value
     for batch in batches:
         done = 0
-        for cols, value, first, dense in features(batch.column(1)):
+        for cols, value, first, dense in features(batch.column(1) if text is None else batch.column(0).field(text)):
             score = pa.array(m.score(cols, value, first, dense))
             out = pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(score)), score], ["row", "score"])
             done += len(score)
@@ -221,12 +236,14 @@ def score_batches(batches, model, keep_from=None):
 
 def scored(docs: DataFrame, machine: Machine, keep_from: float | None = None, columns: list[str] | None = None) -> DataFrame:
     """(row, score) for every row: ``row`` holds the given columns (all, if not given)."""
-    sc = docs.sparkSession.sparkContext
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns or docs.columns]).alias("row"),
-                       F.col("text").cast("string").alias("text"))
     import pyspark.sql.types as T
+    sc, held = docs.sparkSession.sparkContext, columns or docs.columns
+    at = held.index("text") if "text" in held and docs.schema["text"].dataType == T.StringType() else None
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in held]).alias("row"),
+                       *([F.col("text").cast("string").alias("text")] if at is None else []))
     schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
-    return rows.mapInArrow(workers.task(__name__, "score_batches", model=sc.broadcast(machine), keep_from=keep_from), schema)
+    return rows.mapInArrow(workers.task(__name__, "score_batches", model=sc.broadcast(machine), keep_from=keep_from,
+                                        text=at), schema)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:

@@ -1,9 +1,11 @@
 import collections
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 from awkward import document_rows, documents, sentence, words
 
@@ -96,6 +98,41 @@ def test_awkward_documents_and_labels(spark):
     assert classifier.keep_good(documents(spark, []), labels).count() == 0
 
 
+def test_a_batch_is_scored_in_little_memory(spark):
+    """A batch of many texts, and one long text, take a small multiple of a slice; ``keep_good`` sends a text once."""
+    texts = [f"{i} " + sentence(i % 50, 300) for i in range(9000)]
+    assert sum(map(len, texts)) > 10_000_000
+
+    class Model:
+        value = classifier.Machine()
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["row", "text"])
+    list(classifier.score_batches([batch.slice(0, 500)], Model))  # tables that a worker keeps
+    tracemalloc.start()
+    rows = sum(out.num_rows for out in classifier.score_batches([batch], Model))
+    many = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    buf = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
+    kinds = classifier._kinds(buf, np.array([0, 0, len(buf), len(buf)]))
+    one = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(texts) and many < 100e6 and one < 100e6
+    assert not kinds[[0, 2]].any() and kinds[1].tolist() == np.bincount(classifier._KIND[buf], minlength=classifier.KINDS).tolist()
+    kept = classifier.scored(documents(spark), classifier.Machine(), keep_from=0.0)
+    sent = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert kept.count() == documents(spark).count() and "AS text#" not in sent.split("MapInArrow", 1)[1].split("Project", 2)[1]
+
+
+def test_slices_change_no_feature(monkeypatch):
+    column = pa.array([r[1] for r in document_rows()], pa.string())
+    got = {}
+    for size in (1 << 24, 1 << 20, 1000, 7):
+        monkeypatch.setattr(classifier, "SLICE", size)
+        got[size] = [(cols[first[i]:first[i + 1]].tolist(), value[first[i]:first[i + 1]].tolist(), dense[i].tolist())
+                     for cols, value, first, dense in classifier.features(column) for i in range(len(first) - 1)]
+    assert len(got[7]) == len(column) and all(rows == got[7] for rows in got.values())
+
+
 def test_each_statistic_alone_makes_an_outlier(spark):
     rng = random.Random(3)
 
