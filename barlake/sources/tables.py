@@ -229,8 +229,10 @@ def publish(df: DataFrame, name: str, path: str | None = None, partition_by: lis
     writer.saveAsTable(full)
     if any(t.name == short.lower() and t.tableType != "VIEW" for t in catalog):
         old = f"{mark}00000000_plain"
+        if old in before:  # the plain table of an earlier time
+            spark.sql(f"DROP TABLE {f'{schema}.{old}' if schema else old}")
         spark.sql(f"ALTER TABLE {name} RENAME TO {f'{schema}.{old}' if schema else old}")
-        before = before or [old]
+        before = [b for b in before if b != old] + [old]  # it held the rows last
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {full}")
     for old in before[:-1]:
         spark.sql(f"DROP TABLE IF EXISTS {f'{schema}.{old}' if schema else old}")
@@ -268,14 +270,17 @@ def register_partitions(spark: SparkSession, name: str, path: str, schema: Struc
 
     A known table is not dropped: one statement adds the given partitions,
     so the cost does not grow with history. A table that is new, lies
-    elsewhere or has other columns now, is declared and repaired over all its files; ``values`` of
-    None repair it too.
+    elsewhere (as do the versions behind a name that ``publish`` made a view; they stay) or has other
+    columns now, is declared and repaired over all its files; ``values`` of None repair it too.
     """
     known = spark.catalog.tableExists(name)
     if known:
         where = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
         columns = {(f.name, f.dataType) for f in spark.table(name).schema}
-        if _place(where["Location"]) != _place(path) or columns != {(f.name, f.dataType) for f in schema}:
+        if where.get("Type") == "VIEW":
+            spark.sql(f"DROP VIEW {name}")
+            known = False
+        elif _place(where["Location"]) != _place(path) or columns != {(f.name, f.dataType) for f in schema}:
             spark.sql(f"DROP TABLE {name}")  # external: the files stay
             known = False
     create_external_table(spark, name, path, schema, [column] if column else None)

@@ -214,3 +214,19 @@ def test_touched_partitions_are_registered_without_dropping_the_table(spark, tmp
     rows.write.partitionBy("m").parquet(str(tmp_path / "elsewhere"))
     tables.register_partitions(spark, name, str(tmp_path / "elsewhere"), rows.schema, "m", [3])
     assert spark.table(name).count() == 30
+
+
+def test_a_reloaded_table_is_taken_over_by_the_run_and_reloaded_again(spark, tmp_path):
+    path, other = str(tmp_path / "parquet"), str(tmp_path / "run")
+    silver(spark).write.parquet(path)
+    silver(spark).limit(7).write.parquet(other)
+    tables.create_schemas(spark, ["raw"])
+    schema = spark.read.parquet(path).schema
+    tables.create_external_table(spark, "raw.taken", path, schema)
+    for _ in range(2):
+        tables.reload_table(spark, "raw.taken", path)  # a view of a version from here on
+        assert spark.table("raw.taken").count() == 30
+        for _ in range(2):
+            tables.register_partitions(spark, "raw.taken", other, schema, None, None)
+            assert spark.table("raw.taken").count() == 7
+    assert len([t for t in spark.catalog.listTables("raw") if t.name.startswith("taken__v")]) == 2
