@@ -34,7 +34,7 @@ DIMS = 1 << BITS
 RANK = 6
 MAX_ROWS = 8_000  # labelled rows that training takes at most
 EPOCHS = 12
-SLICE = 1 << 20  # bytes of text worked on at once: a worker's memory is some 25 times this, whatever the batch
+SLICE = words.SLICE  # bytes of text worked on at once: a worker's memory is some 25 times this, whatever the batch
 
 KINDS = 9
 _KIND = np.full(256, 8, dtype=np.uint8)  # other ASCII

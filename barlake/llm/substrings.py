@@ -59,7 +59,7 @@ def anchor_batches(batches, width: int):
     grams = min(ANCHOR, width)
     for batch in batches:
         doc_ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        for a, b in words.pieces(batch.column(2)):
+        for a, b in words.pieces(batch.column(2), words.PIECE):
             buf, offs = words.text_bytes(batch.column(2).slice(a, b - a))
             starts, ends = words.spans(buf, offs)
             n = len(starts) - width + 1
@@ -161,7 +161,7 @@ def segment_keys(hashes: list[np.ndarray], begin: np.ndarray, end: np.ndarray) -
 def segment_batches(batches, width: int, content: bool):
     """(doc_id, mark, text, places) rows as segments (route, doc_id, content) or their places (doc_id, mark, start, k1, k2)."""
     for batch in batches:
-        for a, b in words.pieces(batch.column(2)):
+        for a, b in words.pieces(batch.column(2), words.SLICE):
             part = batch.slice(a, b - a)
             texts = [b" ".join(t.as_py().encode().split()) for t in part.column(2)]
             offs = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
@@ -287,10 +287,11 @@ def digest_batches(batches, width: int):
 def text_batches(batches, width: int):
     """(row, text, starts) rows as (row, text): the kept words, or the text itself if none goes."""
     for batch in batches:
-        texts = []
-        for text, starts in zip(batch.column(1), batch.column(2), strict=True):
-            texts.append(b" ".join(_kept_words(text.as_py(), starts.as_py(), width)[0]).decode() if starts.as_py() else text.as_py())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["row", "text"])
+        for a, b in words.pieces(batch.column(1), words.SLICE):
+            part, texts = batch.slice(a, b - a), []
+            for text, starts in zip(part.column(1), part.column(2), strict=True):
+                texts.append(b" ".join(_kept_words(text.as_py(), starts.as_py(), width)[0]).decode() if starts.as_py() else text.as_py())
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], ["row", "text"])
 
 
 def removal_report(docs: DataFrame, width: int = WIDTH) -> DataFrame:

@@ -166,7 +166,7 @@ class Pieces:
     def encode_column(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of an Arrow string column, one after the other, and n+1 offsets; null is empty."""
         parts, counts = [], [np.zeros(1, dtype=np.int64)]
-        for a, b in words.pieces(column, 2 * words.PIECE):
+        for a, b in words.pieces(column, words.SLICE):
             if self.count > CACHE:
                 self._clear()
             buf, offs = words.text_bytes(column.slice(a, b - a))
@@ -307,10 +307,11 @@ def encode_batches(batches, path: str):
     """(row, text) as (row, value): the text's ids."""
     c = codec(path)
     for batch in batches:
-        flat, offsets = c.pieces.encode_column(batch.column(1))
-        ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.view("<i4")),
-                                       mask=batch.column(1).is_null())
-        yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["row", "value"])
+        for a, b in words.pieces(batch.column(1), words.SLICE):
+            texts = batch.column(1).slice(a, b - a)
+            flat, offsets = c.pieces.encode_column(texts)
+            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.view("<i4")), mask=texts.is_null())
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), ids], ["row", "value"])
 
 
 def decode_batches(batches, path: str):

@@ -12,7 +12,9 @@ import pyarrow as pa
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
-PIECE = 1 << 21  # bytes whose hashes are worked out at once
+PIECE = 1 << 21  # bytes in which texts are taken, times 1 to 4
+SLICE = 1 << 20  # the same where a task would hold much for each byte: workers are reused and keep their peak
+HASHED = 1 << 18  # bytes whose hashes are worked out at once
 
 _rng = np.random.default_rng(20240501)
 _BYTE = _rng.integers(1, 1 << 63, (2, 256), dtype=np.uint64)  # a random value for each byte
@@ -30,10 +32,10 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i mod 2**64 for i up to n (kept up to the piece size)."""
+    """base**i and base**-i mod 2**64 for i up to n (kept up to ``HASHED``)."""
     got = _pow.get(which)
     if got is None or len(got[0]) <= n:
-        size = max(n + 1, PIECE + 1)
+        size = max(n + 1, HASHED + 1)
         base = _BASE[which]
         both = []
         for b in (base, pow(base, -1, 1 << 64)):
@@ -47,7 +49,7 @@ def powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
                 done += m
             both.append(out)
         got = (both[0], both[1])
-        if size == PIECE + 1:
+        if size == HASHED + 1:
             _pow[which] = got
     return got
 
@@ -85,7 +87,7 @@ def hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0
     out = np.empty(len(starts), dtype=np.uint64)
     at = 0
     while at < len(starts):
-        to = max(at + 1, int(np.searchsorted(ends, starts[at] + PIECE, "right")))
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + HASHED, "right")))
         a, b = int(starts[at]), int(ends[to - 1])
         up, down = powers(which, b - a)
         prefix = np.zeros(b - a + 1, dtype=np.uint64)

@@ -1,10 +1,13 @@
 import hashlib
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from awkward import document_rows, documents, sentence, words
 
 from barlake.llm import substrings
+from barlake.llm import words as wordpieces
 from barlake.llm.fmindex import FMIndex, window_intervals
 
 
@@ -79,3 +82,22 @@ def test_backward_search_finds_every_occurrence():
                 p = stream[a:a + depth]
                 n = sum(c[i:i + depth].tolist() == p for c in cuts for i in range(len(c) - depth + 1))
                 assert got.get((s, a), 0) == n
+
+
+def test_a_batch_takes_little_memory():
+    """Reused workers keep their peak: batches of any size are worked on in slices."""
+    texts = pa.array([f"{i} " + sentence(i % 50, 300) for i in range(9000)], pa.string())
+    ids, marks = pa.array(np.arange(len(texts))), pa.array(np.zeros(len(texts), dtype=np.int32))
+    starts = pa.array([[0]] * len(texts), pa.list_(pa.int32()))
+    tracemalloc.start()
+    for _ in substrings.anchor_batches([pa.RecordBatch.from_arrays([ids, marks, texts], ["doc_id", "mark", "text"])], 13):
+        pass
+    assert tracemalloc.get_traced_memory()[1] < 70e6
+    tracemalloc.reset_peak()
+    done = 0
+    for out in substrings.text_batches([pa.RecordBatch.from_arrays([ids, texts, starts], ["row", "text", "starts"])], 13):
+        assert out.nbytes < 3e6 and out.column(1)[0].as_py() == " ".join(texts[done].as_py().split()[13:])
+        done += out.num_rows
+    assert done == len(texts) and tracemalloc.get_traced_memory()[1] < 20e6
+    tracemalloc.stop()
+    assert sum(a.nbytes for both in wordpieces._pow.values() for a in both) < 10e6
